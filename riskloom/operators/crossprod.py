@@ -11,11 +11,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from riskloom.functions import linalg
 
+VECTOR = T.ArrayType(T.DoubleType())
+
 
 def cross_products(
     df: DataFrame,
@@ -55,13 +57,13 @@ def cross_products(
     return g.select(*out)
 
 
-@pandas_udf("array<double>")
+@pandas_udf(VECTOR)
 def solve_normal(xtx: pd.Series, xty: pd.Series) -> pd.Series:
     """Coefficients from normal equations, one small system per row."""
     return pd.Series([linalg.solve_sym(np.asarray(a, float), np.asarray(b, float)) for a, b in zip(xtx, xty)])
 
 
-@pandas_udf("array<double>")
+@pandas_udf(VECTOR)
 def inverse_sym(xtx: pd.Series) -> pd.Series:
     """Pseudo-inverse of each k x k matrix, row by row."""
     out = []
@@ -72,7 +74,7 @@ def inverse_sym(xtx: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@pandas_udf("array<double>")
+@pandas_udf(VECTOR)
 def nonneg_solve(xtx: pd.Series, xty: pd.Series) -> pd.Series:
     """Non-negative least squares on the normal equations."""
     return pd.Series([linalg.nnls_normal(np.asarray(a, float), np.asarray(b, float)) for a, b in zip(xtx, xty)])
