@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.operators.crossprod import gram
 from riskloom.operators.ranks import mad_bounds, median, percentiles, running_by_rank
-from riskloom.session import cut
+from riskloom.session import cut, stored
 
 
 # --- covariance of factor series (number of factors and dates bounded) --------------------
@@ -100,6 +100,7 @@ def robust_average(df: DataFrame, keys: Sequence[str], value: str, weight: str |
     """
     keys = list(keys)
     x = df.select(*keys, F.col(value).alias("_v"), (F.col(weight) if weight else F.lit(1.0)).alias("_w")).where("_v is not null")
+    x = stored(x)
     root = F.sqrt("_w")
     fit = x.groupBy(*keys).agg((F.sum(F.col("_w") * F.col("_v")) / F.sum("_w")).alias("average"), F.count("*").alias("_n"))
     fit = cut(fit)

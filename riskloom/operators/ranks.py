@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from riskloom.session import stored
+
 SCALE = 1e6
 RESOLUTION = 256
 
@@ -186,6 +188,8 @@ def limit_zeros(df: DataFrame, keys: Sequence[str], value: str, zero_tolerance:
     v = F.col(value)
     v = F.when(F.abs(v) < 1e-12, F.lit(0.0)).otherwise(v)
     x = df.select(*keys, v.alias("_x")).where(F.col("_x").isNotNull())
+    if zero_tolerance == 0:
+        return x.where(F.col("_x") != 0).withColumn("_m", F.lit(1).cast("long"))
     allowed = F.floor(F.lit(float(zero_tolerance)) * F.count("*"))
     zeros = x.groupBy(*keys).agg(
         F.least(F.sum(F.when(F.col("_x") == 0, 1).otherwise(0)), allowed).cast("long").alias("_m")
@@ -204,11 +208,12 @@ def mad_bounds(
 ) -> DataFrame:
     """Median, MAD scale and clip bounds per key, surplus zeros left out.
 
-    Keys with fewer than two values get no row. Output: keys, ``centre``, ``scale``,
+    Several passes read the values, so the (key, value) pairs are stored once. Keys with
+    fewer than two values get no row. Output: keys, ``centre``, ``scale``,
     ``lower``, ``upper``.
     """
     keys = list(keys)
-    x = limit_zeros(df, keys, value, zero_tolerance)
+    x = limit_zeros(stored(df.select(*keys, value)), keys, value, zero_tolerance)
     med = percentiles(x, keys, "_x", {"centre": 50.0}, "linear", history, "_m")
     med = med.where("n > 1").drop("n")
     dev = _join_null_safe(x, med, keys).select(*keys, F.abs(F.col("_x") - F.col("centre")).alias("_x"), "_m")
@@ -235,7 +240,7 @@ def spread_bounds(
 ) -> DataFrame:
     """Bounds at Hazen percentiles ``lo`` and ``hi`` moved out by ``n_dev`` times their distance."""
     keys = list(keys)
-    x = limit_zeros(df, keys, value, zero_tolerance)
+    x = limit_zeros(stored(df.select(*keys, value)), keys, value, zero_tolerance)
     q = percentiles(x, keys, "_x", {"q_lo": lo, "q_hi": hi}, "hazen", history, "_m").where("n > 1")
     spread = F.col("q_hi") - F.col("q_lo")
     return q.select(

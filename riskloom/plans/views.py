@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from riskloom.operators import fundamentals as fu, timeseries as ts
+from riskloom.session import cut
 
 SQL_VIEWS: dict[str, tuple[str, str]] = {
     # name: (views it needs, text)
@@ -85,18 +86,18 @@ FROM (SELECT o_custkey AS id, CAST(date_trunc('month', o_orderdate) AS DATE) AS
         "panel",
         """SELECT asset_id, dt, mi, mcap, country, region, ret, size_raw, mom_raw, vol_raw, turn_raw FROM (
  SELECT asset_id, dt, mi, mcap, country, region, ret,
-  ROUND(ln(mcap), 9) AS size_raw,
-  ROUND(price / LAG(price, 6) OVER w - 1, 9) AS mom_raw,
-  ROUND(sqrt(AVG(ret * ret) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)), 9) AS vol_raw,
-  ROUND(ln(volume / AVG(volume) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)), 9) AS turn_raw
+  ROUND(ln(mcap), 12) AS size_raw,
+  ROUND(price / LAG(price, 6) OVER w - 1, 12) AS mom_raw,
+  ROUND(sqrt(AVG(ret * ret) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)), 12) AS vol_raw,
+  ROUND(ln(volume / AVG(volume) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)), 12) AS turn_raw
  FROM panel WINDOW w AS (PARTITION BY asset_id ORDER BY dt)) d
 WHERE mom_raw IS NOT NULL AND ret IS NOT NULL""",
     ),
     "exposures": (
         "descr",
         """SELECT d.asset_id, d.dt, d.mi, d.mcap, sqrt(d.mcap) AS root_cap, d.country, d.region, d.ret,
- ROUND((size_raw - m1) / s1, 9) AS size, ROUND((mom_raw - m2) / s2, 9) AS momentum,
- ROUND((vol_raw - m3) / s3, 9) AS volatility, ROUND((turn_raw - m4) / s4, 9) AS turnover
+ ROUND((size_raw - m1) / s1, 12) AS size, ROUND((mom_raw - m2) / s2, 12) AS momentum,
+ ROUND((vol_raw - m3) / s3, 12) AS volatility, ROUND((turn_raw - m4) / s4, 12) AS turnover
 FROM descr d JOIN (
  SELECT d.dt, m1, m2, m3, m4, sqrt(SUM((size_raw - m1)^2) / (COUNT(*) - 1)) AS s1,
   sqrt(SUM((mom_raw - m2)^2) / (COUNT(*) - 1)) AS s2, sqrt(SUM((vol_raw - m3)^2) / (COUNT(*) - 1)) AS s3,
@@ -299,10 +300,10 @@ class Views:
         return (
             self.panel.select(
                 "asset_id", "dt", "mi", "mcap", "country", "region", "ret",
-                F.round(F.log("mcap"), 9).alias("size_raw"),
-                F.round(F.col("price") / F.lag("price", 6).over(w) - 1, 9).alias("mom_raw"),
-                F.round(F.sqrt(F.avg(F.col("ret") * F.col("ret")).over(year)), 9).alias("vol_raw"),
-                F.round(F.log(F.col("volume") / F.avg("volume").over(year)), 9).alias("turn_raw"),
+                F.round(F.log("mcap"), 12).alias("size_raw"),
+                F.round(F.col("price") / F.lag("price", 6).over(w) - 1, 12).alias("mom_raw"),
+                F.round(F.sqrt(F.avg(F.col("ret") * F.col("ret")).over(year)), 12).alias("vol_raw"),
+                F.round(F.log(F.col("volume") / F.avg("volume").over(year)), 12).alias("turn_raw"),
             )
             .where("mom_raw is not null and ret is not null")
         )
@@ -325,12 +326,15 @@ class Views:
         ).where("_n > 1")
         return d.join(std, "dt").select(
             "asset_id", "dt", "mi", "mcap", F.sqrt("mcap").alias("root_cap"), "country", "region", "ret",
-            *[F.round((F.col(c) - F.col(f"m_{n}")) / F.col(f"s_{n}"), 9).alias(n) for n, c in raw.items()],
+            *[F.round((F.col(c) - F.col(f"m_{n}")) / F.col(f"s_{n}"), 12).alias(n) for n, c in raw.items()],
         )
 
     @cached_property
     def factor_ret(self) -> DataFrame:
-        """Two-factor cross-sectional regression per month in closed form."""
+        """Two-factor cross-sectional regression per month in closed form.
+
+        One small row per month; stored once, as later steps read it many times.
+        """
         x, z, r, w = (F.col(c) for c in ("size", "momentum", "ret", "root_cap"))
         s = self.exposures.groupBy("dt", "mi").agg(
             F.count("*").alias("n"),
@@ -338,11 +342,12 @@ class Views:
             F.sum(w * x * r).alias("xr"), F.sum(w * z * r).alias("zr"),
         ).where("n > 2")
         det = F.col("xx") * F.col("zz") - F.col("xz") * F.col("xz")
-        return s.select(
+        out = s.select(
             "dt", "mi",
             ((F.col("xr") * F.col("zz") - F.col("zr") * F.col("xz")) / det).alias("f_size"),
             ((F.col("zr") * F.col("xx") - F.col("xr") * F.col("xz")) / det).alias("f_mom"),
         )
+        return cut(out)
 
     @cached_property
     def specific(self) -> DataFrame:
