@@ -230,3 +230,77 @@ def adf_level(t: float, n: int) -> float:
         if t <= b0 + b1 / n + b2 / n**2:
             return level
     return 1.0
+
+
+def shrink_eigenvalues(m: np.ndarray, n_obs: int) -> np.ndarray:
+    """Rotationally invariant shrinkage of a covariance's eigenvalues (published closed form).
+
+    Each eigenvalue is divided by |1 - q + q z s(z)|^2 with s the resolvent of the others,
+    and raised where the small-eigenvalue correction exceeds one.
+    """
+    lam, vec = np.linalg.eigh((m + m.T) / 2)
+    n = lam.size
+    q = n / float(n_obs)
+    low = max(float(lam.min()), 0.0)
+    edge = (1 - math.sqrt(q)) ** 2
+    z = lam - 1j / math.sqrt(n)
+    inv = 1.0 / (z[:, None] - lam[None, :])
+    np.fill_diagonal(inv, 0.0)
+    s = inv.sum(axis=1) / n
+    new = lam / np.abs(1 - q + q * z * s) ** 2
+    if low > 0 and edge > 0:
+        sigma2 = low / edge
+        high = low * (1 + math.sqrt(q)) ** 2 / edge
+        g = (z + sigma2 * (q - 1) - np.sqrt(z - low) * np.sqrt(z - high)) / (2 * q * z * sigma2)
+        gamma = sigma2 * np.abs(1 - q + q * z * g) ** 2 / lam
+        new = np.where(gamma > 1, gamma * new, new)
+    out = (vec * new) @ vec.T
+    return (out + out.T) / 2
+
+
+def top_vectors(g: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Largest k eigenvalues and vectors, each vector's sum made non-negative."""
+    d, v = np.linalg.eigh((g + g.T) / 2)
+    at = np.argsort(d)[::-1][:k]
+    v = v[:, at] * np.where(v[:, at].sum(axis=0) < 0, -1.0, 1.0)
+    return d[at], v
+
+
+def kalman_factors(x: np.ndarray, k: int, passes: int = 2) -> np.ndarray:
+    """Smoothed factors of a small standardised table (months x series, NaN where not released).
+
+    Start from principal components, fit a first-order autoregression, then filter and
+    smooth with diagonal observation noise; repeated with loadings from the smoothed factors.
+    """
+    t, n = x.shape
+    seen = np.isfinite(x)
+    mu = np.nanmean(x, axis=0)
+    sd = np.nanstd(x, axis=0)
+    z = (x - mu) / np.where(sd > 0, sd, 1.0)
+    z0 = np.where(seen, z, 0.0)
+    _, v = top_vectors(z0.T @ z0, k)
+    f = z0 @ v
+    for _ in range(passes):
+        lam = np.linalg.lstsq(f, z0, rcond=None)[0].T
+        r = np.maximum(np.nanmean(np.where(seen, z0 - f @ lam.T, np.nan) ** 2, axis=0), 1e-4)
+        a = np.linalg.lstsq(f[:-1], f[1:], rcond=None)[0].T
+        e = f[1:] - f[:-1] @ a.T
+        q = e.T @ e / max(len(e), 1) + 1e-8 * np.eye(k)
+        m, p = np.zeros(k), np.eye(k) * 10.0
+        ms, ps, mp, pp = [], [], [], []
+        for i in range(t):
+            m1, p1 = a @ m, a @ p @ a.T + q
+            ok = seen[i]
+            if ok.any():
+                h = lam[ok]
+                gain = p1 @ h.T @ np.linalg.inv(h @ p1 @ h.T + np.diag(r[ok]))
+                m, p = m1 + gain @ (z0[i, ok] - h @ m1), p1 - gain @ h @ p1
+            else:
+                m, p = m1, p1
+            ms.append(m), ps.append(p), mp.append(m1), pp.append(p1)
+        out = [ms[-1]]
+        for i in range(t - 2, -1, -1):
+            j = ps[i] @ a.T @ np.linalg.pinv(pp[i + 1], hermitian=True)
+            out.append(ms[i] + j @ (out[-1] - mp[i + 1]))
+        f = np.array(out[::-1])
+    return f
