@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from riskloom.functions import linalg
@@ -113,7 +113,7 @@ def huber_history(df: DataFrame, key: str, xs: Sequence[str], y: str, k: float =
 # --- statistics ---------------------------------------------------------------------------
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def _t_p(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([linalg.t_two_sided(a, b) for a, b in zip(t, dof)])
 
