@@ -17,6 +17,8 @@ from pyspark.sql.functions import pandas_udf
 from riskloom.functions import linalg
 
 VECTOR = T.ArrayType(T.DoubleType())
+COLUMN_LIMIT = 14
+FLUSH_BYTES = 64 << 20  # partial matrices held by a task before it emits them
 
 
 def cross_products(
@@ -30,7 +32,8 @@ def cross_products(
     """Weighted sums of products per key over the complete rows.
 
     Output: keys, ``n``, ``sw``, ``xtx`` (k*k, row by row), and with ``y`` also ``xty``,
-    ``yty``, ``sy``. An intercept is the first column.
+    ``yty``, ``sy``. An intercept is the first column. Up to :data:`COLUMN_LIMIT` columns
+    the sums are generated code; beyond it tasks multiply Arrow batches with numpy.
     """
     by = list(by)
     need = [F.col(c).isNotNull() for c in [*xs, *([y] if y else []), *([w] if w else [])]]
@@ -41,6 +44,8 @@ def cross_products(
     cols: list[Column] = ([one] if intercept else []) + [F.col(c) for c in xs]
     wt = F.col(w) if w else one
     k = len(cols)
+    if k > COLUMN_LIMIT:
+        return _blocked_products(df.where(ok), by, cols, y, wt)
     aggs = [F.count("*").alias("n"), F.sum(wt).alias("sw")]
     for i in range(k):
         for j in range(i, k):
@@ -57,6 +62,53 @@ def cross_products(
     return g.select(*out)
 
 
+def _blocked_products(df: DataFrame, by: list[str], cols: list[Column], y: str | None, wt: Column) -> DataFrame:
+    """Cross products of many columns: partial matrices per task and key, then their sum.
+
+    What is shuffled is one k x k matrix per key and task, never the rows.
+    """
+    k = len(cols)
+    src = df.select(
+        *by, *[c.cast("double").alias(f"_x{i}") for i, c in enumerate(cols)],
+        (F.col(y).cast("double") if y else F.lit(0.0)).alias("_y"), wt.cast("double").alias("_w"),
+    )
+    xs = [f"_x{i}" for i in range(k)]
+    schema = ", ".join([f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by] + ["n bigint", "sw double", "sy double", "yty double", "xtx array<double>", "xty array<double>"])
+
+    def emit(part: dict) -> pd.DataFrame:
+        rows = [(*key, int(a[0]), a[1], a[2], a[3], m.ravel(), q) for key, (a, m, q) in part.items()]
+        return pd.DataFrame(rows, columns=[*by, "n", "sw", "sy", "yty", "xtx", "xty"])
+
+    def partial(batches):
+        part: dict = {}
+        for pdf in batches:
+            groups = pdf.groupby(by, sort=False, dropna=False) if by else [((), pdf)]
+            for key, g in groups:
+                key = key if isinstance(key, tuple) else (key,)
+                x, v, w = g[xs].to_numpy(), g["_y"].to_numpy(), g["_w"].to_numpy()
+                xw = x * w[:, None]
+                a = np.array([len(g), w.sum(), w @ v, (w * v) @ v])
+                have = part.get(key)
+                new = (a, xw.T @ x, xw.T @ v)
+                part[key] = new if have is None else tuple(p + q for p, q in zip(have, new))
+            if len(part) * k * k * 8 > FLUSH_BYTES:
+                yield emit(part)
+                part = {}
+        if part:
+            yield emit(part)
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf.iloc[[0]][by].copy()
+        for c in ("n", "sw", "sy", "yty"):
+            out[c] = pdf[c].sum()
+        for c in ("xtx", "xty"):
+            out[c] = [np.sum(np.stack(pdf[c].to_list()), axis=0)]
+        return out
+
+    g = src.mapInPandas(partial, schema).groupBy(*by).applyInPandas(total, schema)
+    return g if y else g.drop("xty", "yty", "sy")
+
+
 @pandas_udf(VECTOR)
 def solve_normal(xtx: pd.Series, xty: pd.Series) -> pd.Series:
     """Coefficients from normal equations, one small system per row."""
