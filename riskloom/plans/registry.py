@@ -11,7 +11,7 @@ from riskloom.plans.views import Views, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-MODULES = ["q_base", "q_joins", "q_agg", "q_win", "q_std", "q_fun", "q_reg", "q_risk"]
+MODULES = ["q_base", "q_joins", "q_agg", "q_win", "q_std", "q_fun", "q_reg", "q_risk", "q_qal", "q_stream"]
 
 
 def query(name: str, views: str = "", sql: str | None = None):
