@@ -276,19 +276,20 @@ def id_gaps(ids: DataFrame, life: DataFrame, key: str) -> DataFrame:
 
 
 def id_duplicates(ids: DataFrame, identifier: str, key: str) -> DataFrame:
-    """Intervals in which an identifier is held while another asset still holds it.
+    """Periods in which an identifier is held by two or more assets at once.
 
-    Each interval is set against the furthest-reaching earlier one of another asset, so the
-    result grows with the intervals, not with their pairs.
+    Starts and ends become +1/-1 events per identifier and day; the running number of
+    holders gives the periods, so the work grows with the intervals, not with their pairs.
     """
-    per = ids.groupBy(identifier, "from_dt", key).agg(F.max("thru_dt").alias("thru_dt"))
-    w = W.partitionBy(identifier).orderBy("from_dt", key).rowsBetween(W.unboundedPreceding, -1)
-    reach = F.struct(F.col("thru_dt").alias("t"), F.col(key).alias("k"))
-    x = per.withColumn("_m", F.max(reach).over(w))
-    # the furthest interval may belong to the same asset: then the best of the others counts
-    own = W.partitionBy(identifier, key).orderBy("from_dt").rowsBetween(W.unboundedPreceding, -1)
-    x = x.withColumn("_same", F.max("thru_dt").over(own))
-    return x.where((F.col("_m.t") > F.col("from_dt")) & (F.col("_m.k") != F.col(key))).select(identifier, key, F.col("_m.k").alias("other"), "from_dt", F.least("thru_dt", "_m.t").alias("thru_dt"))
+    from riskloom.operators.bitemporal import merge_intervals
+
+    own = merge_intervals(ids.select(identifier, key, "from_dt", "thru_dt"), [identifier, key])
+    ev = own.select(identifier, F.col("from_dt").alias("at"), F.lit(1).alias("_s")).unionByName(own.select(identifier, F.col("thru_dt").alias("at"), F.lit(-1).alias("_s")))
+    ev = ev.groupBy(identifier, "at").agg(F.sum("_s").alias("_s"))
+    w = W.partitionBy(identifier).orderBy("at")
+    run = F.sum("_s").over(w.rowsBetween(W.unboundedPreceding, 0))
+    x = ev.select(identifier, F.col("at").alias("from_dt"), F.lead("at").over(w).alias("thru_dt"), run.alias("n_assets"))
+    return x.where("n_assets > 1")
 
 
 def benchmark_coverage(bench: DataFrame, universe: DataFrame, name: str, key: str, weight: str, estu: str) -> DataFrame:

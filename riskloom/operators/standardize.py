@@ -169,13 +169,13 @@ def proxy_exposure(
         F.sum(F.when(F.col(value).isNull(), 1).otherwise(0)).alias("_miss"), F.sum(F.when(good, 1).otherwise(0)).alias("_good"), F.count("*").alias("_all"),
         F.sum(F.when(good, w)).alias("sw"), F.sum(F.when(good, w * x)).alias("sx"), F.sum(F.when(good, w * y)).alias("sy"),
         F.sum(F.when(good, w * x * x)).alias("sxx"), F.sum(F.when(good, w * x * y)).alias("sxy"),
-        F.approx_count_distinct(F.when(good & (y != 0), y)).alias("_u"),
     )
+    unique = df.where(good & (y != 0)).select(dt, region, value).distinct().groupBy(dt, region).agg(F.count("*").alias("_uu"))
     within = lambda a, b, c: F.sum(F.coalesce(F.col(a) - F.col(b) * F.col(c) / F.col("sw"), F.lit(0.0)))
     r = g.groupBy(dt, region).agg(
         within("sxy", "sx", "sy").alias("_n"), within("sxx", "sx", "sx").alias("_d"),
-        F.sum("_good").alias("_g"), F.sum("_miss").alias("_m"), F.sum("_all").alias("_a"), F.sum("_u").alias("_uu"),
-    )
+        F.sum("_good").alias("_g"), F.sum("_miss").alias("_m"), F.sum("_all").alias("_a"),
+    ).join(unique, [dt, region], "left")
     ok = (F.col("_g") >= F.col("_m") * least_good) & (F.col("_uu") >= F.col("_a") * least_unique)
     r = r.select(dt, region, F.when(ok & (F.col("_d") > 0), F.col("_n") / F.col("_d")).alias("slope"))
     c = g.join(r, [dt, region]).select(dt, region, sector, "slope", ((F.col("sy") - F.col("slope") * F.col("sx")) / F.col("sw")).alias("level"))

@@ -62,37 +62,23 @@ def stream_cumulative(stream: DataFrame, key: str, step: str, ret: str) -> DataF
 
 
 def stream_active(stream: DataFrame, keys: list[str], rev_col: str, del_col: str, name: str = "active") -> DataFrame:
-    """Latest revision per key kept as batches arrive; late revisions lose by ``rev_col``.
+    """Latest revision per key as batches arrive; late revisions lose by ``rev_col``.
 
-    Each batch is reduced to its newest rows and merged with the stored table into a new
-    version, so a restart resumes from the last whole version.
+    Each batch is reduced to its newest row per key and appended to a revision log, so a
+    batch costs its own size. A batch that is run again replaces its own folder. The active
+    rows are the newest of the log.
     """
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = stream.schema
 
-    def version(i: int) -> str:
-        return f"{base}/v{i}"
+    def keep(batch: DataFrame, i: int) -> None:
+        newest(batch, keys, [rev_col]).select(*schema.names).write.mode("overwrite").parquet(f"{base}/log/batch={i}")
 
-    def merge(batch: DataFrame, i: int) -> None:
-        new = newest(batch, keys, [rev_col])
-        s = batch.sparkSession
-        if i > 0:
-            new = newest(s.read.schema(schema).parquet(version(i - 1)).unionByName(new), keys, [rev_col])
-        new.select(*schema.names).write.mode("overwrite").parquet(version(i))
-
-    q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    done = q.lastProgress
-    last = int(done["batchId"]) if done else 0
-    # an empty closing batch does not write a version
-    while last > 0:
-        try:
-            spark.read.schema(schema).parquet(version(last)).limit(1).collect()
-            break
-        except Exception:  # noqa: BLE001
-            last -= 1
-    return spark.read.schema(schema).parquet(version(last)).where(F.col(del_col) == "N")
+    log = spark.read.schema(schema).parquet(f"{base}/log").select(*schema.names)
+    return newest(log, keys, [rev_col]).where(F.col(del_col) == "N")
 
 
 def stream_windows(stream: DataFrame, key: str, ts: str, value: str, length: str, slide: str, late: str = "1 day") -> DataFrame:
