@@ -5,6 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def div(a, b):
+    """a / b with null for a zero divisor, also where the session raises errors for it."""
+    if isinstance(b, Column):
+        return F.try_divide(a if isinstance(a, Column) else F.lit(a), b)
+    return a / b
+
+
+def corr(x, y) -> Column:
+    """Correlation over the complete pairs; null where a side does not vary."""
+    x = x if isinstance(x, Column) else F.col(x)
+    y = y if isinstance(y, Column) else F.col(y)
+    return div(F.covar_pop(x, y), F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y)))
+
+
 def screen(c: Column, fill: float | None = None) -> Column:
     """NaN and infinities to null, or to ``fill``."""
     c = c.cast("double")

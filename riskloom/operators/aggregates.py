@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskloom.operators.crossprod import gram
 from riskloom.operators.ranks import mad_bounds, median, percentiles, running_by_rank
 from riskloom.session import cut, stored
+from riskloom.functions.columns import corr, div
 
 
 # --- covariance of factor series (number of factors and dates bounded) --------------------
@@ -25,10 +26,10 @@ def scaled_series(df: DataFrame, factor: str, value: str, step: str, half_life:
     cal = cal.withColumn("t", F.row_number().over(w)).withColumn("n_obs", F.count("*").over(W.partitionBy()))
     raw = F.pow(F.lit(2.0), -(F.col("n_obs") - F.col("t")) / F.lit(float(half_life))) if half_life else F.lit(1.0)
     cal = cal.withColumn("_r", raw)
-    cal = cal.withColumn("w", F.col("_r") * F.col("n_obs") / F.sum("_r").over(W.partitionBy())).drop("_r")
+    cal = cal.withColumn("w", div(F.col("_r") * F.col("n_obs"), F.sum("_r").over(W.partitionBy()))).drop("_r")
     x = df.select(factor, step, F.coalesce(F.col(value), F.lit(0.0)).alias("x")).join(cal, step)
     if demean:
-        m = x.groupBy(factor).agg((F.sum(F.col("w") * F.col("x")) / F.max("n_obs")).alias("_m"))
+        m = x.groupBy(factor).agg((div(F.sum(F.col("w") * F.col("x")), F.max("n_obs"))).alias("_m"))
         x = x.join(m, factor).withColumn("x", F.col("x") - F.col("_m")).drop("_m")
     return x
 
@@ -40,7 +41,7 @@ def covariance(df: DataFrame, factor: str, value: str, step: str, half_life: flo
     """
     x = scaled_series(df, factor, value, step, half_life, demean)
     n = F.col("n_obs") - 1 if demean else F.col("n_obs")
-    x = x.withColumn("v", F.sqrt("w") * F.col("x") / F.sqrt(n))
+    x = x.withColumn("v", div(F.sqrt("w") * F.col("x"), F.sqrt(n)))
     return lagged_products(x, factor, lag)
 
 
@@ -59,7 +60,7 @@ def newey_west(df: DataFrame, factor: str, value: str, step: str, lags: int, hal
     """C0 plus (1 - l/(L+1)) (C_l + C_l') over the lags."""
     x = scaled_series(df, factor, value, step, half_life, demean)
     n = F.col("n_obs") - 1 if demean else F.col("n_obs")
-    x = x.withColumn("v", F.sqrt("w") * F.col("x") / F.sqrt(n))
+    x = x.withColumn("v", div(F.sqrt("w") * F.col("x"), F.sqrt(n)))
     out = lagged_products(x, factor, 0)
     for l in range(1, lags + 1):
         c = lagged_products(x, factor, l).withColumn("value", F.col("value") * F.lit(1.0 - l / (lags + 1.0)))
@@ -74,7 +75,7 @@ def to_correlation(cov: DataFrame, fill: float | None = None, by: Sequence[str]
     a = d.withColumnsRenamed({"_f": "f1", "_v": "_v1"})
     b = d.withColumnsRenamed({"_f": "f2", "_v": "_v2"})
     j = cov.join(a, [*by, "f1"]).join(b, [*by, "f2"])
-    c = F.when(F.col("f1") == F.col("f2"), F.lit(1.0)).otherwise(F.col("value") / F.sqrt(F.col("_v1") * F.col("_v2")))
+    c = F.when(F.col("f1") == F.col("f2"), F.lit(1.0)).otherwise(div(F.col("value"), F.sqrt(F.col("_v1") * F.col("_v2"))))
     return j.select(*by, "f1", "f2", F.coalesce(c, F.lit(fill).cast("double")).alias("corr"))
 
 
@@ -84,7 +85,7 @@ def to_correlation(cov: DataFrame, fill: float | None = None, by: Sequence[str]
 def effective_n(df: DataFrame, keys: Sequence[str], weight: str, name: str = "eff_n") -> DataFrame:
     """(sum w)^2 / sum w^2, 0 when the sum is not positive."""
     s = F.sum(weight)
-    return df.groupBy(*keys).agg(F.when(s > 0, s * s / F.sum(F.col(weight) * F.col(weight))).otherwise(0.0).alias(name))
+    return df.groupBy(*keys).agg(F.when(s > 0, div(s * s, F.sum(F.col(weight) * F.col(weight)))).otherwise(0.0).alias(name))
 
 
 def sample_std(df: DataFrame, keys: Sequence[str], value: str, name: str = "std") -> DataFrame:
@@ -102,7 +103,7 @@ def robust_average(df: DataFrame, keys: Sequence[str], value: str, weight: str |
     x = df.select(*keys, F.col(value).alias("_v"), (F.col(weight) if weight else F.lit(1.0)).alias("_w")).where("_v is not null")
     x = stored(x)
     root = F.sqrt("_w")
-    fit = x.groupBy(*keys).agg((F.sum(F.col("_w") * F.col("_v")) / F.sum("_w")).alias("average"), F.count("*").alias("_n"))
+    fit = x.groupBy(*keys).agg((div(F.sum(F.col("_w") * F.col("_v")), F.sum("_w"))).alias("average"), F.count("*").alias("_n"))
     fit = cut(fit)
     for _ in range(passes):
         e = _keyed(x, fit, keys).withColumn("_e", root * (F.col("_v") - F.col("average")))
@@ -111,8 +112,8 @@ def robust_average(df: DataFrame, keys: Sequence[str], value: str, weight: str |
         s = median(dev, keys, "_d", "_s").drop("n")
         z = _keyed(e, s, keys)
         scale = F.col("_s") / F.lit(0.67449)
-        u = F.when(scale > 0, F.least(F.lit(1.0), k * scale / F.greatest(F.abs(F.col("_e")), F.lit(1e-300)))).otherwise(1.0) * F.col("_w")
-        new = z.groupBy(*keys, "_n").agg((F.sum(u * F.col("_v")) / F.sum(u)).alias("average"))
+        u = F.when(scale > 0, F.least(F.lit(1.0), div(k * scale, F.greatest(F.abs(F.col("_e")), F.lit(1e-300))))).otherwise(1.0) * F.col("_w")
+        new = z.groupBy(*keys, "_n").agg((div(F.sum(u * F.col("_v")), F.sum(u))).alias("average"))
         fit = cut(new)
     return fit.select(*keys, F.when(F.col("_n") < 2, 0.0).otherwise(F.col("average")).alias("average"))
 
@@ -159,7 +160,7 @@ def market_portfolio(
         r = r.where((F.col("_run") - F.col("_c")) < F.lit(coverage) * F.col("_run_total"))
     r = r.withColumn("_w", F.sqrt("_c") if root else F.col("_c"))
     t = r.groupBy(*by).agg(F.sum("_w").alias("_t"))
-    out = _keyed(r, t, by).withColumn("weight", F.col("_w") / F.col("_t"))
+    out = _keyed(r, t, by).withColumn("weight", div(F.col("_w"), F.col("_t")))
     return out.select(*by, key, "rank", "weight", (F.col("weight") > warn_above).alias("heavy"))
 
 
@@ -175,7 +176,7 @@ def market_return(weights: DataFrame, returns: DataFrame, by: Sequence[str], key
     """Weights of the previous date times returns; missing returns count 0, live weights scaled to 1."""
     j = weights.join(returns, [*by, key], "left")
     live = F.when(F.col("ret").isNotNull(), F.col("weight"))
-    return j.groupBy(*by).agg((F.sum(F.col("weight") * F.coalesce("ret", F.lit(0.0))) / F.sum(live)).alias("mret"), F.count("ret").alias("n"))
+    return j.groupBy(*by).agg((div(F.sum(F.col("weight") * F.coalesce("ret", F.lit(0.0))), F.sum(live))).alias("mret"), F.count("ret").alias("n"))
 
 
 def market_vol(df: DataFrame, by: Sequence[str], ret: str, n_dev: float = 8.0, min_share: float = 0.1) -> DataFrame:
@@ -184,7 +185,7 @@ def market_vol(df: DataFrame, by: Sequence[str], ret: str, n_dev: float = 8.0, m
     b = mad_bounds(df, by, ret, n_dev, 0.0)
     j = df.join(b, by, "left")
     v = F.when(F.col("lower").isNull(), F.col(ret)).otherwise(F.when(F.col(ret).isNotNull(), F.greatest("lower", F.least("upper", ret))))
-    live = F.sum(F.when(F.col(ret).isNotNull() & (F.col(ret) != 0), 1).otherwise(0)) / F.count("*")
+    live = div(F.sum(F.when(F.col(ret).isNotNull() & (F.col(ret) != 0), 1).otherwise(0)), F.count("*"))
     return j.groupBy(*by).agg(F.when(live >= F.lit(min_share), F.stddev_samp(v)).alias("mvol"))
 
 
@@ -229,8 +230,8 @@ def descriptor_stats(df: DataFrame, by: Sequence[str], value: str, cap: str, poi
     by = list(by)
     have = F.col(value).isNotNull()
     a = df.groupBy(*by).agg(
-        F.count("*").alias("n_assets"), F.count(value).alias("n_values"), (F.count(value) / F.count("*")).alias("share"),
-        (F.sum(F.when(have, F.col(cap)).otherwise(0.0)) / F.sum(cap)).alias("cap_share"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.count("*").alias("n_assets"), F.count(value).alias("n_values"), (div(F.count(value), F.count("*"))).alias("share"),
+        (div(F.sum(F.when(have, F.col(cap)).otherwise(0.0)), F.sum(cap))).alias("cap_share"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
     )
     return a.join(percentiles(df, by, value, points).drop("n"), by, "left")
 
@@ -239,7 +240,7 @@ def churn_correlation(df: DataFrame, key: str, value: str, step: str) -> DataFra
     """Correlation of a descriptor between consecutive steps over the assets in both."""
     a = df.select(key, step, F.col(value).alias("_a"))
     b = df.select(key, (F.col(step) + 1).alias(step), F.col(value).alias("_b"))
-    return a.join(b, [key, step]).groupBy(step).agg(F.corr("_a", "_b").alias("corr"), F.count("*").alias("n"))
+    return a.join(b, [key, step]).groupBy(step).agg(corr("_a", "_b").alias("corr"), F.count("*").alias("n"))
 
 
 def dual_histogram(a: DataFrame, b: DataFrame, value: str, bins: int) -> DataFrame:
@@ -247,7 +248,7 @@ def dual_histogram(a: DataFrame, b: DataFrame, value: str, bins: int) -> DataFra
     u = a.select(F.col(value).alias("_v"), F.lit("a").alias("_s")).unionByName(b.select(F.col(value).alias("_v"), F.lit("b").alias("_s"))).where("_v is not null")
     lim = u.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     j = _keyed(u, lim, [])
-    i = F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)).cast("long")
+    i = F.least(F.lit(bins - 1), F.floor(div(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * bins)).cast("long")
     j = j.withColumn("bin", F.coalesce(i, F.lit(0).cast("long")))
     cnt = lambda s: F.sum(F.when(F.col("_s") == s, 1).otherwise(0))
     return j.groupBy("bin").agg(cnt("a").alias("n_a"), cnt("b").alias("n_b"))
@@ -265,7 +266,7 @@ def demographics(univ: DataFrame, by: Sequence[str], groups: Sequence[str], cap:
         t = t.withColumn(c, F.lit(None).cast(univ.schema[c].dataType))
     u = g.unionByName(t)
     total = t.select(*by, F.col("cap").alias("_t"))
-    return u.join(total, by).select(*by, *groups, "n", "cap", (F.col("cap") / F.col("_t")).alias("share"), (F.col("cap") * F.col("cap") / F.col("_c2")).alias("eff_n"))
+    return u.join(total, by).select(*by, *groups, "n", "cap", (div(F.col("cap"), F.col("_t"))).alias("share"), (div(F.col("cap") * F.col("cap"), F.col("_c2"))).alias("eff_n"))
 
 
 def dummies(df: DataFrame, col: str, levels: Sequence, prefix: str = "") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from riskloom.functions.columns import div
 
 OPEN_END = "9999-12-31"
 
@@ -154,7 +155,7 @@ def sync_cumulative(src: DataFrame, tgt: DataFrame, key: str, dt: str, value: st
     d = F.lit(on_date).cast("date")
     s = src.where(F.col(dt) == d).select(key, F.col(value).alias("_s"))
     t = tgt.where(F.col(dt) == d).select(key, F.col(value).alias("_t"))
-    scale = s.join(t, key).where(F.col("_t") != 0).select(key, (F.col("_s") / F.col("_t")).alias("scale"))
+    scale = s.join(t, key).where(F.col("_t") != 0).select(key, (div(F.col("_s"), F.col("_t"))).alias("scale"))
     scale = scale.where(F.abs(F.col("scale") - 1) >= F.lit(tolerance))
     out = tgt.where(F.col(dt) <= d).join(scale, key)
     return out.withColumn(value, F.col(value) * F.col("scale")).drop("scale")

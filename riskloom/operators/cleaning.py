@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import columns as fc
 from riskloom.operators.ranks import percentiles
+from riskloom.functions.columns import div
 
 
 def screen(df: DataFrame, cols: Sequence[str], fill: float | None = None) -> DataFrame:
@@ -73,7 +74,7 @@ def blend(old: DataFrame, new: DataFrame, keys: Sequence[str], value: str, dt: s
     o = old.select(*keys, F.col(value).alias("_o"))
     n = new.select(*keys, F.col(value).alias("_n"))
     s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
-    ratio = F.lit(1.0) - F.datediff(F.col(dt), s) / F.datediff(e, s)
+    ratio = F.lit(1.0) - div(F.datediff(F.col(dt), s), F.datediff(e, s))
     mix = F.coalesce("_o", "_n") * ratio + (F.lit(1.0) - ratio) * F.coalesce("_n", "_o")
     out = F.when(F.col(dt) < s, F.col("_o")).when(F.col(dt) > e, F.col("_n")).otherwise(mix)
     return o.join(n, list(keys), "full_outer").select(*keys, out.alias(value))
@@ -183,7 +184,7 @@ def cap_market_share(caps: DataFrame, market: str, cap: str, limit: float, blend
     else:
         s = sums.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one").drop("_one")
     # share after scaling: a m / (a m + t - m) = limit
-    scale = F.lit(limit) * (F.col("_t") - F.col("_m")) / (F.col("_m") * F.lit(1.0 - limit))
+    scale = div(F.lit(limit) * (F.col("_t") - F.col("_m")), F.col("_m") * F.lit(1.0 - limit))
     s = s.withColumn("scale", 1 - F.lit(blend_factor) * (1 - F.least(F.lit(1.0), scale))).drop("_m", "_t")
     return caps.join(s, [*by, market]).withColumn(cap, F.col(cap) * F.col("scale")).drop("scale")
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from riskloom.functions import linalg
+from riskloom.functions.columns import div
 
 VECTOR = T.ArrayType(T.DoubleType())
 COLUMN_LIMIT = 14
@@ -215,7 +216,7 @@ def unpack_matrix(df: DataFrame, names: str, values: str, by: Sequence[str] = ()
     e = df.select(*by, names, F.posexplode(values).alias("_p", out))
     return e.select(
         *by,
-        F.element_at(F.col(names), (F.floor(F.col("_p") / F.size(names)) + 1).cast("int")).alias("f1"),
+        F.element_at(F.col(names), (F.floor(div(F.col("_p"), F.size(names))) + 1).cast("int")).alias("f1"),
         F.element_at(F.col(names), (F.col("_p") % F.size(names) + 1).cast("int")).alias("f2"),
         out,
     )

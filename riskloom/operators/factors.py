@@ -21,13 +21,14 @@ from riskloom.operators.crossprod import cross_products, gram, inverse_sym, pack
 from riskloom.operators.regressions import huber_cross_section, residuals, wls
 from riskloom.operators.standardize import clip_outliers
 from riskloom.session import stored
+from riskloom.functions.columns import div
 
 
 def regression_weight(kind: str, cap: str, spec_var: str | None = None) -> Column:
     """Root-cap, cap, equal or inverse specific variance weights."""
     return {
         "root_cap": lambda: F.sqrt(F.col(cap)), "cap": lambda: F.col(cap), "equal": lambda: F.lit(1.0),
-        "inverse_variance": lambda: 1.0 / F.when(F.col(spec_var) > 0, F.col(spec_var)),
+        "inverse_variance": lambda: div(1.0, F.when(F.col(spec_var) > 0, F.col(spec_var))),
     }[kind]()
 
 
@@ -85,11 +86,11 @@ def factor_widths(exp: DataFrame, dt: str, xs: Sequence[str], weight: str, style
         aggs += [F.sum(fw).alias(f"t|{c}"), F.sum(fw * fw).alias(f"q|{c}")]
         on = F.coalesce(F.col(c), F.lit(0.0)) != 0
         for s in styles:
-            aggs.append((F.sum(F.when(on, F.col(weight) * F.col(s))) / F.sum(F.when(on, F.col(weight)))).alias(f"{s}|{c}"))
+            aggs.append((div(F.sum(F.when(on, F.col(weight) * F.col(s))), F.sum(F.when(on, F.col(weight))))).alias(f"{s}|{c}"))
     g = exp.groupBy(dt).agg(*aggs)
     per = [F.struct(F.lit(c).alias("factor"), F.col(f"t|{c}").alias("total"), F.col(f"q|{c}").alias("sq"), *[F.col(f"{s}|{c}").alias(s) for s in styles]) for c in xs]
     e = g.select(dt, F.explode(F.array(*per)).alias("_r")).select(dt, "_r.*")
-    return e.withColumn("eff_n", F.when(F.col("total") > 0, F.col("total") * F.col("total") / F.col("sq")).otherwise(0.0)).drop("sq")
+    return e.withColumn("eff_n", F.when(F.col("total") > 0, div(F.col("total") * F.col("total"), F.col("sq"))).otherwise(0.0)).drop("sq")
 
 
 def thin_dummies(exp: DataFrame, dt: str, xs: Sequence[str], thin: Sequence[str], ret: str, weight: str, threshold: float = 6.0, form: str = "linear", styles: Sequence[str] = (), sector_ret: DataFrame | None = None) -> DataFrame:
@@ -100,7 +101,7 @@ def thin_dummies(exp: DataFrame, dt: str, xs: Sequence[str], thin: Sequence[str]
     of the factor's members. Empty factors get none.
     """
     w = factor_widths(exp, dt, thin, weight, styles).where((F.col("total") > 0) & (F.col("eff_n") < threshold))
-    m = exp.where(F.col(ret).isNotNull()).groupBy(dt).agg((F.sum(F.col(weight) * F.col(ret)) / F.sum(weight)).alias("_mkt"))
+    m = exp.where(F.col(ret).isNotNull()).groupBy(dt).agg((div(F.sum(F.col(weight) * F.col(ret)), F.sum(weight))).alias("_mkt"))
     w = w.join(m, dt)
     r = F.col("_mkt")
     if sector_ret is not None:
@@ -109,9 +110,9 @@ def thin_dummies(exp: DataFrame, dt: str, xs: Sequence[str], thin: Sequence[str]
     n = F.col("eff_n")
     if form == "fourth_power":
         top = threshold**4
-        wt = (threshold - 1.0) * (F.pow(n, F.lit(4.0)) - top) / (1.0 - top) * F.col("total") / n
+        wt = div(div((threshold - 1.0) * (F.pow(n, F.lit(4.0)) - top), 1.0 - top) * F.col("total"), n)
     else:
-        wt = (threshold - n) * F.col("total") / n
+        wt = div((threshold - n) * F.col("total"), n)
     cols = [(F.col(c) if c in styles else F.when(F.col("factor") == c, 1.0).otherwise(0.0)).alias(c) for c in xs]
     return w.select(dt, "factor", "eff_n", *cols, r.alias(ret), wt.alias("_w"))
 
@@ -187,10 +188,10 @@ def apca(returns: DataFrame, key: str, dt: str, ret: str, k: int, estu: str | No
     by = list(by)
     x = returns.where(F.col(estu)) if estu else returns
     if scale is not None:
-        x = x.join(scale.select(key, "root"), key).withColumn(ret, F.col(ret) / F.col("root"))
+        x = x.join(scale.select(key, "root"), key).withColumn(ret, div(F.col(ret), F.col("root")))
     packed = pack_matrix(gram(x, key, dt, ret, by), "i", "j", "value", by)
     e = eigen(packed, k, jones=jones)
-    stats = e.select(*by, (F.aggregate("eigenvalues", F.lit(0.0), lambda a, b: a + b) / F.col("trace")).alias("explained"))
+    stats = e.select(*by, (div(F.aggregate("eigenvalues", F.lit(0.0), lambda a, b: a + b), F.col("trace"))).alias("explained"))
     m = F.size("eigenvalues")
     rows = e.select(*by, F.posexplode("names").alias("_i", "_d"), "vectors", m.alias("_m"))
     names = [f"f{i + 1}" for i in range(k)]
@@ -328,7 +329,7 @@ def project(cov: DataFrame, source: Sequence[str], target: Sequence[str]) -> dic
     e = packed.select(run("names", "values").alias("_o")).withColumn("tn", F.array(*[F.lit(x) for x in tgt])).withColumn("sn", F.array(*[F.lit(x) for x in src]))
     ns = len(src)
     b = e.select(F.posexplode("_o.b").alias("_i", "beta"), "tn", "sn").select(
-        F.element_at("tn", (F.floor(F.col("_i") / ns) + 1).cast("int")).alias("factor"), F.element_at("sn", (F.col("_i") % ns + 1).cast("int")).alias("macro"), "beta"
+        F.element_at("tn", (F.floor(div(F.col("_i"), ns)) + 1).cast("int")).alias("factor"), F.element_at("sn", (F.col("_i") % ns + 1).cast("int")).alias("macro"), "beta"
     )
     r = unpack_matrix(e.select(F.col("tn").alias("names"), F.col("_o.r").alias("values")), "names", "values")
     return {"betas": b, "residual_cov": r}

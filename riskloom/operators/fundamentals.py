@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.operators.bitemporal import newest
+from riskloom.functions.columns import div
 
 
 def quarter_index(dt: str) -> Column:
@@ -37,7 +38,7 @@ def annualised(value: str, key: str = "asset_id", step: str = "qi") -> Column:
     """Sum of four quarters; the last three must be there, three alone are scaled by 4/3."""
     w = _w(key, step)
     n, recent = F.count(F.col(value)).over(w.rangeBetween(-3, 0)), F.count(F.col(value)).over(w.rangeBetween(-2, 0))
-    return F.when(recent == 3, F.sum(value).over(w.rangeBetween(-3, 0)) * 4.0 / n)
+    return F.when(recent == 3, div(F.sum(value).over(w.rangeBetween(-3, 0)) * 4.0, n))
 
 
 def averaged(value: str, key: str = "asset_id", step: str = "qi", back: int = 8) -> Column:
@@ -114,7 +115,7 @@ def ratio(df: DataFrame, name: str, r: Ratio, key: str = "asset_id", step: str =
     if r.den is None:
         return df.withColumn(name, num)
     den = treat(PROCESSES[r.den_process](r.den, key, step), r.den_negative, r.den_zero) * F.lit(r.den_multiplier)
-    return df.withColumn(name, num / den)
+    return df.withColumn(name, div(num, den))
 
 
 def ratios(df: DataFrame, table: Mapping[str, Ratio], key: str = "asset_id", step: str = "qi") -> DataFrame:
@@ -129,14 +130,14 @@ def mixed_frequency(df: DataFrame, num_q: str, num_a: str, den_q: str, den_a: st
     both_q = F.col(num_q).isNotNull() & F.col(den_q).isNotNull()
     den = F.when(both_q, F.col(den_q)).otherwise(F.col(den_a))
     num = F.when(both_q, F.col(num_q)).otherwise(F.col(num_a))
-    return df.withColumn(name, num / F.when(den != 0, den))
+    return df.withColumn(name, div(num, F.when(den != 0, den)))
 
 
 def payout_with_proxy(df: DataFrame, dividends: str, income: str, name: str = "payout", key: str = "asset_id", step: str = "qi") -> DataFrame:
     """Dividends over income; where income is not positive, over the mean positive income of two years."""
     inc = F.when(F.col(income) > 0, F.col(income))
     proxy = F.avg(inc).over(_w(key, step).rangeBetween(-7, 0))
-    return df.withColumn(name, F.col(dividends) / F.coalesce(inc, proxy))
+    return df.withColumn(name, div(F.col(dividends), F.coalesce(inc, proxy)))
 
 
 # --- growth -------------------------------------------------------------------------------
@@ -165,7 +166,7 @@ def growth(annual: DataFrame, as_of, key: str = "asset_id", dt: str = "dt", valu
         x = x.unionByName(f)
     t = F.datediff(F.col(dt), F.lit("2000-01-01").cast("date")) / 365.0
     top = F.stddev_samp("_v") if variability else F.regr_slope(F.col("_v"), t)
-    return x.groupBy(key).agg((top / F.avg(F.abs("_v"))).alias("variability" if variability else "growth"))
+    return x.groupBy(key).agg((div(top, F.avg(F.abs("_v")))).alias("variability" if variability else "growth"))
 
 
 def growth_rolling(quarters: DataFrame, value: str, key: str = "asset_id", step: str = "qi", years: int = 5, forecast: str | None = None, variability: bool = False, name: str = "growth") -> DataFrame:
@@ -194,12 +195,12 @@ def growth_rolling(quarters: DataFrame, value: str, key: str = "asset_id", step:
     sxy = sum((zero(c) * t for c, t in zip(cols, ts)), F.lit(0.0))
     sa = sum((F.abs(zero(c)) for c in cols), F.lit(0.0))
     if variability:
-        mean = sy / n
+        mean = div(sy, n)
         ss = sum((h * (zero(c) - mean) * (zero(c) - mean) for h, c in zip(has, cols)), F.lit(0.0))
-        top = F.sqrt(ss / (n - 1))
+        top = F.sqrt(div(ss, n - 1))
     else:
-        top = (n * sxy - sx * sy) / (n * sxx - sx * sx)
-    return x.withColumn(name, F.when(n > (4 if variability else 2), top / (sa / n))).drop("_a", *[f"_p{i}" for i in range(len(pts))])
+        top = div(n * sxy - sx * sy, n * sxx - sx * sx)
+    return x.withColumn(name, F.when(n > (4 if variability else 2), div(top, div(sa, n)))).drop("_a", *[f"_p{i}" for i in range(len(pts))])
 
 
 # --- estimates ----------------------------------------------------------------------------
@@ -247,7 +248,7 @@ def est_earnings_yield(fwd: DataFrame, lines: DataFrame, caps: DataFrame, key: s
     """Forward earnings of all lines of an issuer over the issuer's cap."""
     e = fwd.join(lines.select(key, "issuer"), key).groupBy("issuer").agg(F.sum("fwd12").alias("_e"))
     j = lines.select(key, "issuer").join(e, "issuer").join(caps.select("issuer", "cap"), "issuer")
-    return j.select(key, (treat(F.col("_e"), negative) / F.when(F.col("cap") > 0, F.col("cap"))).alias("est_ep"))
+    return j.select(key, (div(treat(F.col("_e"), negative), F.when(F.col("cap") > 0, F.col("cap")))).alias("est_ep"))
 
 
 # Estimate items that become descriptors, with their scaling item.
@@ -260,14 +261,14 @@ EST_RATIOS = {
 def est_ratios(fwd_wide: DataFrame, table: Mapping[str, Ratio] = EST_RATIOS) -> DataFrame:
     """Estimate descriptors on a wide table of forward values and scaling items."""
     return fwd_wide.withColumns(
-        {n: treat(F.col(r.num), r.num_negative) / treat(F.col(r.den), r.den_negative, r.den_zero) for n, r in table.items() if r.num in fwd_wide.columns and r.den in fwd_wide.columns}
+        {n: div(treat(F.col(r.num), r.num_negative), treat(F.col(r.den), r.den_negative, r.den_zero)) for n, r in table.items() if r.num in fwd_wide.columns and r.den in fwd_wide.columns}
     )
 
 
 def est_growth(fwd: DataFrame, realised: DataFrame, key: str = "asset_id", name: str = "est_growth") -> DataFrame:
     """Forward value over the last realised annual value, less 1, over its absolute size."""
     j = fwd.join(realised.select(key, F.col("value").alias("_r")), key)
-    return j.select(key, ((F.col("fwd12") - F.col("_r")) / F.when(F.col("_r") != 0, F.abs("_r"))).alias(name))
+    return j.select(key, (div(F.col("fwd12") - F.col("_r"), F.when(F.col("_r") != 0, F.abs("_r")))).alias(name))
 
 
 # --- other --------------------------------------------------------------------------------
@@ -277,13 +278,13 @@ def short_interest(short: DataFrame, shares: DataFrame, as_of, key: str = "asset
     """Newest shares short of the last two years over newest shares outstanding."""
     d = F.lit(as_of).cast("date")
     near = lambda df, n: df.where((F.col("dt") <= d) & (F.datediff(d, "dt") <= 731)).groupBy(key).agg(F.max_by("value", "dt").alias(n))
-    return near(short, "_s").join(near(shares, "_o"), key).select(key, (F.col("_s") / F.when(F.col("_o") > 0, F.col("_o"))).alias("short_interest"))
+    return near(short, "_s").join(near(shares, "_o"), key).select(key, (div(F.col("_s"), F.when(F.col("_o") > 0, F.col("_o")))).alias("short_interest"))
 
 
 def share_buyback(df: DataFrame, bought: str, shares: str, key: str = "asset_id", step: str = "qi", multiplier: float = 1e6) -> DataFrame:
     """Shares bought over four quarters over shares outstanding."""
     b = F.sum(bought).over(_w(key, step).rangeBetween(-3, 0)) * multiplier
-    return df.withColumn("share_buyback", b / F.when(F.col(shares) > 0, F.col(shares)))
+    return df.withColumn("share_buyback", div(b, F.when(F.col(shares) > 0, F.col(shares))))
 
 
 def net_equity_issuance(df: DataFrame, shares: str, split: str, key: str = "asset_id", step: str = "qi", year: int = 4) -> DataFrame:
@@ -292,14 +293,14 @@ def net_equity_issuance(df: DataFrame, shares: str, split: str, key: str = "asse
     s = F.last(F.when(F.col(shares) > 0, F.col(shares)), ignorenulls=True)
     old = s.over(w.rangeBetween(-2 * year + 1, -year))
     adj = F.exp(F.sum(F.log(F.coalesce(F.col(split), F.lit(1.0)))).over(w.rangeBetween(-year + 1, 0)))
-    return df.withColumn("net_equity_issuance", F.log(s.over(w.rangeBetween(-year + 1, 0)) / (old * adj)))
+    return df.withColumn("net_equity_issuance", F.log(div(s.over(w.rangeBetween(-year + 1, 0)), old * adj)))
 
 
 def net_debt_issuance(df: DataFrame, debt: str, key: str = "asset_id", step: str = "qi", year: int = 4) -> DataFrame:
     """ln of debt now over debt a year ago."""
     w = _w(key, step)
     d = F.last(F.when(F.col(debt) > 0, F.col(debt)), ignorenulls=True)
-    return df.withColumn("net_debt_issuance", F.log(d.over(w.rangeBetween(-year + 1, 0)) / d.over(w.rangeBetween(-2 * year + 1, -year))))
+    return df.withColumn("net_debt_issuance", F.log(div(d.over(w.rangeBetween(-year + 1, 0)), d.over(w.rangeBetween(-2 * year + 1, -year)))))
 
 
 def net_payout(df: DataFrame, income: str, book: str, sales: str, cost: str, key: str = "asset_id", step: str = "qi", years: int = 5) -> DataFrame:
@@ -312,7 +313,7 @@ def net_payout(df: DataFrame, income: str, book: str, sales: str, cost: str, key
     tot = lambda c: F.sum(c).over(w.rangeBetween(1 - n, 0))
     old = F.first(F.col(book), ignorenulls=True).over(w.rangeBetween(-n, -n))
     den = tot(sales) - tot(cost)
-    return df.withColumn("net_payout", (tot(income) + F.col(book) - old) / F.when(den != 0, den))
+    return df.withColumn("net_payout", div(tot(income) + F.col(book) - old, F.when(den != 0, den)))
 
 
 def altman_z(df: DataFrame, name: str = "altman_z") -> DataFrame:
@@ -320,7 +321,7 @@ def altman_z(df: DataFrame, name: str = "altman_z") -> DataFrame:
     top = (
         1.2 * (F.col("current_assets") - F.col("current_liabilities")) + 1.4 * F.col("book") + 3.3 * F.col("ebitda") + 0.6 * F.col("cap") + F.col("sales")
     )
-    return df.withColumn(name, top / F.when(F.col("assets") > 0, F.col("assets")))
+    return df.withColumn(name, div(top, F.when(F.col("assets") > 0, F.col("assets"))))
 
 
 def roe_variability(df: DataFrame, roe: str, key: str = "asset_id", step: str = "qi", back: int = 20) -> DataFrame:

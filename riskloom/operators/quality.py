@@ -11,6 +11,7 @@ from pyspark.sql.functions import pandas_udf
 
 from riskloom.operators.crossprod import pack_matrix
 from riskloom.operators.ranks import mad_bounds, running_by_rank
+from riskloom.functions.columns import corr, div
 
 
 def _both(prev: DataFrame, curr: DataFrame, keys: Sequence[str], cols: Sequence[str], how: str = "full_outer") -> DataFrame:
@@ -51,10 +52,10 @@ def check_cov(prev: DataFrame, curr: DataFrame, risk_tolerance: float, corr_tole
     def full(c: DataFrame, tag: str) -> DataFrame:
         d = c.where("f1 = f2").select(F.col("f1").alias("_f"), F.sqrt("value").alias("_s"))
         j = c.join(d.withColumnsRenamed({"_f": "f1", "_s": "_a"}), "f1").join(d.withColumnsRenamed({"_f": "f2", "_s": "_b"}), "f2")
-        return j.select("f1", "f2", F.col("_a").alias(f"risk_{tag}"), (F.col("value") / (F.col("_a") * F.col("_b"))).alias(f"corr_{tag}"))
+        return j.select("f1", "f2", F.col("_a").alias(f"risk_{tag}"), (div(F.col("value"), F.col("_a") * F.col("_b"))).alias(f"corr_{tag}"))
 
     j = full(prev, "p").join(full(curr, "c"), ["f1", "f2"])
-    rel = F.col("risk_c") / F.col("risk_p") - 1
+    rel = div(F.col("risk_c"), F.col("risk_p")) - 1
     dif = F.col("corr_c") - F.col("corr_p")
     kind = F.when((F.col("f1") == F.col("f2")) & (F.abs(rel) > risk_tolerance), "risk").when((F.col("f1") < F.col("f2")) & (F.abs(dif) > corr_tolerance), "correlation")
     return j.withColumn("check", kind).where("check is not null").select("f1", "f2", "check", F.when(F.col("check") == "risk", rel).otherwise(dif).alias("change"))
@@ -127,7 +128,7 @@ def qa_bounds(stats: DataFrame, code: str, dt: str, value: str, n: int = 250, on
     """
     w = W.partitionBy(code).orderBy(dt).rowsBetween(-n, -1)
     x = stats.withColumn("mean", F.avg(value).over(w)).withColumn("std", F.stddev_samp(value).over(w))
-    z = (F.col(value) - F.col("mean")) / F.when(F.col("std") > 0, F.col("std"))
+    z = div(F.col(value) - F.col("mean"), F.when(F.col("std") > 0, F.col("std")))
     z = F.when(F.col(code).isin(*one_sided), F.greatest(z, F.lit(0.0))).otherwise(F.abs(z)) if one_sided else F.abs(z)
     return x.withColumn("level", F.floor(z)).where("level is not null")
 
@@ -137,14 +138,14 @@ def universe_correlation(prev: DataFrame, curr: DataFrame, keys: Sequence[str],
     def weights(df: DataFrame, name: str) -> DataFrame:
         if by:
             t = df.groupBy(*by).agg(F.sum(cap).alias("_t"))
-            return df.join(t, list(by)).select(*by, *keys, (F.col(cap) / F.col("_t")).alias(name))
+            return df.join(t, list(by)).select(*by, *keys, (div(F.col(cap), F.col("_t"))).alias(name))
         t = df.agg(F.sum(cap).alias("_t")).withColumn("_one", F.lit(1))
-        return df.withColumn("_one", F.lit(1)).join(t, "_one").select(*keys, (F.col(cap) / F.col("_t")).alias(name))
+        return df.withColumn("_one", F.lit(1)).join(t, "_one").select(*keys, (div(F.col(cap), F.col("_t"))).alias(name))
 
     j = weights(prev, "_p").join(weights(curr, "_c"), [*by, *keys], "full_outer")
     cnt = lambda c: F.sum(F.when(c, 1).otherwise(0))
     return j.groupBy(*by).agg(
-        F.corr(F.coalesce("_p", F.lit(0.0)), F.coalesce("_c", F.lit(0.0))).alias("corr"), cnt(F.col("_p").isNull()).alias("n_joined"), cnt(F.col("_c").isNull()).alias("n_left")
+        corr(F.coalesce("_p", F.lit(0.0)), F.coalesce("_c", F.lit(0.0))).alias("corr"), cnt(F.col("_p").isNull()).alias("n_joined"), cnt(F.col("_c").isNull()).alias("n_left")
     )
 
 
@@ -170,7 +171,7 @@ def attribute_change(prev: DataFrame, curr: DataFrame, keys: Sequence[str], num:
     """Change of a ratio split into what the numerator and what the denominator brought."""
     j = _both(prev, curr, keys, [num, den], "inner")
     n0, n1, d0, d1 = (F.col(f"{num}_prev"), F.col(f"{num}_curr"), F.col(f"{den}_prev"), F.col(f"{den}_curr"))
-    return j.select(*keys, (n1 / d1 - n0 / d0).alias("change"), ((n1 - n0) / d0).alias("from_num"), (n1 / d1 - n1 / d0).alias("from_den"))
+    return j.select(*keys, (div(n1, d1) - div(n0, d0)).alias("change"), (div(n1 - n0, d0)).alias("from_num"), (div(n1, d1) - div(n1, d0)).alias("from_den"))
 
 
 def source_report(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float) -> DataFrame:
@@ -190,7 +191,7 @@ def stale_items(items: DataFrame, keys: Sequence[str], as_of, max_days: int, dt:
 def age_distribution(items: DataFrame, keys: Sequence[str], as_of, bucket_days: int, dt: str = "dt") -> DataFrame:
     """Number of keys per age bucket of their newest value."""
     g = items.groupBy(*keys).agg(F.max(dt).alias("_d"))
-    return g.groupBy(F.floor(F.datediff(F.lit(as_of).cast("date"), "_d") / bucket_days).alias("bucket")).agg(F.count("*").alias("n"))
+    return g.groupBy(F.floor(div(F.datediff(F.lit(as_of).cast("date"), "_d"), bucket_days)).alias("bucket")).agg(F.count("*").alias("n"))
 
 
 def market_portfolio_report(prev: DataFrame, curr: DataFrame, by: Sequence[str], key: str, weight: str, top: int = 10, jump: float = 0.01) -> DataFrame:
@@ -212,7 +213,7 @@ def exposure_autocorrelation(exp: DataFrame, key: str, step: str, styles: Sequen
     x = exp.where(F.col(estu)) if estu else exp
     a = x.select(key, step, *[F.col(s).alias(f"_a_{s}") for s in styles])
     b = x.select(key, (F.col(step) + 1).alias(step), *[F.col(s).alias(f"_b_{s}") for s in styles])
-    g = a.join(b, [key, step]).groupBy(step).agg(*[F.corr(f"_a_{s}", f"_b_{s}").alias(s) for s in styles])
+    g = a.join(b, [key, step]).groupBy(step).agg(*[corr(f"_a_{s}", f"_b_{s}").alias(s) for s in styles])
     return g.unpivot([step], list(styles), "factor", "corr")
 
 
@@ -220,13 +221,13 @@ def bias_statistic(forecast: DataFrame, realised: DataFrame, name: str, step: st
     """Forecast risk against the annual deviation of the next n returns."""
     w = W.partitionBy(name).orderBy(step).rowsBetween(1, n)
     r = realised.withColumn("realised", F.when(F.count("ret").over(w) == n, F.stddev_samp("ret").over(w) * F.sqrt(F.lit(float(per_year)))))
-    return forecast.join(r.select(name, step, "realised"), [name, step]).where("realised is not null").withColumn("ratio", F.col("risk") / F.col("realised"))
+    return forecast.join(r.select(name, step, "realised"), [name, step]).where("realised is not null").withColumn("ratio", div(F.col("risk"), F.col("realised")))
 
 
 def stability(prev: DataFrame, curr: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Least, mean and largest absolute relative change; zeros are skipped."""
     j = _both(prev, curr, keys, [value], "inner").where(F.col(f"{value}_prev") != 0)
-    c = F.abs(F.col(f"{value}_curr") / F.col(f"{value}_prev") - 1)
+    c = F.abs(div(F.col(f"{value}_curr"), F.col(f"{value}_prev")) - 1)
     return j.agg(F.min(c).alias("min_change"), F.avg(c).alias("mean_change"), F.max(c).alias("max_change"), F.count("*").alias("n"))
 
 
@@ -235,7 +236,7 @@ def compare_libraries(a: DataFrame, b: DataFrame, keys: Sequence[str], factors:
     l = a.select(*keys, *[F.col(x).alias(f"_a_{x}") for x in factors], F.lit(1).alias("_ia"))
     r = b.select(*keys, *[F.col(y).alias(f"_b_{y}") for y in factors.values()], F.lit(1).alias("_ib"))
     j = l.join(r, list(keys), "full_outer")
-    aggs = [F.corr(f"_a_{x}", f"_b_{y}").alias(x) for x, y in factors.items()]
+    aggs = [corr(f"_a_{x}", f"_b_{y}").alias(x) for x, y in factors.items()]
     cnt = [F.sum(F.when(F.col("_ib").isNull(), 1).otherwise(0)).alias("only_a"), F.sum(F.when(F.col("_ia").isNull(), 1).otherwise(0)).alias("only_b")]
     return j.groupBy(*by).agg(*aggs, *cnt)
 
@@ -297,7 +298,7 @@ def benchmark_coverage(bench: DataFrame, universe: DataFrame, name: str, key: st
     j = bench.join(universe.select(key, F.col(estu).alias("_e")), key, "left")
     out, non = F.col("_e").isNull(), F.col("_e").isNull() | ~F.col("_e")
     cnt = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    wt = lambda c: F.sum(F.when(c, F.col(weight)).otherwise(0.0)) / F.sum(weight)
+    wt = lambda c: div(F.sum(F.when(c, F.col(weight)).otherwise(0.0)), F.sum(weight))
     return j.groupBy(name).agg(F.count("*").alias("n"), cnt(out).alias("n_outside"), wt(out).alias("share_outside"), cnt(non).alias("n_not_estu"), wt(non).alias("share_not_estu"))
 
 

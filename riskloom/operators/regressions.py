@@ -18,6 +18,7 @@ from riskloom.functions import linalg
 from riskloom.operators.crossprod import VECTOR, cross_products, dot, inverse_sym, nonneg_solve, solve_normal
 from riskloom.operators.ranks import median
 from riskloom.session import cut, stored
+from riskloom.functions.columns import div
 
 
 def _named(fit: DataFrame, by: Sequence[str], names: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -85,7 +86,7 @@ def huber_cross_section(df: DataFrame, by: Sequence[str], xs: Sequence[str], y:
         s = median(dev, by, "_d", "_s").drop("n")
         z = e.join(s, by)
         scale = F.col("_s") / F.lit(0.67449)
-        u = F.when(scale > 0, F.least(F.lit(1.0), F.lit(k) * scale / F.greatest(F.abs("_e"), F.lit(1e-300)))).otherwise(1.0)
+        u = F.when(scale > 0, F.least(F.lit(1.0), div(F.lit(k) * scale, F.greatest(F.abs("_e"), F.lit(1e-300))))).otherwise(1.0)
         fit = cut(wls(z.withColumn("_w", F.col("_w") * u), by, xs, y, "_w", intercept).select(*by, "n", "coef"))
     zero = F.array(*[F.lit(0.0)] * m)
     return fit.withColumn("coef", F.when(F.col("n") < m, zero).otherwise(F.col("coef")))
@@ -135,10 +136,10 @@ def reg_stats(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str, w: st
     fit = wls(df, by, xs, y, w, intercept).withColumn("inv", inverse_sym("xtx"))
     explained = F.aggregate(F.zip_with("coef", "xty", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     sse = F.greatest(F.col("yty") - explained, F.lit(0.0))
-    sst = F.col("yty") - (F.col("sy") * F.col("sy") / F.col("sw") if intercept else F.lit(0.0))
+    sst = F.col("yty") - (div(F.col("sy") * F.col("sy"), F.col("sw")) if intercept else F.lit(0.0))
     dof = F.col("n") - k + constraints
-    fit = fit.withColumns({"_sse": sse, "_dof": dof, "r2": 1 - sse / sst})
-    fit = fit.withColumn("adj_r2", F.greatest(F.lit(0.0), 1 - (1 - F.col("r2")) * (F.col("n") - 1) / F.col("_dof")))
+    fit = fit.withColumns({"_sse": sse, "_dof": dof, "r2": 1 - div(sse, sst)})
+    fit = fit.withColumn("adj_r2", F.greatest(F.lit(0.0), 1 - div((1 - F.col("r2")) * (F.col("n") - 1), F.col("_dof"))))
     if errors == "white":
         e = residuals(df, fit, by, xs, y, intercept, "_e")
         wt = F.col(w) if w else F.lit(1.0)
@@ -157,11 +158,11 @@ def reg_stats(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str, w: st
     else:
         diag = F.array(*[F.col("inv")[i * k + i] for i in range(k)])
         fit = fit.withColumn("_var", F.transform(diag, lambda d: d))
-        fit = fit.withColumn("_s2", F.col("_sse") / F.col("_dof")).withColumn("_var", F.transform("_var", lambda d: d * F.col("_s2")))
+        fit = fit.withColumn("_s2", div(F.col("_sse"), F.col("_dof"))).withColumn("_var", F.transform("_var", lambda d: d * F.col("_s2")))
     rows = F.explode(F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("name"), F.col("coef").alias("coef"), F.col("_var").alias("var"))).alias("_c")
     out = fit.select(*by, "n", "_dof", "r2", "adj_r2", rows)
     out = out.select(*by, F.col("_c")["name"].alias("term"), F.col("_c")["coef"].alias("coef"), F.sqrt(F.col("_c")["var"]).alias("se"), "n", "_dof", "r2", "adj_r2")
-    out = out.withColumn("t", F.col("coef") / F.col("se"))
+    out = out.withColumn("t", div(F.col("coef"), F.col("se")))
     if with_p:
         out = out.withColumn("p", t_probability(F.col("t"), F.col("_dof")))
     return out.drop("_dof")
@@ -206,7 +207,7 @@ def vif(df: DataFrame, by: Sequence[str], xs: Sequence[str], w: str | None = Non
     g = cross_products(df, by, xs, None, w, intercept=True).withColumn("inv", inverse_sym("xtx"))
     out = []
     for j in range(1, k):
-        centred = F.col("xtx")[j * k + j] - F.col("xtx")[j] * F.col("xtx")[j] / F.col("xtx")[0]
+        centred = F.col("xtx")[j * k + j] - div(F.col("xtx")[j] * F.col("xtx")[j], F.col("xtx")[0])
         out.append((F.col("inv")[j * k + j] * centred).alias(xs[j - 1]))
     return g.select(*by, *out).unpivot(list(by), list(xs), "factor", "vif")
 
@@ -257,7 +258,7 @@ def alpha_and_residual_vol(df: DataFrame, key: str, ret: str, market: str, dof:
     n = F.regr_count(F.col(ret), F.col(market))
     return df.groupBy(key).agg(
         F.regr_intercept(F.col(ret), F.col(market)).alias("alpha"), F.regr_slope(F.col(ret), F.col(market)).alias("beta"),
-        F.sqrt(F.greatest(sse, F.lit(0.0)) / F.when(n > dof, n - dof)).alias("resid_vol"),
+        F.sqrt(div(F.greatest(sse, F.lit(0.0)), F.when(n > dof, n - dof))).alias("resid_vol"),
     )
 
 
@@ -283,7 +284,7 @@ def macro_exposure(df: DataFrame, key: str, ret: str, factors: Sequence[str], st
         x = df.withColumns({f"_{c}": F.when(full, F.sum(c).over(w)) for c in [ret, *factors]})
         x = x.select(key, step, *[F.col(f"_{c}").alias(c) for c in [ret, *factors]])
     elif method == "block":
-        x = df.groupBy(key, F.floor(F.col(step) / n).alias(step)).agg(*[F.sum(c).alias(c) for c in [ret, *factors]])
+        x = df.groupBy(key, F.floor(div(F.col(step), n)).alias(step)).agg(*[F.sum(c).alias(c) for c in [ret, *factors]])
     g = cross_products(x, [key], factors, ret, None, intercept=method != "ridge")
     if method != "ridge":
         return coefficients(g.withColumn("coef", solve_normal("xtx", "xty")), [key], factors, True).drop("intercept")
@@ -362,7 +363,7 @@ def reduced_rank(df: DataFrame, xs: Sequence[str], ys: Sequence[str], rank: int)
 
     e = g.select(F.posexplode(solve("xtx")).alias("i", "coef"))
     xn, yn = F.array(*[F.lit(c) for c in xs]), F.array(*[F.lit(c) for c in ys])
-    return e.select(F.element_at(xn, (F.floor(F.col("i") / q) + 1).cast("int")).alias("x"), F.element_at(yn, (F.col("i") % q + 1).cast("int")).alias("y"), "coef")
+    return e.select(F.element_at(xn, (F.floor(div(F.col("i"), q)) + 1).cast("int")).alias("x"), F.element_at(yn, (F.col("i") % q + 1).cast("int")).alias("y"), "coef")
 
 
 # --- cointegration ------------------------------------------------------------------------
@@ -381,7 +382,7 @@ def cointegration(ret: DataFrame, lines: DataFrame, key: str, issuer: str, step:
     mine = px.join(lines.where(F.col(key) != F.col("master")).select(key, issuer, "master"), key)
     m = px.select(F.col(key).alias("master"), step, F.col("lp").alias("mlp"))
     j = mine.join(m, ["master", step])
-    c = j.groupBy(issuer, "master", key).agg((F.sum(F.col("lp") * F.col("mlp")) / F.sum(F.col("mlp") * F.col("mlp"))).alias("raw"), F.count("*").alias("n"))
+    c = j.groupBy(issuer, "master", key).agg((div(F.sum(F.col("lp") * F.col("mlp")), F.sum(F.col("mlp") * F.col("mlp")))).alias("raw"), F.count("*").alias("n"))
     c = c.withColumn("coef", F.greatest(F.lit(low), F.least(F.lit(high), F.coalesce("raw", F.lit(1.0))))).drop("raw")
     e = j.join(c.select(key, "coef", "n"), key).withColumn("err", F.col("lp") - F.col("coef") * F.col("mlp"))
     kt = ret.schema[key].dataType.simpleString()

@@ -18,6 +18,7 @@ from riskloom.functions import linalg
 from riskloom.operators import aggregates as ag, timeseries as ts
 from riskloom.operators.crossprod import VECTOR, pack_matrix, unpack_matrix
 from riskloom.operators.ranks import mad_bounds
+from riskloom.functions.columns import div
 
 
 # --- matrices -----------------------------------------------------------------------------
@@ -130,7 +131,7 @@ def factor_cov(
     ``dead_share`` non-zero returns get zeros.
     """
     x = fret.select(F.col(factor).alias("factor"), F.col(step).alias("step"), F.col(value).alias("value"))
-    live = x.groupBy("factor").agg((F.sum(F.when(F.coalesce("value", F.lit(0.0)) != 0, 1).otherwise(0)) / F.count("*") >= dead_share).alias("_live"))
+    live = x.groupBy("factor").agg((div(F.sum(F.when(F.coalesce("value", F.lit(0.0)) != 0, 1).otherwise(0)), F.count("*")) >= dead_share).alias("_live"))
     x = x.join(live, "factor").withColumn("value", F.when(F.col("_live"), F.col("value")).otherwise(0.0)).drop("_live")
     if dva:
         x = ts.dva(x, "factor", "value", dva, dt="step").drop("scale")
@@ -142,7 +143,7 @@ def factor_cov(
     v = ag.newey_west(x, "factor", "value", "step", var_lags, var_half_life, demean).where("f1 = f2").select(F.col("f1").alias("f"), F.sqrt(F.greatest("value", F.lit(0.0))).alias("s"))
     if blocks is not None:
         c = impose_blocks(c.select("f1", "f2", F.col("corr").alias("value")), blocks).withColumnRenamed("value", "corr")
-    scale = annual / (overlap or 1)
+    scale = div(annual, overlap or 1)
     out = c.join(v.withColumnsRenamed({"f": "f1", "s": "_s1"}), "f1").join(v.withColumnsRenamed({"f": "f2", "s": "_s2"}), "f2")
     out = out.select("f1", "f2", (F.col("corr") * F.col("_s1") * F.col("_s2") * F.lit(scale)).alias("value"))
     if shrink_obs:
@@ -231,32 +232,32 @@ def specific_variance(
     if overlap:
         x = x.withColumn("_r", ts.product_over(1 + F.col("_r"), w.rangeBetween(1 - overlap, 0)) - 1)
         lags = 0
-    total = sum(2.0 ** (-i / half_life) for i in range(n)) if half_life else float(n)
-    x = x.withColumn("_w", (ts.exp_weight(F.lit(end) - F.col(step), half_life) if half_life else F.lit(1.0)) * (n / total))
+    total = sum(2.0 ** (div(-i, half_life)) for i in range(n)) if half_life else float(n)
+    x = x.withColumn("_w", (ts.exp_weight(F.lit(end) - F.col(step), half_life) if half_life else F.lit(1.0)) * (div(n, total)))
     v = F.col("_w") * F.col("_r") * F.col("_r")
     for l in range(1, lags + 1):
         prev = F.first(F.sqrt("_w") * F.col("_r")).over(w.rangeBetween(-l, -l))
         x = x.withColumn(f"_l{l}", F.coalesce(prev, F.lit(0.0)) * F.sqrt("_w") * F.col("_r"))
         v = v + 2.0 * (1.0 - l / (lags + 1.0)) * F.col(f"_l{l}")
-    g = x.groupBy(key).agg((F.sum(v) / n).alias("spec_var"), F.sum(F.when(F.col("_r") != 0, 1).otherwise(0)).alias("n_ret"), F.min(step).alias("_a"))
+    g = x.groupBy(key).agg((div(F.sum(v), n)).alias("spec_var"), F.sum(F.when(F.col("_r") != 0, 1).otherwise(0)).alias("n_ret"), F.min(step).alias("_a"))
     if first_step is not None:
         # weight of the life inside the window: a finite geometric sum
         g = g.join(first_step.select(key, F.col("first").alias("_f")), key, "left").withColumn("_life", F.least(F.lit(n), F.lit(end) - F.col("_f") + 1))
         if half_life:
-            d = 2.0 ** (-1.0 / half_life)
-            part = (1 - F.pow(F.lit(d), F.col("_life"))) / (1 - d)
+            d = 2.0 ** (div(-1.0, half_life))
+            part = div(1 - F.pow(F.lit(d), F.col("_life")), 1 - d)
         else:
             part = F.col("_life").cast("double")
-        g = g.withColumn("spec_var", F.col("spec_var") * F.when(F.col("_life") < n, total / part).otherwise(1.0)).drop("_f", "_life")
+        g = g.withColumn("spec_var", F.col("spec_var") * F.when(F.col("_life") < n, div(total, part)).otherwise(1.0)).drop("_f", "_life")
     if overlap:
-        g = g.withColumn("spec_var", F.col("spec_var") / overlap)
+        g = g.withColumn("spec_var", div(F.col("spec_var"), overlap))
     return g.drop("_a")
 
 
 def blend_specific(var: DataFrame, proxy: DataFrame, key: str, half_life: float, annual: float = 252.0, floor: float = 0.0, cap: float = float("inf")) -> DataFrame:
     """Variance blended with a proxy by 2^(-n_ret / (half_life / 2)), bounded, annual."""
     j = var.join(proxy.select(key, F.col("spec_var").alias("_p")), key, "left")
-    w = F.pow(F.lit(2.0), -F.col("n_ret") / (half_life / 2.0))
+    w = F.pow(F.lit(2.0), div(-F.col("n_ret"), half_life / 2.0))
     v = F.when(F.col("_p").isNull(), F.col("spec_var")).otherwise((1 - w) * F.col("spec_var") + w * F.col("_p"))
     v = F.greatest(F.lit(floor), F.least(F.lit(cap), v * annual))
     return j.select(key, "n_ret", v.alias("spec_var"), F.sqrt(v).alias("spec_risk"))
@@ -267,7 +268,7 @@ def proxy_variance(var: DataFrame, attributes: DataFrame, key: str, groups: Sequ
     j = var.join(attributes.select(key, *groups, cap), key)
     ok = F.col("n_ret") >= least
     w = F.sqrt(F.col(cap))
-    g = j.where(ok).groupBy(*groups).agg((F.sum(w * F.col("spec_var")) / F.sum(w)).alias("_v"))
+    g = j.where(ok).groupBy(*groups).agg((div(F.sum(w * F.col("spec_var")), F.sum(w))).alias("_v"))
     return j.select(key, *groups).join(g, list(groups), "left").select(key, F.col("_v").alias("spec_var"))
 
 
@@ -291,7 +292,7 @@ def linked_correlation(sret: DataFrame, lines: DataFrame, key: str, group: str,
         syy = syy + 2 * f * F.col("_m") * F.col(f"_m{l}")
         sxy = sxy + f * (F.col("_s") * F.col(f"_m{l}") + F.col("_m") * F.col(f"_s{l}"))
     g = j.groupBy(group, "master", key).agg(F.sum(sxx).alias("_xx"), F.sum(syy).alias("_yy"), F.sum(sxy).alias("_xy"))
-    rho = F.when((F.col("_xx") > 0) & (F.col("_yy") > 0), F.col("_xy") / F.sqrt(F.col("_xx") * F.col("_yy"))).otherwise(0.0)
+    rho = F.when((F.col("_xx") > 0) & (F.col("_yy") > 0), div(F.col("_xy"), F.sqrt(F.col("_xx") * F.col("_yy")))).otherwise(0.0)
     c = F.greatest(F.lit(lo), F.least(F.lit(hi), rho))
     return g.select(group, "master", key, ((1 - confidence) + confidence * c).alias("corr"))
 
@@ -310,7 +311,7 @@ def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, key:
     near = F.abs(cand - F.col("_mv")) < F.abs(F.col("spec_var") - F.col("_mv"))
     j = j.withColumn("new_var", F.when(near, cand).otherwise(F.col("spec_var")))
     s, ms = F.sqrt("new_var"), F.sqrt("_mv")
-    rho = F.when(F.col("coef").isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), F.greatest(F.col("coef") * s / ms, F.col("coef") * ms / s)))).otherwise(F.col("corr"))
+    rho = F.when(F.col("coef").isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), F.greatest(div(F.col("coef") * s, ms), div(F.col("coef") * ms, s))))).otherwise(F.col("corr"))
     j = j.withColumn("corr", rho).withColumn("cov", F.col("corr") * s * ms)
     var = spec.join(j.select(key, "new_var"), key, "left").select(key, F.coalesce("new_var", "spec_var").alias("spec_var"))
     pairs = j.select(group, F.least("master", key).alias("id1"), F.greatest("master", key).alias("id2"), "corr", "cov", "master", F.col(key).alias("line"))
@@ -378,7 +379,7 @@ def portfolio_corr(weights: DataFrame, exp: DataFrame, cov: DataFrame, spec: Dat
     c = f.unionByName(s).groupBy("f1", "f2").agg(F.sum("value").alias("value"))
     d = c.where("f1 = f2").select(F.col("f1").alias("_f"), F.sqrt("value").alias("_s"))
     j = c.join(d.withColumnsRenamed({"_f": "f1", "_s": "_s1"}), "f1").join(d.withColumnsRenamed({"_f": "f2", "_s": "_s2"}), "f2")
-    return j.select("f1", "f2", "value", (F.col("value") / (F.col("_s1") * F.col("_s2"))).alias("corr"), F.col("_s1").alias("risk1"))
+    return j.select("f1", "f2", "value", (div(F.col("value"), F.col("_s1") * F.col("_s2"))).alias("corr"), F.col("_s1").alias("risk1"))
 
 
 def marginal_contribution(weights: DataFrame, exp: DataFrame, cov: DataFrame, spec: DataFrame, xs: Sequence[str], with_specific: bool = False, name: str = "name", key: str = "asset_id") -> DataFrame:
@@ -391,7 +392,7 @@ def marginal_contribution(weights: DataFrame, exp: DataFrame, cov: DataFrame, sp
     if with_specific:
         j = j.join(spec.select(key, "spec_var"), key, "left")
         m = m + F.col("weight") * F.coalesce("spec_var", F.lit(0.0))
-    return j.select(name, key, "weight", (m / F.col("risk")).alias("mctr"))
+    return j.select(name, key, "weight", (div(m, F.col("risk"))).alias("mctr"))
 
 
 def predicted_beta(exp: DataFrame, cov: DataFrame, spec: DataFrame, market: DataFrame, xs: Sequence[str], key: str = "asset_id", mkt: str = "market", cash: Sequence = ()) -> DataFrame:
@@ -406,7 +407,7 @@ def predicted_beta(exp: DataFrame, cov: DataFrame, spec: DataFrame, market: Data
     own = market.select(mkt, key, F.col("weight").alias("_w"))
     j = j.join(own, [mkt, key], "left").join(spec.select(key, "spec_var"), key, "left")
     c = bilinear(_x(xs), [F.col(f"_p_{x}") for x in xs], "_F") + F.coalesce(F.col("_w") * F.col("spec_var"), F.lit(0.0))
-    beta = c / F.col("_var")
+    beta = div(c, F.col("_var"))
     if cash:
         beta = F.when(F.col(key).isin(*cash), 0.0).otherwise(beta)
     return j.select(mkt, key, beta.alias("beta"))
@@ -420,8 +421,8 @@ def beta_decomposition(exp: DataFrame, cov: DataFrame, spec: DataFrame, market:
     j = attach(exp.join(p, mkt).join(var, mkt), matrix_row(cov, xs))
     j = j.join(market.select(mkt, key, F.col("weight").alias("_w")), [mkt, key], "left").join(spec.select(key, "spec_var"), key, "left")
     b = [F.col(f"_p_{x}") for x in xs]
-    parts = {f"c_{x}": _x(xs)[i] * product_row(b, "_F", i) / F.col("_var") for i, x in enumerate(xs)}
-    parts["c_specific"] = F.coalesce(F.col("_w") * F.col("spec_var"), F.lit(0.0)) / F.col("_var")
+    parts = {f"c_{x}": div(_x(xs)[i] * product_row(b, "_F", i), F.col("_var")) for i, x in enumerate(xs)}
+    parts["c_specific"] = div(F.coalesce(F.col("_w") * F.col("spec_var"), F.lit(0.0)), F.col("_var"))
     return j.select(mkt, key, *[c.alias(n) for n, c in parts.items()]).unpivot([mkt, key], list(parts), "part", "contribution").withColumn("part", F.substring("part", 3, 100))
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.columns import clip
+from riskloom.functions.columns import clip, div
 from riskloom.operators.crossprod import cross_products, dot, solve_normal
 from riskloom.operators.ranks import mad_bounds, percentiles, spread_bounds
 from riskloom.session import stored
@@ -59,7 +59,7 @@ def clip_2d(
     if shrink:
         over = F.abs(v - cut)
         width = F.greatest(hi - lo, F.lit(1e-12))
-        cut = cut + F.signum(v - cut) * width * F.log1p(over / width) / 10.0
+        cut = cut + F.signum(v - cut) * width * F.log1p(div(over, width)) / 10.0
     return j.withColumn(value, F.when(F.coalesce(out, F.lit(False)), cut).otherwise(v)).drop("_lc", "_uc", "_lr", "_ur")
 
 
@@ -104,12 +104,12 @@ def standard_stats(long: DataFrame, by: Sequence[str], value: str, estu: str, ca
     g = x.groupBy(*by).agg(*aggs)
     use = F.col("ne") > 0
     pick = lambda n: F.when(use, F.col(f"{n}e")).otherwise(F.col(f"{n}l")) if eligible else F.col(f"{n}e")
-    g = g.select(*by, use.alias("_use"), pick("n").alias("n_used"), (pick("wv") / pick("w")).alias("mean"))
+    g = g.select(*by, use.alias("_use"), pick("n").alias("n_used"), (div(pick("wv"), pick("w"))).alias("mean"))
     # deviations about the mean in a second pass: no cancellation for values far from zero
     flag = F.when(F.col("_use"), F.col(estu)).otherwise(F.col(eligible) if eligible else F.lit(False))
     d = F.when(flag, F.coalesce(F.col(value) - F.col("mean"), F.lit(0.0)))
     s = x.join(g, by).groupBy(*by, "n_used", "mean").agg(F.sum(d * d).alias("_ss"))
-    std = F.when((F.col("n_used") >= 3) & (F.col("_ss") > 0), F.sqrt(F.col("_ss") / (F.col("n_used") - 1)))
+    std = F.when((F.col("n_used") >= 3) & (F.col("_ss") > 0), F.sqrt(div(F.col("_ss"), F.col("n_used") - 1)))
     return s.select(*by, "n_used", "mean", std.alias("std"))
 
 
@@ -139,7 +139,7 @@ def standardize(
     if skip_binary:
         st = st.join(binary_factors(x, by, value), by, "left_anti")
     j = x.join(st.drop("n_used"), by, "left")
-    z = clip((F.col(value) - F.col("mean")) / F.col("std"), -bound, bound)
+    z = clip(div(F.col(value) - F.col("mean"), F.col("std")), -bound, bound)
     return j.withColumn(value, F.when(F.col("std").isNull(), F.col(value)).otherwise(z))
 
 
@@ -150,7 +150,7 @@ def style_composite(long: DataFrame, recipe: DataFrame, keys: Sequence[str], val
     """
     j = long.join(recipe, "factor")
     w = F.when(F.col(value).isNotNull(), F.col("weight"))
-    return j.groupBy(*keys, "style").agg((F.sum(F.col(value) * F.col("weight")) / F.sum(w)).alias("value"))
+    return j.groupBy(*keys, "style").agg((div(F.sum(F.col(value) * F.col("weight")), F.sum(w))).alias("value"))
 
 
 def proxy_exposure(
@@ -171,14 +171,14 @@ def proxy_exposure(
         F.sum(F.when(good, w * x * x)).alias("sxx"), F.sum(F.when(good, w * x * y)).alias("sxy"),
     )
     unique = df.where(good & (y != 0)).select(dt, region, value).distinct().groupBy(dt, region).agg(F.count("*").alias("_uu"))
-    within = lambda a, b, c: F.sum(F.coalesce(F.col(a) - F.col(b) * F.col(c) / F.col("sw"), F.lit(0.0)))
+    within = lambda a, b, c: F.sum(F.coalesce(F.col(a) - div(F.col(b) * F.col(c), F.col("sw")), F.lit(0.0)))
     r = g.groupBy(dt, region).agg(
         within("sxy", "sx", "sy").alias("_n"), within("sxx", "sx", "sx").alias("_d"),
         F.sum("_good").alias("_g"), F.sum("_miss").alias("_m"), F.sum("_all").alias("_a"),
     ).join(unique, [dt, region], "left")
     ok = (F.col("_g") >= F.col("_m") * least_good) & (F.col("_uu") >= F.col("_a") * least_unique)
-    r = r.select(dt, region, F.when(ok & (F.col("_d") > 0), F.col("_n") / F.col("_d")).alias("slope"))
-    c = g.join(r, [dt, region]).select(dt, region, sector, "slope", ((F.col("sy") - F.col("slope") * F.col("sx")) / F.col("sw")).alias("level"))
+    r = r.select(dt, region, F.when(ok & (F.col("_d") > 0), div(F.col("_n"), F.col("_d"))).alias("slope"))
+    c = g.join(r, [dt, region]).select(dt, region, sector, "slope", (div(F.col("sy") - F.col("slope") * F.col("sx"), F.col("sw"))).alias("level"))
     j = df.join(c, [dt, region, sector], "left")
     p = clip(F.col("level") + F.col("slope") * x, -limit, limit)
     return j.withColumn("is_proxy", F.col(value).isNull() & p.isNotNull()).withColumn(value, F.coalesce(F.col(value), p)).drop("slope", "level")
@@ -209,15 +209,15 @@ def shrink_to_mean(df: DataFrame, dt: str, region: str, sector: str, value: str,
     ok = F.col(estu) & (F.col("_s") >= 1)
     v, w = F.when(ok, F.col(value) * F.col(cap)), F.when(ok, F.col(cap))
     b = x.groupBy(dt, region, sector).agg(F.sum(v).alias("_v"), F.sum(w).alias("_w"))
-    t = b.groupBy(dt).agg((F.sum("_v") / F.sum("_w")).alias("_all"))
-    b = b.join(t, dt).select(dt, region, sector, F.coalesce(F.col("_v") / F.col("_w"), F.col("_all"), F.lit(0.0)).alias("_mean"))
+    t = b.groupBy(dt).agg((div(F.sum("_v"), F.sum("_w"))).alias("_all"))
+    b = b.join(t, dt).select(dt, region, sector, F.coalesce(div(F.col("_v"), F.col("_w")), F.col("_all"), F.lit(0.0)).alias("_mean"))
     j = x.join(b, [dt, region, sector])
     return j.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)) * F.col("_s") + (1 - F.col("_s")) * F.col("_mean")).drop("_s", "_mean")
 
 
 def fill_standardized_zero(z: DataFrame, value: str) -> DataFrame:
     """A missing standardised exposure takes the raw value 0: (0 - mean) / std of its key."""
-    return z.withColumn(value, F.coalesce(F.col(value), -F.col("mean") / F.col("std")))
+    return z.withColumn(value, F.coalesce(F.col(value), div(-F.col("mean"), F.col("std"))))
 
 
 def clone_linked(long: DataFrame, links: DataFrame, keys: Sequence[str], key: str = "asset_id", value: str = "value") -> DataFrame:
@@ -230,7 +230,7 @@ def clone_linked(long: DataFrame, links: DataFrame, keys: Sequence[str], key: st
     keys = list(keys)
     x = long.join(links, key, "left")
     live = F.col("group_id").isNotNull() & ~F.coalesce(F.col("is_shell"), F.lit(False)) & F.col("master").isNull() & F.col(value).isNotNull()
-    m = x.where(live).groupBy("group_id", *keys).agg((F.sum(F.col("score") * F.col(value)) / F.sum("score")).alias("_mean"))
+    m = x.where(live).groupBy("group_id", *keys).agg((div(F.sum(F.col("score") * F.col(value)), F.sum("score"))).alias("_mean"))
     x = x.join(m, ["group_id", *keys], "left")
     shared = F.when(F.coalesce(F.col("is_shell"), F.lit(False)) | F.col("group_id").isNull(), F.col(value)).otherwise(F.coalesce("_mean", value))
     x = x.withColumn("_v", shared)
@@ -249,7 +249,7 @@ def score_linked(lines: DataFrame, group: str, parts: Sequence[str], scale: floa
     j = lines.join(top, group)
     s = F.lit(1.0)
     for p in parts:
-        s = s * F.when(F.col(f"_m_{p}") > 0, F.coalesce(F.col(p), F.lit(0.0)) / F.col(f"_m_{p}")).otherwise(1.0)
+        s = s * F.when(F.col(f"_m_{p}") > 0, div(F.coalesce(F.col(p), F.lit(0.0)), F.col(f"_m_{p}"))).otherwise(1.0)
     s = F.exp(F.lit(scale) * (s - 1)) if scale else s
     return j.withColumn("score", s).drop(*[f"_m_{p}" for p in parts])
 
@@ -260,7 +260,7 @@ def orthogonalize(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], w
     fit = cross_products(df.where(F.col(estu)), by, xs, y, weight, intercept).select(*by, solve_normal("xtx", "xty").alias("_b"))
     r = df.join(fit, by).withColumn("_e", F.col(y) - dot("_b", xs, intercept))
     s = r.where(F.col(estu)).groupBy(*by).agg(F.stddev_samp("_e").alias("_s"))
-    return r.join(s, by).withColumn(y, F.col("_e") / F.col("_s")).drop("_b", "_e", "_s")
+    return r.join(s, by).withColumn(y, div(F.col("_e"), F.col("_s"))).drop("_b", "_e", "_s")
 
 
 def size_cubed(df: DataFrame, by: Sequence[str], cap: str, estu: str, name: str = "size_nl") -> DataFrame:
@@ -268,9 +268,9 @@ def size_cubed(df: DataFrame, by: Sequence[str], cap: str, estu: str, name: str
     by = list(by)
     x = df.withColumn("_l", F.log(cap))
     e = x.where(F.col(estu))
-    m = e.groupBy(*by).agg((F.sum(F.col(cap) * F.col("_l")) / F.sum(cap)).alias("_m"))
-    s = e.join(m, by).groupBy(*by, "_m").agg(F.sqrt(F.sum((F.col("_l") - F.col("_m")) * (F.col("_l") - F.col("_m"))) / (F.count("*") - 1)).alias("_s"))
-    z = (F.col("_l") - F.col("_m")) / F.col("_s")
+    m = e.groupBy(*by).agg((div(F.sum(F.col(cap) * F.col("_l")), F.sum(cap))).alias("_m"))
+    s = e.join(m, by).groupBy(*by, "_m").agg(F.sqrt(div(F.sum((F.col("_l") - F.col("_m")) * (F.col("_l") - F.col("_m"))), F.count("*") - 1)).alias("_s"))
+    z = div(F.col("_l") - F.col("_m"), F.col("_s"))
     return x.join(s, by).withColumn(name, z * z * z).drop("_l", "_m", "_s")
 
 

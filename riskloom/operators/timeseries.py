@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as
 
 from riskloom.functions import columns as fc, linalg
 from riskloom.operators.bitemporal import newest
+from riskloom.functions.columns import div
 
 
 def month_index(dt: str) -> Column:
@@ -78,7 +79,7 @@ def pyramid_weight(pos: Column, n: int, newest_ramp: int, oldest_ramp: int) -> C
 def weighted_return(panel: DataFrame, by: Sequence[str], ret: str, weight: str, name: str) -> DataFrame:
     """Weighted mean return of the rows that have one."""
     live = panel.where(F.col(ret).isNotNull())
-    return live.groupBy(*by).agg((F.sum(F.col(weight) * F.col(ret)) / F.sum(weight)).alias(name))
+    return live.groupBy(*by).agg((div(F.sum(F.col(weight) * F.col(ret)), F.sum(weight))).alias(name))
 
 
 def latest(df: DataFrame, keys: Sequence[str], value: str, dt: str = "dt") -> DataFrame:
@@ -169,9 +170,9 @@ def total_return(px: DataFrame, key: str = "asset_id", step: str = "step", look_
     x = x.withColumn("_cd", F.sum(F.coalesce(F.col("dividend"), F.lit(0.0))).over(w.rowsBetween(W.unboundedPreceding, 0)))
     have = F.when(F.col("price") > 0, F.struct("price", "fx", "_cs", "_cd"))
     x = x.withColumn("_p", F.last(have, ignorenulls=True).over(w.rangeBetween(-look_back, -1)))
-    growth = F.col("_cs") / F.col("_p._cs")
+    growth = div(F.col("_cs"), F.col("_p._cs"))
     income = F.col("_cd") - F.col("_p._cd")
-    ret = (F.col("price") * growth + income) * F.col("fx") / (F.col("_p.price") * F.col("_p.fx")) - 1
+    ret = div((F.col("price") * growth + income) * F.col("fx"), F.col("_p.price") * F.col("_p.fx")) - 1
     return x.withColumn("ret", F.when(F.col("price") > 0, ret)).drop("_cs", "_cd", "_p")
 
 
@@ -199,7 +200,7 @@ def excess(ret: DataFrame, ccy_of: DataFrame | None, rf: DataFrame, key: str = "
 def fx_returns(fx: DataFrame, rf: DataFrame, numeraire, ccy: str = "ccy", dt: str = "dt") -> DataFrame:
     """Currency return: rate change plus local less numeraire risk-free return."""
     w = _hist([ccy], dt)
-    r = fx.withColumn("fx_ret", F.col("rate") / F.lag("rate").over(w) - 1)
+    r = fx.withColumn("fx_ret", div(F.col("rate"), F.lag("rate").over(w)) - 1)
     num = rf.where(F.col(ccy) == numeraire).select(dt, F.col("rf").alias("_n"))
     j = r.join(rf.select(ccy, dt, "rf"), [ccy, dt], "left").join(num, dt, "left")
     return j.withColumn("ret", F.col("fx_ret") + F.coalesce("rf", F.lit(0.0)) - F.coalesce("_n", F.lit(0.0))).drop("_n")
@@ -266,7 +267,7 @@ def fill_smooth(df: DataFrame, key: str, ret: str, proxy: str, step: str = "step
     x = x.withColumn("_c", product_over(f, run))
     back = F.when(F.lag(ret).over(w).isNull(), F.coalesce(F.lag("_c").over(w), F.lit(1.0))).otherwise(F.lit(1.0))
     x = x.withColumn("_back", back)
-    out = F.when(F.col(ret).isNotNull(), (1 + F.col(ret)) / F.col("_back") - 1).otherwise(F.col(proxy))
+    out = F.when(F.col(ret).isNotNull(), div(1 + F.col(ret), F.col("_back")) - 1).otherwise(F.col(proxy))
     return x.withColumn("filled", out).drop("_g", "_early", "_c", "_back")
 
 
@@ -333,7 +334,7 @@ def momentum_weighted(df: DataFrame, key: str, ret: str, end: int, n: int, weigh
     wt = weights(F.lit(n) - age, age)
     total = sum_over_positions(weights, n)
     lr = F.log1p(fc.symmetric_clip(F.coalesce(F.col(ret), F.lit(0.0))))
-    return x.groupBy(key).agg((F.exp(F.sum(wt * lr) / total) - 1).alias("momentum"))
+    return x.groupBy(key).agg((F.exp(div(F.sum(wt * lr), total)) - 1).alias("momentum"))
 
 
 def sum_over_positions(weights, n: int) -> Column:
@@ -344,7 +345,7 @@ def sum_over_positions(weights, n: int) -> Column:
 def hist_vol(df: DataFrame, key: str, ret: str, n: int, step: str = "step", name: str = "hist_vol") -> DataFrame:
     """sqrt of the mean squared return over n steps, missing returns as 0."""
     w = last_steps([key], step, n)
-    return df.withColumn(name, F.sqrt(F.sum(F.coalesce(F.col(ret) * F.col(ret), F.lit(0.0))).over(w) / n))
+    return df.withColumn(name, F.sqrt(div(F.sum(F.coalesce(F.col(ret) * F.col(ret), F.lit(0.0))).over(w), n)))
 
 
 def skew(df: DataFrame, key: str, ret: str, n: int, step: str = "step", name: str = "skew") -> DataFrame:
@@ -355,7 +356,7 @@ def skew(df: DataFrame, key: str, ret: str, n: int, step: str = "step", name: st
 def cross_section_vol(df: DataFrame, ret: str, by: Sequence[str], dt: str = "dt", min_share: float = 0.1) -> DataFrame:
     """Standard deviation across assets per date; null where over 90% are zero or missing."""
     v = F.col(ret)
-    live = F.sum(F.when(v.isNotNull() & (v != 0), 1).otherwise(0)) / F.count("*")
+    live = div(F.sum(F.when(v.isNotNull() & (v != 0), 1).otherwise(0)), F.count("*"))
     return df.groupBy(*by, dt).agg(F.when(live >= F.lit(min_share), F.stddev_samp(v)).alias("csv"))
 
 
@@ -372,20 +373,20 @@ def pace_vol(ret: DataFrame, csv: DataFrame, key: str, end: int, n: int, step: s
     wt = exp_weight(F.lit(end) - F.col(step), half_life) if half_life else F.lit(1.0)
     c = c.withColumn("_w", wt).withColumn("_tw", F.sum("_w").over(W.partitionBy()))
     j = ret.join(c.select(step, "csv", "_w", "_tw"), step)
-    return j.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.abs(F.coalesce(F.col("ret"), F.lit(0.0))) / F.col("csv")) / F.max("_tw")).alias("pace_vol"))
+    return j.groupBy(key).agg(F.sqrt(div(F.sum(div(F.col("_w") * F.abs(F.coalesce(F.col("ret"), F.lit(0.0))), F.col("csv"))), F.max("_tw"))).alias("pace_vol"))
 
 
 def relative_strength(ret: DataFrame, key: str, end: int, n: int, smooth: int = 10, step: str = "step") -> DataFrame:
     """1 - 1/(1 + up/down) with weighted products of up and of down returns; no losses give 1."""
-    half = -math.log(2.0) / math.log(1.0 - 2.0 / (smooth + 1.0))
-    total = sum(2.0 ** (-i / half) for i in range(n))
+    half = div(-math.log(2.0), math.log(1.0 - div(2.0, smooth + 1.0)))
+    total = sum(2.0 ** (div(-i, half)) for i in range(n))
     x = ret.where((F.col(step) > end - n) & (F.col(step) <= end))
     wt = exp_weight(F.lit(end) - F.col(step), half) / F.lit(total)
     r = F.coalesce(F.col("ret"), F.lit(0.0))
     up = F.exp(F.sum(F.log1p(F.when(r > 0, r).otherwise(0.0) * wt)))
     down = product_agg(1 + F.when(r < 0, r).otherwise(0.0) * wt)
     losses = F.sum(F.when(r < 0, r).otherwise(0.0))
-    return x.groupBy(key).agg(F.when(losses == 0, F.lit(1.0)).otherwise(1 - 1 / (1 + up / down)).alias("rsi"))
+    return x.groupBy(key).agg(F.when(losses == 0, F.lit(1.0)).otherwise(1 - div(1, 1 + div(up, down))).alias("rsi"))
 
 
 def variance_ratio(df: DataFrame, key: str, ret: str, n: int, q: int, step: str = "step", keep_sig: float = 0.0) -> DataFrame:
@@ -398,14 +399,14 @@ def variance_ratio(df: DataFrame, key: str, ret: str, n: int, q: int, step: str
     x = df.withColumn("_rn", F.row_number().over(W.partitionBy(key).orderBy(F.col(step).desc()))).where(F.col("_rn") <= n)
     x = x.withColumn("_r", F.coalesce(F.col(ret), F.lit(0.0)))
     x = x.withColumn("_q", F.when(F.count("*").over(w.rowsBetween(-q, 0)) == q + 1, product_over(1 + F.col("_r"), w.rowsBetween(-q, 0)) - 1))
-    m = (n - q) * (1.0 - q / (n - 1.0))
+    m = (n - q) * (1.0 - div(q, n - 1.0))
     g = x.groupBy(key).agg(F.count("*").alias("_n"), F.var_samp("_r").alias("v1"), F.var_samp("_q").alias("vq")).where(F.col("_n") == n)
-    v1 = F.col("v1") * ((n - 1.0) / (n - 2.0))
-    vq = F.when(F.col("vq") != 0, F.col("vq")) * ((n - q - 1.0) / m)
-    out = vq / (q * v1) - 1
+    v1 = F.col("v1") * (div(n - 1.0, n - 2.0))
+    vq = F.when(F.col("vq") != 0, F.col("vq")) * (div(n - q - 1.0, m))
+    out = div(vq, q * v1) - 1
     if keep_sig > 0:
-        s = 2.0 * (2.0 * q - 1.0) * (q - 1.0) / (3.0 * q) / (n - 1.0)
-        out = F.when(F.abs(out) / math.sqrt(s) >= keep_sig, out)
+        s = div(div(2.0 * (2.0 * q - 1.0) * (q - 1.0), 3.0 * q), n - 1.0)
+        out = F.when(div(F.abs(out), math.sqrt(s)) >= keep_sig, out)
     return g.select(key, out.alias("variance_ratio"))
 
 
@@ -414,7 +415,7 @@ def high_low(df: DataFrame, key: str, cap: str, n: int, step: str = "step", log_
     w = last_steps([key], step, n)
     c = F.when(F.col(cap) > 0, F.col(cap))
     hi, lo = F.max(c).over(w), F.min(c).over(w)
-    return df.withColumn("high_low", F.log(hi / lo) if log_form else (hi - lo) / (hi + lo))
+    return df.withColumn("high_low", F.log(div(hi, lo)) if log_form else div(hi - lo, hi + lo))
 
 
 def turnover(df: DataFrame, key: str, volume: str, cap: str, n: int, step: str = "step", form: str = "ratio", median: bool = False) -> DataFrame:
@@ -428,7 +429,7 @@ def turnover(df: DataFrame, key: str, volume: str, cap: str, n: int, step: str =
     elif form == "log":
         out = F.log(F.coalesce(vol, F.lit(0.0)) + 1) - F.log(c)
     else:
-        out = vol / c
+        out = div(vol, c)
     return x.withColumn("turnover", F.coalesce(out, F.lit(0.0))).drop("_v")
 
 
@@ -436,19 +437,19 @@ def amihud(df: DataFrame, key: str, ret: str, volume: str, cap: str, n: int, ste
     """1 / mean(abs(r) / (volume / cap)) over the steps with volume, cap as of each row."""
     w = last_steps([key], step, n)
     # today's cap is constant inside the window, so it factors out of the mean
-    x = F.when(F.col(volume) > 0, F.abs(F.col(ret)) / F.col(volume))
+    x = F.when(F.col(volume) > 0, div(F.abs(F.col(ret)), F.col(volume)))
     mean = F.avg(x).over(w)
     c = F.when(F.col(cap) > 0, F.col(cap))
-    return df.withColumn("amihud", F.when(mean > 0, 1 / (mean * c)))
+    return df.withColumn("amihud", F.when(mean > 0, div(1, mean * c)))
 
 
 def volume_beta(df: DataFrame, key: str, volume: str, step: str = "step", weight: str | None = None) -> DataFrame:
     """Slope of relative volume changes on the market's mean relative change."""
     w = _hist([key], step)
     v = F.when(F.col(volume) > 0, F.col(volume))
-    x = df.withColumn("_c", v / F.lag(v).over(w) - 1)
+    x = df.withColumn("_c", div(v, F.lag(v).over(w)) - 1)
     wt = F.col(weight) if weight else F.lit(1.0)
-    m = x.groupBy(step).agg((F.sum(F.coalesce("_c", F.lit(0.0)) * wt) / F.sum(wt)).alias("_m"))
+    m = x.groupBy(step).agg((div(F.sum(F.coalesce("_c", F.lit(0.0)) * wt), F.sum(wt))).alias("_m"))
     return x.join(m, step).where("_c is not null").groupBy(key).agg(F.regr_slope("_c", "_m").alias("volume_beta"))
 
 
@@ -461,7 +462,7 @@ def return_scores(df: DataFrame, key: str, end: int, n: int, min_steps: int, ste
     cnt = lambda *ks: F.sum(F.when(F.col(kind).isin(*ks), 1).otherwise(0))
     valid = F.lit(n) - cnt("pre_ipo", "non_trading")
     g = x.groupBy(key).agg(valid.alias("valid"), cnt("illiquid").alias("_i"), cnt("zero").alias("_z"))
-    share = lambda bad: F.when(F.col("valid") < min_steps, 0.0).otherwise((F.col("valid") - bad) / F.col("valid"))
+    share = lambda bad: F.when(F.col("valid") < min_steps, 0.0).otherwise(div(F.col("valid") - bad, F.col("valid")))
     return g.select(key, "valid", share(F.col("_i")).alias("non_missing"), share(F.col("_z")).alias("non_zero"))
 
 
@@ -506,9 +507,9 @@ def units(df: DataFrame, keys: Sequence[str], value: str, how: str, per_year: in
     x = F.col(value)
     p, y = F.lag(value).over(w), F.lag(value, per_year).over(w)
     forms = {
-        "lin": x, "chg": x - p, "ch1": x - y, "pch": (x / p - 1) * 100, "pc1": (x / y - 1) * 100,
-        "pca": (F.pow(x / p, F.lit(float(per_year))) - 1) * 100, "cch": F.log(x / p) * 100,
-        "cca": F.log(x / p) * 100 * per_year, "log": F.log(x),
+        "lin": x, "chg": x - p, "ch1": x - y, "pch": (div(x, p) - 1) * 100, "pc1": (div(x, y) - 1) * 100,
+        "pca": (F.pow(div(x, p), F.lit(float(per_year))) - 1) * 100, "cch": F.log(div(x, p)) * 100,
+        "cca": F.log(div(x, p)) * 100 * per_year, "log": F.log(x),
     }
     return df.withColumn(name or how, forms[how])
 
@@ -523,15 +524,15 @@ def stationary(df: DataFrame, keys: Sequence[str], value: str, how: str, dt: str
     if how == "lin":
         return df.withColumn("level", x).withColumn("change", x - F.lag(value).over(w))
     if how == "geomlog":
-        return df.withColumn("level", F.log(x)).withColumn("change", F.log(x / F.lag(value).over(w)))
+        return df.withColumn("level", F.log(x)).withColumn("change", F.log(div(x, F.lag(value).over(w))))
     if how == "yoy":
         # level_t = level_{t-12} (1 + x_t): running products of every twelfth element
         d = df.withColumn("_rn", F.row_number().over(w))
         d = d.withColumn("_f", F.when(F.col("_rn") > year, 1 + x * 0.01).otherwise(F.lit(1.0))).withColumn("_p", F.col("_rn") % year)
         lane = W.partitionBy(*keys, "_p").orderBy(dt).rowsBetween(W.unboundedPreceding, 0)
         d = d.withColumn("level", product_over(F.col("_f"), lane)).drop("_rn", "_f", "_p")
-        return d.withColumn("change", F.col("level") / F.lag("level").over(w) - 1)
-    d = df.withColumn("level", x).withColumn("change", x / F.lag(value).over(w) - 1)
+        return d.withColumn("change", div(F.col("level"), F.lag("level").over(w)) - 1)
+    d = df.withColumn("level", x).withColumn("change", div(x, F.lag(value).over(w)) - 1)
     if how == "geom2":
         d = d.withColumn("change", F.col("change") - F.lag("change").over(w))
     return d
@@ -556,7 +557,7 @@ def interpolate(df: DataFrame, key: str, value: str, dt: str = "dt", daily: bool
     x = df.withColumn("_p", F.last(point, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
     x = x.withColumn("_n", F.first(point, ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)))
     gap = F.datediff(F.col("_n.d"), F.col("_p.d"))
-    line = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * F.datediff(F.col(dt), F.col("_p.d")) / gap
+    line = F.col("_p.v") + div((F.col("_n.v") - F.col("_p.v")) * F.datediff(F.col(dt), F.col("_p.d")), gap)
     out = F.coalesce(F.col(value), F.when(gap > 0, line), F.col("_p.v"), F.col("_n.v"))
     return x.withColumn(value, out).drop("_p", "_n")
 
@@ -570,7 +571,7 @@ def trim(df: DataFrame, keys: Sequence[str], value: str, q: float, history: bool
     w = W.partitionBy(*keys)
     x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     x = x.withColumn("_n", F.count("*").over(w)).withColumn("_i", F.row_number().over(w.orderBy("_v")) - 1)
-    share = F.greatest(F.lit(q), 1.0 / (F.col("_n") - 2))
+    share = F.greatest(F.lit(q), div(1.0, F.col("_n") - 2))
     aggs = []
     for name, p in (("_lo", share), ("_hi", 1 - share)):
         x = x.withColumn(f"{name}p", F.greatest(F.lit(0.0), F.least(p, F.lit(1.0))) * (F.col("_n") - 1))
@@ -616,7 +617,7 @@ def index_return(df: DataFrame, keys: Sequence[str], value: str, dt: str = "dt")
     """level / previous level - 1, skipping missing levels."""
     w = _hist(keys, dt)
     prev = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
-    return df.withColumn("ret", F.col(value) / prev - 1)
+    return df.withColumn("ret", div(F.col(value), prev) - 1)
 
 
 def roll_actions(actions: DataFrame, calendar: DataFrame, market: str, key: str, dt: str = "dt") -> DataFrame:

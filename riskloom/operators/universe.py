@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from riskloom.operators import cleaning as cl, timeseries as ts
 from riskloom.operators.ranks import running_by_rank
 from riskloom.session import stored
+from riskloom.functions.columns import div
 
 
 def exclude_by_cap_rank(univ: DataFrame, by: Sequence[str], key: str, cap: str, lower: float = 25.0, upper: float = 100.0, min_width: float = 10.0) -> DataFrame:
@@ -19,7 +20,7 @@ def exclude_by_cap_rank(univ: DataFrame, by: Sequence[str], key: str, cap: str,
     target = (upper - lower) / 100.0
     x = univ.withColumn("_root", F.sqrt(cap))
     r = running_by_rank(x, by, cap, key, {"_run": cap, "_rr": "_root"})
-    width = F.col("_rr_total") * F.col("_rr_total") / F.col("_run_total")
+    width = div(F.col("_rr_total") * F.col("_rr_total"), F.col("_run_total"))
     keep = (width <= min_width) | (F.col("_run") - F.col(cap) < F.lit(target) * F.col("_run_total"))
     return r.where(keep).drop("_root", "_run", "_run_total", "_rr", "_rr_total", "n", "rank")
 
@@ -67,14 +68,14 @@ def pump_up(univ: DataFrame, by: Sequence[str], key: str, cap: str, member: str,
     now = univ.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(F.col(member), root)), F.lit(0.0)).alias("_s1"), F.coalesce(F.sum(F.when(F.col(member), F.col(cap))), F.lit(0.0)).alias("_s2")
     )
-    width = lambda a, b: F.when(b > 0, a * a / b).otherwise(0.0)
+    width = lambda a, b: F.when(b > 0, div(a * a, b)).otherwise(0.0)
     thin = now.withColumn("_w0", width(F.col("_s1"), F.col("_s2"))).where(F.col("_w0") < min_width)
     spare = univ.where(~F.col(member)).withColumn("_root", root).join(thin, by)
     r = running_by_rank(spare, by, cap, key, {"_r1": "_root", "_r2": cap})
     r = r.withColumn("width", width(F.col("_s1") + F.col("_r1"), F.col("_s2") + F.col("_r2")))
     before = width(F.col("_s1") + F.col("_r1") - F.col("_root"), F.col("_s2") + F.col("_r2") - F.col(cap))
     r = r.withColumn("_prev", F.when(F.col("rank") == 1, F.col("_w0")).otherwise(before))
-    stop = (F.col("width") >= min_width) | ((F.col("_prev") != 0) & (F.col("width") / F.col("_prev") - 1 < cut_off))
+    stop = (F.col("width") >= min_width) | ((F.col("_prev") != 0) & (div(F.col("width"), F.col("_prev")) - 1 < cut_off))
     last = r.groupBy(*by).agg(F.coalesce(F.min(F.when(stop, F.col("rank"))), F.max("rank")).alias("_last"))
     return r.join(last, by).where(F.col("rank") <= F.col("_last")).select(*by, key, "rank", "width")
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from riskloom.operators import fundamentals as fu, timeseries as ts
 from riskloom.session import cut
+from riskloom.functions.columns import div
 
 SQL_VIEWS: dict[str, tuple[str, str]] = {
     # name: (views it needs, text)
@@ -195,7 +196,7 @@ class Views:
                 F.round(F.sum("l_extendedprice"), 2).alias("mcap"),
                 F.sum("l_quantity").alias("volume"),
                 F.count("*").alias("n"),
-                (F.round(F.sum("l_extendedprice"), 2) / F.sum("l_quantity")).alias("price"),
+                (div(F.round(F.sum("l_extendedprice"), 2), F.sum("l_quantity"))).alias("price"),
             )
             .withColumn("mi", ts.month_index("dt"))
         )
@@ -210,7 +211,7 @@ class Views:
         return (
             self._monthly("l_suppkey")
             .join(places, "asset_id")
-            .withColumn("ret", F.col("price") / F.lag("price").over(w) - 1)
+            .withColumn("ret", div(F.col("price"), F.lag("price").over(w)) - 1)
             .withColumn("lag_mcap", F.lag("mcap").over(w))
         )
 
@@ -226,7 +227,7 @@ class Views:
             .drop("n")
             .join(kinds, "asset_id")
             .withColumn("issuer", F.floor(F.col("asset_id") / 4))
-            .withColumn("ret", F.col("price") / F.lag("price").over(w) - 1)
+            .withColumn("ret", div(F.col("price"), F.lag("price").over(w)) - 1)
         )
 
     @cached_property
@@ -301,9 +302,9 @@ class Views:
             self.panel.select(
                 "asset_id", "dt", "mi", "mcap", "country", "region", "ret",
                 F.round(F.log("mcap"), 12).alias("size_raw"),
-                F.round(F.col("price") / F.lag("price", 6).over(w) - 1, 12).alias("mom_raw"),
+                F.round(div(F.col("price"), F.lag("price", 6).over(w)) - 1, 12).alias("mom_raw"),
                 F.round(F.sqrt(F.avg(F.col("ret") * F.col("ret")).over(year)), 12).alias("vol_raw"),
-                F.round(F.log(F.col("volume") / F.avg("volume").over(year)), 12).alias("turn_raw"),
+                F.round(F.log(div(F.col("volume"), F.avg("volume").over(year))), 12).alias("turn_raw"),
             )
             .where("mom_raw is not null and ret is not null")
         )
@@ -314,19 +315,19 @@ class Views:
         raw = {"size": "size_raw", "momentum": "mom_raw", "volatility": "vol_raw", "turnover": "turn_raw"}
         # sums of squares about the weighted mean need the mean first: two small aggregates
         mean = self.descr.groupBy("dt").agg(
-            *[(F.sum(F.col("mcap") * F.col(c)) / F.sum("mcap")).alias(f"m_{n}") for n, c in raw.items()]
+            *[(div(F.sum(F.col("mcap") * F.col(c)), F.sum("mcap"))).alias(f"m_{n}") for n, c in raw.items()]
         )
         d = self.descr.join(mean, "dt")
         std = d.groupBy("dt").agg(
             F.count("*").alias("_n"),
             *[
-                F.sqrt(F.sum((F.col(c) - F.col(f"m_{n}")) * (F.col(c) - F.col(f"m_{n}"))) / (F.count("*") - 1)).alias(f"s_{n}")
+                F.sqrt(div(F.sum((F.col(c) - F.col(f"m_{n}")) * (F.col(c) - F.col(f"m_{n}"))), F.count("*") - 1)).alias(f"s_{n}")
                 for n, c in raw.items()
             ],
         ).where("_n > 1")
         return d.join(std, "dt").select(
             "asset_id", "dt", "mi", "mcap", F.sqrt("mcap").alias("root_cap"), "country", "region", "ret",
-            *[F.round((F.col(c) - F.col(f"m_{n}")) / F.col(f"s_{n}"), 12).alias(n) for n, c in raw.items()],
+            *[F.round(div(F.col(c) - F.col(f"m_{n}"), F.col(f"s_{n}")), 12).alias(n) for n, c in raw.items()],
         )
 
     @cached_property
@@ -344,8 +345,8 @@ class Views:
         det = F.col("xx") * F.col("zz") - F.col("xz") * F.col("xz")
         out = s.select(
             "dt", "mi",
-            ((F.col("xr") * F.col("zz") - F.col("zr") * F.col("xz")) / det).alias("f_size"),
-            ((F.col("zr") * F.col("xx") - F.col("xr") * F.col("xz")) / det).alias("f_mom"),
+            (div(F.col("xr") * F.col("zz") - F.col("zr") * F.col("xz"), det)).alias("f_size"),
+            (div(F.col("zr") * F.col("xx") - F.col("xr") * F.col("xz"), det)).alias("f_mom"),
         )
         return cut(out)
 
@@ -371,7 +372,7 @@ class Views:
     def spec_risk(self) -> DataFrame:
         """Annual specific variance per asset, assets with three returns or more."""
         return self.specific.groupBy("asset_id").agg(
-            (12 * F.sum(F.col("sret") * F.col("sret")) / F.count("*")).alias("svar"), F.count("*").alias("nobs")
+            (div(12 * F.sum(F.col("sret") * F.col("sret")), F.count("*"))).alias("svar"), F.count("*").alias("nobs")
         ).where("nobs > 2")
 
     @cached_property
@@ -385,7 +386,7 @@ class Views:
         """Brand portfolios: part weights by value inside a brand and month."""
         total = self.sparse.groupBy("industry", "dt").agg(F.sum("mcap").alias("_t"))
         return self.sparse.join(total, ["industry", "dt"]).select(
-            F.col("industry").alias("name"), "asset_id", "dt", "mi", "mcap", (F.col("mcap") / F.col("_t")).alias("weight")
+            F.col("industry").alias("name"), "asset_id", "dt", "mi", "mcap", (div(F.col("mcap"), F.col("_t"))).alias("weight")
         )
 
     @cached_property
@@ -393,5 +394,5 @@ class Views:
         """Country portfolios of suppliers in the last month."""
         total = self.latest_exp.groupBy("country").agg(F.sum("mcap").alias("_t"))
         return self.latest_exp.join(total, "country").select(
-            F.col("country").alias("name"), "region", "asset_id", (F.col("mcap") / F.col("_t")).alias("weight")
+            F.col("country").alias("name"), "region", "asset_id", (div(F.col("mcap"), F.col("_t"))).alias("weight")
         )

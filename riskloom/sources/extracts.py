@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from riskloom.operators.bitemporal import as_of_item, valid_on
 from riskloom.operators.joins import anti_by_change
+from riskloom.functions.columns import div
 
 
 def save(df: DataFrame, path: str, sep: str = "|", partition_by: Sequence[str] = ()) -> None:
@@ -44,7 +45,7 @@ def correlation(cov: DataFrame) -> DataFrame:
     d = cov.where("f1 = f2").select(F.col("f1").alias("f"), F.col("value").alias("v"))
     j = cov.join(d.withColumnsRenamed({"f": "f1", "v": "variance"}), "f1").join(d.withColumnsRenamed({"f": "f2", "v": "_v2"}), "f2")
     return j.select(
-        "f1", "f2", (F.col("value") / F.sqrt(F.col("variance") * F.col("_v2"))).alias("corr"), "variance", F.sqrt("variance").alias("risk")
+        "f1", "f2", (div(F.col("value"), F.sqrt(F.col("variance") * F.col("_v2")))).alias("corr"), "variance", F.sqrt("variance").alias("risk")
     )
 
 
@@ -89,7 +90,7 @@ def asset_attributes(panel: DataFrame, adv_steps: int = 20, key: str = "asset_id
     return panel.select(
         key, dt, "price", "mcap",
         F.avg("volume").over(w.rowsBetween(1 - adv_steps, 0)).alias("adv"),
-        (F.col("price") / F.lag("price").over(w) - 1).alias("ret"),
+        (div(F.col("price"), F.lag("price").over(w)) - 1).alias("ret"),
         F.coalesce(F.col("price") == F.lag("price").over(w), F.lit(False)).alias("rolled"),
     )
 
@@ -124,7 +125,7 @@ def period_returns(cum: DataFrame, dates: DataFrame, key: str = "asset_id", valu
     """Return between consecutive chosen dates: ratio of cumulative values less 1."""
     d = cum.join(dates.select("dt").distinct(), "dt", "left_semi")
     w = W.partitionBy(key).orderBy("dt")
-    return d.select(key, "dt", (F.col(value) / F.lag(value).over(w) - 1).alias(name)).where(F.col(name).isNotNull())
+    return d.select(key, "dt", (div(F.col(value), F.lag(value).over(w)) - 1).alias(name)).where(F.col(name).isNotNull())
 
 
 def with_layout(df: DataFrame, layout: Sequence[tuple[str, str]]) -> DataFrame:
