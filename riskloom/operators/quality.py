@@ -286,7 +286,7 @@ def id_duplicates(ids: DataFrame, identifier: str, key: str) -> DataFrame:
 
     own = merge_intervals(ids.select(identifier, key, "from_dt", "thru_dt"), [identifier, key])
     ev = own.select(identifier, F.col("from_dt").alias("at"), F.lit(1).alias("_s")).unionByName(own.select(identifier, F.col("thru_dt").alias("at"), F.lit(-1).alias("_s")))
-    ev = ev.groupBy(identifier, "at").agg(F.sum("_s").alias("_s"))
+    ev = ev.groupBy(identifier, "at").agg(F.sum("_s").alias("_s")).where("_s <> 0")
     w = W.partitionBy(identifier).orderBy("at")
     run = F.sum("_s").over(w.rowsBetween(W.unboundedPreceding, 0))
     x = ev.select(identifier, F.col("at").alias("from_dt"), F.lead("at").over(w).alias("thru_dt"), run.alias("n_assets"))

@@ -135,7 +135,9 @@ def reg_stats(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str, w: st
     k = len(names)
     fit = wls(df, by, xs, y, w, intercept).withColumn("inv", inverse_sym("xtx"))
     explained = F.aggregate(F.zip_with("coef", "xty", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    sse = F.greatest(F.col("yty") - explained, F.lit(0.0))
+    # a residual sum that is rounding noise is a perfect fit
+    left = F.col("yty") - explained
+    sse = F.when(left > F.lit(1e-12) * F.col("yty"), left).otherwise(F.lit(0.0))
     sst = F.col("yty") - (div(F.col("sy") * F.col("sy"), F.col("sw")) if intercept else F.lit(0.0))
     dof = F.col("n") - k + constraints
     fit = fit.withColumns({"_sse": sse, "_dof": dof, "r2": 1 - div(sse, sst)})
@@ -256,6 +258,7 @@ def alpha_and_residual_vol(df: DataFrame, key: str, ret: str, market: str, dof:
     """Intercept, slope and residual deviation of a market model, all from sums."""
     sse = F.regr_syy(F.col(ret), F.col(market)) - F.regr_sxy(F.col(ret), F.col(market)) * F.regr_slope(F.col(ret), F.col(market))
     n = F.regr_count(F.col(ret), F.col(market))
+    sse = F.when(sse > F.lit(1e-12) * F.regr_syy(F.col(ret), F.col(market)), sse).otherwise(F.lit(0.0))
     return df.groupBy(key).agg(
         F.regr_intercept(F.col(ret), F.col(market)).alias("alpha"), F.regr_slope(F.col(ret), F.col(market)).alias("beta"),
         F.sqrt(div(F.greatest(sse, F.lit(0.0)), F.when(n > dof, n - dof))).alias("resid_vol"),

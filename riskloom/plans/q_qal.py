@@ -239,8 +239,8 @@ def _(v):
 
 
 @query("qal19_identifier_duplicates", "validity", """
-WITH i AS (SELECT id - id % 3 AS ticker, id, from_dt, LEAST(thru_dt, from_dt + 60) AS thru_dt FROM validity), e AS (SELECT ticker, at, SUM(s) AS s FROM (SELECT ticker, from_dt AS at, 1 AS s FROM i UNION ALL SELECT ticker, thru_dt, -1 FROM i) u GROUP BY 1, 2),
-r AS (SELECT ticker, at AS from_dt, LEAD(at) OVER w AS thru_dt, SUM(s) OVER w AS n FROM e WINDOW w AS (PARTITION BY ticker ORDER BY at)),
+WITH i AS (SELECT id - id % 3 AS ticker, id, from_dt, LEAST(thru_dt, from_dt + 60) AS thru_dt FROM validity), e AS (SELECT ticker, d, SUM(s) AS s FROM (SELECT ticker, from_dt AS d, 1 AS s FROM i UNION ALL SELECT ticker, thru_dt, -1 FROM i) u GROUP BY 1, 2 HAVING SUM(s) <> 0),
+r AS (SELECT ticker, d AS from_dt, LEAD(d) OVER w AS thru_dt, SUM(s) OVER w AS n FROM e WINDOW w AS (PARTITION BY ticker ORDER BY d)),
 k AS (SELECT ticker, from_dt, thru_dt, n, LAG(n) OVER (PARTITION BY ticker ORDER BY from_dt) AS pn FROM r) SELECT ticker, from_dt, thru_dt, CAST(n AS BIGINT) AS n_assets FROM k WHERE n > 1 AND from_dt < thru_dt""")
 def _(v):
     ids = v.validity.select((F.col("id") - F.col("id") % 3).alias("ticker"), "id", "from_dt", F.least("thru_dt", F.date_add("from_dt", 60)).alias("thru_dt"))

@@ -62,12 +62,12 @@ def _(v):
 
 _SIMPLE = """s AS (SELECT p.asset_id, COUNT(*) AS n, regr_slope(p.ret, m.mret) AS b, regr_intercept(p.ret, m.mret) AS a, regr_sxx(p.ret, m.mret) AS sxx, regr_syy(p.ret, m.mret) AS syy, AVG(m.mret) AS mx
  FROM panel p JOIN market m ON p.region = m.region AND p.mi = m.mi WHERE p.ret IS NOT NULL GROUP BY 1),
-e AS (SELECT *, syy - b * b * sxx AS sse FROM s)"""
+e AS (SELECT *, CASE WHEN syy - b * b * sxx > 1e-12 * syy THEN syy - b * b * sxx ELSE 0 END AS sse FROM s)"""
 
 
 @query("reg05_reg_stats", "panel market", "WITH " + _SIMPLE + """,
 t AS (SELECT asset_id, 'mret' AS term, b AS coef, sqrt(sse / (n - 2) / sxx) AS se, n, 1 - sse / syy AS r2 FROM e UNION ALL SELECT asset_id, 'intercept', a, sqrt(sse / (n - 2) * (1.0::DOUBLE / n + mx * mx / sxx)), n, 1 - sse / syy FROM e)
-SELECT asset_id, term, ROUND(coef, 6) AS coef, ROUND(se, 6) AS se, n, ROUND(r2, 6) AS r2, ROUND(GREATEST(0, 1 - (1 - r2) * (n - 1) / (n - 2)), 6) AS adj_r2, ROUND(coef / se, 6) AS t FROM t""")
+SELECT asset_id, term, ROUND(coef, 6) AS coef, ROUND(se, 6) AS se, n, ROUND(r2, 6) AS r2, ROUND(GREATEST(0, 1 - (1 - r2) * (n - 1) / (n - 2)), 6) AS adj_r2, ROUND(coef / NULLIF(se, 0), 6) AS t FROM t""")
 def _(v):
     s = rg.reg_stats(asset_market(v), ["asset_id"], ["mret"], "ret", with_p=False)
     return _r(s.select("asset_id", "term", "coef", "se", "n", "r2", "adj_r2", "t"), ["coef", "se", "r2", "adj_r2", "t"])
@@ -115,7 +115,7 @@ def _(v):
 
 @query("reg08_historic_beta", "panel market", f"""
 WITH s AS (SELECT p.asset_id, COUNT(*) AS n, regr_slope(COALESCE(p.ret, m.mret), m.mret) AS b, regr_intercept(COALESCE(p.ret, m.mret), m.mret) AS a, regr_sxx(COALESCE(p.ret, m.mret), m.mret) AS sxx, regr_syy(COALESCE(p.ret, m.mret), m.mret) AS syy FROM panel p JOIN market m ON p.region = m.region AND p.mi = m.mi WHERE p.mi > {END} - 60 AND p.mi <= {END} GROUP BY 1)
-SELECT asset_id, ROUND(b, 6) AS beta, ROUND(a, 6) AS alpha, ROUND(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 6) AS t_beta, ROUND(b * b * sxx / syy, 6) AS r2, n FROM s""")
+SELECT asset_id, ROUND(b, 6) AS beta, ROUND(a, 6) AS alpha, ROUND(b / NULLIF(sqrt(CASE WHEN syy - b * b * sxx > 1e-12 * syy THEN syy - b * b * sxx ELSE 0 END / (n - 2) / sxx), 0), 6) AS t_beta, ROUND(b * b * sxx / syy, 6) AS r2, n FROM s""")
 def _(v):
     x = v.panel.select("asset_id", "region", "mi", "ret")
     out = rg.historic_beta(x, v.market, "asset_id", "region", "mi", END, 60, with_p=False)
