@@ -69,18 +69,23 @@ def valid_on(
     how: str = "inner",
     from_col: str = "from_dt",
     thru_col: str = "thru_dt",
-    first_year: int = 1900,
-    last_year: int = 2100,
+    first_year: int | None = None,
+    last_year: int | None = None,
 ) -> DataFrame:
     """Attribute in force: ``from <= dt < thru``.
 
     Joined on the keys and the calendar year, so the work of one hot key is split by year
-    and no inequality-only join is planned.
+    and no inequality-only join is planned. An interval is repeated only for years in which
+    a date asks for it: the given years, or those of the dates (one row, aggregated first).
     """
     keys = list(keys)
-    iv = intervals.withColumn(
-        "_y", F.explode(_years(F.col(from_col), F.col(thru_col), F.lit(first_year), F.lit(last_year)))
-    ).withColumnsRenamed({from_col: "_from", thru_col: "_thru", **{k: f"_k_{k}" for k in keys}})
+    if first_year is None or last_year is None:
+        span = dates.agg(F.min(F.year(dt)).alias("_y0"), F.max(F.year(dt)).alias("_y1")).withColumn("_one", F.lit(1))
+        bounded = intervals.withColumn("_one", F.lit(1)).join(span, "_one").drop("_one")
+        lo, hi = F.col("_y0"), F.col("_y1")
+    else:
+        bounded, lo, hi = intervals, F.lit(first_year), F.lit(last_year)
+    iv = bounded.withColumn("_y", F.explode(_years(F.col(from_col), F.col(thru_col), lo, hi))).drop("_y0", "_y1").withColumnsRenamed({from_col: "_from", thru_col: "_thru", **{k: f"_k_{k}" for k in keys}})
     d = dates.withColumn("_yd", F.year(dt))
     on = (F.col("_yd") == F.col("_y")) & (F.col("_from") <= F.col(dt)) & (F.col(dt) < F.col("_thru"))
     for k in keys:
