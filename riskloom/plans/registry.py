@@ -8,6 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.plans.views import Views, with_views
+from riskloom.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,7 +21,12 @@ def query(name: str, views: str = "", sql: str | None = None):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(Views(spark, sf_dir))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(Views(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = with_views(views.split(), sql)
         return fn
