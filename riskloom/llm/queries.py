@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import exact_dedup, ogg, pii
+from riskloom.llm import exact_dedup, language, ogg, packing, pii, token_files
 from riskloom.llm.common import Scratch, table
 from riskloom.session import ship
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; it is the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -23,6 +30,22 @@ def query(fn):
     return fn
 
 
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.keyed_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), spark, Scratch(spark))
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), Scratch(spark))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"), Scratch(spark))
