@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import exact_dedup, language, ogg, packing, pii, token_files
+from riskloom.llm import bpe, exact_dedup, language, ogg, packing, pii, token_files
 from riskloom.llm.common import Scratch, table
 from riskloom.session import ship
 
@@ -30,6 +30,13 @@ def query(fn):
     return fn
 
 
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.keyed_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), spark, Scratch(spark))
