@@ -7,6 +7,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.session import shared_dir
 
@@ -16,6 +17,8 @@ BASE, STEP = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 #: Bytes hashed at a time; arrays of eight bytes for each of them are held.
 CHUNK = 1 << 20
 WORDS_PER_SHINGLE = 5
+#: Groups that are joined by broadcast: those with a share of 1 / MOST_HOT of all rows, and LEAST_HOT rows.
+MOST_HOT, LEAST_HOT = 10_000, 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,3 +153,16 @@ def shingle_sets(column: pa.Array, k: int = WORDS_PER_SHINGLE, most_bytes: int =
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 yield np.unique(shingle_hashes(words[a:b], k))
             i = j
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with one row a group, ``size`` being the group's rows and ``total`` all rows.
+
+    Groups of at least a ten-thousandth of all rows number ten thousand at most; they are broadcast, so
+    that no hot key meets in one task. The rest is an ordinary join. ``groups`` should be a written table.
+    """
+    hot = groups.filter(F.col(size) * MOST_HOT >= total).filter(F.col(size) >= LEAST_HOT)
+    cold = groups.filter((F.col(size) * MOST_HOT < total) | (F.col(size) < LEAST_HOT))
+    few = F.broadcast(hot)
+    names = F.broadcast(hot.select(key))
+    return rows.join(few, key).unionByName(rows.join(names, key, "left_anti").join(cold, key))

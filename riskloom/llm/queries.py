@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, language, ogg, packing, pii, token_files
+from riskloom.llm import bpe, exact_dedup, language, ngram_join, ogg, packing, pii, token_files
 from riskloom.llm.common import Scratch, table
 from riskloom.session import ship
 
@@ -30,6 +30,11 @@ def query(fn):
     return fn
 
 
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
