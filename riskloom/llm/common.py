@@ -19,6 +19,8 @@ CHUNK = 1 << 20
 WORDS_PER_SHINGLE = 5
 #: Groups that are joined by broadcast: those with a share of 1 / MOST_HOT of all rows, and LEAST_HOT rows.
 MOST_HOT, LEAST_HOT = 10_000, 32
+#: Keys that a semi-join broadcasts at most.
+MOST_SENT = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in pieces of a few rows, so that little of a batch is held as Python objects."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
+def semi(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key is among ``wanted`` (one column, distinct, a written table), null counting as a
+    value. Up to ``MOST_SENT`` wanted keys are broadcast; beyond that both sides are shuffled."""
+    other = wanted.columns[0]
+    side = F.broadcast(wanted) if wanted.count() <= MOST_SENT else wanted
+    return rows.join(side, rows[key].eqNullSafe(side[other]), "left_semi")
+
+
 class Scratch:
     """Tables written under the shared folder, to be read by several later jobs and then dropped."""
 
@@ -85,15 +102,17 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased (A-Z) words of all texts, in order, and the n + 1 offsets of the texts' words.
+def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased (A-Z) words of all texts, in order, the n + 1 offsets of the texts'
+    words, and the first byte and the end of each word.
 
     Words are runs of bytes other than blank and 9 to 13. Long inputs are hashed in chunks cut at
     white space, so memory stays bounded but for a single word longer than a chunk.
     """
     n = len(raw)
     if not n:
-        return np.zeros(0, U), np.zeros(len(off), np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, U), np.zeros(len(off), np.int64), none, none
     gap = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.zeros(n + 1, bool)
     edge[off] = True
@@ -119,7 +138,7 @@ def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
         s, e = starts[k:m] - base, ends[k:m] - base
         out[k:m] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U) * STEP)
         k = m
-    return out, np.searchsorted(starts, off)
+    return out, np.searchsorted(starts, off), starts, ends
 
 
 def _lower(part: np.ndarray) -> np.ndarray:
@@ -149,7 +168,7 @@ def shingle_sets(column: pa.Array, k: int = WORDS_PER_SHINGLE, most_bytes: int =
     with np.errstate(over="ignore"):
         while i < len(off) - 1:
             j = max(i + 1, int(np.searchsorted(off, off[i] + most_bytes, side="right")) - 1)
-            words, at = word_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+            words, at, _, _ = word_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i])
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 yield np.unique(shingle_hashes(words[a:b], k))
             i = j

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Scratch, attach, mix, shingle_sets
+from riskloom.llm.common import Scratch, attach, mix, semi, shingle_sets
 from riskloom.llm.count_tree import point
 from riskloom.llm.near import connect
 
@@ -187,7 +187,7 @@ def link(docs: DataFrame, scratch: Scratch, k: int = 5) -> DataFrame:
     lists = blocks(docs, seed, buckets, told).groupBy("bucket").applyInArrow(_lists, "list bigint, node bigint").distinct()
 
     def texts(wanted: DataFrame) -> DataFrame:
-        return node_texts(docs, nodes.join(wanted, "node").select("node", "doc"), seed)
+        return node_texts(docs, nodes.join(wanted, "node").select("node", "doc"), seed, scratch)
 
     roots = connect(lists, nodes.select("node", "point"), texts, scratch)
     joined = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -198,7 +198,7 @@ def link(docs: DataFrame, scratch: Scratch, k: int = 5) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def node_texts(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
+def node_texts(docs: DataFrame, wanted: DataFrame, seed: int, scratch: Scratch) -> DataFrame:
     """(node, text), once each, for wanted (node, doc): a text is found by its document and known by its key."""
 
     def run(batches):
@@ -206,7 +206,6 @@ def node_texts(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
             keys = [set_keys(s, seed)[0] for s in shingle_sets(b.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), b.column("text")], names=["node", "text"])
 
-    owners = wanted.select("doc").distinct()
-    found = docs.join(owners, docs.doc_id.eqNullSafe(owners.doc), "left_semi").select("text")
+    found = semi(docs, "doc_id", scratch.keep(wanted.select("doc").distinct())).select("text")
     keyed = found.mapInArrow(run, "node bigint, text string")
     return keyed.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, html_crf, language, ngram_join, ogg, packing, pii, token_files
+from riskloom.llm import bpe, exact_dedup, html_crf, language, ngram_join, ogg, packing, pii, substring_dedup, token_files
 from riskloom.llm.common import Scratch, table
 from riskloom.session import ship
 
@@ -35,6 +35,11 @@ def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract(table(spark, sf_dir, "pages"), html_crf.train())
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"), Scratch(spark))
