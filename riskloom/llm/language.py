@@ -15,14 +15,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import slices
+
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
 #: Documents to learn from in each language, on average (they are chosen by a hash of their id), the
 #: fewest times that a word or n-gram must occur to be known, and the most entries of the model.
-SAMPLE, LEAST, MOST = 3000, 3, 300_000
+SAMPLE, LEAST, MOST = 3000, 3, 120_000
 #: Words that a Python worker keeps with their scores.
-KEPT = 300_000
+KEPT = 120_000
 SMOOTHING = 0.5
 
 
@@ -39,7 +41,7 @@ def _grams(word: str, n: int):
 def _count(batches):
     """(lang, order, gram, n) of a task: words as order 0, n-grams of the task's distinct words."""
     words: dict[str, Counter] = {}
-    for b in batches:
+    for b in slices(batches):
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
             words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
     for lang, counts in words.items():
@@ -56,24 +58,25 @@ class Model:
     def __init__(self, languages: list[str], rows: list[tuple[int, str, str, int]]):
         self.languages = languages
         at = {x: i for i, x in enumerate(languages)}
-        counts: dict[int, dict[str, np.ndarray]] = {}
+        self.rows: dict[int, dict[str, int]] = {}
+        for n, gram, _, _ in rows:
+            known = self.rows.setdefault(n, {})
+            known.setdefault(gram, len(known))
+        self.logs = {n: np.full((len(known), len(languages)), SMOOTHING) for n, known in self.rows.items()}
         for n, gram, lang, count in rows:
-            counts.setdefault(n, {}).setdefault(gram, np.zeros(len(languages)))[at[lang]] += count
-        self.logs: dict[int, dict[str, np.ndarray]] = {}
-        for n, grams in counts.items():
-            m = np.array(list(grams.values())) + SMOOTHING
-            self.logs[n] = dict(zip(grams, np.log(m / m.sum(axis=0)).astype(np.float32), strict=True))
+            self.logs[n][self.rows[n][gram], at[lang]] += count
+        self.logs = {n: np.log(m / m.sum(axis=0)).astype(np.float32) for n, m in self.logs.items()}
 
     def word(self, word: str) -> np.ndarray:
         """Log score of one lower-case word in every language."""
-        known = self.logs.get(0, {}).get(word)
+        known = self.rows.get(0, {}).get(word)
         if known is not None:
-            return known
+            return self.logs[0][known]
         for n in ORDERS:
-            table = self.logs.get(n, {})
+            table = self.rows.get(n, {})
             hits = [table[g] for g in _grams(word, n) if g in table]
             if hits:
-                return np.mean(hits, axis=0)
+                return self.logs[n][hits].mean(axis=0)
         return np.zeros(len(self.languages), np.float32)
 
 
@@ -130,7 +133,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         p = _predictor(shared)
-        for b in batches:
+        for b in slices(batches):
             out = [p.predict(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([x for x, _ in out], pa.string()), pa.array([s for _, s in out], pa.float64())], schema=schema)
 
@@ -152,7 +155,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
 
     def run(batches):
         p = _predictor(shared)
-        for b in batches:
+        for b in slices(batches):
             keep = [x != UNKNOWN and s >= least for x, s in map(p.predict, b.column(at).to_pylist())]
             yield pa.RecordBatch.from_arrays(b.columns, schema=b.schema).filter(pa.array(keep, pa.bool_()))
 
