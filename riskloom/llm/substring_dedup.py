@@ -26,7 +26,7 @@ U = np.uint64
 #: repeated pieces together, and between two pieces of one passage. The pieces at a passage's ends often
 #: run into the text around it, so a passage of 50 words is found by fewer.
 PIECE, PASSAGE, REPEATED, BETWEEN = 8, 28, 16, 12
-#: A stop with none among so many words before it ends a piece with probability 3/4, another with 1/8.
+#: A stop so many words after the last stop or line end ends a piece with probability 3/4, another with 1/8.
 #: After so many words without a stop any word may end a piece, by content, with probability 3/32.
 SENTENCE, UNSTOPPED = 6, 24
 THRESHOLD, RECALL, HASHES = 0.75, 0.996, 14
@@ -54,21 +54,23 @@ class Pieces:
         self.raw, self.off = raw, off
         self.words, self.at, self.starts, self.ends = word_hashes(raw, off)
         n = len(self.words)
-        self.first = self.last = self.doc = np.zeros(0, np.int64)
+        self.first = self.last = self.doc = self.size = self.begin = np.zeros(0, np.int64)
         self.shingles = np.zeros(0, U)
-        if not n:
+        if n < PIECE:
             return
         lines = np.concatenate([[0], np.cumsum(raw == 10)])
         cut = np.zeros(n, bool)
         cut[:-1] = lines[self.starts[1:]] > lines[self.ends[:-1]]
-        stop = np.isin(raw[self.ends - 1], np.frombuffer(b".!?", np.uint8))
-        stops = np.concatenate([np.zeros(SENTENCE, np.int64), np.cumsum(stop)])
-        chance = mix(self.words + np.concatenate([[U(0)], self.words[:-1]]) * U(3)) >> U(56)
-        # sentences that end close after another are cut off more rarely
-        cut |= stop & (chance < np.where(stops[SENTENCE:] - stops[:-SENTENCE] == 1, U(192), U(32)))
-        seen = np.concatenate([np.zeros(UNSTOPPED, np.int64), stops[SENTENCE:]])
-        cut |= (seen[UNSTOPPED:] == seen[:-UNSTOPPED]) & (chance < U(24))
         cut[self.at[1:][self.at[1:] > 0] - 1] = True  # texts end
+        stop = np.isin(raw[self.ends - 1], np.frombuffer(b".!?", np.uint8))
+        place = np.arange(n)
+        # words since the last stop, line end or text end: what came before a text has no part in it
+        before = np.concatenate([[-1], np.maximum.accumulate(np.where(stop | cut, place, -1))[:-1]])
+        left = np.concatenate([[U(0)], self.words[:-1]])
+        left[self.at[:-1][self.at[:-1] < n]] = 0
+        chance = mix(self.words + left * U(3)) >> U(56)
+        cut |= stop & (chance < np.where(place - before >= SENTENCE, U(192), U(32)))
+        cut |= (place - before > UNSTOPPED) & (chance < U(24))
         last = np.flatnonzero(cut)
         first = np.concatenate([[0], last[:-1] + 1])
         long = last - first + 1 >= PIECE
@@ -159,7 +161,7 @@ def _node_texts(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFra
         for b in batches:
             for _, p in pieces_of(b.column("text")):
                 text = [p.raw[a:e].tobytes().decode() for a, e in zip(p.starts[p.first].tolist(), p.ends[p.last].tolist(), strict=True)]
-                at = [point(np.unique(p.shingles[a : a + n])).tobytes() for a, n in zip(p.begin.tolist(), p.size.tolist(), strict=True)] if len(p.first) else []
+                at = [point(np.unique(p.shingles[a : a + n])) for a, n in zip(p.begin.tolist(), p.size.tolist(), strict=True)] if len(p.first) else []
                 yield pa.RecordBatch.from_arrays([pa.array(p.nodes(), pa.int64()), pa.array(text, pa.string()), pa.array(at, pa.binary())], names=["node", "text", "point"])
 
     found = semi(docs, "doc_id", scratch.keep(wanted.select("doc").distinct())).select("text")
@@ -208,7 +210,7 @@ def cleaned(docs: DataFrame, found: DataFrame) -> DataFrame:
     spans = found.filter("removed_words = repeated_words").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
     spans = spans.withColumnRenamed("doc_id", "__doc")
     joined = docs.join(spans, docs.doc_id.eqNullSafe(spans["__doc"]), "left").drop("__doc")
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
 
     def cut(text, parts):
         out, end = [], 0
@@ -220,6 +222,6 @@ def cleaned(docs: DataFrame, found: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             text = [cut(t, s) for t, s in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if i == at else c for i, c in enumerate(b.columns[:-1])], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if i == at else c for i, c in enumerate(b.columns[:-1])], names=names)
 
     return joined.mapInArrow(run, docs.schema)
