@@ -181,8 +181,8 @@ def t_two_sided(t: float, dof: float) -> float:
     return beta_inc(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
-def huber_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, k: float = 1.345, passes: int = 50, tol: float = 1e-8) -> np.ndarray:
-    """Huber M-estimate by reweighted least squares, scale by MAD about zero."""
+def huber_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, k: float = 1.345, passes: int = 1000, tol: float = 1e-8) -> np.ndarray:
+    """Huber M-estimate by reweighted least squares to convergence, scale by MAD about the residuals' median."""
     root = np.ones(len(y)) if w is None else np.sqrt(w)
     xw, yw = x * root[:, None], y * root
     b = np.linalg.lstsq(xw, yw, rcond=None)[0]
@@ -198,6 +198,8 @@ def huber_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, k: floa
         b = new
         if done:
             break
+    else:
+        raise ArithmeticError(f"no convergence within {passes} passes")
     return b
 
 
@@ -266,11 +268,12 @@ def top_vectors(g: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return d[at], v
 
 
-def kalman_factors(x: np.ndarray, k: int, passes: int = 2) -> np.ndarray:
+def kalman_factors(x: np.ndarray, k: int, tol: float = 1e-6, most: int = 500) -> np.ndarray:
     """Smoothed factors of a small standardised table (months x series, NaN where not released).
 
     Start from principal components, fit a first-order autoregression, then filter and
-    smooth with diagonal observation noise; repeated with loadings from the smoothed factors.
+    smooth with diagonal observation noise; repeated with loadings from the smoothed factors until
+    the fitted values move by no more than ``tol`` of their size, at ``most`` so many times.
     """
     t, n = x.shape
     seen = np.isfinite(x)
@@ -280,7 +283,8 @@ def kalman_factors(x: np.ndarray, k: int, passes: int = 2) -> np.ndarray:
     z0 = np.where(seen, z, 0.0)
     _, v = top_vectors(z0.T @ z0, k)
     f = z0 @ v
-    for _ in range(passes):
+    fitted = np.zeros_like(z0)
+    for _ in range(most):
         lam = np.linalg.lstsq(f, z0, rcond=None)[0].T
         r = np.maximum(np.nanmean(np.where(seen, z0 - f @ lam.T, np.nan) ** 2, axis=0), 1e-4)
         a = np.linalg.lstsq(f[:-1], f[1:], rcond=None)[0].T
@@ -303,4 +307,7 @@ def kalman_factors(x: np.ndarray, k: int, passes: int = 2) -> np.ndarray:
             j = ps[i] @ a.T @ np.linalg.pinv(pp[i + 1], hermitian=True)
             out.append(ms[i] + j @ (out[-1] - mp[i + 1]))
         f = np.array(out[::-1])
+        before, fitted = fitted, f @ np.linalg.lstsq(f, z0, rcond=None)[0]
+        if np.linalg.norm(fitted - before) <= tol * max(1.0, np.linalg.norm(fitted)):
+            break
     return f

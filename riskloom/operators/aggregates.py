@@ -93,11 +93,13 @@ def sample_std(df: DataFrame, keys: Sequence[str], value: str, name: str = "std"
     return df.groupBy(*keys).agg(F.stddev_samp(value).alias(name))
 
 
-def robust_average(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None, k: float = 1.345, passes: int = 20) -> DataFrame:
+def robust_average(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None, k: float = 1.345, tol: float = 1e-5, most: int = 100) -> DataFrame:
     """Weighted Huber location per key; fewer than two values give 0.
 
-    Each pass is one aggregation; its small table of centres is checkpointed. The scale is
-    the MAD of residuals about their median, found without sorting a group in one task.
+    Each pass is one aggregation; its small table of centres is checkpointed. Passes go on until
+    every centre moves by less than ``tol`` of the scale of its key; beyond ``most`` an error is
+    raised. The scale is the MAD of residuals about their median, found without sorting a group in
+    one task.
     """
     keys = list(keys)
     x = df.select(*keys, F.col(value).alias("_v"), (F.col(weight) if weight else F.lit(1.0)).alias("_w")).where("_v is not null")
@@ -105,16 +107,21 @@ def robust_average(df: DataFrame, keys: Sequence[str], value: str, weight: str |
     root = F.sqrt("_w")
     fit = x.groupBy(*keys).agg((div(F.sum(F.col("_w") * F.col("_v")), F.sum("_w"))).alias("average"), F.count("*").alias("_n"))
     fit = cut(fit)
-    for _ in range(passes):
-        e = _keyed(x, fit, keys).withColumn("_e", root * (F.col("_v") - F.col("average")))
+    for _ in range(most):
+        e = _keyed(x, fit.select(*keys, "average", "_n"), keys).withColumn("_e", root * (F.col("_v") - F.col("average")))
         m = median(e, keys, "_e", "_m").drop("n")
         dev = _keyed(e, m, keys).withColumn("_d", F.abs(F.col("_e") - F.col("_m")))
         s = median(dev, keys, "_d", "_s").drop("n")
         z = _keyed(e, s, keys)
         scale = F.col("_s") / F.lit(0.67449)
         u = F.when(scale > 0, F.least(F.lit(1.0), div(k * scale, F.greatest(F.abs(F.col("_e")), F.lit(1e-300))))).otherwise(1.0) * F.col("_w")
-        new = z.groupBy(*keys, "_n").agg((div(F.sum(u * F.col("_v")), F.sum(u))).alias("average"))
-        fit = cut(new)
+        new = z.groupBy(*keys, "_n", "average", "_s").agg((div(F.sum(u * F.col("_v")), F.sum(u))).alias("_new"))
+        still = F.abs(F.col("_new") - F.col("average")) > tol * F.greatest(F.abs(F.col("average")), F.col("_s"), F.lit(1e-12))
+        fit = cut(new.select(*keys, "_n", F.col("_new").alias("average"), F.coalesce(still, F.lit(False)).alias("_moves")))
+        if fit.where("_moves").isEmpty():
+            break
+    else:
+        raise ArithmeticError(f"no convergence within {most} passes")
     return fit.select(*keys, F.when(F.col("_n") < 2, 0.0).otherwise(F.col("average")).alias("average"))
 
 

@@ -69,25 +69,45 @@ def constrained_wls(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str,
     return g.withColumn("coef", solve("xtx", "xty"))
 
 
-def huber_cross_section(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str, w: str | None = None, k: float = 1.345, passes: int = 6, intercept: bool = False) -> DataFrame:
+def huber_cross_section(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str, w: str | None = None, k: float = 1.345, tol: float = 1e-5, intercept: bool = False, most: int = 100) -> DataFrame:
     """Robust coefficients per key by reweighted aggregates.
 
-    A fixed number of passes keeps the result repeatable. Keys with fewer rows than columns
-    get zeros. The scale is the MAD of weighted residuals about their median.
+    Passes go on until no coefficient of any key moves by more than ``tol`` relative to the largest
+    one of its key; a key that has converged is frozen, and ``n_passes`` tells after how many. Beyond
+    ``most`` passes an error is raised. Keys with fewer rows than columns get zeros. The scale is the
+    MAD of weighted residuals about their median.
     """
     by = list(by)
     x = stored(df.select(*by, *xs, y, (F.col(w) if w else F.lit(1.0)).alias("_w")).dropna())
     m = len(xs) + int(intercept)
-    fit = cut(wls(x, by, xs, y, "_w", intercept).select(*by, "n", "coef"))
-    for _ in range(passes):
-        e = residuals(x, fit, by, xs, y, intercept, "_e").withColumn("_e", F.sqrt("_w") * F.col("_e"))
+    fit = cut(wls(x, by, xs, y, "_w", intercept).select(*by, "n", "coef").withColumn("converged", F.col("n") < m).withColumn("n_passes", F.lit(0)))
+    done = []
+    for i in range(1, most + 1):
+        active = fit.where(~F.col("converged"))
+        if active.isEmpty():
+            break
+        if by:  # rows of converged keys are read no more
+            x_left = x.join(active.select(*by), by, "left_semi")
+        else:
+            x_left = x
+        e = residuals(x_left, active.select(*by, "n", "coef"), by, xs, y, intercept, "_e").withColumn("_e", F.sqrt("_w") * F.col("_e"))
         mid = median(e, by, "_e", "_m").drop("n")
         dev = e.join(mid, by).withColumn("_d", F.abs(F.col("_e") - F.col("_m")))
         s = median(dev, by, "_d", "_s").drop("n")
         z = e.join(s, by)
         scale = F.col("_s") / F.lit(0.67449)
         u = F.when(scale > 0, F.least(F.lit(1.0), div(F.lit(k) * scale, F.greatest(F.abs("_e"), F.lit(1e-300))))).otherwise(1.0)
-        fit = cut(wls(z.withColumn("_w", F.col("_w") * u), by, xs, y, "_w", intercept).select(*by, "n", "coef"))
+        new = wls(z.withColumn("_w", F.col("_w") * u), by, xs, y, "_w", intercept).select(*by, F.col("n").alias("_n"), F.col("coef").alias("_new"))
+        old = active.select(*by, "n", "coef")
+        both = old.join(new, by) if by else old.crossJoin(new)
+        moved = F.array_max(F.zip_with("coef", "_new", lambda a, b: F.abs(a - b))) <= tol * F.greatest(F.lit(1e-12), F.array_max(F.transform("_new", F.abs)))
+        done.append(fit.where("converged"))
+        fit = cut(both.select(*by, "n", F.col("_new").alias("coef"), moved.alias("converged"), F.lit(i).alias("n_passes")))
+    else:
+        if not fit.where(~F.col("converged")).isEmpty():
+            raise ArithmeticError(f"no convergence within {most} passes")
+    for part in done:
+        fit = fit.unionByName(part)
     zero = F.array(*[F.lit(0.0)] * m)
     return fit.withColumn("coef", F.when(F.col("n") < m, zero).otherwise(F.col("coef")))
 
@@ -307,14 +327,17 @@ def macro_exposure(df: DataFrame, key: str, ret: str, factors: Sequence[str], st
     return coefficients(fit, [key], factors)
 
 
-def cochrane_orcutt(df: DataFrame, key: str, xs: Sequence[str], y: str, step: str, passes: int = 10, tol: float = 1e-5) -> DataFrame:
-    """Regression with AR(1) errors, alternating rho and coefficients; one series per group."""
+def cochrane_orcutt(df: DataFrame, key: str, xs: Sequence[str], y: str, step: str, passes: int = 100, tol: float = 1e-5) -> DataFrame:
+    """Regression with AR(1) errors, alternating rho and coefficients; one series per group.
+
+    The coefficients belong to the rho that is returned; ``converged`` tells whether it has settled.
+    """
     names = ["intercept", *xs]
     kt = df.schema[key].dataType.simpleString()
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         p = pdf.dropna().sort_values(step)
-        rho, b = 0.0, np.zeros(len(names))
+        rho, b, done = 0.0, np.zeros(len(names)), False
         if len(p) > len(names) + 1:
             x = np.column_stack([np.ones(len(p)), p[list(xs)].to_numpy(float)])
             v = p[y].to_numpy(float)
@@ -326,9 +349,10 @@ def cochrane_orcutt(df: DataFrame, key: str, xs: Sequence[str], y: str, step: st
                 rho = new
                 if done:
                     break
-        return pd.DataFrame([[pdf[key].iloc[0], *b, rho]], columns=[key, *names, "rho"])
+            b = np.linalg.lstsq(x[1:] - rho * x[:-1], v[1:] - rho * v[:-1], rcond=None)[0]
+        return pd.DataFrame([[pdf[key].iloc[0], *b, rho, done]], columns=[key, *names, "rho", "converged"])
 
-    schema = f"{key} {kt}, " + ", ".join(f"`{n}` double" for n in [*names, "rho"])
+    schema = f"{key} {kt}, " + ", ".join(f"`{n}` double" for n in [*names, "rho"]) + ", converged boolean"
     return df.select(key, step, *xs, y).groupBy(key).applyInPandas(fit, schema)
 
 

@@ -8,6 +8,7 @@ integer position on the trading calendar; ranges over it treat absent rows as mi
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 from collections.abc import Sequence
 
 import numpy as np
@@ -623,15 +624,15 @@ def index_return(df: DataFrame, keys: Sequence[str], value: str, dt: str = "dt")
 def roll_actions(actions: DataFrame, calendar: DataFrame, market: str, key: str, dt: str = "dt") -> DataFrame:
     """Actions on a holiday move to the market's next trading day; a day's factors multiply.
 
-    The calendar is expanded once to (any day, trading day), then joined by equality.
+    The calendar is expanded once to (any day, trading day), from the market's earliest action on,
+    then joined by equality. Actions after the last trading day keep a null trade date.
     """
     days = calendar.select(market, dt).distinct()
+    earliest = actions.groupBy(market).agg(F.min(dt).alias("_least"))
     w = W.partitionBy(market).orderBy(dt)
-    span = days.withColumn("_prev", F.lag(dt).over(w)).select(
-        market, F.col(dt).alias("trade_dt"),
-        F.explode(F.sequence(F.coalesce(F.date_add("_prev", 1), F.date_sub(dt, 366)), F.col(dt))).alias(dt),
-    )
-    j = actions.join(span, [market, dt])
+    start = F.coalesce(F.date_add("_prev", 1), F.least("_least", F.col(dt)))
+    span = days.withColumn("_prev", F.lag(dt).over(w)).join(earliest, market).select(market, F.col(dt).alias("trade_dt"), F.explode(F.sequence(start, F.col(dt))).alias(dt))
+    j = actions.join(span, [market, dt], "left")
     return j.groupBy(market, key, "trade_dt").agg(product_agg(F.col("factor")).alias("factor"), F.count("*").alias("n_actions"))
 
 
@@ -644,48 +645,43 @@ def convergence(assets: DataFrame, conversions: DataFrame, key: str, ccy: str =
 # --- volatility adjustment ----------------------------------------------------------------
 
 
-def _block_starts(n: int, length: int) -> list[tuple[int, int, int]]:
-    """(knot, first, last + 1) of half-overlapping blocks over a newest-first series."""
-    out = []
-    width, at, first = length, 0, 0
-    while first < n:
-        out.append((min(at, n), first, min(at + width, n)))
-        if at == 0:
-            at, width = width, math.ceil(width / 2)
-        else:
-            at += width
-        first = max(at - width, 0)
-        if n - 20 < at < n:
-            at = n
-    return out
-
-
-def volatility_scale(values: np.ndarray, length: int, lo: float | None = -0.1, hi: float | None = 0.1, smooth: bool = True) -> np.ndarray:
-    """Multipliers that bring a newest-first series to the newest block's volatility."""
+def volatility_knots(n: int, length: int, guard: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Knots of a newest-first series of ``n`` values, with first and end of the block of each.
+
+    The newest block has ``length`` values and its knot at 0. With h half of that, rounded up, the
+    other knots are length, length + h, length + 2 h, ..., each amid a block of 2 h values. A knot
+    within ``guard`` values of the end, or beyond it, is the last one: it lies at the end and its
+    block ends there.
+    """
+    h = math.ceil(length / 2)
+    inner = np.arange(length, n - guard + 1, h)
+    last = length + len(inner) * h
+    first, end = inner - h, np.minimum(inner + h, n)
+    if last - h < n:
+        inner, first, end = np.append(inner, n), np.append(first, last - h), np.append(end, n)
+    return np.append(0, inner), np.append(0, first), np.append(min(length, n), end)
+
+
+def volatility_scale(values: np.ndarray, length: int, lo: float | None = -0.1, hi: float | None = 0.1, smooth: bool = True, guard: int = 20) -> np.ndarray:
+    """Multipliers that bring a newest-first series to the newest block's volatility.
+
+    A block's level is its mean absolute value and its multiplier the newest level over its own,
+    held within (1 + lo) and (1 + hi) of the multiplier before it; three knots or fewer change nothing.
+    """
     n = len(values)
-    knots, lams = [], []
-    base = prev = None
-    for knot, a, b in _block_starts(n, length):
-        level = float(np.mean(np.abs(values[a:b])))
-        if base is None:
-            base, prev, lam = level, 1.0, 1.0
-        else:
-            lam = base / level if level > 0 and base > 0 else 1.0
-            if hi is not None:
-                lam = min(lam, (1 + hi) * prev)
-            if lo is not None:
-                lam = max(lam, (1 + lo) * prev)
-            prev = lam
-        if knots and knot == knots[-1]:
-            lams[-1] = lam
-        else:
-            knots.append(knot)
-            lams.append(lam)
+    if not n:
+        return np.ones(0)
+    knots, first, end = volatility_knots(n, length, guard)
     if len(knots) <= 3:
         return np.ones(n)
+    run = np.append(0.0, np.cumsum(np.abs(values)))
+    level = (run[end] - run[first]) / (end - first)
+    want = np.where((level > 0) & (level[0] > 0), level[0] / np.where(level > 0, level, 1.0), 1.0)
+    low, high = 1 + (-np.inf if lo is None else lo), 1 + (np.inf if hi is None else hi)
+    scale = np.array(list(accumulate(want[1:], lambda before, x: max(min(x, high * before), low * before), initial=1.0)))
     if smooth:
-        return linalg.cubic_spline(np.array(knots, float), np.array(lams), np.arange(n, dtype=float))
-    return np.array(lams)[np.searchsorted(knots, np.arange(n), side="right") - 1]
+        return linalg.cubic_spline(knots.astype(float), scale, np.arange(n, dtype=float))
+    return scale[np.searchsorted(knots, np.arange(n), side="right") - 1]
 
 
 def dva(df: DataFrame, key: str, value: str, length: int, lo: float | None = -0.1, hi: float | None = 0.1, smooth: bool = True, dt: str = "dt") -> DataFrame:

@@ -103,7 +103,7 @@ def _(v):
 
 @query("agg10_robust_average", "panel")
 def _(v):
-    return _r(ag.robust_average(v.panel, ["region"], "ret", "mcap", passes=4), ["average"])
+    return _r(ag.robust_average(v.panel, ["region"], "ret", "mcap"), ["average"])
 
 
 @query("agg11_average_cap", "sparse", """

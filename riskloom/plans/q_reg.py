@@ -39,7 +39,7 @@ def _(v):
 
 @query("reg03_huber_cross_section", "exposures")
 def _(v):
-    fit = rg.huber_cross_section(v.exposures, ["region"], STYLES[:2], "ret", "root_cap", passes=3, intercept=True)
+    fit = rg.huber_cross_section(v.exposures, ["region"], STYLES[:2], "ret", "root_cap", intercept=True)
     return _r(rg.coefficients(fit, ["region"], STYLES[:2], True), ["intercept", *STYLES[:2]])
 
 

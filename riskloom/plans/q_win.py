@@ -433,12 +433,12 @@ def _(v):
 
 
 @query("win41_roll_actions", "", f"WITH {_DAYS}," + """
-a AS (SELECT l_suppkey AS id, CAST(l_shipdate AS DATE) AS dt, 1 + l_discount AS factor FROM lineitem WHERE l_quantity < 3 AND CAST(l_shipdate AS DATE) > DATE '1995-03-01'),
-t AS (SELECT id, factor, (SELECT MIN(d.dt) FROM d WHERE d.dt >= a.dt) AS trade_dt FROM a)
-SELECT id, trade_dt, ROUND(product(factor), 6) AS factor, COUNT(*) AS n_actions FROM t WHERE trade_dt IS NOT NULL GROUP BY 1, 2""")
+a AS (SELECT l_suppkey AS id, CAST(l_shipdate AS DATE) AS dt, 1 + l_discount / 100 AS factor FROM lineitem),
+t AS (SELECT x.dt, MIN(d.dt) AS trade_dt FROM (SELECT DISTINCT dt FROM a) x LEFT JOIN d ON d.dt >= x.dt GROUP BY x.dt)
+SELECT id, trade_dt, ROUND(product(factor), 6) AS factor, COUNT(*) AS n_actions FROM a JOIN t USING (dt) GROUP BY 1, 2""")
 def _(v):
     cal = _days(v).withColumn("market", F.lit(0))
-    a = v.lineitem.where("l_quantity < 3").select(F.lit(0).alias("market"), F.col("l_suppkey").alias("id"), F.col("l_shipdate").cast("date").alias("dt"), (1 + F.col("l_discount")).alias("factor")).where("dt > '1995-03-01'")
+    a = v.lineitem.select(F.lit(0).alias("market"), F.col("l_suppkey").alias("id"), F.col("l_shipdate").cast("date").alias("dt"), (1 + F.col("l_discount") / 100).alias("factor"))
     return _r(ts.roll_actions(a, cal, "market", "id").drop("market"), ["factor"])
 
 

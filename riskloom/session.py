@@ -48,13 +48,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a fresh one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``; a fresh one only where that is unset and all tasks
+    run on this machine. On a cluster a folder that executors do not share would lose data, so there an
+    unset folder is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="riskloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(path)
     return path

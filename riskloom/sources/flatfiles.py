@@ -21,10 +21,15 @@ def write_flat(df: DataFrame, path: str, types: dict[str, str] | None = None, se
 
 
 def read_flat(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
-    """Read such a file; names and types come from the header lines."""
+    """Read such files; names and types come from the header lines, on which all files must agree."""
     lines = spark.read.text(path)
-    head = lines.where(F.col("value").startswith(COLUMNS) | F.col("value").startswith(TYPES)).limit(2)
-    found = {r.value.split(" ")[0]: r.value.split(": ", 1)[1].split(sep) for r in head.collect()}
+    value = F.col("value")
+    head = lines.where(value.startswith(COLUMNS) | value.startswith(TYPES)).groupBy(F.substring_index(value, " ", 1).alias("mark"))
+    found = {}
+    for r in head.agg(F.min(value).alias("low"), F.max(value).alias("high")).collect():
+        if r.low != r.high:
+            raise ValueError(f"files of {path} differ in their {r.mark} line")
+        found[r.mark] = r.low.split(": ", 1)[1].split(sep)
     names = found["#Columns:"]
     kinds = found.get("#Type:", ["STRING"] * len(names))
     schema = ", ".join(f"`{n}` {TYPE_WORDS.get(k, 'string')}" for n, k in zip(names, kinds))

@@ -35,32 +35,39 @@ def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFra
 
 
 def stream_cumulative(stream: DataFrame, key: str, step: str, ret: str) -> DataFrame:
-    """Yesterday's cumulative value times today's return; new ids start at 1.
+    """Cumulative return per id and step as returns arrive, in any order; ids start at 1.
 
-    State is one number and one step per id. Returns at or before the stored step were
-    already taken and are passed over; a missing return counts as 0.
+    State holds an id's steps and returns. A late or corrected return replaces the stored one and
+    every step from there on comes out again under a higher ``version``; of equal steps in one
+    batch the last value wins. A missing return counts as 0. ``latest`` takes the result's newest.
     """
     kt, st = stream.schema[key].dataType.simpleString(), stream.schema[step].dataType.simpleString()
 
     def roll(group, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        cum, last = state.get if state.exists else (1.0, None)
-        rows = pd.concat(list(batches)).sort_values(step)
-        out = []
-        for s, r in zip(rows[step], rows[ret]):
-            if last is not None and s <= last:
-                continue
-            cum *= 1.0 + (0.0 if pd.isna(r) else float(r))
-            last = int(s)
-            out.append((group[0], s, cum))
-        if last is not None:
-            state.update((cum, last))
-        yield pd.DataFrame(out, columns=[key, step, "cum"])
+        version, steps, rets = state.get if state.exists else (0, [], [])
+        known = dict(zip(steps, rets))
+        rows = pd.concat(list(batches)).dropna(subset=[step])
+        new = {int(s): 0.0 if pd.isna(r) else float(r) for s, r in zip(rows[step], rows[ret])}
+        first = min(new, default=None)
+        known.update(new)
+        cum, out, version = 1.0, [], version + 1
+        for s in sorted(known):
+            cum *= 1.0 + known[s]
+            if first is not None and s >= first:
+                out.append((group[0], s, cum, version))
+        state.update((version, sorted(known), [known[s] for s in sorted(known)]))
+        yield pd.DataFrame(out, columns=[key, step, "cum", "version"])
 
     return stream.select(key, step, ret).groupBy(key).applyInPandasWithState(
-        roll, f"{key} {kt}, {step} {st}, cum double", "cum double, last bigint", "append", GroupStateTimeout.NoTimeout
+        roll, f"{key} {kt}, {step} {st}, cum double, version bigint", "version bigint, steps array<bigint>, rets array<double>", "append", GroupStateTimeout.NoTimeout
     )
 
 
+def latest(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest version of each step of a cumulative stream's output."""
+    return log.groupBy(*keys).agg(F.max_by("cum", "version").alias("cum"))
+
+
 def stream_active(stream: DataFrame, keys: list[str], rev_col: str, del_col: str, name: str = "active") -> DataFrame:
     """Latest revision per key as batches arrive; late revisions lose by ``rev_col``.
 
@@ -81,8 +88,26 @@ def stream_active(stream: DataFrame, keys: list[str], rev_col: str, del_col: str
     return newest(log, keys, [rev_col]).where(F.col(del_col) == "N")
 
 
-def stream_windows(stream: DataFrame, key: str, ts: str, value: str, length: str, slide: str, late: str = "1 day") -> DataFrame:
-    """Mean, deviation and count per key over sliding windows, with a watermark for late rows."""
-    x = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
-    g = x.groupBy(F.window("_ts", length, slide), key).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.count("*").alias("n"))
-    return g.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), key, "mean", "std", "n")
+def stream_windows(stream: DataFrame, key: str, ts: str, value: str, length: str, slide: str, name: str = "windows") -> DataFrame:
+    """Mean, deviation and count per key over sliding windows of everything that has arrived.
+
+    Each batch adds its own counts, means and squared deviations per window to a log, and the log's
+    rows are merged on reading: late rows and open windows are never lost, and no state grows with
+    time. A batch that is run again replaces its own folder.
+    """
+    spark = stream.sparkSession
+    base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    moments = [F.count(value).alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * F.count(value)).alias("m2"), F.count("*").alias("rows")]
+
+    def add(batch: DataFrame, i: int) -> None:
+        x = batch.withColumn("_ts", F.col(ts).cast("timestamp")).groupBy(F.window("_ts", length, slide), key).agg(*moments)
+        x.select("window.start", "window.end", key, "n", "mean", "m2", "rows").write.mode("overwrite").parquet(f"{base}/log/batch={i}")
+
+    q = stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    kt = stream.schema[key].dataType.simpleString()
+    log = spark.read.schema(f"start timestamp, `end` timestamp, `{key}` {kt}, n bigint, mean double, m2 double, rows bigint").parquet(f"{base}/log")
+    n, weighted = F.sum("n"), F.sum(F.col("n") * F.col("mean"))
+    m2 = F.sum("m2") + F.sum(F.col("n") * F.col("mean") * F.col("mean")) - weighted * weighted / n
+    std = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
+    return log.groupBy("start", "end", key).agg(F.when(n > 0, weighted / n).alias("mean"), std.alias("std"), F.sum("rows").alias("n"))

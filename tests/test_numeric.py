@@ -135,7 +135,7 @@ def test_huber_resists_outliers(spark, rng):
     y = 2.0 * x + rng.normal(size=200) * 0.1
     y[:10] += 100
     df = frame(spark, k=[1] * 200, x=x, y=y)
-    c = rg.huber_cross_section(df, ["k"], ["x"], "y", passes=12, intercept=True).first().coef
+    c = rg.huber_cross_section(df, ["k"], ["x"], "y", intercept=True).first().coef
     assert c[1] == pytest.approx(2.0, abs=0.05)
     assert linalg.huber_fit(np.column_stack([np.ones(200), x]), y)[1] == pytest.approx(c[1], abs=0.01)
 
@@ -338,6 +338,16 @@ def test_volatility_adjustment_levels_two_regimes(rng):
     assert (ts.volatility_scale(v[:30], 40) == 1).all()
 
 
+def test_volatility_knots_cover_the_series():
+    for n, length in ((45, 40), (61, 40), (400, 40), (419, 41), (20, 40), (100, 7)):
+        knots, first, end = ts.volatility_knots(n, length)
+        h = -(-length // 2)
+        assert knots[0] == 0 and (np.diff(knots) > 0).all() and (end > first).all() and end.max() == n
+        assert ((knots[1:] - first[1:] == h) | (knots[1:] == n)).all() and set(range(n)) == {i for a, b in zip(first, end) for i in range(a, b)}
+    steps = ts.volatility_scale(np.repeat([1.0, 4.0], 100), 40, -0.1, 0.1, smooth=False)
+    assert steps[0] == 1 and steps[-1] == pytest.approx(0.9**5, abs=0.1) and (np.diff(steps) <= 0).all()
+
+
 def test_spline_goes_through_knots():
     x, y = np.array([0.0, 1, 3, 4, 7]), np.array([1.0, 2, 0, 1, 5])
     assert linalg.cubic_spline(x, y, x) == pytest.approx(y)
