@@ -397,3 +397,48 @@ def test_weights_sum_to_one_and_coverage_keeps_crossing_line(spark):
     assert sorted(p.id) == [1, 2] and p.weight.sum() == pytest.approx(1.0)
     keep = un.exclude_by_cap_rank(df, ["d"], "id", "cap", min_width=1.0).toPandas()
     assert sorted(keep.id) == [1, 2]
+
+
+# --- streams, files and the package --------------------------------------------------------
+
+
+def test_stream_takes_late_and_corrected_steps(spark, tmp_path):
+    from riskloom.streaming import incremental as inc
+
+    parts = [[(1, 3, 0.1), (2, 1, 0.5)], [(1, 1, 0.2), (1, 4, None)], [(1, 2, -0.1), (1, 3, 0.3), (2, 2, 0.1)]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, "id int, mi int, ret double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    log = inc.run_available(inc.stream_cumulative(inc.read_stream(spark, str(tmp_path / "in"), 1), "id", "mi", "ret"), "late")
+    got = {(r.id, r.mi): r.cum for r in inc.latest(log, ["id", "mi"]).collect()}
+    assert got == pytest.approx({(1, 1): 1.2, (1, 2): 1.08, (1, 3): 1.08 * 1.3, (1, 4): 1.08 * 1.3, (2, 1): 1.5, (2, 2): 1.65})
+
+
+def test_stream_windows_keep_late_rows(spark, tmp_path):
+    from riskloom.streaming import incremental as inc
+
+    for ts, v in (("2020-03-01 10:00:00", 5.0), ("2020-01-01 10:00:00", 1.0), ("2020-01-02 10:00:00", 4.0)):
+        spark.createDataFrame([("a", ts, v)], "k string, t string, v double").selectExpr("k", "CAST(t AS timestamp) AS t", "v").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out = inc.stream_windows(inc.read_stream(spark, str(tmp_path / "in"), 1), "k", "t", "v", "2 days", "1 day").toPandas()
+    both = out[out.n == 2]
+    assert len(both) == 1 and both["mean"].iloc[0] == 2.5 and both["std"].iloc[0] == pytest.approx(4.5**0.5) and out.n.sum() == 6
+
+
+def test_flat_files_must_agree(spark, tmp_path):
+    from riskloom.sources import flatfiles as ff
+
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    ff.write_flat(df, str(tmp_path / "f"), {"a": "INTEGER"})
+    ff.write_flat(df, str(tmp_path / "f"), {"a": "INTEGER"})
+    assert ff.read_flat(spark, str(tmp_path / "f")).dtypes == [("a", "bigint"), ("b", "string")]
+    ff.write_flat(df, str(tmp_path / "f"), {"a": "NUMBER"})
+    with pytest.raises(ValueError):
+        ff.read_flat(spark, str(tmp_path / "f"))
+
+
+def test_actions_keep_long_waits_and_the_last_ones(spark):
+    import datetime as d
+
+    cal = spark.createDataFrame([(0, d.date(2020, 6, 1)), (0, d.date(2020, 6, 3))], "market int, dt date")
+    act = spark.createDataFrame([(0, 7, d.date(2017, 1, 1), 2.0), (0, 7, d.date(2020, 6, 1), 3.0), (0, 7, d.date(2020, 6, 2), 5.0), (0, 7, d.date(2021, 1, 1), 7.0)], "market int, id int, dt date, factor double")
+    got = {r.trade_dt: r.factor for r in ts.roll_actions(act, cal, "market", "id").collect()}
+    assert got == {d.date(2020, 6, 1): pytest.approx(6.0), d.date(2020, 6, 3): pytest.approx(5.0), None: pytest.approx(7.0)}
