@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Scratch
+from riskloom.llm.common import Scratch, slices
 from riskloom.llm.word_tokens import END_ID, encoder, in_groups
 
 CAPACITY = 4096
@@ -35,7 +35,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
 
     def run(batches):
         encode, end = encoder(vocabulary).encode, np.array([END_ID], "<u4").tobytes()
-        for b in batches:
+        for b in slices(batches):
             ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             for i, j in in_groups(texts):
                 rows = []

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskloom.llm.common import Scratch, mix
+from riskloom.llm.common import Scratch, mix, slices
 from riskloom.llm.word_tokens import END_ID, encoder, in_groups
 from riskloom.session import shared_dir
 
@@ -53,7 +53,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, width: int = 2)
         name = f"shard-{context.partitionId():06d}-{context.taskAttemptId()}.ids"
         out, at, before, copy = None, 0, (), 0
         try:
-            for b in batches:
+            for b in slices(batches):
                 ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
                 for i, j in in_groups(texts):
                     if out is None:
@@ -204,7 +204,7 @@ def read_places(places: DataFrame, folder: str, width: int, take, ddl: str) -> D
     def run(batches):
         fs, root = open_store(folder)
         name, file = None, None
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for p in b.to_pylist():
                 if p["file"] != name:

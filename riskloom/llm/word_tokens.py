@@ -12,8 +12,9 @@ from itertools import chain
 
 import numpy as np
 
-#: Words held by a Python worker; when more have gathered, the store is emptied.
-MOST_WORDS = 500_000
+#: Words in each of the two generations that a Python worker holds; when the younger is full it becomes
+#: the older, and what is used again moves over.
+MOST_WORDS = 300_000
 #: Words encoded as one text.
 TOGETHER = 1000
 END_ID = 1
@@ -28,6 +29,7 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -65,9 +67,11 @@ class WordEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
         split = [_words(t or "") for t in texts]
         new = set(chain.from_iterable(split)).difference(self.known)
-        if len(self.known) + len(new) > MOST_WORDS:
-            self.known.clear()
+        if len(self.known) > MOST_WORDS:
+            self.old, self.known = self.known, {}
             new = set(chain.from_iterable(split))
+        self.known.update((w, self.old[w]) for w in new if w in self.old)
+        new.difference_update(self.known)
         if new:
             self._need(new)
         get = self.known.__getitem__
