@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from riskloom.llm.common import slices
 from riskloom.llm.dom import Block, blocks
 
 #: Parts of class and id words that say something about a block, as features of their own.
@@ -233,7 +234,7 @@ def extract(pages: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches):
         text_of = shared.value.text
-        for b in batches:
+        for b in slices(batches, 128):
             text = [text_of(h) for h in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from riskloom.llm.common import slices
+
 #: Fixed values of the container: capture pattern, page header layout, header flags, largest page body.
 CAPTURE, HEADER, CONTINUED, FIRST, LAST, MOST_SEGMENTS = b"OggS", struct.Struct("<4sBBqIIIB"), 1, 2, 4, 255
 #: Payload unit, packet size, samples a second of the stored stream, and serial numbers.
@@ -215,34 +217,26 @@ def column(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media): each text stored as Ogg bytes in a media column; null counts as empty."""
 
     def run(batches):
-        for b in batches:
-            for rows in _small(b):
-                made = [store(t) for t in rows.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([m for m, _ in made], pa.binary())], names=["doc_id", "media"])
+        for b in slices(batches, 256):
+            made = [store(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([m for m, _ in made], pa.binary())], names=["doc_id", "media"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, media binary")
 
 
-def _small(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
-
-
 def features(media: DataFrame) -> DataFrame:
     """What the stored bytes of (doc_id, media) hold, one row each; null media gives no row's values but
     doc_id. Equal bytes give equal values."""
 
     def run(batches):
-        for b in batches:
-            for rows in _small(b):
-                out = []
-                for i, m in zip(rows.column("doc_id").to_pylist(), rows.column("media").to_pylist(), strict=True):
-                    if m is None:
-                        out.append((i, *[None] * 7))
-                        continue
-                    payload, n, feature = load(m)
-                    out.append((i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature))
-                cols = list(zip(*out, strict=True)) or [()] * 8
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, MEDIA, strict=True)], schema=MEDIA)
+        for b in slices(batches, 256):
+            out = []
+            for i, m in zip(b.column("doc_id").to_pylist(), b.column("media").to_pylist(), strict=True):
+                if m is None:
+                    out.append((i, *[None] * 7))
+                    continue
+                payload, n, feature = load(m)
+                out.append((i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), MEDIA, strict=True)], schema=MEDIA)
 
     return media.mapInArrow(run, MEDIA_DDL)
