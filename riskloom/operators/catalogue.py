@@ -119,7 +119,7 @@ def expression(nodes: Mapping[int, tuple], root: int, variables: Mapping[str, Co
 
 
 def expressions_from_table(rows: DataFrame) -> dict[int, tuple]:
-    """Nodes from a table (id, kind, left, right, value); an expression has a handful of rows."""
+    """Nodes of one expression from a table (id, kind, left, right, value, name); an expression has a handful of rows."""
     out = {}
     for r in rows.collect():
         if r.kind == "const":

@@ -19,6 +19,8 @@ from riskloom.functions.columns import div
 
 VECTOR = T.ArrayType(T.DoubleType())
 COLUMN_LIMIT = 14
+# First-level groups of partial matrices for each key.
+SALTS = 64
 FLUSH_BYTES = 64 << 20  # partial matrices held by a task before it emits them
 
 
@@ -106,7 +108,9 @@ def _blocked_products(df: DataFrame, by: list[str], cols: list[Column], y: str |
             out[c] = [np.sum(np.stack(pdf[c].to_list()), axis=0)]
         return out
 
-    g = src.mapInPandas(partial, schema).groupBy(*by).applyInPandas(total, schema)
+    # two levels of sums, so that the matrices of all tasks never meet in one group
+    salted = src.mapInPandas(partial, schema).withColumn("_salt", F.spark_partition_id() % SALTS)
+    g = salted.groupBy(*by, "_salt").applyInPandas(total, schema).groupBy(*by).applyInPandas(total, schema)
     return g if y else g.drop("xty", "yty", "sy")
 
 

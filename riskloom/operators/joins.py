@@ -30,10 +30,13 @@ def linkage(assets: DataFrame, company: DataFrame, dual_listed: DataFrame, clone
 
     Dual-listed groups are given (company, group); no graph closure is needed.
     """
-    j = assets.join(company.select(key, "company"), key, "left").join(dual_listed.select("company", "dual_group"), "company", "left")
+    j = assets.join(company.select(key, "company"), key, "left")
+    # lines without a company meet no join on the null
+    none = j.where(F.col("company").isNull()).withColumns({"link_id": F.col("company"), "n_lines": F.lit(None).cast("bigint")})
+    j = j.where(F.col("company").isNotNull()).join(dual_listed.select("company", "dual_group"), "company", "left")
     j = j.withColumn("link_id", F.coalesce(F.col("dual_group"), F.col("company")))
     size = j.groupBy("link_id").agg(F.count("*").alias("n_lines"))
-    j = j.join(size, "link_id", "left").join(clones.select(key, F.col("master").alias("clone_of")), key, "left")
+    j = j.join(size, "link_id").select(*none.columns).unionByName(none).join(clones.select(key, F.col("master").alias("clone_of")), key, "left")
     return j.select(key, "company", "link_id", "n_lines", "clone_of")
 
 

@@ -229,15 +229,18 @@ def clone_linked(long: DataFrame, links: DataFrame, keys: Sequence[str], key: st
     """
     keys = list(keys)
     x = long.join(links, key, "left")
-    live = F.col("group_id").isNotNull() & ~F.coalesce(F.col("is_shell"), F.lit(False)) & F.col("master").isNull() & F.col(value).isNotNull()
+    # most lines belong to no group and have no master: they meet no join on a null key
+    alone = x.where(F.col("group_id").isNull()).withColumn("_v", F.col(value))
+    x = x.where(F.col("group_id").isNotNull())
+    shell = F.coalesce(F.col("is_shell"), F.lit(False))
+    live = ~shell & F.col("master").isNull() & F.col(value).isNotNull()
     m = x.where(live).groupBy("group_id", *keys).agg((div(F.sum(F.col("score") * F.col(value)), F.sum("score"))).alias("_mean"))
-    x = x.join(m, ["group_id", *keys], "left")
-    shared = F.when(F.coalesce(F.col("is_shell"), F.lit(False)) | F.col("group_id").isNull(), F.col(value)).otherwise(F.coalesce("_mean", value))
-    x = x.withColumn("_v", shared)
+    x = x.join(m, ["group_id", *keys], "left").withColumn("_v", F.when(shell, F.col(value)).otherwise(F.coalesce("_mean", value)))
+    x = alone.unionByName(x.select(*alone.columns))
     src = x.select(F.col(key).alias("master"), *keys, F.col("_v").alias("_mv"))
-    out = x.join(src, ["master", *keys], "left")
-    pick = F.when(F.col("master").isNotNull(), F.coalesce("_mv", "_v")).otherwise(F.col("_v"))
-    return out.select(key, *keys, pick.alias(value))
+    own = x.where(F.col("master").isNull()).select(key, *keys, F.col("_v").alias(value))
+    clones = x.where(F.col("master").isNotNull()).join(src, ["master", *keys], "left")
+    return own.unionByName(clones.select(key, *keys, F.coalesce("_mv", "_v").alias(value)))
 
 
 def score_linked(lines: DataFrame, group: str, parts: Sequence[str], scale: float | None = None) -> DataFrame:
