@@ -35,12 +35,12 @@ def slices(batches, rows: int = 512):
             yield b.slice(i, rows)
 
 
-def semi(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose key is among ``wanted`` (one column, distinct, a written table), null counting as a
+def semi(rows: DataFrame, key: str, wanted: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose key is (or, with "left_anti", is not) among ``wanted`` (one column, distinct, a written table), null counting as a
     value. Up to ``MOST_SENT`` wanted keys are broadcast; beyond that both sides are shuffled."""
     other = wanted.columns[0]
     side = F.broadcast(wanted) if wanted.count() <= MOST_SENT else wanted
-    return rows.join(side, rows[key].eqNullSafe(side[other]), "left_semi")
+    return rows.join(side, rows[key].eqNullSafe(side[other]), how)
 
 
 class Scratch:

@@ -2,26 +2,63 @@
 
 The elements of a set are hashed into groups; the counts by group are a point. Two sets share at most
 the sum over groups of the smaller count, and a box of points at most the sum of its upper corner's.
+Large sets have more groups, two to four for an element, since the bound weakens with full groups; a
+group is a range of the top bits of the hash, so a point folds into one of fewer groups by adding.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-GROUPS = 64
+#: Bits of the group number: least and most.
+FEWEST, MOST = 5, 16
 LEAF, FAN = 32, 8
 #: Two sets link when 100 x intersection >= 75 x union, that is 7 x intersection >= 3 x sum of sizes.
 OVER, UNDER = 7, 3
 
 
-def point(elements: np.ndarray) -> np.ndarray:
-    """Counts by group of distinct 64-bit hashes."""
-    return np.bincount((elements >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<u2" if len(elements) < 1 << 16 else "<u4")
+def point(elements: np.ndarray) -> bytes:
+    """The point of distinct 64-bit hashes: a byte with the bits of its groups, then the counts in one
+    byte each, or four where one is too little."""
+    bits = min(MOST, max(FEWEST, (2 * len(elements)).bit_length()))
+    counts = np.bincount((elements >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return bytes([bits]) + counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
 
 
-def points(blobs: list[bytes]) -> np.ndarray:
-    """Points from their bytes, of two or four bytes a count."""
-    return np.stack([np.frombuffer(b, "<u2" if len(b) == 2 * GROUPS else "<u4") for b in blobs]).astype(np.int32)
+def folded(blob: bytes, fewer: int = 2) -> bytes:
+    """A point with its groups joined four by four, for a first look at many pairs."""
+    bits = max(FEWEST, blob[0] - fewer)
+    counts = Points([blob]).rows(np.zeros(1, np.int64), bits)[0]
+    return bytes([bits]) + counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
+
+
+class Points:
+    """Points as read from their bytes."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.blobs = blobs
+        self.bits = np.array([b[0] for b in blobs], np.int64)
+
+    def rows(self, which: np.ndarray, bits: int) -> np.ndarray:
+        """A matrix of some points, each folded to the same groups."""
+        out = np.empty((len(which), 1 << bits), np.int32)
+        for k, i in enumerate(which.tolist()):
+            b = self.blobs[i]
+            counts = np.frombuffer(b, "u1" if len(b) == (1 << b[0]) + 1 else "<u4", offset=1)
+            out[k] = counts.reshape(1 << bits, -1).sum(axis=1) if b[0] > bits else counts
+        return out
+
+    def may_link(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of pairs of points: whether the bound allows a link."""
+        bits = np.minimum(self.bits[left], self.bits[right])
+        out = np.zeros(len(left), bool)
+        for level in np.unique(bits):
+            at = np.flatnonzero(bits == level)
+            step = max(1, (1 << 20) >> int(level))  # rows of about four megabytes at a time
+            for k in range(0, len(at), step):
+                part = at[k : k + step]
+                out[part] = may_link(self.rows(left[part], int(level)), self.rows(right[part], int(level)))
+        return out
 
 
 def may_link(a: np.ndarray, b: np.ndarray) -> np.ndarray:

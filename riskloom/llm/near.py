@@ -1,7 +1,7 @@
 """Links between sets that meet in blocks, by count-vector bounds, exact checks and components.
 
-A block is a list of nodes that may link. Short lists give all their pairs that the bound lets through.
-Of a long list only the pairs with a few centres are checked at first; in a second round an R-tree over
+A block is a list of nodes that may link. Short lists give all their pairs, long ones at first only the
+pairs with a few centres; pairs that the bound lets through are checked; in a second round an R-tree over
 the list's points gives every pair that the bound lets through and whose ends are not yet connected. No
 link that would join two components is lost, and a large group of copies costs a few links a node.
 """
@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Scratch, mix, shingle_sets
+from riskloom.llm.common import Scratch, mix, shingle_sets, slices
 from riskloom.llm.components import components
-from riskloom.llm.count_tree import CountTree, may_link, points
+from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded
 
 U = np.uint64
 #: Lists of at most so many nodes give all pairs at once; centres of longer ones.
-SHORT, CENTRES = 16, 3
+SHORT, CENTRES = 6, 3
+#: Counts in the matrix of one list's tree, as a power of two, and pairs gathered before they are told.
+MATRIX_BITS, HELD = 22, 500_000
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -57,8 +59,8 @@ def _emit(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def _first_pairs(batches):
-    for t in _whole_lists(batches, ["list", "node", "point"]):
-        key, node, at = t.column("list").to_numpy(), t.column("node").to_numpy(), points(t.column("point").to_pylist())
+    for t in _whole_lists(batches, ["list", "node"]):
+        key, node = t.column("list").to_numpy(), t.column("node").to_numpy()
         edge = _edges(key)
         size = np.diff(edge)
         left, right = [], []
@@ -66,34 +68,51 @@ def _first_pairs(batches):
             start = edge[:-1][size == k]
             if len(start):
                 i, j = np.triu_indices(k, 1)
-                left.append((start[:, None] + i).ravel())
-                right.append((start[:, None] + j).ravel())
+                left.append(node[(start[:, None] + i).ravel()])
+                right.append(node[(start[:, None] + j).ravel()])
         for s, e in zip(edge[:-1][size > SHORT], edge[1:][size > SHORT], strict=True):
-            all_ = np.arange(s, e)
             for seed in range(CENTRES):  # the same centre for all lists that hold it
                 with np.errstate(over="ignore"):
                     c = s + int(np.argmin(mix(node[s:e].view(U) + U(seed))))
-                others = all_[all_ != c]
-                left.append(np.full(len(others), c))
+                others = np.delete(node[s:e], c - s)
+                left.append(np.full(len(others), node[c]))
                 right.append(others)
-        a, b = [], []
-        for x, y in zip(left, right, strict=True):
-            for i in range(0, len(x), 1 << 16):
-                u, v = x[i : i + (1 << 16)], y[i : i + (1 << 16)]
-                ok = may_link(at[u], at[v])
-                a.append(node[u[ok]])
-                b.append(node[v[ok]])
-        yield from _emit(a, b)
+        yield from _emit(left, right)
+
+
+def _folded(batches):
+    for b in slices(batches, 1024):
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([folded(p) for p in b.column(1).to_pylist()], pa.binary())], names=["node", "point"])
+
+
+def _bounded(batches):
+    """(a, b) of rows (a, b, point_a, point_b) that the bound lets through."""
+    for b in slices(batches, 4096):
+        n = b.num_rows
+        at = Points(b.column(2).to_pylist() + b.column(3).to_pylist())
+        ok = at.may_link(np.arange(n), np.arange(n, 2 * n))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], schema=PAIR).filter(pa.array(ok))
 
 
 def _cross_pairs(batches):
-    for t in _whole_lists(batches, ["list", "node", "point", "root"]):
+    """Pairs of unconnected nodes of each list that the bound lets through. Lists with much the same nodes
+    come one after another, so a pair is told once for many of them."""
+    a, b, held = [], [], 0
+    for t in _whole_lists(slices(batches, 1024), ["list", "node", "point", "root"]):
         key, node, root = (t.column(c).to_numpy() for c in ("list", "node", "root"))
-        at = points(t.column("point").to_pylist())
+        at = Points(t.column("point").to_pylist())
         edge = _edges(key)
-        for s, e in zip(edge[:-1], edge[1:], strict=True):
-            for i, j in CountTree(at[s:e], root[s:e]).pairs():
-                yield from _emit([node[s + i]], [node[s + j]])
+        for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            bits = max(FEWEST, min(int(at.bits[s:e].min()), MATRIX_BITS - (e - s).bit_length()))
+            for i, j in CountTree(at.rows(np.arange(s, e), bits), root[s:e]).pairs():
+                ok = at.may_link(s + i, s + j)
+                a.append(node[s + i[ok]])
+                b.append(node[s + j[ok]])
+                held += int(ok.sum())
+            if held > HELD:
+                yield from _emit(a, b)
+                a, b, held = [], [], 0
+    yield from _emit(a, b)
 
 
 def _checked(batches):
@@ -117,17 +136,23 @@ def check(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Sc
 
 def connect(lists: DataFrame, at: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
     """(node, root) of every node with a link. ``lists`` has distinct (list, node); ``at`` has (node, point)."""
-    placed = scratch.keep(lists.join(at, "node").select("list", "node", "point"))
-    # salted by list, so that one list is one task's and all lists are spread
-    dealt = placed.repartition("list").sortWithinPartitions("list", "node")
-    pairs = scratch.keep(dealt.mapInArrow(_first_pairs, "a bigint, b bigint").distinct())
+    lists = scratch.keep(lists)
+    met = lists.repartition("list").sortWithinPartitions("list", "node").mapInArrow(_first_pairs, "a bigint, b bigint").distinct()
+    # the first look is at points of a quarter of the groups: a quarter of the bytes move
+    coarse = scratch.keep(at.select("node", "point").mapInArrow(_folded, "node bigint, point binary"))
+    left = coarse.select(F.col("node").alias("a"), F.col("point").alias("point_a"))
+    right = coarse.select(F.col("node").alias("b"), F.col("point").alias("point_b"))
+    near = met.join(left, "a").join(right, "b").select("a", "b", "point_a", "point_b")
+    pairs = scratch.keep(near.mapInArrow(_bounded, "a bigint, b bigint"))
     links = check(pairs, texts, scratch)
     roots = components(links, scratch)
-    long = placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHORT).select("list")
-    rooted = placed.join(long, "list", "left_semi").join(roots, "node", "left").select("list", "node", "point", F.coalesce("root", "node").alias("root"))
+    # lists of which only some pairs were looked at, and whose nodes are not yet connected
+    long = lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHORT).select("list")
+    rooted = lists.join(long, "list", "left_semi").join(roots, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root"))
     rooted = scratch.keep(rooted)
-    mixed = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("list")
-    rest = rooted.join(mixed, "list", "left_semi").repartition("list").sortWithinPartitions("list", "node")
+    mixed = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("home")).filter("low <> high").select("list", "home")
+    rest = rooted.join(mixed, "list").join(at, "node").select("home", "list", "node", "point", "root")
+    rest = rest.repartition("home").sortWithinPartitions("home", "list", "node").drop("home")
     more = rest.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
     more = scratch.keep(more.join(pairs, ["a", "b"], "left_anti"))
     if more.isEmpty():

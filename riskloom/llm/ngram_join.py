@@ -49,7 +49,7 @@ def profile(docs: DataFrame, seed: int) -> DataFrame:
             rows, seen = [], []
             for doc, s in zip(b.column("doc_id").to_pylist(), shingle_sets(b.column("text")), strict=True):
                 node, second = set_keys(s, seed)
-                rows.append((doc, len(s), node, second, point(s).tobytes(), None, None))
+                rows.append((doc, len(s), node, second, point(s), None, None))
                 seen.append(_slot(s))
                 total += len(s)
                 if len(seen) == 2000:
@@ -198,6 +198,17 @@ def link(docs: DataFrame, scratch: Scratch, k: int = 5) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def leaders(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each connected group is kept: the one with the
+    smallest doc_id. All columns stay. Rows without a doc_id stay; rows that share a doc_id stay or go
+    together, and go if none of them leads its group.
+    """
+    found = scratch.keep(link(docs, scratch))
+    led = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("leads"))
+    gone = scratch.keep(led.filter("leads = 0").select(F.col("doc_id").alias("__gone")))
+    return semi(docs, "doc_id", gone, "left_anti")
+
+
 def node_texts(docs: DataFrame, wanted: DataFrame, seed: int, scratch: Scratch) -> DataFrame:
     """(node, text), once each, for wanted (node, doc): a text is found by its document and known by its key."""
 
