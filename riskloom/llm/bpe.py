@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import slices
 from riskloom.llm.word_tokens import in_groups
 
 #: Words, and stretches in each of two generations, held with their ids by a Python worker; bytes of words in one recursive query, and the longest
@@ -187,7 +188,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         bpe = coder(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column("text").to_pylist()
             for i, j in in_groups(texts):
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(bpe.encode(texts[i:j]), pa.binary())], names=["doc_id", "ids"])
@@ -200,15 +201,26 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         bpe = coder(path, pattern)
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bpe.decode(part.column("ids").to_pylist()), pa.binary())], names=["doc_id", "ids", "decoded"])
+        for b in slices(batches, 256):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bpe.decode(b.column("ids").to_pylist()), pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return encoded.mapInArrow(run, "doc_id bigint, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids, decoded) of every row, encoded and decoded by one worker a task, so that a task
+    holds one set of tables."""
+
+    def run(batches):
+        bpe = coder(path, pattern)
+        for b in slices(batches, 256):
+            ids = bpe.encode(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(bpe.decode(ids), pa.binary())], names=["doc_id", "ids", "decoded"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary, decoded binary")
+
+
 def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, encoded and decoded again."""
-    both = decode(encode(docs, path, pattern), path, pattern)
+    both = round_trip(docs, path, pattern)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
