@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Scratch
+from riskloom.llm.common import Scratch, attach
 
 SEGMENT_BITS = 1 << 16
 BITS_PER_ROW = 8
@@ -86,8 +86,8 @@ def _merge(batches):
         yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([two.view("<i8")], pa.list_(pa.int64()))], names=["__seg", "__again"])
 
 
-def again_plane(hashes: DataFrame, rows: int) -> DataFrame:
-    """First pass. ``hashes`` has one 64-bit column; returns (__seg int, __again array of 1024 longs)."""
+def again_plane(hashes: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """First pass. ``hashes`` has one 64-bit column; returns (__seg int, __again array of 1024 longs) and the number of segments."""
     segments = 1
     while segments < MOST_SEGMENTS and segments * SEGMENT_BITS < rows * BITS_PER_ROW:
         segments *= 2
@@ -117,14 +117,15 @@ def decisions(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     d = docs.select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).alias("chars"), digest(F.col("text")).alias("text_sha256"))
     d = scratch.keep(d.withColumn("h", F.xxhash64("text_sha256")))
-    plane, segments = again_plane(d.select("h"), d.count())
+    total = d.count()
+    plane, segments = again_plane(d.select("h"), total)
     d = flagged(d, "h", scratch.keep(plane), segments)
     alone = d.filter(~F.col("__maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     maybe = d.filter("__maybe")
     order = F.struct(F.col("chars"), F.col("doc_id").isNotNull(), -F.col("doc_id"))
     groups = maybe.groupBy("text_sha256").agg(F.max(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("text_sha256", (-F.col("best.col3")).alias("keep_id"), "group_size")
-    met = maybe.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = scratch.keep(groups.select("text_sha256", (-F.col("best.col3")).alias("keep_id"), "group_size"))
+    met = attach(maybe, groups, "text_sha256", "group_size", total).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return alone.unionByName(met)
 
 
