@@ -12,7 +12,7 @@ import numpy as np
 
 #: Bits of the group number: least and most.
 FEWEST, MOST = 5, 16
-LEAF, FAN = 32, 8
+LEAF, FAN = 16, 8
 #: Two sets link when 100 x intersection >= 75 x union, that is 7 x intersection >= 3 x sum of sizes.
 OVER, UNDER = 7, 3
 

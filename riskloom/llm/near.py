@@ -23,7 +23,7 @@ U = np.uint64
 #: Lists of at most so many nodes give all pairs at once; centres of longer ones.
 SHORT, CENTRES = 6, 3
 #: Counts in the matrix of one list's tree, as a power of two, and pairs gathered before they are told.
-MATRIX_BITS, HELD = 22, 500_000
+MATRIX_BITS, HELD = 20, 250_000
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
