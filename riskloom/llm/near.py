@@ -35,7 +35,7 @@ def _whole_lists(batches, names: list[str]) -> Iterator[pa.Table]:
             continue
         t = pa.table(b.columns, names=names)
         key = t.column("list").to_numpy()
-        cut = int(np.searchsorted(key != key[-1], False, side="left")) if key[0] != key[-1] else 0
+        cut = int(np.searchsorted(key == key[-1], True))  # a list's rows lie side by side
         if cut:  # everything before the last list is whole
             yield pa.concat_tables([*held, t.slice(0, cut)])
             held = []
