@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -25,6 +26,8 @@ from riskloom.llm.word_tokens import in_groups
 #: word that goes there (its passes grow with its length); longer ones are contracted by the same rule
 #: from a heap.
 MOST_WORDS, QUERY_BYTES, LONGEST = 400_000, 1 << 18, 256
+#: Ids in one decoding query, whatever texts they belong to.
+DECODED = 1 << 19
 
 ENCODE = """
 WITH RECURSIVE t(k, w, p, id) AS (
@@ -143,21 +146,29 @@ class Bpe:
         return [b"".join(map(get, parts)) for parts in split]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        """Bytes of each list of ids."""
-        sizes = np.array([len(x) // 4 for x in ids])
+        """Bytes of each list of ids, from stretches of a bounded number of ids: a long list's bytes are
+        joined from consecutive stretches."""
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        self.db.register("ids", pa.table([doc, np.arange(len(doc)), np.frombuffer(b"".join(ids), "<u4").astype(np.int32)], names=["d", "p", "id"]))
+        every = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
+        found: list[list[bytes]] = [[] for _ in ids]
+        for s in range(0, len(every), DECODED):
+            for d, part in self._decoded(doc[s : s + DECODED], every[s : s + DECODED]):
+                found[d].append(part)
+        return [b"".join(parts) for parts in found]
+
+    def _decoded(self, doc: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(list, bytes) of the lists of one stretch."""
+        self.db.register("ids", pa.table([doc, np.arange(len(doc)), ids], names=["d", "p", "id"]))
         out = self.db.sql(DECODE).to_arrow_table()
         self.db.unregister("ids")
-        bytes_of = [b""] * len(ids)
         for table in out.to_batches():
             parts = table.column("parts")
             values = parts.values.cast(pa.large_binary())  # the bytes of a list lie side by side
             _, at, data = values.buffers()
             at = np.frombuffer(at, np.int64)[values.offset :][parts.offsets.to_numpy()]
             for d, a, b in zip(table.column("d").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                bytes_of[d] = data[a:b].to_pybytes()
-        return bytes_of
+                yield d, data[a:b].to_pybytes()
 
 
 SPACE_AFTER_SPACE = re.compile(r"\s\x20")
@@ -214,8 +225,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         bpe = coder(path, pattern)
         for b in slices(batches, 256):
-            ids = bpe.encode(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(bpe.decode(ids), pa.binary())], names=["doc_id", "ids", "decoded"])
+            texts = b.column("text").to_pylist()
+            for i, j in in_groups(texts):
+                ids = bpe.encode(texts[i:j])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(ids, pa.binary()), pa.array(bpe.decode(ids), pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary, decoded binary")
 
