@@ -1,7 +1,7 @@
 """Repeated passages within and across documents, by MinHash bands over paragraphs.
 
 A paragraph is cut at line ends and, by content alone, after most sentences, so a passage
-that stands in other surroundings falls into the same pieces. Exact copies of a piece are one node;
+that stands in other surroundings falls into the same pieces; neighbouring short lines are joined. Exact copies of a piece are one node;
 nodes that collide in a band are joined, checked by exact Jaccard similarity of their word shingles and
 clustered by components. Passages are runs of neighbouring pieces that occur elsewhere too.
 """
@@ -29,6 +29,8 @@ PIECE, PASSAGE, REPEATED, BETWEEN = 8, 28, 16, 12
 #: A stop so many words after the last stop or line end ends a piece with probability 3/4, another with 1/8.
 #: After so many words without a stop any word may end a piece, by content, with probability 3/32.
 SENTENCE, UNSTOPPED = 6, 24
+#: Words to a cut on average where neighbouring pieces, lines say, are too short and are joined.
+JOINED = 20
 THRESHOLD, RECALL, HASHES = 0.75, 0.996, 14
 UNIT = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("first_word", pa.int32()), ("words", pa.int32()), ("node", pa.int64())])
 UNIT_DDL = "doc_id bigint, start int, end int, first_word int, words int, node bigint"
@@ -68,9 +70,11 @@ class Pieces:
         before = np.concatenate([[-1], np.maximum.accumulate(np.where(stop | cut, place, -1))[:-1]])
         left = np.concatenate([[U(0)], self.words[:-1]])
         left[self.at[:-1][self.at[:-1] < n]] = 0
-        chance = mix(self.words + left * U(3)) >> U(56)
+        drawn = mix(self.words + left * U(3))
+        chance = drawn >> U(56)
         cut |= stop & (chance < np.where(place - before >= SENTENCE, U(192), U(32)))
         cut |= (place - before > UNSTOPPED) & (chance < U(24))
+        self._join_short(cut, drawn >> U(40) & U(255))
         last = np.flatnonzero(cut)
         first = np.concatenate([[0], last[:-1] + 1])
         long = last - first + 1 >= PIECE
@@ -87,6 +91,24 @@ class Pieces:
         inside = np.arange(self.size.sum()) + np.repeat(self.first - self.begin, self.size)
         self.shingles = every[inside]
 
+    def _join_short(self, cut: np.ndarray, chance: np.ndarray) -> None:
+        """Take back cuts between neighbouring pieces that are too short, but for some of them, chosen by
+        content (one in about ``JOINED`` words), that leave no piece of such a run too short."""
+        last = np.flatnonzero(cut)
+        first = np.concatenate([[0], last[:-1] + 1])
+        size = last - first + 1
+        short = size < PIECE
+        ends = np.zeros(len(cut), bool)
+        ends[self.at[1:][self.at[1:] > 0] - 1] = True
+        within = np.concatenate([short[:-1] & short[1:] & ~ends[last[:-1]], [False]])
+        starts = np.maximum.accumulate(np.where(np.concatenate([[True], ~within[:-1]]), first, 0))
+        stops = np.minimum.accumulate(np.where(within, len(cut), last)[::-1])[::-1]
+        cut[last[within]] = False
+        taken = np.flatnonzero(within & (chance[last] < (size * 256 // JOINED).astype(U)))
+        at = last[taken]
+        since = np.maximum(np.concatenate([[0], at[:-1] + 1]), starts[taken])
+        cut[at[(at + 1 - since >= PIECE) & (stops[taken] - at >= PIECE)]] = True
+
     def reduce(self, by: np.ufunc, values: np.ndarray) -> np.ndarray:
         return by.reduceat(values, self.begin) if len(self.begin) else values[:0]
 
