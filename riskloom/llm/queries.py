@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, html_crf, language, ngram_join, ogg, packing, pii, substring_dedup, token_files
+from riskloom.llm import bpe, exact_dedup, html_crf, language, ngram_join, ogg, packing, pii, runs, substring_dedup, token_files
 from riskloom.llm.common import Scratch, table
 from riskloom.session import ship
 
@@ -93,3 +93,8 @@ def op9_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.report(table(spark, sf_dir, "documents"), tail=True)
