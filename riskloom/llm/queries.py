@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, html_crf, language, ngram_join, ogg, packing, pii, runs, substring_dedup, token_files
+from riskloom.llm import bpe, exact_dedup, html_crf, language, minmax, ngram_join, ogg, packing, pii, runs, substring_dedup, token_files
 from riskloom.llm.common import Scratch, table
 from riskloom.session import ship
 
@@ -95,6 +95,35 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.link(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+def _shingle_links(percent: int, more: str = "") -> str:
+    """SQL of documents, their shingle sets' sizes and components of links of ``percent`` or more."""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT DISTINCT a AS doc_id, a AS other FROM both_ways UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON e.a = r.other),
+root AS (SELECT doc_id, min(other) AS root FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id{more}
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN root ON root.doc_id = d.doc_id
+"""
+
+
+SQL["op3_ngram_jaccard_join"] = _shingle_links(75)
+SQL["op11_minmax_near_dedup"] = _shingle_links(85, ", coalesce(root, d.doc_id) = d.doc_id AS kept")
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.report(table(spark, sf_dir, "documents"), tail=True)

@@ -15,7 +15,7 @@ def shingles(text):
     return set(zip(*[w[i:] for i in range(5)], strict=False)) if len(w) >= 5 else {tuple(w)} if w else set()
 
 
-def components(rows):
+def components(rows, percent=75):
     """[(doc_id, set size, component)] in the order of rows, links over all pairs; rows are nodes."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -28,7 +28,7 @@ def components(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 parent[find(i)] = find(j)
     least = {}
     for i, (doc, _) in enumerate(rows):
