@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, html_crf, language, minmax, ngram_join, ogg, packing, pii, runs, substring_dedup, token_files
+from riskloom.llm import bpe, exact_dedup, html_crf, language, minmax, ngram_join, ogg, packing, pii, prefix_trie, runs, substring_dedup, token_files
 from riskloom.llm.common import Scratch, table
 from riskloom.session import ship
 
@@ -127,3 +127,37 @@ SQL["op11_minmax_near_dedup"] = _shingle_links(85, ", coalesce(root, d.doc_id) =
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.report(table(spark, sf_dir, "documents"), tail=True)
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.branched_trie(table(spark, sf_dir, "conversations"), Scratch(spark))
+
+
+#: Unsigned crc32 of the decimal conv_id: bytes in order, eight steps of the reflected polynomial each.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, k: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))))"""
+SQL["op13_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, k, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos FROM t),
+c AS (SELECT conv_id, n, {_CRC32} % 9 AS h FROM (SELECT conv_id, count(*) AS n FROM o GROUP BY 1)),
+p AS (SELECT c.conv_id, c.n, h, least(h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN (SELECT conv_id AS base, n FROM c) b ON b.base = c.conv_id - c.conv_id % 5),
+r AS (
+  SELECT p.conv_id, o.pos, k, bytes FROM p JOIN o ON o.conv_id = p.conv_id - p.conv_id % 5 AND o.pos <= p.h
+  UNION ALL SELECT p.conv_id, o.pos - h + taken, k, bytes FROM p JOIN o ON o.conv_id = p.conv_id AND o.pos > h),
+m AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS bytes FROM c
+  UNION ALL SELECT conv_id, pos, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY pos), bytes FROM r),
+l AS (SELECT conv_id, taken + greatest(n - h, 0) AS length FROM p),
+nodes AS (
+  SELECT path, any_value(m.depth) AS depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS own,
+         sha256(coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (m.depth = length), '')) AS ends_sha256
+  FROM m JOIN l USING (conv_id) GROUP BY path),
+kids AS (SELECT left(path, -64) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+up AS (SELECT left(x.path, 64 * d) AS path, x.own, coalesce(kids.n, 0) = 0 AS leaf FROM nodes x LEFT JOIN kids ON kids.path = x.path, unnest(range(0, x.depth + 1)) u(d)),
+sub AS (SELECT path, sum(own)::BIGINT AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM up GROUP BY 1)
+SELECT x.conv_id, x.depth::BIGINT AS depth, parent.conv_id AS parent_conv_id, x.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves, saved_tokens, x.ends_sha256
+FROM nodes x JOIN sub ON sub.path = x.path LEFT JOIN kids ON kids.path = x.path LEFT JOIN nodes parent ON x.depth > 0 AND parent.path = left(x.path, -64)
+"""
