@@ -181,26 +181,67 @@ def t_two_sided(t: float, dof: float) -> float:
     return beta_inc(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
-def huber_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, k: float = 1.345, passes: int = 1000, tol: float = 1e-8) -> np.ndarray:
-    """Huber M-estimate by reweighted least squares to convergence, scale by MAD about the residuals' median."""
+#: Passes in which a robust fit takes its scale anew; afterwards the scale stands, so the fit is convex and settles.
+SCALE_PASSES = 2
+
+
+def mad_scale(e: np.ndarray) -> float:
+    """Median distance from the median, as a standard deviation."""
+    return float(np.median(np.abs(e - np.median(e))) / 0.67449)
+
+
+def huber_solve(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, k: float = 1.345, tol: float = 1e-10, most: int = 1000) -> tuple[np.ndarray, bool, int]:
+    """Huber M-estimate by reweighted least squares: coefficients, whether they settled, and passes.
+
+    The first ``SCALE_PASSES`` passes scale by the MAD of weighted residuals about their median. From then
+    on the scale stands: each pass lowers one convex loss, so passes cannot swing between two fits. Without
+    any spread (half of the residuals or more are equal) the least-squares fit stays.
+    """
     root = np.ones(len(y)) if w is None else np.sqrt(w)
     xw, yw = x * root[:, None], y * root
     b = np.linalg.lstsq(xw, yw, rcond=None)[0]
-    for _ in range(passes):
+    s = 0.0
+    for i in range(1, most + 1):
         e = yw - xw @ b
-        s = np.median(np.abs(e - np.median(e))) / 0.67449
+        if i <= SCALE_PASSES:
+            s = mad_scale(e)
         if s <= 1e-300:
-            break
-        u = np.minimum(1.0, k * s / np.maximum(np.abs(e), 1e-300))
-        r = np.sqrt(u)
+            return b, True, i
+        r = np.sqrt(np.minimum(1.0, k * s / np.maximum(np.abs(e), 1e-300)))
         new = np.linalg.lstsq(xw * r[:, None], yw * r, rcond=None)[0]
-        done = np.max(np.abs(new - b)) <= tol * max(1.0, np.max(np.abs(b)))
+        moved = np.max(np.abs(new - b), initial=0.0) > tol * max(1e-12, np.max(np.abs(new), initial=0.0))
         b = new
-        if done:
-            break
-    else:
-        raise ArithmeticError(f"no convergence within {passes} passes")
-    return b
+        if i > SCALE_PASSES and not moved:
+            return b, True, i
+    return b, False, most
+
+
+def huber_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, k: float = 1.345) -> np.ndarray:
+    """Coefficients of ``huber_solve``."""
+    return huber_solve(x, y, w, k)[0]
+
+
+def huber_location(v: np.ndarray, w: np.ndarray, k: float = 1.345) -> float:
+    """Weighted Huber location with the scale of ``huber_solve``, exactly: the sum of clipped residuals falls
+    from piece to piece as the centre rises; its zero lies on the piece where the sign changes."""
+    root = np.sqrt(w)
+    c, s = float((w * v).sum() / w.sum()), 0.0
+    for i in range(SCALE_PASSES):
+        e = root * (v - c)
+        s = mad_scale(e)
+        if s <= 1e-300:
+            return c
+        if i < SCALE_PASSES - 1:
+            u = w * np.minimum(1.0, k * s / np.maximum(np.abs(e), 1e-300))
+            c = float((u * v).sum() / u.sum())
+    reach = k * s / root
+    at, slope = np.concatenate([v - reach, v + reach]), np.concatenate([-w, w])
+    order = np.argsort(at, kind="stable")
+    at, slope = at[order], slope[order]
+    run = np.cumsum(slope)
+    total = (root * k * s).sum() + np.append(0.0, np.cumsum(run[:-1] * np.diff(at)))  # the sum at each place
+    i = int(np.flatnonzero(total >= 0)[-1])
+    return float(at[i] - total[i] / run[i]) if run[i] < 0 else float(at[i])
 
 
 def adf_t(e: np.ndarray, lags: int = 2) -> float:

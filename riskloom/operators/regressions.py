@@ -69,65 +69,79 @@ def constrained_wls(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str,
     return g.withColumn("coef", solve("xtx", "xty"))
 
 
-def huber_cross_section(df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str, w: str | None = None, k: float = 1.345, tol: float = 1e-5, intercept: bool = False, most: int = 100) -> DataFrame:
-    """Robust coefficients per key by reweighted aggregates.
-
-    Passes go on until no coefficient of any key moves by more than ``tol`` relative to the largest
-    one of its key; a key that has converged is frozen, and ``n_passes`` tells after how many. Beyond
-    ``most`` passes an error is raised. Keys with fewer rows than columns get zeros. The scale is the
-    MAD of weighted residuals about their median.
+def huber_cross_section(
+    df: DataFrame, by: Sequence[str], xs: Sequence[str], y: str, w: str | None = None, k: float = 1.345, tol: float = 1e-6, intercept: bool = False, most: int = 100, in_task: int = 200_000
+) -> DataFrame:
+    """Robust coefficients per key: by, n, coef, converged, n_passes.
+
+    The scale is the MAD of weighted residuals about their median, taken in the first passes and then
+    kept (``linalg.huber_solve``), so the fit settles. Keys of up to ``in_task`` rows are fitted in tasks,
+    all of them in one job. Larger keys move sums: a pass is one aggregation over the rows of those
+    keys that still move, and only their coefficients are checkpointed. A key that still moves after
+    ``most`` passes keeps its last fit and says so in ``converged``. Keys with fewer rows than columns get
+    zeros and count as converged.
     """
-    by = list(by)
-    x = stored(df.select(*by, *xs, y, (F.col(w) if w else F.lit(1.0)).alias("_w")).dropna())
+    keys = list(by) or ["_one"]
+    x = df if by else df.withColumn("_one", F.lit(1))
+    x = stored(x.select(*keys, *xs, F.col(y).alias("_y"), (F.col(w) if w else F.lit(1.0)).alias("_w")).dropna(subset=[*xs, "_y", "_w"]))
+    sizes = stored(x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     m = len(xs) + int(intercept)
-    fit = cut(wls(x, by, xs, y, "_w", intercept).select(*by, "n", "coef").withColumn("converged", F.col("n") < m).withColumn("n_passes", F.lit(0)))
-    done = []
+
+    def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
+        a = pdf[list(xs)].to_numpy(float)
+        a = np.column_stack([np.ones(len(pdf)), a]) if intercept else a
+        b, done, i = (np.zeros(m), True, 0) if len(pdf) < m else linalg.huber_solve(a, pdf["_y"].to_numpy(float), pdf["_w"].to_numpy(float), k)
+        return pd.DataFrame({**{c: pdf[c].iloc[:1].array for c in keys}, "n": [len(pdf)], "coef": [b], "converged": [done], "n_passes": [i]})
+
+    schema = T.StructType([df.schema[c] if by else T.StructField(c, T.IntegerType()) for c in keys] + T._parse_datatype_string("n bigint, coef array<double>, converged boolean, n_passes int").fields)
+    out = x.join(sizes.where(F.col("n") <= in_task).select(*keys), keys, "left_semi").groupBy(*keys).applyInPandas(fit_one, schema)
+    large = sizes.where(F.col("n") > in_task).select(*keys)
+    if not large.isEmpty():
+        out = out.unionByName(_huber_by_sums(stored(x.join(large, keys, "left_semi")), keys, xs, k, tol, intercept, most))
+    return out if by else out.drop("_one")
+
+
+def _huber_by_sums(x: DataFrame, keys: list[str], xs: Sequence[str], k: float, tol: float, intercept: bool, most: int) -> DataFrame:
+    fit = cut(wls(x, keys, xs, "_y", "_w", intercept).select(*keys, "n", "coef", F.lit(None).cast("double").alias("scale"), F.lit(False).alias("converged"), F.lit(0).alias("n_passes")))
+    done = fit.where("converged")
     for i in range(1, most + 1):
-        active = fit.where(~F.col("converged"))
-        if active.isEmpty():
-            break
-        if by:  # rows of converged keys are read no more
-            x_left = x.join(active.select(*by), by, "left_semi")
+        rows = x if i <= linalg.SCALE_PASSES else x.join(fit.select(*keys), keys, "left_semi")  # rows of settled keys are read no more
+        e = residuals(rows, fit.select(*keys, "coef"), keys, xs, "_y", intercept, "_e").withColumn("_e", F.sqrt("_w") * F.col("_e"))
+        if i <= linalg.SCALE_PASSES:
+            mid = median(e, keys, "_e", "_m").drop("n")
+            away = e.join(mid, keys).withColumn("_d", F.abs(F.col("_e") - F.col("_m")))
+            scale = median(away, keys, "_d", "_s").select(*keys, (F.col("_s") / 0.67449).alias("_s"))
         else:
-            x_left = x
-        e = residuals(x_left, active.select(*by, "n", "coef"), by, xs, y, intercept, "_e").withColumn("_e", F.sqrt("_w") * F.col("_e"))
-        mid = median(e, by, "_e", "_m").drop("n")
-        dev = e.join(mid, by).withColumn("_d", F.abs(F.col("_e") - F.col("_m")))
-        s = median(dev, by, "_d", "_s").drop("n")
-        z = e.join(s, by)
-        scale = F.col("_s") / F.lit(0.67449)
-        u = F.when(scale > 0, F.least(F.lit(1.0), div(F.lit(k) * scale, F.greatest(F.abs("_e"), F.lit(1e-300))))).otherwise(1.0)
-        new = wls(z.withColumn("_w", F.col("_w") * u), by, xs, y, "_w", intercept).select(*by, F.col("n").alias("_n"), F.col("coef").alias("_new"))
-        old = active.select(*by, "n", "coef")
-        both = old.join(new, by) if by else old.crossJoin(new)
-        moved = F.array_max(F.zip_with("coef", "_new", lambda a, b: F.abs(a - b))) <= tol * F.greatest(F.lit(1e-12), F.array_max(F.transform("_new", F.abs)))
-        done.append(fit.where("converged"))
-        fit = cut(both.select(*by, "n", F.col("_new").alias("coef"), moved.alias("converged"), F.lit(i).alias("n_passes")))
-    else:
-        if not fit.where(~F.col("converged")).isEmpty():
-            raise ArithmeticError(f"no convergence within {most} passes")
-    for part in done:
-        fit = fit.unionByName(part)
-    zero = F.array(*[F.lit(0.0)] * m)
-    return fit.withColumn("coef", F.when(F.col("n") < m, zero).otherwise(F.col("coef")))
+            scale = fit.select(*keys, F.col("scale").alias("_s"))
+        z = e.join(scale, keys)
+        down = F.when(F.col("_s") > 0, F.least(F.lit(1.0), F.lit(k) * F.col("_s") / F.greatest(F.abs("_e"), F.lit(1e-300)))).otherwise(1.0)
+        new = wls(z.withColumn("_w", F.col("_w") * down), keys, xs, "_y", "_w", intercept).select(*keys, F.col("coef").alias("_new"))
+        both = fit.drop("scale", "converged").join(new, keys).join(scale, keys)
+        moved = F.array_max(F.zip_with("coef", "_new", lambda a, b: F.abs(a - b))) > tol * F.greatest(F.lit(1e-12), F.array_max(F.transform("_new", F.abs)))
+        settled = (F.col("_s") <= 0) | (F.lit(i > linalg.SCALE_PASSES) & ~moved)
+        step = cut(both.select(*keys, "n", F.col("_new").alias("coef"), F.col("_s").alias("scale"), settled.alias("converged"), F.lit(i).alias("n_passes")))
+        done, fit = done.unionByName(step.where("converged")), step.where("NOT converged")
+        if fit.isEmpty():
+            break
+    return done.unionByName(fit).drop("scale")
 
 
 def huber_history(df: DataFrame, key: str, xs: Sequence[str], y: str, k: float = 5.0, intercept: bool = True, least: int = 4) -> DataFrame:
-    """Robust time-series fit per key; a group is one key's dated history."""
+    """Robust time-series fit per key, and whether it settled; a group is one key's dated history. Keys with
+    fewer than ``least`` full rows get zeros."""
     names = (["intercept"] if intercept else []) + list(xs)
     kt = df.schema[key].dataType.simpleString()
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.dropna()
-        if len(p) < max(least, len(names)):
-            b = np.zeros(len(names))
-        else:
+        p = pdf.dropna(subset=[*xs, y])
+        b, done = np.zeros(len(names)), True
+        if len(p) >= max(least, len(names)):
             x = p[list(xs)].to_numpy(float)
             x = np.column_stack([np.ones(len(p)), x]) if intercept else x
-            b = linalg.huber_fit(x, p[y].to_numpy(float), k=k)
-        return pd.DataFrame([[pdf[key].iloc[0], *b]], columns=[key, *names])
+            b, done, _ = linalg.huber_solve(x, p[y].to_numpy(float), k=k)
+        return pd.DataFrame([[pdf[key].iloc[0], *b, done]], columns=[key, *names, "converged"])
 
-    schema = f"{key} {kt}, " + ", ".join(f"`{n}` double" for n in names)
+    schema = f"{key} {kt}, " + ", ".join(f"`{n}` double" for n in names) + ", converged boolean"
     return df.select(key, *xs, y).groupBy(key).applyInPandas(fit, schema)
 
 

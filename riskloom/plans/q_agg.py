@@ -101,7 +101,21 @@ def _(v):
     return _r(ag.effective_n(v.panel, ["dt", "region"], "mcap"), ["eff_n"])
 
 
-@query("agg10_robust_average", "panel")
+_LOCATION = """x AS (SELECT region, ret AS v, mcap AS w FROM panel WHERE ret IS NOT NULL AND mcap > 0),
+c0 AS (SELECT region, SUM(w * v) / SUM(w) AS c, COUNT(*) AS n FROM x GROUP BY 1),
+e0 AS (SELECT region, v, w, n, sqrt(w) * (v - c) AS e FROM x JOIN c0 USING (region)), m0 AS (SELECT region, median(e) AS m FROM e0 GROUP BY 1),
+s0 AS (SELECT region, median(abs(e - m)) / 0.67449 AS s FROM e0 JOIN m0 USING (region) GROUP BY 1),
+c1 AS (SELECT region, n, SUM(w * v * LEAST(1, 1.345 * s / GREATEST(abs(e), 1e-300))) / SUM(w * LEAST(1, 1.345 * s / GREATEST(abs(e), 1e-300))) AS c FROM e0 JOIN s0 USING (region) GROUP BY 1, 2),
+e1 AS (SELECT region, v, w, sqrt(w) * (v - c) AS e FROM x JOIN c1 USING (region)), m1 AS (SELECT region, median(e) AS m FROM e1 GROUP BY 1),
+s1 AS (SELECT region, median(abs(e - m)) / 0.67449 AS s FROM e1 JOIN m1 USING (region) GROUP BY 1),
+b AS (SELECT region, v - c - 1.345 * s / sqrt(w) AS p, -w AS d FROM x JOIN s1 USING (region) JOIN c1 USING (region) UNION ALL SELECT region, v - c + 1.345 * s / sqrt(w), w FROM x JOIN s1 USING (region) JOIN c1 USING (region)),
+f AS (SELECT region, SUM(sqrt(w)) * 1.345 * ANY_VALUE(s) AS f FROM x JOIN s1 USING (region) GROUP BY 1),
+t AS (SELECT region, p, f + p * SUM(d) OVER r - SUM(d * p) OVER r AS total, SUM(d) OVER r AS fall FROM b JOIN f USING (region) WINDOW r AS (PARTITION BY region ORDER BY p)),
+z AS (SELECT region, MAX(p) AS p, arg_max(total, p) AS total, arg_max(fall, p) AS fall FROM t WHERE total >= 0 GROUP BY 1)"""
+
+
+@query("agg10_robust_average", "panel", "WITH " + _LOCATION + """
+SELECT region, ROUND(CASE WHEN n < 2 THEN 0 ELSE c + p - total / fall END, 6) AS average FROM c1 JOIN z USING (region)""")
 def _(v):
     return _r(ag.robust_average(v.panel, ["region"], "ret", "mcap"), ["average"])
 

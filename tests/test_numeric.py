@@ -140,13 +140,83 @@ def test_huber_resists_outliers(spark, rng):
     assert linalg.huber_fit(np.column_stack([np.ones(200), x]), y)[1] == pytest.approx(c[1], abs=0.01)
 
 
-def test_robust_average(spark):
-    one = frame(spark, k=["a"] * 10, v=[1.0] * 10)
-    assert ag.robust_average(one, ["k"], "v", passes=3).first().average == pytest.approx(1.0)
-    spiked = frame(spark, k=["a"] * 1000, v=[10000.0] * 50 + [1.0] * 950)
-    assert ag.robust_average(spiked, ["k"], "v", passes=2).first().average < 10000
-    single = frame(spark, k=["a"], v=[5.0])
-    assert ag.robust_average(single, ["k"], "v", passes=1).first().average == 0.0
+def fixed_scale_fit(x, y, w, k):
+    """The scale of two passes, then the convex loss by Newton's steps with halving."""
+    r = np.sqrt(w)
+    xw, yw = x * r[:, None], y * r
+    b = np.linalg.lstsq(xw, yw, rcond=None)[0]
+    for i in range(2):
+        e = yw - xw @ b
+        s = np.median(np.abs(e - np.median(e))) / 0.67449
+        u = np.minimum(1, k * s / np.maximum(np.abs(e), 1e-300))
+        b = np.linalg.lstsq(xw * np.sqrt(u)[:, None], yw * np.sqrt(u), rcond=None)[0]
+
+    def loss(b):
+        e = np.abs(yw - xw @ b)
+        return np.where(e <= k * s, e * e / 2, k * s * e - (k * s) ** 2 / 2).sum()
+
+    for _ in range(200):
+        e = yw - xw @ b
+        near = np.abs(e) <= k * s
+        step = np.linalg.lstsq(xw[near].T @ xw[near] + 1e-12 * np.eye(len(b)), xw.T @ np.clip(e, -k * s, k * s), rcond=None)[0]
+        t = 1.0
+        while loss(b + t * step) > loss(b) and t > 1e-9:
+            t /= 2
+        b = b + t * step
+    return b
+
+
+def test_huber_settles_and_agrees_with_newton(rng):
+    for n, k in ((6, 1.345), (40, 1.345), (81, 5.0), (400, 1.345)):
+        for _ in range(10):
+            x = np.column_stack([np.ones(n), rng.normal(size=n)])
+            y, w = 0.3 * x[:, 1] + rng.standard_t(2, size=n), rng.uniform(0.5, 2, n)
+            b, done, _ = linalg.huber_solve(x, y, w, k)
+            assert done and np.allclose(b, fixed_scale_fit(x, y, w, k), atol=1e-6)
+
+
+def test_huber_on_ties_constants_and_few_rows(spark):
+    rows = [("tied", i % 2, 1.0 if i < 8 else 9.0) for i in range(12)] + [("constant", i, 3.0) for i in range(9)] + [(f"few{n}", i, float(i * i)) for n in range(1, 6) for i in range(n)] + [("same_x", 1, float(i)) for i in range(7)]
+    df = spark.createDataFrame([(k, float(x), y) for k, x, y in rows], "k string, x double, y double")
+    got = {r.k: r for r in rg.huber_cross_section(df, ["k"], ["x"], "y", intercept=True).collect()}
+    assert all(r.converged for r in got.values()) and len(got) == 8
+    assert list(got["few1"].coef) == [0.0, 0.0] and got["constant"].coef[0] == pytest.approx(3.0) and got["constant"].coef[1] == pytest.approx(0.0, abs=1e-9)
+    hist = {r.k: r for r in rg.huber_history(df, "k", ["x"], "y").collect()}
+    assert hist["few3"].x == 0.0 and all(r.converged for r in hist.values())
+
+
+def test_huber_by_sums_equals_fits_in_tasks(spark, rng):
+    n = 300
+    df = frame(spark, k=["a", "b"] * n, x=rng.normal(size=2 * n), y=rng.standard_t(3, size=2 * n), w=rng.uniform(0.5, 2, 2 * n))
+    one = {r.k: r for r in rg.huber_cross_section(df, ["k"], ["x"], "y", "w", intercept=True).collect()}
+    two = {r.k: r for r in rg.huber_cross_section(df, ["k"], ["x"], "y", "w", intercept=True, in_task=0, tol=1e-5).collect()}
+    assert one.keys() == two.keys()
+    for key, r in one.items():
+        assert r.converged and two[key].converged and list(r.coef) == pytest.approx(list(two[key].coef), abs=1e-4)
+    assert rg.huber_cross_section(df, [], ["x"], "y", "w", intercept=True).columns == ["n", "coef", "converged", "n_passes"]
+
+
+def test_huber_that_has_no_time_says_so(spark, rng):
+    df = frame(spark, k=["a"] * 50, x=rng.normal(size=50), y=rng.standard_t(1, size=50))
+    assert not rg.huber_cross_section(df, ["k"], ["x"], "y", intercept=True, in_task=0, most=2).first().converged
+
+
+def test_robust_average(spark, rng):
+    cases = {"one": [1.0] * 10, "spiked": [10000.0] * 50 + [1.0] * 950, "single": [5.0], "two": [1.0, 3.0], "five": [1.0, 2.0, 2.0, 3.0, 100.0], "ties": [1.0] * 3 + [2.0] * 3 + [50.0], "heavy": rng.standard_t(1, size=3000).tolist(), "far": (1e6 + rng.normal(size=200)).tolist()}
+    data = [(k, v, float(rng.uniform(0.1, 9))) for k, vs in cases.items() for v in vs] + [("one", None, 1.0), ("two", 7.0, None)]
+    df = spark.createDataFrame(data, "k string, v double, w double")
+    for weight in (None, "w"):
+        got = {r.k: r.average for r in ag.robust_average(df, ["k"], "v", weight).collect()}
+        for k in cases:
+            rows = [(v, w if weight else 1.0) for kk, v, w in data if kk == k and v is not None and (w is not None or not weight)]
+            v, w = (np.array(c) for c in zip(*rows))
+            want = 0.0 if len(v) < 2 else linalg.huber_location(v, w)
+            assert got[k] == pytest.approx(want, rel=1e-7, abs=1e-7), (k, weight)
+            if len(v) > 1 and weight is None:  # the zero of the clipped residuals
+                b = linalg.huber_solve(np.ones((len(v), 1)), v, w, tol=1e-14, most=5000)[0][0]
+                assert want == pytest.approx(b, rel=1e-5, abs=1e-5)
+    whole = ag.robust_average(df.where("k = 'heavy'"), [], "v").first().average
+    assert whole == pytest.approx(linalg.huber_location(np.array(cases["heavy"]), np.ones(3000)), abs=1e-8)
 
 
 def test_t_distribution():
