@@ -307,48 +307,3 @@ def top_vectors(g: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     at = np.argsort(d)[::-1][:k]
     v = v[:, at] * np.where(v[:, at].sum(axis=0) < 0, -1.0, 1.0)
     return d[at], v
-
-
-def kalman_factors(x: np.ndarray, k: int, tol: float = 1e-6, most: int = 500) -> np.ndarray:
-    """Smoothed factors of a small standardised table (months x series, NaN where not released).
-
-    Start from principal components, fit a first-order autoregression, then filter and
-    smooth with diagonal observation noise; repeated with loadings from the smoothed factors until
-    the fitted values move by no more than ``tol`` of their size, at ``most`` so many times.
-    """
-    t, n = x.shape
-    seen = np.isfinite(x)
-    mu = np.nanmean(x, axis=0)
-    sd = np.nanstd(x, axis=0)
-    z = (x - mu) / np.where(sd > 0, sd, 1.0)
-    z0 = np.where(seen, z, 0.0)
-    _, v = top_vectors(z0.T @ z0, k)
-    f = z0 @ v
-    fitted = np.zeros_like(z0)
-    for _ in range(most):
-        lam = np.linalg.lstsq(f, z0, rcond=None)[0].T
-        r = np.maximum(np.nanmean(np.where(seen, z0 - f @ lam.T, np.nan) ** 2, axis=0), 1e-4)
-        a = np.linalg.lstsq(f[:-1], f[1:], rcond=None)[0].T
-        e = f[1:] - f[:-1] @ a.T
-        q = e.T @ e / max(len(e), 1) + 1e-8 * np.eye(k)
-        m, p = np.zeros(k), np.eye(k) * 10.0
-        ms, ps, mp, pp = [], [], [], []
-        for i in range(t):
-            m1, p1 = a @ m, a @ p @ a.T + q
-            ok = seen[i]
-            if ok.any():
-                h = lam[ok]
-                gain = p1 @ h.T @ np.linalg.inv(h @ p1 @ h.T + np.diag(r[ok]))
-                m, p = m1 + gain @ (z0[i, ok] - h @ m1), p1 - gain @ h @ p1
-            else:
-                m, p = m1, p1
-            ms.append(m), ps.append(p), mp.append(m1), pp.append(p1)
-        out = [ms[-1]]
-        for i in range(t - 2, -1, -1):
-            j = ps[i] @ a.T @ np.linalg.pinv(pp[i + 1], hermitian=True)
-            out.append(ms[i] + j @ (out[-1] - mp[i + 1]))
-        f = np.array(out[::-1])
-        before, fitted = fitted, f @ np.linalg.lstsq(f, z0, rcond=None)[0]
-        if np.linalg.norm(fitted - before) <= tol * max(1.0, np.linalg.norm(fitted)):
-            break
-    return f

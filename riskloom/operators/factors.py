@@ -20,7 +20,7 @@ from riskloom.operators import timeseries as ts
 from riskloom.operators.crossprod import cross_products, gram, inverse_sym, pack_matrix, unpack_matrix
 from riskloom.operators.regressions import huber_cross_section, residuals, wls
 from riskloom.operators.standardize import clip_outliers
-from riskloom.session import stored
+from riskloom.session import cut, stored
 from riskloom.functions.columns import div
 
 
@@ -213,28 +213,34 @@ def component_residuals(returns: DataFrame, f: DataFrame, exp: DataFrame, key: s
     return j.withColumn("fitted", fit).withColumn("sret", F.col(ret) - F.col("fitted")).drop(*names, *[f"_b_{n}" for n in names])
 
 
-def align_signs(now: DataFrame, before: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
-    """Exposures with each component's sign flipped where it disagrees with the former ones."""
+def former_signs(now: DataFrame, before: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    """One row with, for each component, -1 where its exposures disagree with the former ones and 1 otherwise."""
     b = before.select(key, *[F.col(n).alias(f"_o_{n}") for n in names])
-    s = now.join(b, key).agg(*[F.signum(F.sum(F.col(n) * F.col(f"_o_{n}"))).alias(f"_s_{n}") for n in names])
-    j = now.withColumn("_one", F.lit(1)).join(s.withColumn("_one", F.lit(1)), "_one")
-    return j.withColumns({n: F.when(F.col(f"_s_{n}") < 0, -F.col(n)).otherwise(F.col(n)) for n in names}).drop("_one", *[f"_s_{n}" for n in names])
+    return now.join(b, key).agg(*[F.when(F.sum(F.col(n) * F.col(f"_o_{n}")) < 0, -1.0).otherwise(1.0).alias(f"_s_{n}") for n in names])
+
+
+def align_signs(now: DataFrame, signs: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Columns times the signs of ``former_signs``."""
+    j = now.withColumn("_one", F.lit(1)).join(signs.withColumn("_one", F.lit(1)), "_one")
+    return j.withColumns({n: F.col(n) * F.col(f"_s_{n}") for n in names}).drop("_one", *[f"_s_{n}" for n in names])
 
 
 def statistical_model(returns: DataFrame, key: str, dt: str, ret: str, k: int, currency: DataFrame | None = None, before: DataFrame | None = None) -> dict[str, DataFrame]:
     """Components, exposures aligned to the former day, specific returns and factor rows.
 
-    ``currency``: factor rows (dt, factor, value) of the currency block, appended.
+    A component that is turned to agree with ``before`` is turned in exposures and factor returns alike, so
+    their products stay. ``currency``: factor rows (dt, factor, value) of the currency block, appended.
     """
     x = stored(returns.select(key, dt, ret))
     f, exp, stats = apca(x, key, dt, ret, k)
     names = [f"f{i + 1}" for i in range(k)]
     spec = component_residuals(x, f, exp, key, dt, ret, k)
+    if before is not None:
+        signs = cut(former_signs(exp, before, key, names))
+        f, exp = align_signs(f, signs, names), align_signs(exp, signs, names)
     rows = f.unpivot([dt], names, "factor", "value")
     if currency is not None:
         rows = rows.unionByName(currency.select(dt, "factor", "value"))
-    if before is not None:
-        exp = align_signs(exp, before, key, names)
     return {"factor_returns": rows, "exposures": exp, "specific": spec, "stats": stats}
 
 
@@ -279,27 +285,6 @@ def fill_by_components(panel: DataFrame, key: str, step: str, ret: str, proxy: s
     return ts.fill_smooth(j, key, ret, proxy, step)
 
 
-def macro_factors(series: DataFrame, group: str, name: str, step: str, value: str, k: int, as_of: str | None = None) -> DataFrame:
-    """State-space factors of monthly series per group.
-
-    A group is one small table (about a hundred series by some hundred months). Values not
-    yet released (null) are left to the smoother. Output: group, step, f1..fk.
-    """
-    names = [f"f{i + 1}" for i in range(k)]
-    gt, st = series.schema[group].dataType.simpleString(), series.schema[step].dataType.simpleString()
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = pdf.pivot(index=step, columns=name, values=value).sort_index()
-        f = linalg.kalman_factors(m.to_numpy(float), min(k, m.shape[1]))
-        f = np.column_stack([f, np.zeros((len(f), k - f.shape[1]))])
-        out = pd.DataFrame(f, columns=names)
-        out.insert(0, step, m.index.to_numpy())
-        out.insert(0, group, pdf[group].iloc[0])
-        return out
-
-    return series.select(group, name, step, value).groupBy(group).applyInPandas(fit, f"{group} {gt}, {step} {st}, " + ", ".join(f"{n} double" for n in names))
-
-
 def residual_block(df: DataFrame, by: Sequence[str], ys: Sequence[str], xs: Sequence[str]) -> DataFrame:
     """A block of series less its fit on an earlier block, column by column."""
     out = df

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from riskloom.operators import factors as fa, regressions as rg, timeseries as ts
+from riskloom.operators import factors as fa, macro as mc, regressions as rg, timeseries as ts
 from riskloom.plans.q_base import fx_rates, rf_rates
 from riskloom.plans.registry import query
 from riskloom.session import stored
@@ -342,11 +344,72 @@ def _(v):
     return _r(fa.currency_model(fx, "ccy", "dt", "ret", 3, pegged=[5, 6])["exposures"], ["f1", "f2", "f3"])
 
 
+@query("fac09_parts_add_up", "panel", "SELECT asset_id, dt, ROUND(ret, 6) AS ret FROM panel WHERE ret IS NOT NULL")
+def _(v):
+    """Exposures times factor returns, both turned to agree with the former model, and the specific return."""
+    x = _window(v)
+    before = fa.apca(x.where(F.col("mi") < F.lit(END)), "asset_id", "dt", "ret", 2)[1].withColumns({"f1": -F.col("f1"), "f2": -F.col("f2")})
+    m = fa.statistical_model(x, "asset_id", "dt", "ret", 2, before=before)
+    fitted = m["exposures"].unpivot(["asset_id"], ["f1", "f2"], "factor", "load").join(m["factor_returns"], "factor")
+    fitted = fitted.groupBy("asset_id", "dt").agg(F.sum(F.col("load") * F.col("value")).alias("fit"))
+    return m["specific"].join(fitted, ["asset_id", "dt"]).select("asset_id", "dt", F.round(F.col("sret") + F.col("fit"), 6).alias("ret"))
+
+
+def country_returns(v):
+    """Monthly returns of countries with the day on which each is published: the next month's 5th, 15th or 25th."""
+    s = ts.weighted_return(v.panel, ["region", "country", "dt", "mi"], "ret", "lag_mcap", "x")
+    return s.withColumn("released", F.date_add(F.add_months("dt", 1), (F.col("country") % 3 * 10 + 4).cast("int")))
+
+
+VINTAGES = [date(1995, 6, 10), date(1997, 3, 1), date(1999, 1, 1)]
+
+
+@query("fac11_vintages", "revisions", """
+SELECT id, dt, as_of, value FROM revisions, (VALUES (DATE '1995-06-10'), (DATE '1997-03-01'), (DATE '1999-01-01')) a(as_of) WHERE rev_dt <= as_of
+QUALIFY row_number() OVER (PARTITION BY id, dt, as_of ORDER BY rev_dt DESC, value DESC) = 1""")
+def _(v):
+    return mc.vintages(v.revisions, ["id", "dt"], "value", "rev_dt", VINTAGES)
+
+
 @query("fac11_macro_factors", "panel")
 def _(v):
-    s = ts.weighted_return(v.panel, ["region", "country", "mi"], "ret", "lag_mcap", "x")
-    late = F.when(F.col("mi") > END + 8 - F.col("country") % 3, None).otherwise(F.col("x"))
-    return _r(fa.macro_factors(s.withColumn("x", late), "region", "country", "mi", "x", 2), ["f1", "f2"], 4)
+    known = mc.vintages(country_returns(v), ["region", "country", "mi"], "x", "released", VINTAGES)
+    out = mc.state_space_factors(known, ["region", "as_of"], "country", "mi", "x", 2)["factors"]
+    return _r(out, ["f1", "f2"], 4)
+
+
+@query("fac11_macro_loadings", "panel")
+def _(v):
+    known = mc.vintages(country_returns(v), ["region", "country", "mi"], "x", "released", VINTAGES[-1:])
+    return _r(mc.state_space_factors(known, ["region"], "country", "mi", "x", 2)["loadings"], ["f1", "f2", "rho", "sigma2"], 4)
+
+
+def daily_prices(v):
+    """Mean price of each region and day, and how far it is from the month's first."""
+    places = v.supplier.join(v.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("region"))
+    d = v.lineitem.join(places, "l_suppkey").withColumn("day", F.col("l_shipdate").cast("date"))
+    d = d.groupBy("region", "day").agg(F.sum("l_extendedprice").alias("p"), F.sum("l_quantity").alias("q"))
+    return d.select("region", "day", ts.month_index(F.trunc("day", "month")).alias("mi"), F.round(F.col("p") / F.col("q"), 9).alias("x"))
+
+
+@query("fac11_daily_expansion", "market", """
+WITH d AS (SELECT n_regionkey AS region, CAST(l_shipdate AS DATE) AS day, ROUND(SUM(l_extendedprice) / SUM(l_quantity), 9) AS x
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2),
+e AS (SELECT *, CAST(12 * year(day) + month(day) AS BIGINT) AS mi FROM d),
+m AS (SELECT e.region, e.mi, COUNT(*) AS n, SUM(x) AS s, ANY_VALUE(mret) AS y FROM e JOIN market k ON k.region = e.region AND k.mi = e.mi GROUP BY 1, 2),
+c AS (SELECT region, SUM(n) AS nn, SUM(s) AS ss, SUM(s * s / n) AS qq, SUM(y) AS yy, SUM(s * y / n) AS sy FROM m GROUP BY 1),
+b AS (SELECT region, (sy - ss * yy / nn) / (qq - ss * ss / nn) AS b, (yy - ss * (sy - ss * yy / nn) / (qq - ss * ss / nn)) / nn AS a FROM c)
+SELECT e.region, day, ROUND(a + b * x + COALESCE((y - n * a - b * s) / n, 0), 6) AS mret, 0.0::DOUBLE AS rho FROM e JOIN b ON b.region = e.region LEFT JOIN m ON m.region = e.region AND m.mi = e.mi""")
+def _(v):
+    return _r(mc.daily_expansion(v.market, daily_prices(v), ["region"], "mi", "day", "mret", ["x"], rho=0.0), ["mret"])
+
+
+@query("fac11_daily_factors", "panel")
+def _(v):
+    """Monthly state-space factors made daily by the region's daily price, with noise that goes on from day to day."""
+    known = mc.vintages(country_returns(v), ["region", "country", "mi"], "x", "released", VINTAGES[-1:])
+    f = mc.state_space_factors(known, ["region"], "country", "mi", "x", 1)["factors"]
+    return _r(mc.daily_expansion(f, daily_prices(v), ["region"], "mi", "day", "f1", ["x"]), ["f1"], 4)
 
 
 @query("fac12_projection", "factor_ret market")

@@ -321,15 +321,6 @@ def test_mimicking_portfolio_returns_the_factor(spark, rng):
     assert (p.fmp_a * p.ret).sum() == pytest.approx(f[0]) and (p.fmp_a * p.a).sum() == pytest.approx(1.0) and (p.fmp_a * p.b).sum() == pytest.approx(0.0, abs=1e-9)
 
 
-def test_kalman_fills_unreleased_months(rng):
-    t = 80
-    f = np.cumsum(rng.normal(size=t)) * 0.3
-    x = np.outer(f, [1.0, 0.8, 1.2]) + rng.normal(size=(t, 3)) * 0.05
-    x[-1, 1:] = np.nan
-    s = linalg.kalman_factors(x, 1)[:, 0]
-    assert abs(np.corrcoef(s, f)[0, 1]) > 0.98
-
-
 # --- risk ---------------------------------------------------------------------------------
 
 
