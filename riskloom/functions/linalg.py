@@ -102,6 +102,28 @@ def matrix_root(m: np.ndarray, inverse: bool = False) -> np.ndarray:
     return (v * r) @ v.T
 
 
+def pair_correlation(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weighted correlations about zero of columns, each pair over the rows that both have; 0 where there are none."""
+    seen = np.isfinite(x)
+    z = np.where(seen, x, 0.0)
+    v = z * np.asarray(w, float)[:, None]
+    xy = v.T @ z
+    xx = (v * z).T @ seen.astype(float)  # the sum of squares of i over the rows that j has
+    size = np.sqrt(xx * xx.T)
+    out = np.divide(xy, size, out=np.zeros_like(xy), where=size > 0)
+    np.fill_diagonal(out, 1.0)
+    return np.clip(out, -1.0, 1.0)
+
+
+def unit_diagonal(corr: np.ndarray, floor: float = 1e-8) -> np.ndarray:
+    """Nearest shape with no eigenvalue under ``floor`` and ones on the diagonal."""
+    d, v = np.linalg.eigh((corr + corr.T) / 2)
+    if d.size and d.min() < floor:
+        corr = (v * np.maximum(d, floor)) @ v.T
+    s = np.sqrt(np.diag(corr))
+    return corr / np.outer(s, s)
+
+
 def impose_block(cov: np.ndarray, index: list[int], target: np.ndarray) -> np.ndarray:
     """T S T' with T chosen so the block at ``index`` becomes ``target``.
 

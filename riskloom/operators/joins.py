@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.operators.bitemporal import merge_intervals, overlap_join, valid_on
+from riskloom.operators.graph import components, roots
 
 
 def rmg_map(univ: DataFrame, listings: DataFrame, key: str, dt: str = "dt") -> DataFrame:
@@ -51,6 +52,37 @@ def group_linked(lines: DataFrame, issuer: str, key: str, rules: Sequence[Column
     return x.join(size, [issuer, "cluster"])
 
 
+def linked_subgroups(lines: DataFrame, links: DataFrame, issuer: str, key: str, market: str, kind: str, main: Sequence[str], preferred: Sequence[str]) -> DataFrame:
+    """Subgroups of each issuer's lines whose specific returns are treated together: lines with ``cluster`` and ``size``.
+
+    A line of a ``main`` type is in its market's main cluster, a preferred one alone, any other with those of its
+    type and market. ``links`` (key, master, link) go inside an issuer: a line linked to a master as ``dr``,
+    ``clone`` or ``forced`` is in the cluster in which the chain of its masters ends; a ``soft`` one is in none, and
+    nor is one whose chain runs in a circle or ends at such a line. A link to another issuer's line does not count.
+    """
+    own = lines.select(issuer, key)
+    inside = links.select(key, "master", "link").join(own, key).join(own.select(F.col(issuer), F.col(key).alias("master")), [issuer, "master"])
+    end = roots(inside.where("link <> 'soft'").select(key, "master").groupBy(key).agg(F.min("master").alias("master")), key, "master")
+    soft = inside.where("link = 'soft'").select(key).distinct().withColumn("_soft", F.lit(True))
+    tag = F.when(F.col(kind).isin(*main), F.lit("main")).when(F.col(kind).isin(*preferred), F.col(key).cast("string")).otherwise(F.coalesce(F.col(kind).cast("string"), F.lit("")))
+    x = lines.join(soft, key, "left").withColumn("_tag", F.when(F.col("_soft").isNull(), F.concat_ws("|", F.coalesce(F.col(market).cast("string"), F.lit("")), tag))).drop("_soft")
+    base = x.select(F.col(key).alias("root"), F.col("_tag").alias("_root_tag"))
+    x = x.join(end.withColumn("_linked", F.lit(True)), key, "left").join(base, "root", "left")
+    x = x.withColumn("cluster", F.when(F.col("_linked") & F.col("_tag").isNotNull(), F.col("_root_tag")).otherwise(F.col("_tag"))).drop("_tag", "_root_tag", "_linked", "root")
+    size = x.where("cluster is not null").groupBy(issuer, "cluster").agg(F.count("*").alias("size"))
+    return x.join(size, [issuer, "cluster"], "left")
+
+
+def merged_groups(lines: DataFrame, links: DataFrame, dual: DataFrame, issuer: str, key: str) -> DataFrame:
+    """(issuer, line, merged): the smallest issuer that an issuer is connected with by shared lines, by links between
+    lines (key, master) of two issuers, or by pairs of dual-listed issuers (a, b)."""
+    first = lines.groupBy(key).agg(F.min(issuer).alias("a"))  # issuers of one line, each with the smallest
+    shared = lines.join(first, key).select("a", F.col(issuer).alias("b"))
+    linked = links.select(key, "master").join(first, key).join(first.select(F.col(key).alias("master"), F.col("a").alias("b")), "master").select("a", "b")
+    edges = shared.union(linked).union(dual.select("a", "b"))
+    return lines.join(components(edges).select(F.col("node").alias(issuer), F.col("root").alias("merged")), issuer).select(issuer, key, "merged")
+
+
 def issuer_cap(lines: DataFrame, dlc: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Cap of the issuer for every line.
 

@@ -18,6 +18,7 @@ from riskloom.functions import linalg
 from riskloom.operators import aggregates as ag, timeseries as ts
 from riskloom.operators.crossprod import VECTOR, pack_matrix, unpack_matrix
 from riskloom.operators.ranks import mad_bounds
+from riskloom.session import stored
 from riskloom.functions.columns import div
 
 
@@ -318,6 +319,53 @@ def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, key:
     return {"variance": var, "pairs": pairs}
 
 
+def merged_covariance(sret: DataFrame, members: DataFrame, linked: dict[str, DataFrame], key: str, issuer: str, step: str, ret: str, end: int, half_life: float, most: int = 400) -> DataFrame:
+    """One positive semidefinite covariance for each merged group of issuers: merged, id1 <= id2, corr, cov, dense.
+
+    ``members``: (issuer, key, merged); ``linked``: result of ``linked_covariance`` on the issuers. The group's
+    correlation starts from its lines' weighted specific returns; then each issuer's block is turned into the
+    cointegrated one (master correlations and their products) by the rotation that moves least, which leaves
+    the whole positive semidefinite. Variances are those of ``linked``. A line of two issuers is in the block
+    of the smaller one. A group is one task's matrix of up to ``most`` lines; beyond that only pairs with
+    masters are listed (``dense`` false); two other lines of an issuer then have the product of their correlations
+    with the master, lines of different issuers none, which is semidefinite too.
+    """
+    one = members.groupBy(key).agg(F.min(issuer).alias(issuer), F.min("merged").alias("merged"))
+    size = one.groupBy("merged").agg(F.count(F.lit(1)).alias("_size"), F.count_distinct(issuer).alias("_issuers")).where("_issuers > 1")
+    star = linked["pairs"].select(F.col("line").alias(key), F.col("corr").alias("_c"), F.col("master").cast("string").alias("_m"), F.col("cov").alias("_cov"))
+    info = one.join(size, "merged").join(linked["variance"], key).join(star, key, "left")
+    info = stored(info.select("merged", key, F.col(issuer).cast("string").alias("_issuer"), "spec_var", "_c", "_m", "_cov", "_size"))
+    dense = info.where(F.col("_size") <= most)
+    rows = sret.where(F.col(step) <= end).join(dense.select(F.col("merged").alias("_g"), key), key).select("_g", key, step, F.col(ret).alias("_r"))
+    kt, gt = members.schema[key].dataType.simpleString(), members.schema["merged"].dataType.simpleString()
+
+    def assemble(lines: pd.DataFrame, returns: pd.DataFrame) -> pd.DataFrame:
+        lines = lines.sort_values(key).reset_index(drop=True)
+        ids = lines[key].tolist()
+        r = returns.pivot_table(index=step, columns=key, values="_r", aggfunc="last").reindex(columns=ids)
+        w = 0.5 ** ((end - r.index.to_numpy(float)) / half_life) if len(r) else np.zeros(0)
+        corr = linalg.unit_diagonal(linalg.pair_correlation(r.to_numpy(float), w))
+        c, masters = lines["_c"].to_numpy(float), set(lines["_m"].dropna())
+        c = np.where([str(i) in masters for i in ids], 1.0, np.where(np.isfinite(c), c, 0.0))
+        for _, at in lines.groupby("_issuer").groups.items():
+            at = list(at)
+            if len(at) > 1:
+                corr = linalg.impose_block(corr, at, np.outer(c[at], c[at]) + np.diag(1 - c[at] ** 2))
+        corr = linalg.unit_diagonal(corr)
+        sd = np.sqrt(lines["spec_var"].to_numpy(float))
+        i, j = np.triu_indices(len(ids))
+        merged = lines["merged"].iloc[0] if len(lines) else None
+        return pd.DataFrame({"merged": merged, "id1": [ids[a] for a in i], "id2": [ids[a] for a in j], "corr": corr[i, j], "cov": corr[i, j] * sd[i] * sd[j], "dense": True})
+
+    schema = f"merged {gt}, id1 {kt}, id2 {kt}, corr double, cov double, dense boolean"
+    out = dense.groupBy("merged").cogroup(rows.groupBy("_g")).applyInPandas(assemble, schema)
+    large = info.where(F.col("_size") > most)
+    master = F.col("_m").cast(kt)
+    through = large.where("_c is not null").select("merged", F.least(key, master).alias("id1"), F.greatest(key, master).alias("id2"), F.col("_c").alias("corr"), F.col("_cov").alias("cov"), F.lit(False).alias("dense"))
+    alone = large.select("merged", F.col(key).alias("id1"), F.col(key).alias("id2"), F.lit(1.0).alias("corr"), F.col("spec_var").alias("cov"), F.lit(False).alias("dense"))
+    return out.unionByName(through).unionByName(alone)
+
+
 # --- risk of assets and portfolios --------------------------------------------------------
 
 

@@ -51,6 +51,31 @@ def _(v):
     return jn.group_linked(x, "issuer", "asset_id", [F.col("p_type"), F.col("p_size") > 25]).select("issuer", "cluster", "asset_id", "size")
 
 
+_SUBGROUPS = """l AS (SELECT p_partkey AS asset_id, CAST(floor(p_partkey / 8) AS BIGINT) AS issuer, p_size % 2 AS market, p_type AS kind FROM part),
+k AS (SELECT asset_id, CASE asset_id % 8 WHEN 3 THEN asset_id - 3 WHEN 4 THEN asset_id - 1 WHEN 5 THEN asset_id - 1 WHEN 6 THEN asset_id + 1 WHEN 7 THEN asset_id - 1 ELSE asset_id + 7 END AS master,
+  CASE asset_id % 8 WHEN 3 THEN 'clone' WHEN 4 THEN 'dr' WHEN 5 THEN 'forced' WHEN 2 THEN 'soft' ELSE 'clone' END AS link FROM l WHERE asset_id % 8 IN (3, 4, 5, 6, 7, 1) AND (asset_id % 8 < 6 OR asset_id % 3 = 0) OR asset_id % 16 = 2)"""
+
+
+@query("joi04_linked_subgroups", "", "WITH " + _SUBGROUPS + """,
+i AS (SELECT k.* FROM k JOIN l a USING (asset_id) JOIN l b ON b.asset_id = k.master AND b.issuer = a.issuer),
+soft AS (SELECT asset_id FROM i WHERE link = 'soft'),
+c AS (SELECT l.asset_id, issuer, CASE WHEN soft.asset_id IS NULL THEN concat_ws('|', market, CASE WHEN kind IN ('SMALL', 'STANDARD', 'ECONOMY') THEN 'main' WHEN kind = 'PROMO' THEN CAST(l.asset_id AS VARCHAR) ELSE kind END) END AS tag FROM l LEFT JOIN soft USING (asset_id)),
+e1 AS (SELECT asset_id, master FROM i WHERE link <> 'soft'),
+e AS (SELECT a.asset_id, COALESCE(d.master, c.master, b.master, a.master) AS root, d.master IS NOT NULL AS far FROM e1 a LEFT JOIN e1 b ON b.asset_id = a.master LEFT JOIN e1 c ON c.asset_id = b.master LEFT JOIN e1 d ON d.asset_id = c.master),
+r AS (SELECT c.issuer, c.asset_id, CASE WHEN c.tag IS NULL THEN NULL WHEN e.asset_id IS NULL THEN c.tag WHEN far THEN NULL ELSE b.tag END AS cluster FROM c LEFT JOIN e USING (asset_id) LEFT JOIN c b ON b.asset_id = e.root)
+SELECT issuer, cluster, asset_id, CASE WHEN cluster IS NOT NULL THEN COUNT(*) OVER (PARTITION BY issuer, cluster) END AS size FROM r""")
+def _(v):
+    """Chains of links of up to three steps, circles of two, and links to another issuer's line."""
+    a = F.col("asset_id")
+    lines = v.part.select(F.col("p_partkey").alias("asset_id"), F.floor(F.col("p_partkey") / 8).alias("issuer"), (F.col("p_size") % 2).alias("market"), F.col("p_type").alias("kind"))
+    some = (a % 8).isin(3, 4, 5, 6, 7, 1) & ((a % 8 < 6) | (a % 3 == 0)) | (a % 16 == 2)
+    step = F.when(a % 8 == 3, -3).when((a % 8).isin(4, 5, 7), -1).when(a % 8 == 6, 1).otherwise(7)
+    kind = F.when(a % 8 == 4, "dr").when(a % 8 == 5, "forced").when(a % 8 == 2, "soft").otherwise("clone")
+    links = lines.where(some).select("asset_id", (a + step).alias("master"), kind.alias("link"))
+    out = jn.linked_subgroups(lines, links, "issuer", "asset_id", "market", "kind", ["SMALL", "STANDARD", "ECONOMY"], ["PROMO"])
+    return out.select("issuer", "cluster", "asset_id", "size")
+
+
 _LINES = """lines AS (SELECT asset_id, dt, issuer AS company, mcap AS cap, asset_id % 7 = 0 AS excluded, CAST(CASE WHEN asset_id % 5 IN (0, 1) THEN 0 ELSE asset_id % 5 END AS BIGINT) AS country, asset_type = 'PROMO' AS is_dr FROM sparse)"""
 
 

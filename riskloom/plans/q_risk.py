@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import aggregates as ag, factors as fa, regressions as rg, risk as rk, timeseries as ts
+from riskloom.operators import aggregates as ag, factors as fa, joins as jn, regressions as rg, risk as rk, timeseries as ts
 from riskloom.plans.q_agg import _FS, factor_long
 from riskloom.plans.q_base import fx_rates, rf_rates
 from riskloom.plans.q_reg import linked_lines
@@ -143,6 +143,33 @@ def _(v):
     return _r(linked_cov(v)["pairs"], ["corr", "cov"])
 
 
+def merged(v):
+    """Issuers of suppliers, some dual-listed, some with a line cloned by another issuer's or held by two."""
+    lines = v.supplier.select(F.col("s_suppkey").alias("asset_id")).withColumn("issuer", F.floor(F.col("asset_id") / 4))
+    lines = lines.union(lines.where("asset_id % 40 = 13").withColumn("issuer", F.col("issuer") + 2))
+    links = lines.where("asset_id % 16 = 7").select("asset_id", (F.col("asset_id") + 9).alias("master"))
+    dual = lines.where("issuer % 5 = 0").select(F.col("issuer").alias("a"), (F.col("issuer") + 1).alias("b")).distinct()
+    return jn.merged_groups(lines, links, dual, "issuer", "asset_id")
+
+
+@query("rsk07_merged_groups", "", """
+WITH RECURSIVE l0 AS (SELECT s_suppkey AS asset_id, CAST(floor(s_suppkey / 4) AS BIGINT) AS issuer FROM supplier),
+l AS (SELECT * FROM l0 UNION ALL SELECT asset_id, issuer + 2 FROM l0 WHERE asset_id % 40 = 13),
+e0 AS (SELECT x.issuer AS a, y.issuer AS b FROM l x JOIN l y USING (asset_id) UNION SELECT x.issuer, y.issuer FROM l x JOIN l y ON y.asset_id = x.asset_id + 9 WHERE x.asset_id % 16 = 7 UNION SELECT issuer, issuer + 1 FROM l WHERE issuer % 5 = 0),
+e AS (SELECT a, b FROM e0 UNION SELECT b, a FROM e0),
+r AS (SELECT a AS issuer, a AS other FROM e UNION SELECT r.issuer, e.b FROM r JOIN e ON e.a = r.other),
+m AS (SELECT issuer, MIN(other) AS merged FROM r GROUP BY 1)
+SELECT issuer, asset_id, merged FROM l JOIN m USING (issuer)""")
+def _(v):
+    return merged(v)
+
+
+@query("rsk07_merged_covariance", "specific")
+def _(v):
+    out = rk.merged_covariance(v.specific.select("asset_id", "mi", "sret"), merged(v), linked_cov(v), "asset_id", "issuer", "mi", "sret", END, 24.0)
+    return _r(out, ["corr", "cov"])
+
+
 @query("src22_specific_covariance_extract", "specific")
 def _(v):
     return _r(ex.upper_triangle(linked_cov(v)["pairs"]).select("id1", "id2", "cov"), ["cov"])
