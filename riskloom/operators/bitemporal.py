@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 from riskloom.functions.columns import div
+from riskloom.sources.manifest import CommittedTable
 
 OPEN_END = "9999-12-31"
 
@@ -146,10 +147,18 @@ def revisions_to_write(src: DataFrame, tgt: DataFrame, keys: Sequence[str], valu
     )
 
 
-def write_revisions(src: DataFrame, tgt: DataFrame, keys: Sequence[str], value: str, rev_dt, path: str, dt: str = "dt") -> None:
-    """Append the new revisions to a parquet table partitioned by year."""
-    out = revisions_to_write(src, tgt, keys, value, rev_dt).withColumn("year", F.year(dt))
-    out.write.mode("append").partitionBy("year").parquet(path)
+def revision_table(spark: SparkSession, path: str, keys: Sequence[T.StructField], value: T.StructField) -> CommittedTable:
+    """A table of revisions by year, to be written by ``write_revisions`` only."""
+    more = [T.StructField("rev_dt", T.DateType()), T.StructField("rev_del_flag", T.StringType()), T.StructField("year", T.IntegerType())]
+    return CommittedTable(spark, path, T.StructType([*keys, value, *more]), "year")
+
+
+def write_revisions(src: DataFrame, table: CommittedTable, keys: Sequence[str], value: str, rev_dt, dt: str = "dt", name: str | None = None) -> bool:
+    """Append what ``src`` changes against the table's active rows, once for each ``name`` (the revision date unless
+    given). A job that is killed leaves nothing visible; one that runs again after it has committed writes
+    nothing and returns False."""
+    name = name or f"{value}-{rev_dt}"
+    return table.append(revisions_to_write(src, table.read(), keys, value, rev_dt).withColumn("year", F.year(dt)), name)
 
 
 def sync_cumulative(src: DataFrame, tgt: DataFrame, key: str, dt: str, value: str, on_date, tolerance: float = 1e-9) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.functions import columns as fc
 from riskloom.operators import bitemporal as bt, cleaning as cl, timeseries as ts
@@ -116,6 +116,22 @@ def _(v):
     return bt.revisions_to_write(_year(v, 1997), stored, ["asset_id", "item"], "value", "1998-01-02")
 
 
+@query("src09_write_revisions", "items", """
+WITH y AS (SELECT asset_id, item, year(dt) AS y, ROUND(SUM(value), 2) AS value FROM items WHERE year(dt) BETWEEN 1995 AND 1997 GROUP BY 1, 2, 3),
+a AS (SELECT asset_id, item, MAX(CASE WHEN y = 1995 THEN value END) AS a, MAX(CASE WHEN y = 1996 THEN value END) AS b, MAX(CASE WHEN y = 1997 THEN value END) AS c FROM y GROUP BY 1, 2)
+SELECT asset_id, item, a AS value, DATE '1995-01-02' AS rev_dt, 'N' AS rev_del_flag FROM a WHERE a IS NOT NULL
+UNION ALL SELECT asset_id, item, b, DATE '1996-01-02', CASE WHEN b IS NULL THEN 'Y' ELSE 'N' END FROM a WHERE b IS DISTINCT FROM a
+UNION ALL SELECT asset_id, item, c, DATE '1997-01-02', CASE WHEN c IS NULL THEN 'Y' ELSE 'N' END FROM a WHERE c IS DISTINCT FROM b""")
+def _(v):
+    """Three years written one after another, each twice as by a job that runs again."""
+    fields = v.items.schema
+    table = bt.revision_table(v.spark, scratch(v, "revision-table"), [fields["asset_id"], fields["item"]], T.StructField("value", T.DoubleType()))
+    for y in (1995, 1996, 1997):
+        for _ in range(2):
+            bt.write_revisions(_year(v, y), table, ["asset_id", "item"], "value", f"{y}-01-02", dt="rev_dt")
+    return table.read().drop("year")
+
+
 @query("src10_sync_cumulative", "panel", """
 SELECT p.asset_id, p.dt, p.price * (s.mcap / s.price) AS price FROM panel p JOIN panel s ON p.asset_id = s.asset_id AND s.dt = DATE '1998-06-01'
 WHERE p.dt <= DATE '1998-06-01' AND abs(s.mcap / s.price - 1) >= 1e-9""")
