@@ -148,6 +148,17 @@ def _(v):
     return ff.read_flat(v.spark, path)
 
 
+@query("src11_flat_text", "", r"""
+SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN '' WHEN doc_id % 7 = 2 THEN '#' || text ELSE text END AS text, n_chars FROM documents""")
+def _(v):
+    """Whole texts with line ends and separators, null and empty, written and read back."""
+    path = scratch(v, "flat-text")
+    i = F.col("doc_id") % 7
+    text = F.when(i == 0, None).when(i == 1, "").when(i == 2, F.concat(F.lit("#"), "text")).otherwise(F.col("text"))
+    ff.write_flat(v.documents.select("doc_id", text.alias("text"), "n_chars"), path, {"doc_id": "INTEGER", "n_chars": "INTEGER"})
+    return ff.read_flat(v.spark, path)
+
+
 @query("src12_exposure_triplets", "exposures", """
 SELECT asset_id, dt, factor, value FROM (UNPIVOT exposures ON size, momentum, volatility, turnover INTO NAME factor VALUE value) u WHERE value IS NOT NULL""")
 def _(v):
