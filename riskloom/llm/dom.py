@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|(?P<text>[^<]++)|<""", re.S
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<rest>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)|(?P<text>[^<]++)|<""", re.S
 )
-ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))""", re.I)
 #: Elements whose content is no markup, elements without content, and elements that start and end a block.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "template", "svg", "math", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -19,6 +20,7 @@ BLOCK = set(
 #: Start tags that end an open element of the same group within the nearest of the fences.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FENCES = {"ul", "ol", "menu", "dl", "table", "select", "div", "article", "section", "main", "body", "aside", "nav", "header", "footer", "form"}
+#: Open elements whose features are kept; of deeper ones only the number is.
 DEEPEST = 256
 
 
@@ -38,6 +40,8 @@ def blocks(html: str | None) -> list[Block]:
     links = linked = 0
     html = html or ""
     at, size = 0, len(html)
+    beyond: Counter[str] = Counter()  # open elements deeper than DEEPEST
+    unclosed: set[str] = set()  # elements without markup inside of which no end tag follows
 
     def flush():
         nonlocal parts, linked
@@ -53,6 +57,7 @@ def blocks(html: str | None) -> list[Block]:
             flush()
         links -= sum(t == "a" for t, _ in stack[k:])
         del stack[k:]
+        beyond.clear()
 
     while at < size:
         m = TOKEN.match(html, at)
@@ -71,6 +76,11 @@ def blocks(html: str | None) -> list[Block]:
             continue
         name = m["name"].lower()
         if m["end"]:
+            if beyond[name]:
+                beyond[name] -= 1
+                if name in BLOCK:
+                    flush()
+                continue
             k = len(stack) - 1
             while k >= 0 and stack[k][0] != name:
                 if stack[k][0] in FENCES and name not in FENCES:
@@ -83,7 +93,9 @@ def blocks(html: str | None) -> list[Block]:
                 flush()
             continue
         if name in RAW:
-            close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(html, at) if not m["rest"].rstrip().endswith("/") or name in ("script", "style", "title", "textarea") else None
+            close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(html, at) if name not in unclosed and (not m["rest"].rstrip().endswith("/") or name in ("script", "style", "title", "textarea")) else None
+            if close is None and not m["rest"].rstrip().endswith("/"):
+                unclosed.add(name)
             if close:
                 at = close.end()
             elif name in ("script", "style", "title", "textarea", "xmp"):
@@ -114,5 +126,7 @@ def blocks(html: str | None) -> list[Block]:
                 words = " ".join((a[1] or a[2] or a[3]) for a in ATTRIBUTE.findall(m["rest"])) if "=" in m["rest"] else ""
             stack.append((name, words))
             links += name == "a"
+        else:
+            beyond[name] += 1
     flush()
     return out

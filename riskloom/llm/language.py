@@ -12,7 +12,8 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import slices
@@ -21,7 +22,8 @@ WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
 #: Documents to learn from in each language, on average (they are chosen by a hash of their id), the
-#: fewest times that a word or n-gram must occur to be known, and the most entries of the model.
+#: fewest times that a word or n-gram must occur to be known, and the entries of the model (the most frequent
+#: ones of every language, in equal shares).
 SAMPLE, LEAST, MOST = 3000, 3, 120_000
 #: Words that a Python worker keeps with their scores.
 KEPT = 120_000
@@ -38,18 +40,27 @@ def _grams(word: str, n: int):
     return [w[i : i + n] for i in range(len(w) - n + 1)]
 
 
-def _count(batches):
-    """(lang, order, gram, n) of a task: words as order 0, n-grams of the task's distinct words."""
+def _words(batches):
+    """(lang, word, count) of a task."""
     words: dict[str, Counter] = {}
     for b in slices(batches):
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
             words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
     for lang, counts in words.items():
-        for n in (0, *ORDERS):
-            grams = counts if n == 0 else Counter(chain.from_iterable(_grams(w, n) for w in counts))
-            if grams:
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "word", "count"])
+
+
+def _parts(batches):
+    """(lang, n, gram, count) of distinct words: n-grams, each as often as the words of this task hold it."""
+    for b in batches:
+        words: dict[str, list[str]] = {}
+        for lang, word in zip(b.column("lang").to_pylist(), b.column("word").to_pylist(), strict=True):
+            words.setdefault(lang, []).append(word)
+        for lang, mine in words.items():
+            for n in ORDERS:
+                grams = Counter(chain.from_iterable(_grams(w, n) for w in mine))
                 k = len(grams)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * k), pa.array([n] * k, pa.int32()), pa.array(list(grams)), pa.array(list(grams.values()), pa.int64())], names=["lang", "n", "gram", "count"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array([n] * k, pa.int32()), pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["lang", "n", "gram", "count"])
 
 
 class Model:
@@ -118,9 +129,18 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
         return Model([], [])
     share = F.create_map(*chain.from_iterable((F.lit(x), F.lit(min(1.0, sample / sizes[x]))) for x in languages))
     chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("lang", "text")
-    counts = chosen.mapInArrow(_count, "lang string, n int, gram string, count bigint").groupBy("n", "gram", "lang").agg(F.sum("count").alias("count"))
-    known = counts.filter(F.col("count") >= LEAST).orderBy(F.desc("count"), "n", "gram", "lang").limit(MOST)
-    return Model(languages, [(r.n, r.gram, r.lang, r["count"]) for r in known.collect()])
+    words = chosen.mapInArrow(_words, "lang string, word string, count bigint").groupBy("lang", "word").agg(F.sum("count").alias("count"))
+    words = words.persist(StorageLevel.DISK_ONLY)
+    grams = words.select("lang", "word").mapInArrow(_parts, "lang string, n int, gram string, count bigint").groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
+    counts = words.select("lang", F.lit(0).alias("n"), F.col("word").alias("gram"), "count").unionByName(grams)
+    # what is known is known in all languages: an entry is kept if it is among the most frequent of any of them
+    often = counts.groupBy("n", "gram").agg(F.sum("count").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by")).filter(F.col("all") >= LEAST)
+    each = often.select("n", "gram", F.explode("by").alias("lang", "count"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "n", "gram"))
+    kept = each.withColumn("place", place).filter(F.col("place") <= max(1, MOST // len(languages))).select("n", "gram").distinct()
+    known = often.join(kept, ["n", "gram"]).select("n", "gram", F.explode("by").alias("lang", "count")).collect()
+    words.unpersist()
+    return Model(languages, sorted((r.n, r.gram, r.lang, r["count"]) for r in known))
 
 
 _PREDICTORS: dict[int, Predictor] = {}
@@ -148,15 +168,15 @@ def _predictor(shared) -> Predictor:
     return _PREDICTORS[key]
 
 
-def accepted(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` whose language can be told: not ``und`` and a score of at least ``least``."""
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of ``docs`` whose language can be told: all whose text has a letter, if the model knows a language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches):
         p = _predictor(shared)
         for b in slices(batches):
-            keep = [x != UNKNOWN and s >= least for x, s in map(p.predict, b.column(at).to_pylist())]
+            keep = [x != UNKNOWN for x, _ in map(p.predict, b.column(at).to_pylist())]
             yield pa.RecordBatch.from_arrays(b.columns, schema=b.schema).filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,13 +1,15 @@
 """Ids of a public word-end BPE for whole texts, one library call per distinct word.
 
 The vocabulary's pattern never matches white space and its normaliser works on single characters and
-their combining marks, so a text's ids are the ids of its blank-separated words, one after another.
-Words are kept with their ids for the texts that follow, up to a fixed number.
+their combining marks, so a text's ids are the ids of its blank-separated words, one after another. The
+strings of special tokens are taken out of a text before all else, as the library does. Words are kept with their ids for the texts that follow, up to a fixed number.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import string
 from itertools import chain
 
 import numpy as np
@@ -19,6 +21,8 @@ MOST_WORDS = 300_000
 TOGETHER = 1000
 END_ID = 1
 WORD_END = "</w>"
+#: Characters that are neither letters, numbers, blanks nor combining.
+TAIL = string.punctuation.encode()
 
 
 class WordEncoder:
@@ -27,7 +31,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.library.encode_special_tokens = True  # words are lower-cased before; what looks like one now was none
+        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.special = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
+        self.special_ids = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         vocabulary = self.library.get_vocab()
@@ -54,17 +61,27 @@ class WordEncoder:
             self.known[w] = np.array(e.ids, "<u4").tobytes()
 
     def _need(self, words: set[bytes]) -> None:
-        """Ids of ``words``. A full stop or comma after an ASCII letter or digit at a word's end is a
-        token of its own, so such words are put together from the two parts."""
-        cut = {w: w[:-1] for w in words if w[-1] in b".," and w[-2:-1].isalnum()}
-        rest = words.difference(cut) | set(cut.values()) | {b".", b","}
+        """Ids of ``words``. Punctuation after a word's last letter is a match of its own, so words of letters
+        with punctuation behind them are put together from the two parts."""
+        cut = {w: stem for w in words if w[-1] in TAIL and (stem := w.rstrip(TAIL)) and (stem.isalpha() or stem.decode().isalpha())}
+        rest = words.difference(cut) | set(cut.values()) | {w[len(stem) :] for w, stem in cut.items()}
         self._learn(sorted(rest.difference(self.known)))
         known = self.known
         for w, stem in cut.items():
-            known[w] = known[stem] + known[w[-1:]]
+            known[w] = known[stem] + known[w[len(stem) :]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        if self.special and any(t and "<|" in t and self.special.search(t) for t in texts):
+            return [self._around_special(t) if t and "<|" in t else self._encode([t])[0] for t in texts]
+        return self._encode(texts)
+
+    def _around_special(self, text: str) -> bytes:
+        parts = self.special.split(text)  # every second part is a special token
+        plain = self._encode(parts[::2])
+        return b"".join(x for i, p in enumerate(parts) for x in [self.special_ids[p] if i % 2 else plain[i // 2]])
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [_words(t or "") for t in texts]
         new = set(chain.from_iterable(split)).difference(self.known)
         if len(self.known) > MOST_WORDS:

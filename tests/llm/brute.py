@@ -46,7 +46,6 @@ def word_ids(text):
         from tokenizers import Tokenizer
 
         _TOKENIZER = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-        _TOKENIZER.encode_special_tokens = True
     return [*_TOKENIZER.encode(text or "", add_special_tokens=False).ids, 1]
 
 

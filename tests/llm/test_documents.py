@@ -19,6 +19,7 @@ from cases import LONG, PLAIN, ROWS, SF
 from riskloom.llm import bpe, exact_dedup, language, ngram_join, ogg, packing, pii, queries, substring_dedup, token_files
 from riskloom.llm.common import shingle_sets
 from riskloom.llm.components import components
+from riskloom.llm.word_tokens import encoder
 from riskloom.llm.count_tree import CountTree, Points, point
 
 WORDS = P.path("word_bpe_49k.json")
@@ -257,6 +258,30 @@ def test_packed_sequences_hold_the_ids(spark, scratch):
         assert zlib.crc32(made[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)]) == r.ids_crc32
 
 
+SPECIAL = st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "a", "É", " ", "\n", ".", "don't", "x!?", "9", "wörd;", "e\u0301"]), max_size=14).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(SPECIAL, max_size=4))
+def test_ids_are_those_of_the_plain_call(texts):
+    got = encoder(WORDS).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() + [1] for x in got] == [brute.word_ids(t) for t in texts]
+
+
+def test_files_and_sequences_with_special_tokens(spark, scratch):
+    data = [(1, "a <|endoftext|> b"), (2, "plain words. here"), (3, "<|startoftext|>x<|endoftext|><|endoftext|>"), (4, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = sorted(tuple(r)[:4] for r in token_files.keyed_digest(df, WORDS, spark, scratch).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
+    at, want = 0, []
+    for i, t in data:
+        ids = brute.word_ids(t)
+        want.append((i, at, len(ids), brute.crc(ids)))
+        at += len(ids)
+    assert got == want
+    pieces = {r.doc_id: (r.length, r.ids_crc32) for r in packing.packed(df, WORDS, scratch).collect()}
+    assert pieces == {i: (n, c) for i, _, n, c in want}
+
+
 # --- language -----------------------------------------------------------------------------------
 
 
@@ -277,6 +302,15 @@ def test_language(spark, awkward, nothing):
     assert kept.columns == awkward.columns and not und & {r.doc_id for r in kept.collect()} and 7 in {r.doc_id for r in kept.collect()}
 
 
+def test_model_does_not_depend_on_partitions(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(language, "MOST", 900)
+    models = [language.train(docs.repartition(n)) for n in (1, 7, 40)]
+    assert all(m.rows == models[0].rows for m in models) and all(np.array_equal(m.logs[n], models[0].logs[n]) for m in models for n in m.logs)
+    grams = {(n, g) for n, known in models[0].rows.items() for g in known}
+    assert len(grams) <= 900 and all(np.isfinite(m).all() for m in models[0].logs.values())
+
+
 def test_language_falls_back_to_shorter_grams():
     model = language.Model(["x", "y"], [(0, "zug", "x", 5), (0, "bon", "y", 5), (3, "abc", "x", 4), (3, "abc", "y", 1), (3, "xyz", "y", 9), (1, "q", "y", 9), (1, "a", "x", 2)])
     assert model.word("zug")[0] > model.word("zug")[1]

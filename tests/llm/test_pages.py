@@ -4,6 +4,8 @@ import random
 import re
 from html import unescape
 
+import time
+
 import numpy as np
 import pytest
 
@@ -79,3 +81,28 @@ def test_pages_table(spark, chain):
     got = html_crf.extract(odd, chain)
     assert got.columns == ["page_id", "url", "text", "n_chars"] and [r.text for r in got.collect()] == [""] * 4
     assert html_crf.extract(odd.limit(0), chain).count() == 0
+
+
+def texts(html):
+    return [b.text for b in blocks(html)]
+
+
+def test_attributes_without_quotes():
+    assert texts("<p><a href=/o'neil>Text one</a> more</p><p>it's two</p><p>three</p>") == ["Text one more", "it's two", "three"]
+    assert texts("""<p title=say"hi class='x > y'>one</p><p data=a=b>two</p><p x = "a>b" y='c>d' z>three</p><p "odd' >four</p>""") == ["one", "two", "three", "four"]
+    assert blocks("<div class=o'ad><p>x</p></div>")[0].path[0] == ("div", "o'ad")
+
+
+def test_elements_beyond_the_deepest():
+    deep = "<div class='ad'>" + "<div>" * 300 + "<p>in</p>" + "</div>" * 300 + "<p>after</p></div><p>out</p>"
+    got = blocks(deep)
+    assert [b.text for b in got] == ["in", "after", "out"]
+    assert ("div", "ad") in got[1].path and got[2].path == (("p", ""),)
+
+
+def test_unclosed_elements_take_linear_time():
+    assert texts("<svg><p>a</p>" * 3 + "</svg><p>b</p>")[-1] == "b"
+    start = time.perf_counter()
+    for name in ("svg", "object", "template"):
+        blocks(f"<{name}><p>x</p>" * 40_000)
+    assert time.perf_counter() - start < 20
