@@ -102,6 +102,27 @@ def matrix_root(m: np.ndarray, inverse: bool = False) -> np.ndarray:
     return (v * r) @ v.T
 
 
+def nested_normal(xtx: np.ndarray, xty: np.ndarray, blocks: list[list[int]], orthogonal: bool) -> np.ndarray:
+    """Coefficients of blocks fitted in turn to what is left, from sums of products alone. Columns without any
+    square are left out and get 0, as do columns in no block."""
+    out = np.zeros(len(xty))
+    used: list[int] = []
+    for block in blocks:
+        at = [i for i in block if xtx[i, i] > 0]
+        if not at:
+            continue
+        left = xty[at] - xtx[np.ix_(at, used)] @ out[used]
+        own = xtx[np.ix_(at, at)]
+        if orthogonal and used:
+            cross = xtx[np.ix_(at, used)]
+            inner = np.linalg.pinv(xtx[np.ix_(used, used)], hermitian=True)
+            own = own - cross @ inner @ cross.T
+            left = xty[at] - cross @ inner @ xty[used]
+        out[at] = np.linalg.pinv(own, hermitian=True) @ left
+        used += at
+    return out
+
+
 def pair_correlation(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Weighted correlations about zero of columns, each pair over the rows that both have; 0 where there are none."""
     seen = np.isfinite(x)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
@@ -204,6 +205,80 @@ def apca(returns: DataFrame, key: str, dt: str, ret: str, k: int, estu: str | No
     return f, exp, stats
 
 
+def subspace_components(returns: DataFrame, key: str, dt: str, ret: str, k: int, more: int = 10, tol: float = 1e-8, most: int = 30, seed: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Leading components of a long window by randomised subspace iteration, without a date x date matrix.
+
+    Returns (factor returns: dt, f1..fk; exposures: key, f1..fk; stats: explained, converged, n_passes), as
+    ``apca`` does. A pass multiplies the returns with k + ``more`` directions: each task takes its assets' histories
+    one after another and adds up one table of dates x directions, so what moves is that table per task and
+    what reaches the driver is dates x directions numbers, whatever the assets. Passes end when the leading
+    values move by less than ``tol`` of the largest one; after ``most`` the last are taken and ``converged`` says
+    so. Missing returns count as 0; an asset's history is one row.
+    """
+    spark = returns.sparkSession
+    names = [f"f{i + 1}" for i in range(k)]
+    calendar = [r[0] for r in returns.select(dt).distinct().orderBy(dt).collect()]
+    t = len(calendar)
+    place = spark.createDataFrame([(d, i) for i, d in enumerate(calendar)], T.StructType([returns.schema[dt], T.StructField("_i", T.IntegerType())]))
+    dated = returns.where(F.col(ret).isNotNull()).join(F.broadcast(place), dt).groupBy(key, "_i").agg(F.sum(ret).cast("double").alias("_r"))
+    hist = stored(dated.groupBy(key).agg(F.collect_list("_i").alias("_at"), F.collect_list("_r").alias("_x")))
+    width = min(k + more, t)
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(t, width)))[0]
+    trace = hist.select(F.sum(F.aggregate("_x", F.lit(0.0), lambda a, x: a + x * x)).alias("s")).first().s or 0.0
+    before, converged, passes = np.zeros(width), False, 0
+    while passes < most and t:
+        passes += 1
+        z = _gram_times(hist, q)
+        values, turn = np.linalg.eigh(q.T @ z)
+        values, turn = values[::-1], turn[:, ::-1]
+        if np.abs(values[:k] - before[:k]).max(initial=0.0) <= tol * max(float(values[0]), 1e-300):
+            converged = True
+            q = q @ turn
+            break
+        before = values
+        q = np.linalg.qr(z @ turn)[0]
+    m = min(k, t)
+    v = q[:, :m] * np.where(q[:, :m].sum(axis=0) < 0, -1.0, 1.0)
+    v = np.column_stack([v, np.zeros((t, k - m))])
+    f = spark.createDataFrame([(d, *map(float, row)) for d, row in zip(calendar, v)], T.StructType([returns.schema[dt], *[T.StructField(n, T.DoubleType()) for n in names]]))
+    kt = returns.schema[key].dataType.simpleString()
+    shared = spark.sparkContext.broadcast(v)
+
+    def load(batches):
+        for b in batches:
+            at, x = b.column(1).to_pylist(), b.column(2).to_pylist()
+            rows = np.array([shared.value[i].T @ np.asarray(r) for i, r in zip(at, x)]).reshape(len(at), k)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(rows[:, j]) for j in range(k)]], names=[key, *names])
+
+    exp = hist.select(key, "_at", "_x").mapInArrow(load, f"`{key}` {kt}, " + ", ".join(f"{n} double" for n in names))
+    share = float(values[:m].sum() / trace) if t and trace else 0.0
+    return f, exp, spark.createDataFrame([(share, converged, passes)], "explained double, converged boolean, n_passes int")
+
+
+def _gram_times(hist: DataFrame, q: np.ndarray) -> np.ndarray:
+    """R' (R q) for histories (_at, _x): one partial table of dates x directions a task, summed by date."""
+    shared = hist.sparkSession.sparkContext.broadcast(q)
+
+    def run(batches):
+        out, any_ = np.zeros(shared.value.shape), False
+        for b in batches:
+            for at, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                r = np.asarray(x)
+                rows = shared.value[at]
+                out[at] += np.outer(r, r @ rows)
+                any_ = True
+        if any_:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out), dtype=np.int32)), pa.array(list(out))], names=["i", "z"])
+
+    parts = hist.select("_at", "_x").mapInArrow(run, "i int, z array<double>")
+    sums = parts.groupBy("i").agg(F.array(*[F.sum(F.col("z")[j]) for j in range(q.shape[1])]).alias("z")).collect()
+    shared.unpersist()
+    z = np.zeros(q.shape)
+    for r in sums:
+        z[r.i] = r.z
+    return z
+
+
 def component_residuals(returns: DataFrame, f: DataFrame, exp: DataFrame, key: str, dt: str, ret: str, k: int, by: Sequence[str] = ()) -> DataFrame:
     """Return less the part explained by components."""
     names = [f"f{i + 1}" for i in range(k)]

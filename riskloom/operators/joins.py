@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from riskloom.operators.bitemporal import merge_intervals, overlap_join, valid_on
 from riskloom.operators.graph import components, roots
+from riskloom.session import stored
 
 
 def rmg_map(univ: DataFrame, listings: DataFrame, key: str, dt: str = "dt") -> DataFrame:
@@ -271,6 +274,116 @@ def best_match(pairs: DataFrame, key: str, other: str, order: Sequence[Column])
     return pairs.groupBy(key).agg(pick).select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+def match_funds(
+    funds: DataFrame, indexes: DataFrame, fund: str, index: str, step: str, ret: str, least: int = 12, threshold: float | None = None, k: int = 1, fund_info: DataFrame | None = None, index_info: DataFrame | None = None, block: int = 512
+) -> DataFrame:
+    """The ``k`` indexes that each fund follows best: fund, index, te, n, place, candidates.
+
+    ``te`` is the sample deviation of the fund's return less the index's over their common steps (``least`` at
+    least). ``fund_info`` (fund, countries, n_assets) and ``index_info`` likewise, where given: only indexes of the
+    same set of countries count, and of equal te the one nearest in assets, then the smaller index, comes first.
+    Indexes are a stated set that each fund is held against, in blocks: tasks hold ``block`` indexes' histories as a
+    matrix and multiply it with the funds' that Spark deals to them, so neither pairs of histories nor their
+    steps are joined. Where both have every step, deviations that lie further apart than the best ``te`` so far
+    cannot match (the distance of two histories is at least the difference of their lengths) and are not computed;
+    ``candidates`` counts the pairs that were. Each block gives its best ``k`` a fund, the last step the best of these.
+    """
+    spark = funds.sparkSession
+    steps = [r[0] for r in indexes.where(F.col(ret).isNotNull()).select(step).distinct().orderBy(step).collect()]
+    place = {s: i for i, s in enumerate(steps)}
+    calendar = spark.createDataFrame([(s, i) for s, i in place.items()], T.StructType([indexes.schema[step], T.StructField("_i", T.IntegerType())])) if steps else None
+    ft, it = funds.schema[fund].dataType.simpleString(), indexes.schema[index].dataType.simpleString()
+    schema = f"`{fund}` {ft}, `{index}` {it}, te double, n int, off bigint, candidates bigint"
+    if calendar is None:
+        return spark.createDataFrame([], f"`{fund}` {ft}, `{index}` {it}, te double, n int, place int, candidates bigint")
+
+    def histories(df: DataFrame, key: str, info: DataFrame | None) -> DataFrame:
+        h = df.where(F.col(ret).isNotNull()).join(F.broadcast(calendar), step).groupBy(F.col(key).alias("_key"), "_i").agg(F.avg(ret).cast("double").alias("_r"))
+        h = h.groupBy("_key").agg(F.collect_list("_i").alias("_at"), F.collect_list("_r").alias("_x"))
+        if info is None:
+            return h.select("_key", "_at", "_x", F.lit(None).cast("string").alias("_places"), F.lit(0).cast("bigint").alias("_size"))
+        tag = F.concat_ws("|", F.array_sort(F.array_distinct(F.col("countries").cast("array<string>"))))
+        return h.join(info.select(F.col(key).alias("_key"), tag.alias("_places"), F.col("n_assets").cast("bigint").alias("_size")), "_key", "left")
+
+    ih = stored(histories(indexes, index, index_info))
+    n_blocks = max(1, -(-ih.count() // block))
+    fh = stored(histories(funds, fund, fund_info))
+    by_info = fund_info is not None
+    width = len(steps)
+    out = None
+    for b in range(n_blocks):
+        mine = ih.where(F.pmod(F.xxhash64("_key"), F.lit(n_blocks)) == b).collect()  # about ``block`` histories of the calendar's length
+        shared = spark.sparkContext.broadcast([(r["_key"], r["_at"], r["_x"], r["_places"], r["_size"]) for r in mine])
+        part = fh.mapInArrow(_against(shared, width, least, threshold, k, by_info, fund, index), schema)
+        out = part if out is None else out.unionByName(part)
+    rank = W.partitionBy(fund).orderBy("te", "off", index)
+    pairs = out.groupBy(fund).agg(F.sum("candidates").alias("candidates"))
+    best = out.where(F.col("te").isNotNull()).withColumn("place", F.row_number().over(rank)).where(F.col("place") <= k).drop("candidates", "off")
+    return best.join(pairs, fund).select(fund, index, "te", "n", "place", "candidates")
+
+
+#: Indexes that a fund is held against at once, nearest deviations first.
+GROUP = 8
+
+
+def _against(shared, width: int, least: int, threshold: float | None, k: int, by_info: bool, fund: str, index: str):
+    def run(batches):
+        held = shared.value
+        x, seen = np.zeros((len(held), width)), np.zeros((len(held), width))
+        for j, (_, at, r, _, _) in enumerate(held):
+            x[j, at], seen[j, at] = r, 1.0
+        whole = seen.sum(axis=1) == width
+        sd = np.array([np.std(r, ddof=1) if len(r) > 1 else np.nan for r in x])
+        places, size = np.array([h[3] or "" for h in held], object), np.array([h[4] or 0 for h in held], np.int64)
+        names = [h[0] for h in held]
+        order_of = np.argsort(np.argsort(names, kind="stable"), kind="stable") if names else np.zeros(0, int)
+        for b in batches:
+            rows = []
+            for key, at, r, tag, assets in zip(*(c.to_pylist() for c in b.columns)):
+                y, m = np.zeros(width), np.zeros(width)
+                y[at], m[at] = r, 1.0
+                cand = np.flatnonzero(places == (tag or "")) if by_info else np.arange(len(held))
+                full = len(at) == width
+                off = np.abs(size[cand] - (assets or 0))
+                count = 0
+                if full and width > 1:  # nearest deviations first; the rest is cut off by the bound
+                    gap = np.where(whole[cand], np.abs(sd[cand] - np.std(y, ddof=1)), 0.0)
+                else:
+                    gap = np.zeros(len(cand))
+                order = np.argsort(gap, kind="stable")
+                kept: list[tuple[float, int, int, int]] = []
+                for s in range(0, len(order), GROUP):
+                    group = order[s : s + GROUP]
+                    limit = kept[k - 1][0] if len(kept) >= k else np.inf
+                    limit = min(limit, threshold) if threshold is not None else limit
+                    group = group[gap[group] <= limit * (1 + 1e-9) + 1e-12]
+                    if not len(group):
+                        break
+                    c = cand[group]
+                    count += len(c)
+                    both = seen[c] * m
+                    n = both.sum(axis=1)
+                    d = (y - x[c]) * both
+                    mean = np.divide(d.sum(axis=1), n, out=np.zeros(len(c)), where=n > 0)
+                    te = np.sqrt(np.divide((((d - mean[:, None]) * both) ** 2).sum(axis=1), n - 1, out=np.full(len(c), np.nan), where=n > 1))
+                    for j in np.flatnonzero((n >= max(least, 2)) & np.isfinite(te)):
+                        t = round(float(te[j]), 9)
+                        if threshold is None or t <= threshold:
+                            kept.append((t, int(off[group[j]]), int(order_of[c[j]]), int(c[j])))
+                    kept = sorted(kept)[: k + 1]
+                kept = kept[:k]
+                at_all = [(key, names[c], t, int((seen[c] * m).sum()), o, 0) for t, o, _, c in kept]
+                rows += at_all + [(key, None, None, None, None, count)]
+            if rows:
+                cols = list(zip(*rows))
+                fields = [b.schema.field(0).type, None, pa.float64(), pa.int32(), pa.int64(), pa.int64()]
+                kind = pa.array(names).type if names else pa.null()
+                fields[1] = kind
+                yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(cols, fields)], names=[fund, index, "te", "n", "off", "candidates"])
+
+    return run
+
+
 def asset_to_model(univ: DataFrame, models: DataFrame, scores: DataFrame, key: str, market: str) -> DataFrame:
     """Model per asset: the first model that owns its market, else the best mapping score.
 

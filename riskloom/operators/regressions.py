@@ -341,6 +341,42 @@ def macro_exposure(df: DataFrame, key: str, ret: str, factors: Sequence[str], st
     return coefficients(fit, [key], factors)
 
 
+def nested_exposure(
+    df: DataFrame, key: str, ret: str, blocks: Sequence[Sequence[str]], orthogonal: bool = True, sector: str | None = None, sector_factors: dict | None = None, sector_last: bool = False
+) -> DataFrame:
+    """Exposures fitted block after block, each block to what the blocks before have left: one column per factor.
+
+    With ``orthogonal`` a block's factors are first cleared of those before (a Schur complement of the sums),
+    otherwise they are taken as they are. With ``sector`` (a column of ``df``, one value a key) a key meets only
+    its own sector's factor of ``sector_factors`` (sector: factor) beside the general ones, in the block that
+    names it, or with ``sector_last`` in a block of its own behind all others; a key of no listed sector meets all.
+    A factor that is zero throughout, and those a key does not meet, get 0. All sums of a key come from one
+    aggregation over the complete rows; blocks are solved on these small matrices.
+    """
+    names = [f for b in blocks for f in b]
+    of = sector_factors or {}
+    by = [key] + ([sector] if sector else [])
+    g = cross_products(df, by, names, ret)
+    at = {f: i for i, f in enumerate(names)}
+
+    def stages(own) -> list[list[int]]:
+        drop = {f for s, f in of.items() if s != own} if own in of else set()
+        if sector_last and own in of:
+            return [[at[f] for f in b if f not in of.values()] for b in blocks] + [[at[of[own]]]]
+        return [[at[f] for f in b if f not in drop] for b in blocks]
+
+    @pandas_udf(VECTOR)
+    def solve(xtx: pd.Series, xty: pd.Series, own: pd.Series) -> pd.Series:
+        out = []
+        for a, b, o in zip(xtx, xty, own):
+            n = len(names)
+            out.append(linalg.nested_normal(np.asarray(a, float).reshape(n, n), np.asarray(b, float), stages(o), orthogonal))
+        return pd.Series(out)
+
+    own = F.col(sector) if sector else F.lit(None).cast("string")
+    return _named(g.withColumn("coef", solve("xtx", "xty", own)), [key], names)
+
+
 def cochrane_orcutt(df: DataFrame, key: str, xs: Sequence[str], y: str, step: str, passes: int = 100, tol: float = 1e-5) -> DataFrame:
     """Regression with AR(1) errors, alternating rho and coefficients; one series per group.
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.functions import columns as fc
-from riskloom.operators import bitemporal as bt, cleaning as cl, timeseries as ts
+from riskloom.operators import bitemporal as bt, digests as dg, cleaning as cl, timeseries as ts
 from riskloom.plans.registry import query
 from riskloom.plans.views import Views
 from riskloom.session import shared_dir
@@ -107,6 +107,18 @@ def _(v):
     return bt.table_diff(_year(v, 1997), _year(v, 1996), ["asset_id", "item"], "value")
 
 
+@query("src08_digest_diff", "items", _TWO_YEARS + """
+SELECT COALESCE(s.asset_id, t.asset_id) AS asset_id, COALESCE(s.item, t.item) AS item,
+ CASE WHEN t.asset_id IS NULL THEN 'insert' WHEN s.asset_id IS NULL THEN 'terminate' ELSE 'update' END AS action,
+ t.value AS old_value, s.value AS new_value
+FROM s FULL JOIN t ON s.asset_id = t.asset_id AND s.item = t.item WHERE s.value IS DISTINCT FROM t.value""")
+def _(v):
+    src, tgt = scratch(v, "digest-src"), scratch(v, "digest-tgt")
+    for y, path in ((1997, src), (1996, tgt)):
+        dg.write_digested(_year(v, y), ["asset_id", "item"], ["value"], path, ranges=32, fan=4)
+    return dg.digest_diff(v.spark, src, tgt, ["asset_id", "item"], "value", fan=4)
+
+
 @query("src09_revisions_to_write", "items", _TWO_YEARS + """
 SELECT COALESCE(s.asset_id, t.asset_id) AS asset_id, COALESCE(s.item, t.item) AS item, s.value, DATE '1998-01-02' AS rev_dt,
  CASE WHEN s.asset_id IS NULL THEN 'Y' ELSE 'N' END AS rev_del_flag

@@ -234,6 +234,29 @@ def _(v):
     return jn.best_match(te, "asset_id", "idx", [F.col("te"), F.col("off")]).select("asset_id", "idx", F.round("te", 6).alias("te"))
 
 
+_FUNDS = """f AS (SELECT asset_id, mi, region, ret FROM panel WHERE ret IS NOT NULL),
+i AS (SELECT CAST(country AS BIGINT) AS idx, mi, ANY_VALUE(region) AS region, AVG(ret) AS iret FROM panel WHERE ret IS NOT NULL GROUP BY 1, 2 UNION ALL SELECT 100 + region, mi, region, mret FROM market),
+size AS (SELECT CAST(country AS BIGINT) AS idx, COUNT(DISTINCT asset_id) AS n_assets FROM panel GROUP BY 1 UNION ALL SELECT 100 + region, COUNT(DISTINCT asset_id) FROM panel GROUP BY region),
+own AS (SELECT asset_id, COUNT(*) % 7 + 1 AS n_assets FROM panel GROUP BY 1)"""
+
+
+@query("joi18_match_funds", "panel market", "WITH " + _FUNDS + """,
+t AS (SELECT f.asset_id, i.idx, COUNT(*) AS n, ROUND(stddev_samp(f.ret - i.iret), 9) AS te FROM f JOIN i ON f.mi = i.mi AND f.region = i.region GROUP BY 1, 2 HAVING COUNT(*) >= 12),
+r AS (SELECT t.*, ROW_NUMBER() OVER (PARTITION BY asset_id ORDER BY te, abs(size.n_assets - own.n_assets), idx) AS place FROM t JOIN size USING (idx) JOIN own USING (asset_id))
+SELECT asset_id, idx, ROUND(te, 6) AS te, n, place FROM r WHERE place <= 3""")
+def _(v):
+    """Suppliers as funds against country averages and regional markets of their own region."""
+    f = v.panel.where("ret is not null").select("asset_id", "mi", "region", "country", "ret")
+    i = f.groupBy(F.col("country").cast("bigint").alias("idx"), "mi").agg(F.avg("ret").alias("ret"))
+    i = i.unionByName(v.market.select((F.col("region") + 100).cast("bigint").alias("idx"), "mi", F.col("mret").alias("ret")))
+    place = F.array(F.col("region").cast("string"))
+    size = v.panel.groupBy(F.col("country").cast("bigint").alias("idx")).agg(F.count_distinct("asset_id").alias("n_assets"), F.any_value("region").alias("region"))
+    size = size.unionByName(v.panel.groupBy("region").agg(F.count_distinct("asset_id").alias("n_assets")).select((F.col("region") + 100).cast("bigint").alias("idx"), "n_assets", "region"))
+    own = v.panel.groupBy("asset_id").agg((F.count("*") % 7 + 1).alias("n_assets"), F.any_value("region").alias("region"))
+    out = jn.match_funds(f, i, "asset_id", "idx", "mi", "ret", 12, None, 3, own.select("asset_id", place.alias("countries"), "n_assets"), size.select("idx", place.alias("countries"), "n_assets"), block=8)
+    return out.select("asset_id", "idx", F.round("te", 6).alias("te"), "n", "place")
+
+
 @query("joi19_asset_to_model", "", """
 WITH own AS (SELECT s_suppkey, CASE WHEN s_nationkey < 5 THEN 'm1' WHEN s_nationkey < 9 THEN 'm2' END AS m FROM supplier),
 sc AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 >= s_suppkey % 4 THEN 'm2' ELSE 'm3' END AS m FROM supplier)

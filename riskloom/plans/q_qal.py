@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import aggregates as ag, quality as ql
+from riskloom.operators import aggregates as ag, digests as dg, quality as ql
 from riskloom.plans.q_agg import factor_long
+from riskloom.plans.q_base import scratch
 from riskloom.plans.q_risk import linked_cov
 from riskloom.plans.registry import query
 from riskloom.session import stored
@@ -269,3 +270,16 @@ def _(v):
     x = stored(v.panel.select("asset_id", "dt", "mi", "price", "volume", "mcap"))
     kept = x.withColumn("volume", F.when((F.col("asset_id") + F.col("mi")) % 50 == 0, F.lit(0.0)).otherwise(F.col("volume"))).withColumn("mcap", F.when(F.col("asset_id") % 40 != 7, F.col("mcap")))
     return ql.recheck(kept, x, ["asset_id", "dt"], ["price", "volume", "mcap"])
+
+
+@query("qal22_recheck_by_digest", "panel", """
+SELECT asset_id, dt, 'volume' AS "column" FROM panel WHERE asset_id % 25 = 3 AND volume <> 0""")
+def _(v):
+    """The panel against one in which some assets' volumes were lost: only their ranges are read again."""
+    x = v.panel.select("asset_id", "dt", "price", "volume", "mcap")
+    kept = x.withColumn("volume", F.when(F.col("asset_id") % 25 == 3, F.lit(0.0)).otherwise(F.col("volume").cast("double")))
+    a, b = scratch(v, "kept"), scratch(v, "source")
+    for rows, path in ((kept, a), (x.withColumn("volume", F.col("volume").cast("double")), b)):
+        dg.write_digested(rows, ["asset_id"], ["dt", "price", "volume", "mcap"], path)
+    found = dg.differing_ranges(v.spark, a, b)
+    return ql.recheck(dg.read_ranges(v.spark, a, found), dg.read_ranges(v.spark, b, found), ["asset_id", "dt"], ["price", "volume", "mcap"])

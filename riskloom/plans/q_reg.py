@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from riskloom.operators import factors as fa, macro as mc, regressions as rg, timeseries as ts
 from riskloom.plans.q_base import fx_rates, rf_rates
@@ -165,6 +165,36 @@ def _(v):
     return _r(rg.macro_exposure(x, "asset_id", "ret", ["wret"], "mi", "ridge", prior=prior, ridge=0.5), ["wret"])
 
 
+_NESTED = """x AS (SELECT p.asset_id, p.region, p.ret AS y, w.wret AS a, m.mret AS b FROM panel p JOIN market m ON p.region = m.region AND p.mi = m.mi JOIN world w ON p.mi = w.mi WHERE p.ret IS NOT NULL),
+s AS (SELECT asset_id, region, SUM(a * a) AS aa, SUM(a * b) AS ab, SUM(b * b) AS bb, SUM(a * y) AS ay, SUM(b * y) AS cy FROM x GROUP BY 1, 2)"""
+
+
+@query("reg11_macro_nested", "panel market world", "WITH " + _NESTED + """
+SELECT asset_id, ROUND(ay / aa, 6) AS wret, ROUND((cy - ab / aa * ay) / (bb - ab * ab / aa), 6) AS mret FROM s WHERE aa > 0 AND bb - ab * ab / aa > 1e-9 * bb""")
+def _(v):
+    x = asset_market(v).where("ret is not null")
+    out = rg.nested_exposure(x, "asset_id", "ret", [["wret"], ["mret"]])
+    some = x.groupBy("asset_id").agg(F.sum(F.col("wret") ** 2).alias("aa"), F.sum(F.col("wret") * F.col("mret")).alias("ab"), F.sum(F.col("mret") ** 2).alias("bb"))
+    clear = some.where("aa > 0 AND bb - ab * ab / aa > 1e-9 * bb").select("asset_id")  # one month has no second direction
+    return _r(out.join(clear, "asset_id"), ["wret", "mret"])
+
+
+@query("reg11_macro_nested_raw", "panel market world", "WITH " + _NESTED + " SELECT asset_id, ROUND(ay / aa, 6) AS wret, ROUND((cy - ab * ay / aa) / bb, 6) AS mret FROM s WHERE aa > 0 AND bb > 0")
+def _(v):
+    return _r(rg.nested_exposure(asset_market(v).where("ret is not null"), "asset_id", "ret", [["wret"], ["mret"]], orthogonal=False), ["wret", "mret"])
+
+
+@query("reg11_macro_sector", "panel market world", "WITH " + _NESTED + """
+SELECT asset_id, ROUND(ay / aa, 6) AS wret, CASE WHEN region = 0 THEN ROUND((cy - ab * ay / aa) / bb, 6) ELSE 0 END AS m0, CASE WHEN region = 1 THEN ROUND((cy - ab * ay / aa) / bb, 6) ELSE 0 END AS m1
+FROM s WHERE region < 2 AND aa > 0 AND bb > 0""")
+def _(v):
+    """Two regions as sectors: each asset meets the world, and what is left meets its own region only."""
+    m = v.market.where("region < 2").groupBy("mi").pivot("region", [0, 1]).agg(F.first("mret")).withColumnsRenamed({"0": "m0", "1": "m1"})
+    x = v.panel.where("ret is not null and region < 2").select("asset_id", "region", "mi", "ret").join(m, "mi").join(v.world.select("mi", "wret"), "mi")
+    x = x.withColumn("m0", F.coalesce("m0", F.lit(0.0))).withColumn("m1", F.coalesce("m1", F.lit(0.0)))
+    return _r(rg.nested_exposure(x, "asset_id", "ret", [["m0", "wret", "m1"]], orthogonal=False, sector="region", sector_factors={0: "m0", 1: "m1"}, sector_last=True), ["wret", "m0", "m1"]).select("asset_id", "wret", "m0", "m1")
+
+
 @query("reg12_cochrane_orcutt", "panel market")
 def _(v):
     return _r(rg.cochrane_orcutt(asset_market(v), "asset_id", ["mret"], "ret", "mi"), ["intercept", "mret", "rho"])
@@ -321,6 +351,25 @@ def _(v):
     return _r(fa.apca(x, "asset_id", "dt", "ret", 3, scale=scale)[1], ["f1", "f2", "f3"])
 
 
+@query("fac06_subspace_agrees", "panel", "SELECT f, true AS same FROM (VALUES ('f1'), ('f2'), ('f3')) x(f)")
+def _(v):
+    """Leading components found without the date x date matrix and with it: every date's factor returns alike up to sign."""
+    x = _window(v)
+    a, b = fa.apca(x, "asset_id", "dt", "ret", 3)[0], fa.subspace_components(x, "asset_id", "dt", "ret", 3, tol=1e-12, most=100)[0]
+    j = a.join(b.withColumnsRenamed({f"f{i}": f"g{i}" for i in (1, 2, 3)}), "dt")
+    along = j.agg(*[F.abs(F.sum(F.col(f"f{i}") * F.col(f"g{i}"))).alias(f"f{i}") for i in (1, 2, 3)])
+    return along.unpivot([], ["f1", "f2", "f3"], "f", "c").select("f", (F.abs(F.col("c") - 1) < 1e-4).alias("same"))
+
+
+@query("fac06_subspace_daily", "")
+def _(v):
+    """Daily price moves of suppliers: some thousand dates."""
+    d = v.lineitem.groupBy(F.col("l_suppkey").alias("asset_id"), F.col("l_shipdate").cast("date").alias("dt")).agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("price"))
+    w = Window.partitionBy("asset_id").orderBy("dt")
+    x = d.withColumn("ret", F.log("price") - F.log(F.lag("price").over(w))).where("ret is not null")
+    return _r(fa.subspace_components(x, "asset_id", "dt", "ret", 3, tol=1e-4)[2], ["explained"], 4)
+
+
 @query("fac07_apca_jones", "panel")
 def _(v):
     return _r(fa.apca(_window(v), "asset_id", "dt", "ret", 3, jones=True)[0], ["f1", "f2", "f3"])
