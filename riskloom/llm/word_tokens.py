@@ -45,19 +45,20 @@ class WordEncoder:
         """Words of letters only are one match of the pattern each, so many of them are encoded as one
         text and told apart by the tokens that end a match; where the counts differ, and for all other
         words, each is a text of its own."""
-        text = {w: w.decode() for w in words}
-        plain = [w for w in words if text[w].isalpha()]
-        single = [w for w in words if not text[w].isalpha()]
-        for i in range(0, len(plain), TOGETHER):
-            group = plain[i : i + TOGETHER]
-            ids = np.array(self.library.encode(" ".join([text[w] for w in group]), add_special_tokens=False).ids, "<u4")
+        plain: list[bytes] = []
+        single: list[bytes] = []
+        for w in words:
+            (plain if w.isalpha() or w.decode().isalpha() else single).append(w)
+        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        for group, found in zip(groups, self.library.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) != len(group):
                 single += group
                 continue
             raw = ids.tobytes()
             self.known.update(zip(group, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
-        for w, e in zip(single, self.library.encode_batch_fast([text[w] for w in single], add_special_tokens=False), strict=True):
+        for w, e in zip(single, self.library.encode_batch_fast([w.decode() for w in single], add_special_tokens=False), strict=True):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
 
     def _need(self, words: set[bytes]) -> None:
