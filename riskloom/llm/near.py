@@ -1,9 +1,11 @@
 """Links between sets that meet in blocks, by count-vector bounds, exact checks and components.
 
-A block is a list of nodes that may link. Short lists give all their pairs, long ones at first only the
-pairs with a few centres; pairs that the bound lets through are checked; in a second round an R-tree over
-the list's points gives every pair that the bound lets through and whose ends are not yet connected. No
-link that would join two components is lost, and a large group of copies costs a few links a node.
+A block is a list of nodes that may link. Each list has a centre under each of a few orders of the nodes; a
+node is first paired with one centre an order, the first of all its lists' centres, so mostly one node for
+a whole group. Pairs that the bound lets through are checked, those of later orders only between nodes
+that are not connected yet. In a last round an R-tree over a list's points gives every pair that the bound
+lets through and whose ends are still apart. No link that would join two components is lost, and a large
+group of copies costs a few pairs a node.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from riskloom.llm.components import components
 from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded
 
 U = np.uint64
-#: Lists of at most so many nodes give all pairs at once; centres of longer ones.
-SHORT, CENTRES = 6, 3
+#: Orders of the nodes that give centres, and rows held before only each node's first centre is kept.
+CENTRES, KEPT = 3, 1 << 20
+#: Rows of lists with one smallest node that a task of the last round takes together; more are dealt by list.
+TOGETHER = 20_000
 #: Counts in the matrix of one list's tree, as a power of two, and pairs gathered before they are told.
 MATRIX_BITS, HELD = 20, 250_000
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -58,26 +62,41 @@ def _emit(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=PAIR)
 
 
-def _first_pairs(batches):
+CENTRE = pa.schema([("node", pa.int64()), ("turn", pa.int32()), ("rank", pa.int64()), ("centre", pa.int64())])
+
+
+def _firsts(node: np.ndarray, rank: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((rank, node))
+    keep = order[np.append(True, node[order][1:] != node[order][:-1])] if len(order) else order
+    return node[keep], rank[keep], centre[keep]
+
+
+def _centres(batches):
+    """(node, turn, rank, centre): of the centres of a node's lists in this task, the first in each order. A list's
+    centre is its first node; its other nodes are paired with it, it with none."""
+    held = [[] for _ in range(CENTRES)]
+    rows = 0
     for t in _whole_lists(batches, ["list", "node"]):
         key, node = t.column("list").to_numpy(), t.column("node").to_numpy()
         edge = _edges(key)
-        size = np.diff(edge)
-        left, right = [], []
-        for k in range(2, SHORT + 1):  # all lists of one length together
-            start = edge[:-1][size == k]
-            if len(start):
-                i, j = np.triu_indices(k, 1)
-                left.append(node[(start[:, None] + i).ravel()])
-                right.append(node[(start[:, None] + j).ravel()])
-        for s, e in zip(edge[:-1][size > SHORT], edge[1:][size > SHORT], strict=True):
-            for seed in range(CENTRES):  # the same centre for all lists that hold it
-                with np.errstate(over="ignore"):
-                    c = s + int(np.argmin(mix(node[s:e].view(U) + U(seed))))
-                others = np.delete(node[s:e], c - s)
-                left.append(np.full(len(others), node[c]))
-                right.append(others)
-        yield from _emit(left, right)
+        of = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+        for turn in range(CENTRES):
+            with np.errstate(over="ignore"):
+                rank = (mix(node.view(U) + U(turn)) >> U(1)).view(np.int64)
+            least = np.minimum.reduceat(rank, edge[:-1])
+            at = np.flatnonzero(rank == least[of])
+            centre = np.empty(len(edge) - 1, np.int64)
+            centre[of[at]] = node[at]
+            other = node != centre[of]
+            held[turn].append((node[other], least[of][other], centre[of][other]))
+        rows += len(node)
+        if rows > KEPT:
+            held = [[_firsts(*(np.concatenate(c) for c in zip(*h, strict=True)))] for h in held]
+            rows = len(held[0][0][0])
+    for turn, h in enumerate(held):
+        if h:
+            node, rank, centre = _firsts(*(np.concatenate(c) for c in zip(*h, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.full(len(node), turn, np.int32)), pa.array(rank), pa.array(centre)], schema=CENTRE)
 
 
 def _folded(batches):
@@ -137,24 +156,40 @@ def check(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Sc
 def connect(lists: DataFrame, at: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
     """(node, root) of every node with a link. ``lists`` has distinct (list, node); ``at`` has (node, point)."""
     lists = scratch.keep(lists)
-    met = lists.repartition("list").sortWithinPartitions("list", "node").mapInArrow(_first_pairs, "a bigint, b bigint").distinct()
+    met = lists.repartition("list").sortWithinPartitions("list", "node").mapInArrow(_centres, "node bigint, turn int, rank bigint, centre bigint")
+    met = scratch.keep(met.groupBy("node", "turn").agg(F.min_by("centre", "rank").alias("centre")))
     # the first look is at points of a quarter of the groups: a quarter of the bytes move
     coarse = scratch.keep(at.select("node", "point").mapInArrow(_folded, "node bigint, point binary"))
     left = coarse.select(F.col("node").alias("a"), F.col("point").alias("point_a"))
     right = coarse.select(F.col("node").alias("b"), F.col("point").alias("point_b"))
-    near = met.join(left, "a").join(right, "b").select("a", "b", "point_a", "point_b")
-    pairs = scratch.keep(near.mapInArrow(_bounded, "a bigint, b bigint"))
-    links = check(pairs, texts, scratch)
+    pair = [F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")]
+
+    def checked(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        near = pairs.join(left, "a").join(right, "b").select("a", "b", "point_a", "point_b")
+        near = scratch.keep(near.mapInArrow(_bounded, "a bigint, b bigint"))
+        return near, check(near, texts, scratch)
+
+    pairs, links = checked(met.filter("turn = 0").select(*pair).distinct())
     roots = components(links, scratch)
-    # lists of which only some pairs were looked at, and whose nodes are not yet connected
-    long = lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHORT).select("list")
-    rooted = lists.join(long, "list", "left_semi").join(roots, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root"))
-    rooted = scratch.keep(rooted)
-    mixed = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("home")).filter("low <> high").select("list", "home")
-    rest = rooted.join(mixed, "list").join(at, "node").select("home", "list", "node", "point", "root")
-    rest = rest.repartition("home").sortWithinPartitions("home", "list", "node").drop("home")
-    more = rest.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-    more = scratch.keep(more.join(pairs, ["a", "b"], "left_anti"))
-    if more.isEmpty():
+    apart = met.filter("turn > 0").select(*pair).distinct()
+    for side in ("a", "b"):
+        apart = apart.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    apart = apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").join(pairs, ["a", "b"], "left_anti")
+    again, more = checked(scratch.keep(apart))
+    if not more.isEmpty():
+        pairs, links = pairs.union(again), links.union(more)
+        roots = components(links, scratch)
+    # lists whose nodes are not all connected yet
+    rooted = scratch.keep(lists.join(roots, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root")))
+    mixed = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("home"), F.count(F.lit(1)).alias("n")).filter("low <> high").select("list", "home", "n")
+    mixed = scratch.keep(mixed)
+    # lists with much the same nodes share the smallest one; many of them are dealt to several tasks
+    share = mixed.groupBy("home").agg(F.ceil(F.sum("n") / TOGETHER).alias("tasks"))
+    dealt = mixed.join(share, "home").select("list", "home", F.pmod(F.xxhash64("list"), F.col("tasks")).alias("task"))
+    rest = rooted.join(dealt, "list").join(at, "node").select("home", "task", "list", "node", "point", "root")
+    rest = rest.repartition("home", "task").sortWithinPartitions("home", "task", "list", "node").drop("home", "task")
+    last = rest.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
+    last = scratch.keep(last.join(pairs, ["a", "b"], "left_anti"))
+    if last.isEmpty():
         return roots
-    return components(links.union(check(more, texts, scratch)), scratch)
+    return components(links.union(check(last, texts, scratch)), scratch)

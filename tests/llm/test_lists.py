@@ -4,7 +4,9 @@ import numpy as np
 import pyarrow as pa
 
 from riskloom.llm import ngram_join
-from riskloom.llm.near import _first_pairs, _whole_lists
+from riskloom.llm import near
+from riskloom.llm.common import mix
+from riskloom.llm.near import _centres, _whole_lists
 
 
 def test_lists_stay_whole_over_batches():
@@ -17,11 +19,28 @@ def test_lists_stay_whole_over_batches():
             seen = [t.column("list").to_numpy() for t in _whole_lists(batches, ["list", "node"])]
             assert np.concatenate(seen).tolist() == key.tolist()
             assert sum(len(set(s.tolist())) for s in seen) == 40  # no list in two tables
-            pairs = {(a, b) for p in _first_pairs(batches) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)}
-            for k in range(40):
-                nodes = node[key == k].tolist()
-                if len(nodes) <= 6:
-                    assert {(a, b) for a in nodes for b in nodes if a < b} <= pairs
+
+
+def test_first_centres_of_all_lists(monkeypatch):
+    rng = np.random.default_rng(3)
+    key = np.repeat(np.arange(60), rng.integers(1, 9, 60))
+    node = np.concatenate([rng.choice(50, n, replace=False) for n in np.bincount(key)])
+    want = {}
+    for turn in range(near.CENTRES):
+        with np.errstate(over="ignore"):
+            rank = mix(np.arange(50).astype(np.uint64) + np.uint64(turn)) >> np.uint64(1)
+        for k in range(60):
+            mine = node[key == k].tolist()
+            centre = min(mine, key=lambda x: rank[x])
+            for x in mine:
+                if x != centre and ((x, turn) not in want or rank[centre] < rank[want[x, turn]]):
+                    want[x, turn] = centre
+    for rows, kept in ((1, 3), (7, 1 << 20), (1000, 10)):
+        monkeypatch.setattr(near, "KEPT", kept)
+        batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + rows]), pa.array(node[i : i + rows])], names=["list", "node"]) for i in range(0, len(key), rows)]
+        got = {(x, t): c for b in _centres(batches) for x, t, _, c in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+        assert got == want
+    assert list(_centres([])) == []
 
 
 def test_join_with_batches_of_three_rows(spark, scratch):
