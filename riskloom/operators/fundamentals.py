@@ -203,6 +203,18 @@ def growth_rolling(quarters: DataFrame, value: str, key: str = "asset_id", step:
     return x.withColumn(name, F.when(n > (4 if variability else 2), div(top, div(sa, n)))).drop("_a", *[f"_p{i}" for i in range(len(pts))])
 
 
+def as_of_forecast(quarters: DataFrame, estimates: DataFrame, key: str = "asset_id", step: str = "qi", value: str = "value", keep: int = 4, name: str = "forecast") -> DataFrame:
+    """Quarters with the newest estimate known in each: made in that quarter or in one of the ``keep`` - 1 before it.
+
+    ``estimates`` has (key, step it was made in, value); of several of one quarter the last row by ``eff_dt`` counts.
+    An estimate meets the ``keep`` quarters in which it can be the newest, by equality, so nothing is joined on a range.
+    """
+    last = estimates.groupBy(key, F.col(step).alias("_made")).agg(F.max_by(value, F.struct("eff_dt", value)).alias("_v"))
+    spread = last.where("_v is not null").withColumn(step, F.explode(F.sequence(F.col("_made"), F.col("_made") + (keep - 1))))
+    known = spread.groupBy(key, step).agg(F.max_by("_v", "_made").alias(name))
+    return quarters.join(known, [key, step], "left")
+
+
 # --- estimates ----------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import catalogue as ct, fundamentals as fu
+from riskloom.operators import catalogue as ct, descriptors as ds, fundamentals as fu, timeseries as ts
 from riskloom.plans.registry import query
 
 AS_OF = "1999-06-30"
@@ -124,6 +124,41 @@ def _(v):
     return _r(fu.growth_rolling(v.quarters, "sales").select("asset_id", "qi", "growth"), ["growth"])
 
 
+_ESTIMATES = """e AS (SELECT o_custkey AS asset_id, CAST(4 * year(o_orderdate) + quarter(o_orderdate) AS BIGINT) AS made, arg_max(o_totalprice * 4, {'d': CAST(o_orderdate AS DATE), 'v': o_totalprice}) AS v FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2),
+known AS (SELECT q.asset_id, q.qi, arg_max(e.v, e.made) AS forecast FROM quarters q JOIN e ON e.asset_id = q.asset_id AND e.made BETWEEN q.qi - 3 AND q.qi GROUP BY 1, 2)"""
+
+
+def _with_forecast(v):
+    q = fu.quarter_index(F.trunc(F.col("o_orderdate").cast("date"), "quarter"))
+    e = v.orders.where("o_orderkey % 3 <> 0").select(F.col("o_custkey").alias("asset_id"), F.col("o_orderdate").cast("date").alias("eff_dt"), (F.col("o_totalprice") * 4).alias("value"), q.alias("qi"))
+    return fu.as_of_forecast(v.quarters, e)
+
+
+@query("fun07_as_of_forecast", "quarters", "WITH " + _ESTIMATES + " SELECT q.asset_id, q.qi, ROUND(forecast, 4) AS forecast FROM quarters q LEFT JOIN known k ON k.asset_id = q.asset_id AND k.qi = q.qi")
+def _(v):
+    return _r(_with_forecast(v).select("asset_id", "qi", "forecast"), ["forecast"], 4)
+
+
+_POINTS = f"""a AS (SELECT asset_id, qi, {_PROC['annualise'].format(c='sales')} AS a FROM quarters),
+p AS (SELECT x.asset_id, x.qi, -y AS t, b.a AS v FROM a x, range(5) r(y), a b WHERE b.asset_id = x.asset_id AND b.qi = x.qi - 4 * y AND b.a IS NOT NULL)"""
+
+
+@query("fun07_growth_rolling_with_forecast", "quarters", "WITH " + _ESTIMATES + ", " + _POINTS + """,
+u AS (SELECT * FROM p UNION ALL SELECT asset_id, qi, 1, forecast FROM known),
+g AS (SELECT asset_id, qi, regr_slope(v, t) / AVG(abs(v)) AS g FROM u GROUP BY 1, 2 HAVING COUNT(*) > 2)
+SELECT a.asset_id, a.qi, ROUND(g, 6) AS growth FROM a LEFT JOIN g ON g.asset_id = a.asset_id AND g.qi = a.qi""")
+def _(v):
+    """Realised years and the year ahead as it was forecast at the time."""
+    return _r(fu.growth_rolling(_with_forecast(v), "sales", forecast="forecast").select("asset_id", "qi", "growth"), ["growth"])
+
+
+@query("fun07_earnings_variability", "quarters", "WITH " + _POINTS + """,
+g AS (SELECT asset_id, qi, stddev_samp(v) / AVG(abs(v)) AS g FROM p GROUP BY 1, 2 HAVING COUNT(*) > 4)
+SELECT a.asset_id, a.qi, ROUND(g, 6) AS variability FROM a LEFT JOIN g ON g.asset_id = a.asset_id AND g.qi = a.qi""")
+def _(v):
+    return _r(fu.growth_rolling(v.quarters, "sales", variability=True, name="variability").select("asset_id", "qi", "variability"), ["variability"])
+
+
 _EST = f"""est AS (SELECT o_custkey AS asset_id, 'eps' AS item, make_date(CAST(year(o_orderdate) + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT), 12, 31) AS dt, CAST(o_orderdate AS DATE) AS eff_dt, ROUND(SUM(o_totalprice), 2) AS value FROM orders GROUP BY 1, 2, 3, 4),
 cl AS (SELECT asset_id, dt, arg_max(eff_dt, eff_dt) AS eff_dt, arg_max(value, eff_dt) AS value FROM est WHERE eff_dt <= DATE '{AS_OF}' GROUP BY 1, 2),
 rep AS (SELECT o_custkey AS asset_id, MAX(make_date(CAST(year(o_orderdate) AS BIGINT), 12, 31)) AS last FROM orders WHERE o_orderstatus = 'F' AND make_date(CAST(year(o_orderdate) AS BIGINT), 12, 31) <= DATE '{AS_OF}' GROUP BY 1),
@@ -242,11 +277,69 @@ def _(v):
     return ct.catalogue(v.spark).join(n, F.col("name") == F.col("descriptor")).select("id", "name", "family", "window", "is_local", "n_values", "mean")
 
 
+MARKETS, SERIES = ["local", "regional", "world"], ["s0", "s1", "s2", "s3", "s4"]
+ALL = ds.catalogue(MARKETS, SERIES, "world")
+
+
+def with_factors(v):
+    """The panel with returns of its country, region and the world, and of each region's market as a series."""
+    local = ts.weighted_return(v.panel, ["country", "mi"], "ret", "lag_mcap", "x")
+    series = v.market.groupBy("mi").pivot("region", [0, 1, 2, 3, 4]).agg(F.first("mret")).withColumnsRenamed({str(i): f"s{i}" for i in range(5)})
+    x = ds.factor_columns(v.panel, {"local": (local, ["country", "mi"], "x"), "regional": (v.market, ["region", "mi"], "mret"), "world": (v.world, ["mi"], "wret")})
+    return x.join(series, "mi", "left")
+
+
+def _descriptor_sql(d) -> str:
+    """The same descriptor in SQL, from its name's parts."""
+    w = f"OVER (PARTITION BY asset_id ORDER BY mi RANGE BETWEEN {d.window - 1} PRECEDING AND " + (f"{d.gap} PRECEDING)" if d.gap else "CURRENT ROW)")
+    n, a, k = d.window, d.against, ds.least(d.window)
+    if d.net:
+        y, x, m = (f"CASE WHEN ret IS NOT NULL AND {a} IS NOT NULL AND {d.net} IS NOT NULL THEN {c} END" for c in ("ret", a, d.net))
+        xx, mm, xm = f"covar_pop({x}, {x}) {w}", f"covar_pop({m}, {m}) {w}", f"covar_pop({x}, {m}) {w}"
+        det = f"({xx} * {mm} - {xm} * {xm})"
+        return f"CASE WHEN COUNT({y}) {w} >= {k + 1} AND {det} > {xx} * {mm} * 1e-6 THEN (covar_pop({y}, {x}) {w} * {mm} - covar_pop({y}, {m}) {w} * {xm}) / {det} END"
+    fit = f"CASE WHEN regr_count(ret, {a}) {w} >= {k} THEN " + "{} END"
+    return {
+        "momentum": f"CASE WHEN COUNT(ret) {w} > 0 THEN exp(SUM(ln(1 + GREATEST(COALESCE(ret, 0), -0.999))) {w}) - 1 END", "hist_vol": f"sqrt(SUM(COALESCE(ret * ret, 0)) {w} / {n})",
+        "mean_return": f"CASE WHEN COUNT(ret) {w} >= {k} THEN AVG(ret) {w} END",
+        "skewness": f"CASE WHEN COUNT(ret) {w} >= {k} AND var_pop(ret) {w} > 1e-12 THEN (AVG(ret ** 3) {w} - 3 * AVG(ret) {w} * AVG(ret ** 2) {w} + 2 * (AVG(ret) {w}) ** 3) / (var_pop(ret) {w}) ** 1.5 END",
+        "high_low": f"ln(MAX(mcap) {w} / NULLIF(MIN(mcap) {w}, 0))", "turnover": f"ln(NULLIF(AVG(volume) {w} / NULLIF(AVG(mcap) {w}, 0), 0))", "dollar_volume": f"AVG(volume * price) {w}",
+        "amihud": f"AVG(abs(ret) / NULLIF(volume * price, 0)) {w}", "traded": f"COUNT(ret) {w} / {n}.0::DOUBLE", "nonzero": f"COALESCE(SUM(CASE WHEN ret <> 0 THEN 1 ELSE 0 END) {w}, 0) / {n}.0::DOUBLE",
+        "beta": fit.format(f"regr_slope(ret, {a}) {w}"), "alpha": fit.format(f"regr_intercept(ret, {a}) {w}"), "correlation": fit.format(f"sqrt(regr_r2(ret, {a}) {w})"), "sensitivity": fit.format(f"regr_slope(ret, {a}) {w}"),
+        "residual_vol": fit.format(f"sqrt(GREATEST(regr_syy(ret, {a}) {w} - (regr_sxy(ret, {a}) {w}) ** 2 / NULLIF(regr_sxx(ret, {a}) {w}, 0), 0) / NULLIF(regr_count(ret, {a}) {w} - 2, 0))"),
+    }[d.family]
+
+
+_WITH_FACTORS = """f AS (SELECT p.*, l.x AS local, m.mret AS regional, w.wret AS world, """ + ", ".join(f"s{i}.mret AS s{i}" for i in range(5)) + """ FROM panel p
+ LEFT JOIN (SELECT country, mi, SUM(lag_mcap * ret) / SUM(lag_mcap) AS x FROM panel WHERE ret IS NOT NULL GROUP BY 1, 2) l ON l.country = p.country AND l.mi = p.mi
+ LEFT JOIN market m ON m.region = p.region AND m.mi = p.mi LEFT JOIN world w ON w.mi = p.mi """ + " ".join(f"LEFT JOIN market s{i} ON s{i}.region = {i} AND s{i}.mi = p.mi" for i in range(5)) + ")"
+
+
+def _family(families: list[str]):
+    """A query with every descriptor of some families, as columns."""
+    mine = [d for d in ALL if d.family in families]
+    sql = "WITH " + _WITH_FACTORS + " SELECT asset_id, dt, " + ", ".join(f"ROUND({_descriptor_sql(d)}, 5) AS {d.name}" for d in mine) + " FROM f"
+
+    @query(f"fun16_descriptors_{families[0]}", "panel market world", sql)
+    def _(v):
+        return _r(ds.build(with_factors(v), mine).select("asset_id", "dt", *[d.name for d in mine]), [d.name for d in mine], 5)
+
+
+for _group in (["momentum", "hist_vol", "mean_return", "skewness"], ["turnover", "high_low", "dollar_volume", "amihud", "traded", "nonzero"], ["beta", "alpha", "residual_vol", "correlation"], ["sensitivity"]):
+    _family(_group)
+
+
+@query("fun16_catalogue", "panel market world")
+def _(v):
+    """The catalogue with how many values each return descriptor has on the panel."""
+    names = [d.name for d in ALL]
+    n = ds.build(with_factors(v), ALL).agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "name", "n_values")
+    return ds.table(v.spark, ALL).join(n, "name", "left")
+
+
 @query("udx01_registered_descriptor", "panel", """
 SELECT asset_id, dt, descriptor, ROUND(value, 6) AS value FROM (SELECT asset_id, dt, 'range3' AS descriptor, MAX(price) OVER w / MIN(price) OVER w - 1 AS value FROM panel WINDOW w AS (PARTITION BY asset_id ORDER BY mi RANGE BETWEEN 2 PRECEDING AND CURRENT ROW))""")
 def _(v):
-    from riskloom.operators import timeseries as ts
-
     reg = ct.Registry()
     w = lambda n: ts.last_steps(["asset_id"], "mi", n)
     reg.register("range3", lambda d, p: d.withColumn("range3", F.max("price").over(w(p["n"])) / F.min("price").over(w(p["n"])) - 1), n=3)

@@ -56,7 +56,11 @@ def _(v):
     return _r(rg.huber_history(asset_market(v), "asset_id", ["mret"], "ret"), ["intercept", "mret"])
 
 
-@query("reg04_non_negative", "panel market world")
+@query("reg04_non_negative", "panel market world", """
+WITH s AS (SELECT p.asset_id, SUM(m.mret * m.mret) AS aa, SUM(m.mret * w.wret) AS ab, SUM(w.wret * w.wret) AS bb, SUM(m.mret * p.ret) AS ay, SUM(w.wret * p.ret) AS cy
+  FROM panel p JOIN market m ON p.region = m.region AND p.mi = m.mi JOIN world w ON p.mi = w.mi WHERE p.ret IS NOT NULL GROUP BY 1),
+u AS (SELECT *, (ay * bb - cy * ab) / NULLIF(aa * bb - ab * ab, 0) AS u1, (cy * aa - ay * ab) / NULLIF(aa * bb - ab * ab, 0) AS u2, CASE WHEN ay > 0 THEN ay * ay / aa ELSE 0 END AS g1, CASE WHEN cy > 0 THEN cy * cy / bb ELSE 0 END AS g2 FROM s)
+SELECT asset_id, ROUND(CASE WHEN u1 >= 0 AND u2 >= 0 THEN u1 WHEN g1 > 0 AND g1 >= g2 THEN ay / aa ELSE 0 END, 6) AS mret, ROUND(CASE WHEN u1 >= 0 AND u2 >= 0 THEN u2 WHEN g2 > g1 THEN cy / bb ELSE 0 END, 6) AS wret FROM u""")
 def _(v):
     fit = rg.wls(asset_market(v), ["asset_id"], ["mret", "wret"], "ret", solver="nnls")
     return _r(rg.coefficients(fit, ["asset_id"], ["mret", "wret"]), ["mret", "wret"])
@@ -82,7 +86,17 @@ def _(v):
     return _r(s.select("dt", "term", "coef", "se", "t", "p", "r2"), ["coef", "se", "t", "p", "r2"])
 
 
-@query("reg05_newey_west_errors", "panel market")
+@query("reg05_newey_west_errors", "panel market", """
+WITH x AS (SELECT p.asset_id, p.mi, p.ret AS y, m.mret AS x FROM panel p JOIN market m ON p.region = m.region AND p.mi = m.mi WHERE p.ret IS NOT NULL),
+f AS (SELECT asset_id, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, COUNT(*) AS n, SUM(x) AS sx, SUM(x * x) AS sxx FROM x GROUP BY 1),
+e AS (SELECT x.asset_id, mi, x, y - a - b * x AS u, a, b, n, sx, sxx FROM x JOIN f USING (asset_id)),
+l AS (SELECT *, LAG(u) OVER w AS u1, LAG(u, 2) OVER w AS u2, LAG(x) OVER w AS x1, LAG(x, 2) OVER w AS x2 FROM e WINDOW w AS (PARTITION BY asset_id ORDER BY mi)),
+m AS (SELECT asset_id, a, b, n, sx, sxx, n * sxx - sx * sx AS det,
+  SUM(u * u) + 2 * (2.0 / 3 * COALESCE(SUM(u * u1), 0) + 1.0 / 3 * COALESCE(SUM(u * u2), 0)) AS m00,
+  SUM(u * u * x) + 2.0 / 3 * COALESCE(SUM(u * u1 * (x + x1)), 0) + 1.0 / 3 * COALESCE(SUM(u * u2 * (x + x2)), 0) AS m01,
+  SUM(u * u * x * x) + 2 * (2.0 / 3 * COALESCE(SUM(u * u1 * x * x1), 0) + 1.0 / 3 * COALESCE(SUM(u * u2 * x * x2), 0)) AS m11 FROM l GROUP BY ALL)
+SELECT asset_id, ROUND(a, 6) AS intercept, ROUND(b, 6) AS mret, ROUND(sqrt(GREATEST((sxx * sxx * m00 - 2 * sxx * sx * m01 + sx * sx * m11) / (det * det), 0)), 6) AS se_intercept,
+ ROUND(sqrt(GREATEST((sx * sx * m00 - 2 * sx * n * m01 + n * n * m11) / (det * det), 0)), 6) AS se_mret FROM m""")
 def _(v):
     out = rg.newey_west_errors(asset_market(v), "asset_id", ["mret"], "ret", 2, "mi")
     return _r(out, ["intercept", "mret", "se_intercept", "se_mret"])
@@ -110,7 +124,10 @@ def _(v):
     return _r(rg.ts_beta(asset_market(v), "asset_id", "ret", ["mret"], "mi", END, 36, lambda pos, age: ts.exp_weight(age, 12), market="mret"), ["intercept", "mret"])
 
 
-@query("reg07_ts_beta_net_of_market", "panel market world")
+@query("reg07_ts_beta_net_of_market", "panel market world", f"""
+WITH x AS (SELECT p.asset_id, COALESCE(p.ret, m.mret) AS y, m.mret AS m, w.wret AS w FROM panel p JOIN market m ON p.region = m.region AND p.mi = m.mi JOIN world w ON w.mi = p.mi WHERE p.mi > {END} - 48 AND p.mi <= {END}),
+f AS (SELECT asset_id, regr_slope(y, m) AS b, regr_intercept(y, m) AS a FROM x GROUP BY 1), e AS (SELECT x.asset_id, y - a - b * m AS e, w, b FROM x JOIN f USING (asset_id))
+SELECT asset_id, ROUND(regr_intercept(e, w), 6) AS intercept, ROUND(regr_slope(e, w), 6) AS wret, COUNT(*) AS n, ROUND(ANY_VALUE(b), 6) AS mret FROM e GROUP BY 1 HAVING COUNT(*) >= 2""")
 def _(v):
     return _r(rg.ts_beta(asset_market(v), "asset_id", "ret", ["wret"], "mi", END, 48, market="mret", net_of=["mret"]), ["intercept", "wret", "mret"])
 
@@ -200,7 +217,12 @@ def _(v):
     return _r(rg.cochrane_orcutt(asset_market(v), "asset_id", ["mret"], "ret", "mi"), ["intercept", "mret", "rho"])
 
 
-@query("reg13_var1", "factor_ret")
+@query("reg13_var1", "factor_ret", """
+WITH l AS (SELECT mi, f_size, f_mom, LAG(f_size) OVER (ORDER BY mi) AS a, LAG(f_mom) OVER (ORDER BY mi) AS b FROM factor_ret),
+x AS (SELECT 'f_size' AS equation, f_size AS y, a, b FROM l WHERE a IS NOT NULL UNION ALL SELECT 'f_mom', f_mom, a, b FROM l WHERE a IS NOT NULL),
+s AS (SELECT equation, AVG(y) AS my, AVG(a) AS ma, AVG(b) AS mb, covar_pop(a, a) AS aa, covar_pop(b, b) AS bb, covar_pop(a, b) AS ab, covar_pop(y, a) AS ya, covar_pop(y, b) AS yb FROM x GROUP BY 1),
+c AS (SELECT *, (ya * bb - yb * ab) / (aa * bb - ab * ab) AS ca, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS cb FROM s)
+SELECT equation, ROUND(my - ca * ma - cb * mb, 6) AS intercept, ROUND(ca, 6) AS lag_f_size, ROUND(cb, 6) AS lag_f_mom FROM c""")
 def _(v):
     out = rg.var1(v.factor_ret.select("mi", "f_size", "f_mom"), "mi", ["f_size", "f_mom"])
     return _r(out, ["intercept", "lag_f_size", "lag_f_mom"])
