@@ -250,6 +250,38 @@ def replicate_index(univ: DataFrame, by: Sequence[str], key: str, cap: str, liqu
     return liquid.unionByName(rest).withColumn("sub_index", F.when(F.col("cap_rank").isNull(), "small").otherwise(band))
 
 
+def replicate_subindexes(univ: DataFrame, by: Sequence[str], key: str, cap: str, liquidity: str, stages: Sequence[tuple[str, int, int | None, int]], base: str | None = None, float_cap: str | None = None) -> DataFrame:
+    """Sub-indexes filled one after another: univ with cap_rank, vol_rank and sub_index.
+
+    A stage (name, members, cap pool, volume pool) takes, of lines that no stage before has taken, those within both
+    pools by cap rank; where they are too few, the rest by volume rank from the volume pool alone. Stages of one name
+    fill one sub-index. Caps are ``float_cap`` where that is given, and count as 0 for lines outside the ``base``
+    universe; what no stage takes is ``small``, or null outside the base. Only lines within some pool are
+    looked at in windows, so a window holds no more lines of a date than the largest pools have.
+    """
+    by = list(by)
+    worth = F.col(float_cap) if float_cap else F.col(cap)
+    inside = F.coalesce(F.col(base), F.lit(False)) if base else F.lit(True)
+    x = univ.withColumn("_worth", F.when(inside, F.coalesce(worth, F.lit(0.0))).otherwise(0.0))
+    x = running_by_rank(x, by, "_worth", key).withColumnRenamed("rank", "cap_rank").drop("n")
+    x = stored(running_by_rank(x, by, liquidity, key).withColumnRenamed("rank", "vol_rank").drop("n", "_worth"))
+    most_cap, most_vol = max(c or 0 for _, _, c, _ in stages), max(v for *_, v in stages)
+    near = (F.col("cap_rank") <= most_cap) | (F.col("vol_rank") <= most_vol)
+    pool = x.where(near).select(*by, key, "cap_rank", "vol_rank").withColumn("sub_index", F.lit(None).cast("string"))
+    for name, n, caps, volumes in stages:
+        free = F.col("sub_index").isNull() & (F.col("vol_rank") <= volumes)
+        both = free & (F.col("cap_rank") <= caps) if caps else free
+        first = F.row_number().over(W.partitionBy(*by, "_both").orderBy("cap_rank", key))
+        pool = pool.withColumn("_both", both).withColumn("_take", F.col("_both") & (first <= n))
+        pool = pool.withColumn("_short", F.lit(n) - F.sum(F.col("_take").cast("int")).over(W.partitionBy(*by)))
+        pool = pool.withColumn("_alt", free & ~F.col("_take"))
+        second = F.row_number().over(W.partitionBy(*by, "_alt").orderBy("vol_rank", key))
+        pool = pool.withColumn("_take", F.col("_take") | (F.col("_alt") & (second <= F.col("_short"))))
+        pool = pool.withColumn("sub_index", F.when(F.col("_take"), F.lit(name)).otherwise(F.col("sub_index"))).drop("_both", "_take", "_short", "_alt")
+    out = x.join(pool.select(*by, key, "sub_index"), [*by, key], "left")
+    return out.withColumn("sub_index", F.coalesce("sub_index", F.when(inside, F.lit("small"))))
+
+
 def annual_dividends(div: DataFrame, key: str, on_date, dt: str = "ex_dt", amount: str = "amount") -> DataFrame:
     """Dividends of the last year with fuzzy periodicity.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from configparser import ConfigParser
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -47,6 +48,39 @@ def choose(bulk: Sequence[DataFrame], keys: Sequence[str], value: str, logic: st
     return g.agg((F.max if logic == "max" else F.min)(value).alias(value))
 
 
+def configured(text: str, sources: Registry, tables: Mapping[str, DataFrame], sections: Sequence[str] | None = None) -> DataFrame:
+    """Values chosen as an INI text says, one section an item: section, keys, value.
+
+    A section names its ``sources`` (comma-separated names of the registry, each with a table and parameters as
+    ``name:table:key=value:...``), the ``keys`` and the ``value`` column, and the ``logic`` of ``choose``. A section
+    without one of these, an unknown source, table or logic is an error; ``[DEFAULT]`` holds what all share.
+    """
+    parser = ConfigParser()
+    parser.read_string(text)
+    out = None
+    for section in sections or parser.sections():
+        if not parser.has_section(section):
+            raise KeyError(f"no section {section}")
+        s = parser[section]
+        missing = [o for o in ("sources", "keys", "value", "logic") if not s.get(o)]
+        if missing:
+            raise KeyError(f"section {section} has no {', '.join(missing)}")
+        if s["logic"] not in ("first", "max", "min", "agree"):
+            raise KeyError(f"section {section}: unknown logic {s['logic']}")
+        keys = [k.strip() for k in s["keys"].split(",")]
+        bulk = []
+        for entry in s["sources"].split(","):
+            name, table, *params = entry.strip().split(":")
+            if name not in sources.entries or table not in tables:
+                raise KeyError(f"section {section}: unknown source {entry.strip()}")
+            bulk.append(sources.build(name, tables[table], **dict(p.split("=", 1) for p in params)))
+        x = choose(bulk, keys, s["value"], s["logic"]).select(F.lit(section).alias("section"), *keys, F.col(s["value"]).alias("value"))
+        out = x if out is None else out.unionByName(x)
+    if out is None:
+        raise KeyError("no sections")
+    return out
+
+
 # Windows in steps of each return family; the catalogue is their product.
 FAMILIES: dict[str, list[int]] = {"momentum": [1, 6, 12], "hist_vol": [6, 12, 24], "high_low": [6, 12], "turnover": [3, 12], "amihud": [12]}
 

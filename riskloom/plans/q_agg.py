@@ -192,6 +192,29 @@ def _(v):
     return out.select("asset_id", "dt", "liq_rank", F.col("cap_rank").cast("double").alias("cap_rank"), "sub_index")
 
 
+#: Name, members, cap pool and volume pool of each stage, scaled to the small market of the panel.
+STAGES = [("core", 4, None, 12), ("core", 4, 10, 12), ("large", 10, 20, 30), ("mid", 25, 45, 60), ("broad", 15, 70, 70)]
+
+
+def _stages_sql() -> str:
+    out = ["""b AS (SELECT asset_id, dt, asset_id % 11 <> 0 AS base, CASE WHEN asset_id % 11 <> 0 THEN mcap * (1 + asset_id % 3) ELSE 0 END AS worth, volume FROM panel),
+s0 AS (SELECT asset_id, dt, base, ROW_NUMBER() OVER (PARTITION BY dt ORDER BY worth DESC, asset_id) AS c, ROW_NUMBER() OVER (PARTITION BY dt ORDER BY volume DESC, asset_id) AS v, CAST(NULL AS VARCHAR) AS s FROM b)"""]
+    for i, (name, n, caps, volumes) in enumerate(STAGES):
+        free = f"s IS NULL AND v <= {volumes}"
+        both = free + (f" AND c <= {caps}" if caps else "")
+        out.append(f"t{i} AS (SELECT *, {both} AS e, ({both}) AND ROW_NUMBER() OVER (PARTITION BY dt, {both} ORDER BY c) <= {n} AS take FROM s{i})")
+        out.append(f"u{i} AS (SELECT *, {n} - SUM(CAST(take AS INT)) OVER (PARTITION BY dt) AS short, {free} AND NOT take AS alt FROM t{i})")
+        out.append(f"s{i + 1} AS (SELECT asset_id, dt, base, c, v, CASE WHEN take OR (alt AND ROW_NUMBER() OVER (PARTITION BY dt, alt ORDER BY v) <= short) THEN '{name}' ELSE s END AS s FROM u{i})")
+    return "WITH " + ",\n".join(out) + f" SELECT asset_id, dt, c AS cap_rank, v AS vol_rank, COALESCE(s, CASE WHEN base THEN 'small' END) AS sub_index FROM s{len(STAGES)}"
+
+
+@query("agg17_subindexes", "panel", _stages_sql())
+def _(v):
+    x = v.panel.select("asset_id", "dt", "mcap", "volume", (F.col("asset_id") % 11 != 0).alias("base"), (F.col("mcap") * (1 + F.col("asset_id") % 3)).alias("float_cap"))
+    out = ag.replicate_subindexes(x, ["dt"], "asset_id", "mcap", "volume", STAGES, "base", "float_cap")
+    return out.select("asset_id", "dt", "cap_rank", "vol_rank", "sub_index")
+
+
 @query("agg18_annual_dividends", "", """
 WITH x AS (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS d, SUM(o_totalprice) AS a FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1998-06-30' AND CAST(o_orderdate AS DATE) >= DATE '1998-06-30' - 440 GROUP BY 1, 2),
 l AS (SELECT id, MAX(d) AS last FROM x GROUP BY id),

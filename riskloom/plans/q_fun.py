@@ -353,6 +353,37 @@ def _(v):
     return ct.choose([src("1-URGENT"), src("2-HIGH")], ["asset_id", "dt"], "value", "max")
 
 
+CONFIG = """
+[DEFAULT]
+keys = asset_id, dt
+value = value
+
+[urgent-first]
+sources = item:items:item=1-URGENT, item:items:item=2-HIGH, item:items:item=5-LOW
+logic = first
+
+[both-agree]
+sources = item:items:item=1-URGENT, scaled:items:item=1-URGENT:by=1
+logic = agree
+
+[least]
+sources = item:items:item=3-MEDIUM, scaled:items:item=2-HIGH:by=0.5
+logic = min
+"""
+
+
+@query("udx02_configured", "items", """
+WITH u AS (SELECT asset_id, dt, MAX(CASE WHEN item = '1-URGENT' THEN value END) AS u, MAX(CASE WHEN item = '2-HIGH' THEN value END) AS h, MAX(CASE WHEN item = '5-LOW' THEN value END) AS l, MAX(CASE WHEN item = '3-MEDIUM' THEN value END) AS m FROM items GROUP BY 1, 2)
+SELECT 'urgent-first' AS section, asset_id, dt, COALESCE(u, h, l) AS value FROM u WHERE COALESCE(u, h, l) IS NOT NULL UNION ALL SELECT 'both-agree', asset_id, dt, u FROM u WHERE u IS NOT NULL
+UNION ALL SELECT 'least', asset_id, dt, LEAST(m, h * 0.5) FROM u WHERE COALESCE(m, h) IS NOT NULL""")
+def _(v):
+    reg = ct.Registry()
+    of = lambda d, p: d.where(F.col("item") == p["item"]).select("asset_id", "dt", "value")
+    reg.register("item", of)
+    reg.register("scaled", lambda d, p: of(d, p).withColumn("value", F.col("value") * float(p["by"])), by="2")
+    return ct.configured(CONFIG, reg, {"items": v.items})
+
+
 @query("udx03_expression", "panel", "SELECT asset_id, dt, ROUND(GREATEST(exp(-(volume * 0.001::DOUBLE)), cos(price) + 0.5::DOUBLE), 6) AS value FROM panel")
 def _(v):
     nodes = {1: ("max", 2, 6), 2: ("exp", 3), 3: ("uminus", 4), 4: ("times", 5, 10), 5: ("var", "t"), 10: ("const", 0.001), 6: ("plus", 7, 9), 7: ("cos", 8), 8: ("var", "tau"), 9: ("const", 0.5)}
