@@ -4,8 +4,8 @@ A block is a list of nodes that may link. Each list has a centre under each of a
 node is first paired with one centre an order, the first of all its lists' centres, so mostly one node for
 a whole group. Pairs that the bound lets through are checked, those of later orders only between nodes
 that are not connected yet. In a last round an R-tree over a list's points gives every pair that the bound
-lets through and whose ends are still apart. No link that would join two components is lost, and a large
-group of copies costs a few pairs a node.
+lets through and whose ends are still apart; it is checked on the sets in the same task, which gives out links
+that join components and no pairs. No such link is lost, and a large group of copies costs a few pairs a node.
 """
 
 from __future__ import annotations
@@ -19,15 +19,15 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import Scratch, mix, shingle_sets, slices
 from riskloom.llm.components import components
-from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded
+from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded, point
 
 U = np.uint64
 #: Orders of the nodes that give centres, and rows held before only each node's first centre is kept.
 CENTRES, KEPT = 3, 1 << 20
 #: Rows of lists with one smallest node that a task of the last round takes together; more are dealt by list.
-TOGETHER = 20_000
-#: Counts in the matrix of one list's tree, as a power of two, and pairs gathered before they are told.
-MATRIX_BITS, HELD = 20, 250_000
+TOGETHER = 8_000
+#: Counts in the matrix of one list's tree, as a power of two.
+MATRIX_BITS = 20
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -55,13 +55,6 @@ def _edges(key: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
 
 
-def _emit(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if a:
-        x, y = np.concatenate(a), np.concatenate(b)
-        both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=PAIR)
-
-
 CENTRE = pa.schema([("node", pa.int64()), ("turn", pa.int32()), ("rank", pa.int64()), ("centre", pa.int64())])
 
 
@@ -113,25 +106,82 @@ def _bounded(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], schema=PAIR).filter(pa.array(ok))
 
 
-def _cross_pairs(batches):
-    """Pairs of unconnected nodes of each list that the bound lets through. Lists with much the same nodes
-    come one after another, so a pair is told once for many of them."""
-    a, b, held = [], [], 0
-    for t in _whole_lists(slices(batches, 1024), ["list", "node", "point", "root"]):
-        key, node, root = (t.column(c).to_numpy() for c in ("list", "node", "root"))
-        at = Points(t.column("point").to_pylist())
-        edge = _edges(key)
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets link."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return 7 * int((both[1:] == both[:-1]).sum()) >= 3 * (len(x) + len(y))
+
+
+class _Seen:
+    """Pairs of a group that were compared: a bitmap for groups of some thousand nodes, else a set."""
+
+    def __init__(self, n: int):
+        self.n = n
+        self.map = np.zeros(n * n, bool) if n <= 4096 else None
+        self.codes: set[int] = set()
+
+    def fresh(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        code = np.minimum(i, j) * self.n + np.maximum(i, j)
+        if self.map is not None:
+            new = ~self.map[code]
+            self.map[code] = True
+            return new
+        new = np.array([c not in self.codes for c in code.tolist()], bool)
+        self.codes.update(code[new].tolist())
+        return new
+
+
+def _cross_links(batches):
+    """Links between components of each group of lists (group, node, root, lists, shingles): pairs of a list that the
+    bound lets through are compared, unless an earlier link of the group has joined their components."""
+    for t in _whole_lists(slices(batches, 256), ["list", "node", "root", "lists", "shingles"]):
+        group, lists = t.column("list").to_numpy(), t.column("lists").combine_chunks()
+        edge = _edges(group)
         for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            bits = max(FEWEST, min(int(at.bits[s:e].min()), MATRIX_BITS - (e - s).bit_length()))
-            for i, j in CountTree(at.rows(np.arange(s, e), bits), root[s:e]).pairs():
-                ok = at.may_link(s + i, s + j)
-                a.append(node[s + i[ok]])
-                b.append(node[s + j[ok]])
-                held += int(ok.sum())
-            if held > HELD:
-                yield from _emit(a, b)
-                a, b, held = [], [], 0
-    yield from _emit(a, b)
+            part = t.slice(s, e - s)
+            node, root = part.column("node").to_numpy(), part.column("root").to_numpy()
+            sets = [np.frombuffer(x, U) for x in part.column("shingles").to_pylist()]
+            at = Points([point(x) for x in sets])
+            mine = lists.slice(s, e - s)
+            name, who = mine.flatten().to_numpy(), np.repeat(np.arange(e - s), mine.value_lengths().to_numpy())
+            order = np.lexsort((who, name))
+            name, who = name[order], who[order]
+            kinds, kind = np.unique(root, return_inverse=True)
+            top = list(range(len(kinds)))
+
+            def find(k, top=top):
+                while top[k] != k:
+                    top[k] = top[top[k]]
+                    k = top[k]
+                return k
+
+            seen, a, b = _Seen(e - s), [], []
+            run = _edges(name)
+            for x, y in zip(run[:-1].tolist(), run[1:].tolist(), strict=True):
+                rows = who[x:y]
+                now = np.array([find(k) for k in kind[rows].tolist()])
+                if (now == now[0]).all():
+                    continue
+                bits = max(FEWEST, min(int(at.bits[rows].min()), MATRIX_BITS - (y - x).bit_length()))
+                for i, j in CountTree(at.rows(rows, bits), now).pairs():
+                    i, j = rows[i], rows[j]
+                    new = seen.fresh(i, j)
+                    i, j = i[new], j[new]
+                    ok = at.may_link(i, j)
+                    for p, q in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
+                        u, v = find(kind[p]), find(kind[q])
+                        if u != v and _alike(sets[p], sets[q]):
+                            top[u] = v
+                            a.append(node[p])
+                            b.append(node[q])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=PAIR)
+
+
+def _as_sets(batches):
+    for b in slices(batches, 256):
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1))], pa.binary())], names=["node", "shingles"])
 
 
 def _checked(batches):
@@ -186,10 +236,10 @@ def connect(lists: DataFrame, at: DataFrame, texts: Callable[[DataFrame], DataFr
     # lists with much the same nodes share the smallest one; many of them are dealt to several tasks
     share = mixed.groupBy("home").agg(F.ceil(F.sum("n") / TOGETHER).alias("tasks"))
     dealt = mixed.join(share, "home").select("list", "home", F.pmod(F.xxhash64("list"), F.col("tasks")).alias("task"))
-    rest = rooted.join(dealt, "list").join(at, "node").select("home", "task", "list", "node", "point", "root")
-    rest = rest.repartition("home", "task").sortWithinPartitions("home", "task", "list", "node").drop("home", "task")
-    last = rest.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-    last = scratch.keep(last.join(pairs, ["a", "b"], "left_anti"))
-    if last.isEmpty():
-        return roots
-    return components(links.union(check(last, texts, scratch)), scratch)
+    # a node comes once for all its lists of a task
+    rest = rooted.join(dealt, "list").groupBy("home", "task", "node").agg(F.collect_list("list").alias("lists"), F.max("root").alias("root"))
+    rest = scratch.keep(rest)
+    sets = scratch.keep(texts(rest.select("node").distinct()).select("node", "text").mapInArrow(_as_sets, "node bigint, shingles binary"))
+    rest = rest.join(sets, "node").select(F.xxhash64("home", "task").alias("list"), "node", "root", "lists", "shingles")
+    last = scratch.keep(rest.repartition("list").sortWithinPartitions("list", "node").mapInArrow(_cross_links, "a bigint, b bigint").distinct())
+    return roots if last.isEmpty() else components(links.union(last), scratch)

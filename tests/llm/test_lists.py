@@ -1,5 +1,6 @@
 """Lists of nodes that cross the borders of Arrow batches."""
 
+import brute
 import numpy as np
 import pyarrow as pa
 
@@ -76,3 +77,18 @@ def test_join_with_batches_of_three_rows(spark, scratch):
     for i, r in enumerate(root):
         want.setdefault(r, set()).add(i)
     assert sorted(map(sorted, whole.values())) == sorted(map(sorted, want.values()))
+
+
+def test_one_large_group_in_several_tasks(spark, scratch, monkeypatch):
+    """Chains of edits, so that many pairs lie about the threshold and links are found in the last round."""
+    monkeypatch.setattr(near, "TOGETHER", 60)
+    rng = np.random.default_rng(8)
+    group = [[f"w{i}" for i in range(90)]]
+    for k in range(220):
+        copy = list(group[int(rng.integers(0, len(group)))])
+        for i in rng.integers(0, 90, int(rng.integers(0, 8))).tolist():
+            copy[i] = f"v{k}x{i}"
+        group.append(copy)
+    data = list(enumerate(" ".join(w) for w in group))
+    got = ngram_join.link(spark.createDataFrame(data, "doc_id long, text string").repartition(3), scratch)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == sorted(brute.components(data))
