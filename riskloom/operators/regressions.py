@@ -449,13 +449,15 @@ def reduced_rank(df: DataFrame, xs: Sequence[str], ys: Sequence[str], rank: int)
 def cointegration(ret: DataFrame, lines: DataFrame, key: str, issuer: str, step: str, lags: int = 2, low: float = 0.67, high: float = 1.5) -> DataFrame:
     """Each line of an issuer against its master line.
 
-    Log prices start from 1. Regression through the origin with the coefficient clipped;
+    Log prices start from 1; a return without a logarithm (-1 or less, or not finite) counts as missing, which
+    leaves the price as it was. Regression through the origin with the coefficient clipped;
     Dickey-Fuller t and rejection level of the error, and the variance of its differences.
     ``lines``: key, issuer, master. Lines meet their master only, never each other, so the
     work grows with the number of lines. A group is one pair's dated history.
     """
     w = W.partitionBy(key).orderBy(step).rowsBetween(W.unboundedPreceding, 0)
-    px = ret.select(key, step, F.sum(F.log1p(F.coalesce(F.col("ret"), F.lit(0.0)))).over(w).alias("lp"))
+    r = F.col("ret")
+    px = ret.select(key, step, F.sum(F.when((r > -1) & (r < float("inf")), F.log1p(r)).otherwise(0.0)).over(w).alias("lp"))
     mine = px.join(lines.where(F.col(key) != F.col("master")).select(key, issuer, "master"), key)
     m = px.select(F.col(key).alias("master"), step, F.col("lp").alias("mlp"))
     j = mine.join(m, ["master", step])

@@ -292,6 +292,16 @@ def test_cointegrated_line_is_stationary(spark, rng):
     assert set(out.index) == {1, 2} and out.loc[1, "adf_t"] < out.loc[2, "adf_t"]
 
 
+@pytest.mark.parametrize("bad", [-1.0, -1.5, float("inf"), float("nan"), None])
+def test_cointegration_takes_returns_without_a_logarithm_as_missing(spark, rng, bad):
+    n = 60
+    r = rng.normal(size=(2, n)) * 0.02
+    rows = lambda first: [(i, t, first if i == 1 and t == 0 else float(r[i, t])) for i in range(2) for t in range(n)]
+    lines = frame(spark, id=[0, 1], issuer=[9, 9], master=[0, 0])
+    got, want = (rg.cointegration(spark.createDataFrame(rows(x), "id long, t long, ret double"), lines, "id", "issuer", "t").collect() for x in (bad, 0.0))
+    assert got == want and got[0].adf_t is not None
+
+
 # --- components ---------------------------------------------------------------------------
 
 
