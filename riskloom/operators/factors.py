@@ -246,8 +246,7 @@ def subspace_components(returns: DataFrame, key: str, dt: str, ret: str, k: int,
 
     def load(batches):
         for b in batches:
-            at, x = b.column(1).to_pylist(), b.column(2).to_pylist()
-            rows = np.array([shared.value[i].T @ np.asarray(r) for i, r in zip(at, x)]).reshape(len(at), k)
+            rows = np.array([shared.value[i].T @ r for i, r in _histories(b.column(1), b.column(2))]).reshape(b.num_rows, k)
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(rows[:, j]) for j in range(k)]], names=[key, *names])
 
     exp = hist.select(key, "_at", "_x").mapInArrow(load, f"`{key}` {kt}, " + ", ".join(f"{n} double" for n in names))
@@ -255,6 +254,14 @@ def subspace_components(returns: DataFrame, key: str, dt: str, ret: str, k: int,
     return f, exp, spark.createDataFrame([(share, converged, passes)], "explained double, converged boolean, n_passes int")
 
 
+def _histories(at: pa.ListArray, x: pa.ListArray):
+    """Places and values of one asset after another, as views of the batch's own memory."""
+    i, r = at.values.to_numpy(zero_copy_only=False), x.values.to_numpy(zero_copy_only=False)
+    ends, xends = at.offsets.to_numpy(), x.offsets.to_numpy()
+    for n in range(len(at)):
+        yield i[ends[n] : ends[n + 1]], r[xends[n] : xends[n + 1]]
+
+
 def _gram_times(hist: DataFrame, q: np.ndarray) -> np.ndarray:
     """R' (R q) for histories (_at, _x): one partial table of dates x directions a task, summed by date."""
     shared = hist.sparkSession.sparkContext.broadcast(q)
@@ -262,8 +269,7 @@ def _gram_times(hist: DataFrame, q: np.ndarray) -> np.ndarray:
     def run(batches):
         out, any_ = np.zeros(shared.value.shape), False
         for b in batches:
-            for at, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                r = np.asarray(x)
+            for at, r in _histories(b.column(0), b.column(1)):
                 rows = shared.value[at]
                 out[at] += np.outer(r, r @ rows)
                 any_ = True
