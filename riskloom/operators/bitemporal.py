@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 from riskloom.functions.columns import div
+from riskloom.session import spread
 from riskloom.sources.manifest import CommittedTable
 
 OPEN_END = "9999-12-31"
@@ -182,7 +183,7 @@ def merge_intervals(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     holds at most one row per day.
     """
     keys = list(keys)
-    d = df.groupBy(*keys, "from_dt").agg(F.max("thru_dt").alias("thru_dt"))
+    d = spread(df.groupBy(*keys, "from_dt").agg(F.max("thru_dt").alias("thru_dt")), keys)
     w = W.partitionBy(*keys).orderBy("from_dt")
     d = d.withColumn("_reach", F.max("thru_dt").over(w.rowsBetween(W.unboundedPreceding, -1)))
     d = d.withColumn("_new", F.when(F.col("_reach").isNull() | (F.col("from_dt") > F.col("_reach")), 1).otherwise(0))

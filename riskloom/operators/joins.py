@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from riskloom.operators.bitemporal import merge_intervals, overlap_join, valid_on
 from riskloom.operators.graph import components, roots
-from riskloom.session import stored
+from riskloom.session import spread, stored
 
 
 def rmg_map(univ: DataFrame, listings: DataFrame, key: str, dt: str = "dt") -> DataFrame:
@@ -423,12 +423,13 @@ def subtract_intervals(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataF
     so a window holds at most one row per day.
     """
     keys = list(keys)
-    ev = None
-    for df, col in ((a, "_a"), (b, "_b")):
-        for end, step in (("from_dt", 1), ("thru_dt", -1)):
-            e = df.select(*keys, F.col(end).alias("at"), F.lit(step if col == "_a" else 0).alias("_a"), F.lit(step if col == "_b" else 0).alias("_b"))
-            ev = e if ev is None else ev.unionByName(e)
-    ev = ev.groupBy(*keys, "at").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+
+    def ends(df: DataFrame, on_a: int, on_b: int) -> DataFrame:
+        end = lambda c, s: F.struct(F.col(c).alias("at"), F.lit(s * on_a).alias("_a"), F.lit(s * on_b).alias("_b"))
+        return df.select(*keys, F.inline(F.array(end("from_dt", 1), end("thru_dt", -1))))
+
+    ev = ends(a, 1, 0).unionByName(ends(b, 0, 1))
+    ev = spread(ev.groupBy(*keys, "at").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")), keys)
     w = W.partitionBy(*keys).orderBy("at")
     run = w.rowsBetween(W.unboundedPreceding, 0)
     s = ev.select(*keys, F.col("at").alias("from_dt"), F.lead("at").over(w).alias("thru_dt"), F.sum("_a").over(run).alias("_a"), F.sum("_b").over(run).alias("_b"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import bitemporal as bt, joins as jn
 from riskloom.plans.registry import query
+from riskloom.session import spread
 
 
 def day(text: str):
@@ -291,7 +292,7 @@ x AS (SELECT id, model, f, LEAST(t, DATE '1998-01-01') AS t FROM m WHERE f < DAT
 SELECT id, model, f AS from_dt, t AS thru_dt FROM x WHERE f < t""")
 def _(v):
     home = v.customer.select(F.col("c_custkey").alias("id"), F.when(F.col("c_nationkey") < 12, "east").otherwise("west").alias("model"))
-    iss = v.validity.where("status <> 'P'").select("id", "from_dt", "thru_dt").join(home, "id")
+    iss = spread(v.validity.where("status <> 'P'").select("id", "from_dt", "thru_dt"), ["id"]).join(home, "id")
     rules = v.spark.createDataFrame([("east", "1900-01-01"), ("west", "1900-01-01")], "model string, f string").select("model", F.col("f").cast("date").alias("from_dt"), day(bt.OPEN_END).alias("thru_dt"))
     excl = iss.select("id", "model").distinct().withColumn("from_dt", day("1998-01-01")).withColumn("thru_dt", day("1999-01-01"))
     return jn.coverage(iss, rules, "id", ["model"], excl)

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +77,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as ``spark.sql.shuffle.partitions`` says.
+
+    Adaptive execution joins small partitions to few, by the size of what is shuffled; where a stage then sorts
+    the same rows several times, each of these tasks holds all its sorts. A number given here stays.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet under the shared folder and read it back.
 
