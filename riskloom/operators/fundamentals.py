@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.operators.bitemporal import newest
 from riskloom.functions.columns import div
+from riskloom.session import spread
 
 
 def quarter_index(dt: str) -> Column:
@@ -151,14 +152,14 @@ def growth(annual: DataFrame, as_of, key: str = "asset_id", dt: str = "dt", valu
     values; variability takes the sample deviation instead of the slope.
     """
     d = F.lit(as_of).cast("date")
-    x = annual.where((F.col(dt) <= d) & F.col(value).isNotNull()).select(key, dt, F.col(value).alias("_v"))
+    x = spread(annual.where((F.col(dt) <= d) & F.col(value).isNotNull()).select(key, dt, F.col(value).alias("_v")), [key])
     last = x.groupBy(key).agg(F.max(dt).alias("_last"))
     x = x.join(last, key).where(F.datediff("_last", dt) / 365.0 <= years)
     # distinct values without a set: bounded history, at most six rows a key
     n = x.groupBy(key).agg(F.count_distinct("_v").alias("_n")).where(F.col("_n") > (4 if variability else 2))
     x = x.join(n, key).select(key, dt, "_v")
     if forecasts is not None:
-        f = forecasts.select(key, F.col("dt").alias("_fd"), F.col("value").alias("_fv")).join(last, key)
+        f = spread(forecasts.select(key, F.col("dt").alias("_fd"), F.col("value").alias("_fv")), [key]).join(last, key)
         near = F.abs(F.datediff("_fd", F.date_add("_last", 366)))
         f = f.groupBy(key, "_last").agg(F.min_by(F.struct("_fd", "_fv"), F.struct(near, F.col("_fd"))).alias("_f"))
         f = f.where((F.col("_f._fd") > F.col("_last")) & (F.col("_f._fd") < F.date_add("_last", 400)))
