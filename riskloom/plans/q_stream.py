@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.plans.q_base import scratch
 from riskloom.plans.registry import query
+from riskloom.session import spread
 from riskloom.streaming import incremental as inc
 
 
@@ -23,9 +24,10 @@ def _(v):
 SELECT id, dt, rev_dt, line, part, value FROM (
  SELECT *, ROW_NUMBER() OVER (PARTITION BY id, dt ORDER BY rev_dt DESC, line DESC, part DESC, rev_del_flag DESC, value DESC) AS rn FROM revisions) r WHERE rn = 1 AND rev_del_flag = 'N'""")
 def _(v):
-    path = scratch(v, "revisions")
-    v.revisions.repartition(4, "line").write.parquet(path)
-    s = inc.read_stream(v.spark, path, 2)
+    # the lines of an order arrive in two triggers, in files of a size that does not grow with the tables
+    path, files = scratch(v, "revisions"), spread(v.revisions, ["line", "id"])
+    files.write.parquet(path)
+    s = inc.read_stream(v.spark, path, max(1, int(v.spark.conf.get("spark.sql.shuffle.partitions")) // 2))
     return inc.stream_active(s, ["id", "dt"], "rev_dt", "rev_del_flag").drop("rev_del_flag")
 
 

@@ -71,14 +71,15 @@ class Cumulative(StatefulProcessor):
             new.setdefault(int(s) // BLOCK, {})[int(s)] = 0.0 if pd.isna(r) else float(r)
         out = []
         if new:
-            b0, known = min(new), self.span.get() if self.span.exists() else None
+            b0, known = min(new), self.span.get()
             first, last, version = known if known else (b0, b0 - 1, 0)
             version += 1
             begin = min(new[b0])
             cum = self._before(b0, first, last)
             for b in range(b0, max(last, max(new)) + 1):
-                if b <= last and b >= first and self.blocks.containsKey((b,)):
-                    _, _, steps, rets = self.blocks.getValue((b,))
+                old = self.blocks.getValue((b,)) if first <= b <= last else None
+                if old is not None:
+                    _, _, steps, rets = old
                 elif b in new:
                     steps, rets = [], []
                 else:
@@ -88,18 +89,17 @@ class Cumulative(StatefulProcessor):
                 for s in steps:
                     cum *= 1.0 + have[s]
                     if s >= begin:
-                        out.append((key[0], s, cum, version))
+                        out.append((s, cum))
                 self.blocks.updateValue((b,), (before, cum, steps, [have[s] for s in steps]))
             self.span.update((min(first, b0), max(last, max(new)), version))
-        yield pd.DataFrame(out, columns=[id_, step, "cum", "version"])
+            yield pd.DataFrame({id_: [key[0]] * len(out), step: [s for s, _ in out], "cum": [c for _, c in out], "version": [version] * len(out)})
 
     def _before(self, b: int, first: int, last: int) -> float:
         """The cumulative value before block ``b``: of itself, or after the nearest one ahead of it."""
-        if first <= b <= last and self.blocks.containsKey((b,)):
-            return self.blocks.getValue((b,))[0]
-        for a in range(min(b - 1, last), first - 1, -1):
-            if self.blocks.containsKey((a,)):
-                return self.blocks.getValue((a,))[1]
+        for a in range(min(b, last), first - 1, -1):
+            old = self.blocks.getValue((a,))
+            if old is not None:
+                return old[0] if a == b else old[1]
         return 1.0
 
     def close(self) -> None:
