@@ -77,7 +77,9 @@ def huber_cross_section(
     The scale is the MAD of weighted residuals about their median, taken in the first passes and then
     kept (``linalg.huber_solve``), so the fit settles. Keys of up to ``in_task`` rows are fitted in tasks,
     all of them in one job. Larger keys move sums: a pass is one aggregation over the rows of those
-    keys that still move, and only their coefficients are checkpointed. A key that still moves after
+    keys that still move, and only their coefficients are checkpointed. Once the scale stands these are
+    Newton steps on the convex loss, which settle in a few passes; a key that ``NEWTON`` of them do not
+    settle goes on by reweighting, which cannot swing. A key that still moves after
     ``most`` passes keeps its last fit and says so in ``converged``. Keys with fewer rows than columns get
     zeros and count as converged.
     """
@@ -101,9 +103,13 @@ def huber_cross_section(
     return out if by else out.drop("_one")
 
 
+#: Passes of Newton steps before a key of a robust fit goes on by reweighting.
+NEWTON = 20
+
+
 def _huber_by_sums(x: DataFrame, keys: list[str], xs: Sequence[str], k: float, tol: float, intercept: bool, most: int) -> DataFrame:
     fit = cut(wls(x, keys, xs, "_y", "_w", intercept).select(*keys, "n", "coef", F.lit(None).cast("double").alias("scale"), F.lit(False).alias("converged"), F.lit(0).alias("n_passes")))
-    done = fit.where("converged")
+    done, m = fit.where("converged"), len(xs) + int(intercept)
     for i in range(1, most + 1):
         rows = x if i <= linalg.SCALE_PASSES else x.join(fit.select(*keys), keys, "left_semi")  # rows of settled keys are read no more
         e = residuals(rows, fit.select(*keys, "coef"), keys, xs, "_y", intercept, "_e").withColumn("_e", F.sqrt("_w") * F.col("_e"))
@@ -115,7 +121,15 @@ def _huber_by_sums(x: DataFrame, keys: list[str], xs: Sequence[str], k: float, t
             scale = fit.select(*keys, F.col("scale").alias("_s"))
         z = e.join(scale, keys)
         down = F.when(F.col("_s") > 0, F.least(F.lit(1.0), F.lit(k) * F.col("_s") / F.greatest(F.abs("_e"), F.lit(1e-300)))).otherwise(1.0)
-        new = wls(z.withColumn("_w", F.col("_w") * down), keys, xs, "_y", "_w", intercept).select(*keys, F.col("coef").alias("_new"))
+        new = cross_products(z.withColumn("_w", F.col("_w") * down), keys, xs, "_y", "_w", intercept).select(*keys, "xtx", "xty")
+        if linalg.SCALE_PASSES < i <= linalg.SCALE_PASSES + NEWTON:
+            # b + H^-1 (X'Wy - X'WX b), with H of the rows inside the bends
+            bent = z.withColumn("_w", F.when((F.col("_s") > 0) & (F.abs("_e") > F.lit(k) * F.col("_s")), 0.0).otherwise(F.col("_w")))
+            inner = cross_products(bent, keys, xs, None, "_w", intercept).select(*keys, F.col("xtx").alias("_h"))
+            new = new.join(inner, keys).join(fit.select(*keys, "coef"), keys)
+            less = lambda r: sum((F.col("_h")[r * m + c] - F.col("xtx")[r * m + c]) * F.col("coef")[c] for c in range(m))
+            new = new.select(*keys, F.col("_h").alias("xtx"), F.array(*[F.col("xty")[r] + less(r) for r in range(m)]).alias("xty"))
+        new = new.select(*keys, solve_normal("xtx", "xty").alias("_new"))
         both = fit.drop("scale", "converged").join(new, keys).join(scale, keys)
         moved = F.array_max(F.zip_with("coef", "_new", lambda a, b: F.abs(a - b))) > tol * F.greatest(F.lit(1e-12), F.array_max(F.transform("_new", F.abs)))
         settled = (F.col("_s") <= 0) | (F.lit(i > linalg.SCALE_PASSES) & ~moved)
