@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.columns import clip, div
 from riskloom.operators.crossprod import cross_products, dot, solve_normal
 from riskloom.operators.ranks import mad_bounds, percentiles, spread_bounds
-from riskloom.session import stored
+from riskloom.session import spread, stored
 
 
 def _bounds(df: DataFrame, keys: Sequence[str], value: str, n_dev: float, method: str, zero_tolerance: float, history: bool) -> DataFrame:
@@ -148,7 +148,7 @@ def style_composite(long: DataFrame, recipe: DataFrame, keys: Sequence[str], val
 
     ``recipe``: factor, style, weight.
     """
-    j = long.join(recipe, "factor")
+    j = spread(long, keys).join(recipe, "factor")  # a key has a row a factor, so none is hot
     w = F.when(F.col(value).isNotNull(), F.col("weight"))
     return j.groupBy(*keys, "style").agg((div(F.sum(F.col(value) * F.col("weight")), F.sum(w))).alias("value"))
 
