@@ -71,9 +71,31 @@ def least(n: int) -> int:
     return max(3, -(-n // 2))
 
 
-def _beta(d: Descriptor, w: W, fn: Callable) -> Column:
-    y, x = F.col("ret"), F.col(d.against)
-    return F.when(F.regr_count(y, x).over(w) >= least(d.window), fn(y, x).over(w))
+def _fit_parts(d: Descriptor, w: W) -> dict[str, Column]:
+    """What a fit on one factor is made of, over the steps that have return and factor. A window's cost is its
+    functions times its steps, so all fits of one factor and window share these."""
+    whole = F.col("ret").isNotNull() & F.col(d.against).isNotNull()
+    y, x = F.when(whole, F.col("ret")), F.when(whole, F.col(d.against))
+    sums = {"n": F.count(y), "xx": F.var_pop(x), "yy": F.var_pop(y), "yx": F.covar_pop(y, x), "x": F.avg(x), "y": F.avg(y)}
+    return {_fit(d, k): sums[k].over(w) for k in FIT_PARTS[d.family]}
+
+
+def _fit(d: Descriptor, part: str) -> str:
+    return f"_fit_{d.against}_{d.window}_{part}"
+
+
+def _fitted(d: Descriptor) -> Column:
+    """Slope, intercept, correlation or residual deviation from the columns of ``_fit_parts``."""
+    n, xx, yy, yx, x, y = (F.col(_fit(d, k)) for k in ("n", "xx", "yy", "yx", "x", "y"))
+    slope = F.when(xx != 0, yx / xx)
+    value = {
+        "beta": lambda: slope,
+        "sensitivity": lambda: slope,
+        "alpha": lambda: y - slope * x,
+        "correlation": lambda: F.when(xx != 0, F.when(yy == 0, 1.0).otherwise(F.sqrt(yx / xx * (yx / F.nullif(yy, F.lit(0.0)))))),
+        "residual_vol": lambda: F.sqrt(F.greatest(n * yy - F.when(xx != 0, n * yx * yx / xx), F.lit(0.0)) / F.when(n > 2, n - 2)),
+    }[d.family]()
+    return F.when(n >= least(d.window), value)
 
 
 def _net_parts(d: Descriptor, w: W) -> dict[str, Column]:
@@ -91,13 +113,6 @@ def _net(d: Descriptor) -> Column:
     return F.when((n >= least(d.window) + 1) & (det > xx * mm * 1e-6), (yx * mm - ym * xm) / det)
 
 
-def _residual(d: Descriptor, w: W) -> Column:
-    y, x = F.col("ret"), F.col(d.against)
-    n = F.regr_count(y, x).over(w)
-    left = F.greatest(F.regr_syy(y, x).over(w) - F.regr_sxy(y, x).over(w) ** 2 / F.nullif(F.regr_sxx(y, x).over(w), F.lit(0.0)), F.lit(0.0))
-    return F.when(n >= least(d.window), F.sqrt(left / F.when(n > 2, n - 2)))
-
-
 def _ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0).cast("double"))
 
@@ -116,12 +131,9 @@ FORMS: dict[str, Callable[[Descriptor, W], Column]] = {
     "amihud": lambda d, w: F.avg(_ratio(F.abs("ret"), F.col("volume").cast("double") * F.col("price"))).over(w),
     "traded": lambda d, w: F.count("ret").over(w) / float(d.window),
     "nonzero": lambda d, w: F.sum(F.when(F.col("ret") != 0, 1).otherwise(0)).over(w) / float(d.window),
-    "beta": lambda d, w: _beta(d, w, F.regr_slope),
-    "alpha": lambda d, w: _beta(d, w, F.regr_intercept),
-    "correlation": lambda d, w: F.sqrt(_beta(d, w, F.regr_r2)),
-    "residual_vol": _residual,
-    "sensitivity": lambda d, w: _beta(d, w, F.regr_slope),
-}
+} | {f: lambda d, w: _fitted(d) for f in ("beta", "alpha", "correlation", "residual_vol", "sensitivity")}
+#: Sums that each family of fits on one factor needs.
+FIT_PARTS = {"beta": ["n", "xx", "yx"], "sensitivity": ["n", "xx", "yx"], "alpha": ["n", "xx", "yx", "x", "y"], "correlation": ["n", "xx", "yx", "yy"], "residual_vol": ["n", "xx", "yx", "yy"]}
 
 
 def build(panel: DataFrame, wanted: Sequence[Descriptor], key: str = "asset_id", step: str = "mi") -> DataFrame:
@@ -134,8 +146,9 @@ def build(panel: DataFrame, wanted: Sequence[Descriptor], key: str = "asset_id",
         return W.partitionBy(key).orderBy(step).rangeBetween(1 - d.window, -d.gap)
 
     parts = {k: c for d in wanted if d.net for k, c in _net_parts(d, over(d)).items()}
-    plain = panel.select("*", *[FORMS[d.family](d, over(d)).alias(d.name) for d in wanted if not d.net], *[c.alias(k) for k, c in parts.items()])
-    return plain.select(*panel.columns, *[(_net(d) if d.net else F.col(d.name)).alias(d.name) for d in wanted])
+    parts |= {k: c for d in wanted if d.against and not d.net for k, c in _fit_parts(d, over(d)).items()}
+    plain = panel.select("*", *[FORMS[d.family](d, over(d)).alias(d.name) for d in wanted if not d.against], *[c.alias(k) for k, c in parts.items()])
+    return plain.select(*panel.columns, *[(_net(d) if d.net else FORMS[d.family](d, over(d)) if d.against else F.col(d.name)).alias(d.name) for d in wanted])
 
 
 def table(spark: SparkSession, wanted: Sequence[Descriptor]) -> DataFrame:

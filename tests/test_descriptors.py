@@ -43,3 +43,11 @@ def test_too_few_values_and_no_spread(spark):
     one, two = out.loc[(1, 29)], out.loc[(2, 0)]
     assert pd.isna(one.beta_m_24) and pd.isna(one.sensitivity_s_net_24) and one.sensitivity_s_24 == 0 and pd.isna(one.turnover_12) and pd.isna(one.amihud_12) and pd.isna(one.skewness_12)
     assert pd.isna(two.beta_m_24) and two.momentum_1 == pytest.approx(0.1) and pd.isna(two.high_low_3) and pd.isna(two.mean_return_12)
+
+
+def test_fits_of_one_factor_and_window_share_their_sums(spark):
+    df = spark.createDataFrame([(1, 1, 0.1, 0.2)], "asset_id int, mi int, ret double, m double")
+    wanted = [ds.Descriptor(f"{f}_m_12", f, 12, against="m") for f in ("beta", "alpha", "residual_vol", "correlation")]
+    plan = ds.build(df, wanted)._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Window [" in line)
+    assert window.count("windowspecdefinition(") == 6
