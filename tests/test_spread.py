@@ -5,7 +5,8 @@ import datetime as dt
 import numpy as np
 import pyarrow as pa
 
-from riskloom.operators import bitemporal as bt, factors as fa, fundamentals as fu, joins as jn, quality as ql
+from riskloom.functions import linalg
+from riskloom.operators import bitemporal as bt, factors as fa, fundamentals as fu, joins as jn, quality as ql, regressions as rg
 
 
 def tasks(df):
@@ -44,3 +45,14 @@ def test_histories_are_views_of_a_batch():
     got = list(fa._histories(at, x))
     assert [(i.tolist(), r.tolist()) for i, r in got] == [([0, 2], [1.0, 2.0]), ([], []), ([1], [3.0])]
     assert all(isinstance(i, np.ndarray) and not i.flags.owndata and not r.flags.owndata for i, r in got)
+
+
+def test_large_robust_fits_settle_in_few_passes(spark):
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(2, 800))
+    y = 2 * x + np.where(rng.random(800) < 0.3, 20 * rng.standard_cauchy(800), 0.1 * y)
+    df = spark.createDataFrame([(1, float(a), float(b)) for a, b in zip(x, y)], "k int, x double, y double")
+    fit = rg.huber_cross_section(df, ["k"], ["x"], "y", intercept=True, in_task=0, tol=1e-10).first()
+    assert fit.converged and fit.n_passes <= 9
+    want = linalg.huber_fit(np.column_stack([np.ones(800), x]), y)
+    assert np.allclose(fit.coef, want, atol=1e-7)
