@@ -32,6 +32,39 @@ def folded(blob: bytes, fewer: int = 2) -> bytes:
     return bytes([bits]) + counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
 
 
+def parity(blob: bytes) -> tuple[int, bytes]:
+    """The size of a set, and a bit for every two groups of its point: whether their count is odd."""
+    bits = max(FEWEST, blob[0] - 1)
+    counts = Points([blob]).rows(np.zeros(1, np.int64), bits)[0]
+    return int(counts.sum()), np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def parity_pairs(size: np.ndarray, parities: list[bytes], block: int = 1 << 18):
+    """Arrays (x, y), x < y, of sets that may link: bits that differ are elements that only one of the two has,
+    and sets that link have at most a seventh of their elements so, counted with copies."""
+    width = np.array([len(b) for b in parities], np.int64)
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero((width == w) | (width == 2 * w))  # sizes that differ by more do not link
+        wide = width[rows] > w
+        bits = np.empty((len(rows), w), np.uint8)
+        bits[~wide] = np.frombuffer(b"".join(parities[k] for k in rows[~wide].tolist()), np.uint8).reshape(-1, w)
+        if wide.any():  # neighbouring groups are joined
+            double = np.unpackbits(np.frombuffer(b"".join(parities[k] for k in rows[wide].tolist()), np.uint8)).reshape(-1, 2)
+            bits[wide] = np.packbits(double[:, 0] ^ double[:, 1]).reshape(-1, w)
+        words = bits.view(np.uint32 if w % 8 else np.uint64)
+        n = size[rows]
+        step = max(1, block // (len(rows) * words.shape[1]))
+        for s in range(0, len(rows) - 1, step):
+            e = min(s + step, len(rows))
+            apart = np.bitwise_count(words[s:e, None, :] ^ words[None, s:, :]).sum(axis=2, dtype=np.int64)
+            both = n[s:e, None] + n[None, s:]
+            ok = (OVER * np.maximum(apart, np.abs(n[s:e, None] - n[None, s:])) <= both) & ~(wide[s:e, None] & wide[None, s:])
+            x, y = np.nonzero(ok)
+            inside = x < y
+            if inside.any():
+                yield rows[x[inside] + s], rows[y[inside] + s]
+
+
 class Points:
     """Points as read from their bytes."""
 

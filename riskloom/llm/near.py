@@ -3,9 +3,11 @@
 A block is a list of nodes that may link. Each list has a centre under each of a few orders of the nodes; a
 node is first paired with one centre an order, the first of all its lists' centres, so mostly one node for
 a whole group. Pairs that the bound lets through are checked, those of later orders only between nodes
-that are not connected yet. In a last round an R-tree over a list's points gives every pair that the bound
-lets through and whose ends are still apart. No link that would join two components is lost, and a large
-group of copies costs a few pairs a node.
+that are not connected yet. In a last round the lists that are not connected yet are dealt to tasks, a node
+once for all lists of a task. Parities of the counts, a bit each, tell which nodes have a partner there that
+may link; only those nodes' texts move, and an R-tree over their points gives the pairs, which are compared
+in the task. Tasks give out links between components, never the pairs of a list. No link that would join two
+components is lost, and a large group of copies costs a few pairs a node.
 """
 
 from __future__ import annotations
@@ -19,15 +21,17 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import Scratch, mix, shingle_sets, slices
 from riskloom.llm.components import components
-from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded
+from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded, parity, parity_pairs, point
+from riskloom.llm.minmax import groups
 
 U = np.uint64
 #: Orders of the nodes that give centres, and rows held before only each node's first centre is kept.
 CENTRES, KEPT = 3, 1 << 20
 #: Rows of lists with one smallest node that a task of the last round takes together; more are dealt by list.
-TOGETHER = 20_000
-#: Counts in the matrix of one list's tree, as a power of two, and pairs gathered before they are told.
-MATRIX_BITS, HELD = 20, 250_000
+#: Longer lists than ``TILE`` are dealt by pairs of slabs of about so many nodes.
+TOGETHER, TILE = 4096, 1024
+#: Counts in the matrix of one tree, as a power of two.
+MATRIX_BITS = 20
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -55,13 +59,6 @@ def _edges(key: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
 
 
-def _emit(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if a:
-        x, y = np.concatenate(a), np.concatenate(b)
-        both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=PAIR)
-
-
 CENTRE = pa.schema([("node", pa.int64()), ("turn", pa.int32()), ("rank", pa.int64()), ("centre", pa.int64())])
 
 
@@ -113,25 +110,65 @@ def _bounded(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], schema=PAIR).filter(pa.array(ok))
 
 
-def _cross_pairs(batches):
-    """Pairs of unconnected nodes of each list that the bound lets through. Lists with much the same nodes
-    come one after another, so a pair is told once for many of them."""
-    a, b, held = [], [], 0
-    for t in _whole_lists(slices(batches, 1024), ["list", "node", "point", "root"]):
-        key, node, root = (t.column(c).to_numpy() for c in ("list", "node", "root"))
-        at = Points(t.column("point").to_pylist())
-        edge = _edges(key)
-        for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            bits = max(FEWEST, min(int(at.bits[s:e].min()), MATRIX_BITS - (e - s).bit_length()))
-            for i, j in CountTree(at.rows(np.arange(s, e), bits), root[s:e]).pairs():
-                ok = at.may_link(s + i, s + j)
-                a.append(node[s + i[ok]])
-                b.append(node[s + j[ok]])
-                held += int(ok.sum())
-            if held > HELD:
-                yield from _emit(a, b)
-                a, b, held = [], [], 0
-    yield from _emit(a, b)
+def _parities(batches):
+    """(node, size, parity) of rows (node, point)."""
+    for b in slices(batches, 1024):
+        both = [parity(p) for p in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n for n, _ in both], pa.int64()), pa.array([x for _, x in both], pa.binary())], names=["node", "size", "parity"])
+
+
+#: A tile of the last round: the nodes of some lists with one home, or of two slabs of one list (side 0 and 1).
+TILE_DDL = "home bigint, part int, i int, j int, side int, node bigint, root bigint"
+TILE_KEYS = ["home", "part", "i", "j"]
+
+
+def _across(t: pa.Table) -> np.ndarray:
+    """The side of each row where only pairs of two sides are of interest; on the diagonal none."""
+    return t.column("side").to_numpy() if t.column("i")[0].as_py() != t.column("j")[0].as_py() else np.zeros(0, np.int32)
+
+
+def _candidates(batches):
+    """Of tiles with (size, parity), the rows that have a partner of another root that may link."""
+    names = [x.split()[0] for x in TILE_DDL.split(", ")]
+    for t in groups(batches, len(TILE_KEYS)):
+        root, side = t.column("root").to_numpy(), _across(t)
+        keep = np.zeros(t.num_rows, bool)
+        for x, y in parity_pairs(t.column("size").to_numpy(), t.column("parity").to_pylist()):
+            ok = root[x] != root[y]
+            if len(side):
+                ok &= side[x] != side[y]
+            keep[x[ok]] = True
+            keep[y[ok]] = True
+        if keep.any():
+            yield from t.select(names).filter(pa.array(keep)).to_batches()
+
+
+def _joined(batches):
+    """Links (a, b) of tiles with texts, at most one less than the components that a tile joins."""
+    for t in groups(batches, len(TILE_KEYS)):
+        node, side = t.column("node").to_numpy(), _across(t)
+        _, label = np.unique(t.column("root").to_numpy(), return_inverse=True)
+        sets = list(shingle_sets(t.column("text")))
+        at = Points([point(x) for x in sets])
+        bits = max(FEWEST, min(int(at.bits.min()), MATRIX_BITS - len(sets).bit_length()))
+        a, b = [], []
+        for i, j in CountTree(at.rows(np.arange(len(sets)), bits), label.copy()).pairs():
+            ok = label[i] != label[j]
+            if len(side):
+                ok &= side[i] != side[j]
+            i, j = i[ok], j[ok]
+            ok = at.may_link(i, j)
+            for x, y in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
+                if label[x] != label[y] and _linked(sets[x], sets[y]):
+                    label[label == label[y]] = label[x]
+                    a.append(node[x])
+                    b.append(node[y])
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=PAIR)
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    return 7 * len(np.intersect1d(x, y, assume_unique=True)) >= 3 * (len(x) + len(y))
 
 
 def _checked(batches):
@@ -139,7 +176,7 @@ def _checked(batches):
     for batch in batches:
         for k in range(0, batch.num_rows, 512):
             part = batch.slice(k, 512)
-            ok = [7 * len(np.intersect1d(x, y, assume_unique=True)) >= 3 * (len(x) + len(y)) for x, y in zip(shingle_sets(part.column(2)), shingle_sets(part.column(3)), strict=True)]
+            ok = [_linked(x, y) for x, y in zip(shingle_sets(part.column(2)), shingle_sets(part.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], schema=PAIR).filter(pa.array(ok, pa.bool_()))
 
 
@@ -153,6 +190,16 @@ def check(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Sc
     return scratch.keep(both.mapInArrow(_checked, "a bigint, b bigint"))
 
 
+def _merged(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) after more links: only components that a link joins are looked at again."""
+    top = lambda side: F.coalesce(F.col(f"root_{side}"), F.col(side)).alias(side)
+    for side in ("a", "b"):
+        links = links.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    over = components(links.select(top("a"), top("b")), scratch)
+    known = roots.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return scratch.keep(known.union(over.join(roots, "node", "left_anti").select("node", "root")))
+
+
 def connect(lists: DataFrame, at: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
     """(node, root) of every node with a link. ``lists`` has distinct (list, node); ``at`` has (node, point)."""
     lists = scratch.keep(lists)
@@ -177,19 +224,23 @@ def connect(lists: DataFrame, at: DataFrame, texts: Callable[[DataFrame], DataFr
     apart = apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").join(pairs, ["a", "b"], "left_anti")
     again, more = checked(scratch.keep(apart))
     if not more.isEmpty():
-        pairs, links = pairs.union(again), links.union(more)
-        roots = components(links, scratch)
+        roots = _merged(roots, more, scratch)
     # lists whose nodes are not all connected yet
     rooted = scratch.keep(lists.join(roots, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root")))
     mixed = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("home"), F.count(F.lit(1)).alias("n")).filter("low <> high").select("list", "home", "n")
     mixed = scratch.keep(mixed)
     # lists with much the same nodes share the smallest one; many of them are dealt to several tasks
-    share = mixed.groupBy("home").agg(F.ceil(F.sum("n") / TOGETHER).alias("tasks"))
-    dealt = mixed.join(share, "home").select("list", "home", F.pmod(F.xxhash64("list"), F.col("tasks")).alias("task"))
-    rest = rooted.join(dealt, "list").join(at, "node").select("home", "task", "list", "node", "point", "root")
-    rest = rest.repartition("home", "task").sortWithinPartitions("home", "task", "list", "node").drop("home", "task")
-    last = rest.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-    last = scratch.keep(last.join(pairs, ["a", "b"], "left_anti"))
-    if last.isEmpty():
+    short = mixed.filter(F.col("n") <= TILE)
+    share = short.groupBy("home").agg(F.ceil(F.sum("n") / TOGETHER).alias("tasks"))
+    dealt = short.join(share, "home").select("list", "home", F.pmod(F.xxhash64("list"), F.col("tasks")).cast("int").alias("part"), F.lit(1).alias("slabs"))
+    dealt = dealt.union(mixed.filter(F.col("n") > TILE).select("list", F.col("list").alias("home"), F.lit(-1).alias("part"), F.ceil(F.col("n") / TILE).cast("int").alias("slabs")))
+    # a node meets every slab of its list: once as the lower and once as the upper side of a tile
+    rows = rooted.join(dealt, "list").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("slabs")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("slabs") - 1)))
+    rows = rows.select("home", "part", F.least("mine", "o").alias("i"), F.greatest("mine", "o").alias("j"), (F.col("mine") > F.col("o")).cast("int").alias("side"), "node", "root").distinct()
+    tiles = rows.join(at.select("node", "point").mapInArrow(_parities, "node bigint, size bigint, parity binary"), "node").select(*TILE_KEYS, "side", "node", "root", "size", "parity")
+    wanted = scratch.keep(tiles.repartition(*TILE_KEYS).sortWithinPartitions(*TILE_KEYS, "node").mapInArrow(_candidates, TILE_DDL))
+    if wanted.isEmpty():
         return roots
-    return components(links.union(check(last, texts, scratch)), scratch)
+    full = wanted.join(texts(wanted.select("node").distinct()), "node").select(*TILE_KEYS, "side", "node", "root", "text")
+    last = scratch.keep(full.repartition(*TILE_KEYS).sortWithinPartitions(*TILE_KEYS, "node").mapInArrow(_joined, "a bigint, b bigint"))
+    return roots if last.isEmpty() else _merged(roots, last, scratch)
