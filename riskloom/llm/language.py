@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import slices
+from riskloom.llm.word_tokens import in_groups
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -27,7 +28,11 @@ ORDERS = (5, 4, 3, 2, 1)
 SAMPLE, LEAST, MOST = 3000, 3, 120_000
 #: Words that a Python worker keeps with their scores.
 KEPT = 120_000
+#: Characters of the texts whose new words are scored together.
+TOGETHER = 1 << 20
 SMOOTHING = 0.5
+#: N-grams of a word up to which those of many words are added together.
+MOST_ADDED = 40
 
 
 def held_out() -> Column:
@@ -80,15 +85,44 @@ class Model:
 
     def word(self, word: str) -> np.ndarray:
         """Log score of one lower-case word in every language."""
-        known = self.rows.get(0, {}).get(word)
-        if known is not None:
-            return self.logs[0][known]
+        return self.words([word])[0]
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log scores of lower-case words, a row each, in every language."""
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        get = self.rows.get(0, {}).get
+        at = np.array([get(w, -1) for w in words], np.int64)
+        if (at >= 0).any():
+            out[at >= 0] = self.logs[0][at[at >= 0]]
+        left = np.flatnonzero(at < 0).tolist()
         for n in ORDERS:
-            table = self.rows.get(n, {})
-            hits = [table[g] for g in _grams(word, n) if g in table]
-            if hits:
-                return self.logs[n][hits].mean(axis=0)
-        return np.zeros(len(self.languages), np.float32)
+            get = self.rows.get(n, {}).get
+            mine, rest, hits, size = [], [], [], []
+            for i in left:
+                found = [k for k in map(get, _grams(words[i], n)) if k is not None]
+                if found:
+                    mine.append(i)
+                    hits += found
+                    size.append(len(found))
+                else:
+                    rest.append(i)
+            if mine:
+                out[mine] = _means(self.logs[n], np.array(hits), np.array(size))
+            left = rest
+        return out
+
+
+def _means(logs: np.ndarray, hits: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The mean of the rows of each stretch of ``hits``, added up in order."""
+    start = np.cumsum(size) - size
+    total = logs[hits[start]]
+    for k in range(1, min(int(size.max()), MOST_ADDED)):
+        more = np.flatnonzero(size > k)
+        total[more] += logs[hits[start[more] + k]]
+    total /= size[:, None].astype(np.float32)
+    for i in np.flatnonzero(size > MOST_ADDED).tolist():
+        total[i] = logs[hits[start[i] : start[i] + size[i]]].mean(axis=0)
+    return total
 
 
 class Predictor:
@@ -98,23 +132,31 @@ class Predictor:
         self.model, self.at = model, {}
         self.scores = np.zeros((1024, len(model.languages)), np.float32)
 
-    def _row(self, word: str) -> int:
-        k = len(self.at)
-        if k == len(self.scores):
-            self.scores = np.vstack([self.scores, np.zeros_like(self.scores)])
-        self.scores[k] = self.model.word(word)
-        self.at[word] = k
-        return k
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = WORD.findall((text or "").lower())
+    def _learn(self, words: list[str]) -> None:
+        k, end = len(self.at), len(self.at) + len(words)
+        if end > len(self.scores):
+            self.scores = np.vstack([self.scores, np.zeros((max(end, 2 * len(self.scores)) - len(self.scores), self.scores.shape[1]), np.float32)])
+        self.scores[k:end] = self.model.words(words)
+        self.at.update(zip(words, range(k, end), strict=True))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text; all new words of some texts are scored together."""
+        out = []
+        for i, j in in_groups(texts, TOGETHER):
+            split = [WORD.findall((t or "").lower()) for t in texts[i:j]]
+            if len(self.at) > KEPT:
+                self.at.clear()
+            at = self.at
+            new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in at]
+            if new and self.model.languages:
+                self._learn(new)
+            out += [self._score(words) for words in split]
+        return out
+
+    def _score(self, words: list[str]) -> tuple[str, float]:
         if not any(c.isalpha() for w in words for c in w) or not self.model.languages:
             return UNKNOWN, 0.0
-        if len(self.at) > KEPT:
-            self.at.clear()
-        at = self.at
-        rows = [at[w] if w in at else self._row(w) for w in words]
-        total = self.scores[rows].sum(axis=0, dtype=np.float64)
+        total = self.scores[list(map(self.at.__getitem__, words))].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(total))  # a tie falls to the language first in order
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -154,7 +196,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         p = _predictor(shared)
         for b in slices(batches):
-            out = [p.predict(t) for t in b.column("text").to_pylist()]
+            out = p.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([x for x, _ in out], pa.string()), pa.array([s for _, s in out], pa.float64())], schema=schema)
 
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
@@ -176,7 +218,7 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         p = _predictor(shared)
         for b in slices(batches):
-            keep = [x != UNKNOWN for x, _ in map(p.predict, b.column(at).to_pylist())]
+            keep = [x != UNKNOWN for x, _ in p.predict(b.column(at).to_pylist())]
             yield pa.RecordBatch.from_arrays(b.columns, schema=b.schema).filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
