@@ -66,7 +66,7 @@ class WordEncoder:
         with punctuation behind them are put together from the two parts."""
         cut = {w: stem for w in words if w[-1] in TAIL and (stem := w.rstrip(TAIL)) and (stem.isalpha() or stem.decode().isalpha())}
         rest = words.difference(cut) | set(cut.values()) | {w[len(stem) :] for w, stem in cut.items()}
-        self._learn(sorted(rest.difference(self.known)))
+        self._learn(list(rest.difference(self.known)))
         known = self.known
         for w, stem in cut.items():
             known[w] = known[stem] + known[w[len(stem) :]]
@@ -88,8 +88,9 @@ class WordEncoder:
         if len(self.known) > MOST_WORDS:
             self.old, self.known = self.known, {}
             new = set(chain.from_iterable(split))
-        self.known.update((w, self.old[w]) for w in new if w in self.old)
-        new.difference_update(self.known)
+        again = [x for x in new if x in self.old]
+        self.known.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        new.difference_update(again)
         if new:
             self._need(new)
         get = self.known.__getitem__
