@@ -1,9 +1,9 @@
 """Byte-level BPE by recursive SQL inside each task.
 
 A task splits its texts into the words of the pattern, and words it has not met yet become rows (word,
-position, id) of a DuckDB table. A recursive query joins neighbouring rows with the merge table and
-contracts the leftmost pair of least rank of every word, until no word has a pair left. Decoding joins
-ids with the vocabulary and gathers their bytes in an ordered aggregation.
+ids, ranks of neighbouring pairs) of a DuckDB table. A recursive query contracts the leftmost pair of least
+rank of every word and joins the two pairs beside it with the merge table, until no word has a pair left.
+Decoding joins ids with the vocabulary and gathers their bytes in an ordered aggregation.
 """
 
 from __future__ import annotations
@@ -19,30 +19,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices
+from riskloom.llm.common import held, slices
 from riskloom.llm.word_tokens import in_groups
 
-#: Words, and stretches in each of two generations, held with their ids by a Python worker; bytes of words in one recursive query, and the longest
+#: Words, and stretches in each of two generations, held with their ids by a Python worker; sum of the squared bytes of words
+#: in one recursive query (it keeps a word's ids of every pass), and the longest
 #: word that goes there (its passes grow with its length); longer ones are contracted by the same rule
 #: from a heap.
-MOST_WORDS, QUERY_BYTES, LONGEST = 400_000, 1 << 18, 256
+MOST_WORDS, QUERY_SIZE, LONGEST = 400_000, 1 << 23, 256
+#: In place of a rank: the two do not merge, or nothing follows.
+NONE = (1 << 31) - 1
 #: Ids in one decoding query, whatever texts they belong to.
 DECODED = 1 << 19
 
-ENCODE = """
-WITH RECURSIVE t(k, w, p, id) AS (
-  SELECT 0, w, p, id FROM start
+ENCODE = f"""
+WITH RECURSIVE t(w, ids, ranks) AS (
+  SELECT w, ids, ranks FROM start
   UNION ALL
-  (WITH pairs AS (
-     SELECT k, w, p, id, lead(id) OVER o AS next_id, lag(p) OVER o AS before FROM t WINDOW o AS (PARTITION BY w ORDER BY p)),
-   best AS (
-     SELECT w, min(m.rank * 4294967296 + p) AS place
-     FROM pairs JOIN merges m ON m.l = pairs.id AND m.r = pairs.next_id GROUP BY w)
-   SELECT k + 1, w, p, CASE WHEN p = place % 4294967296 THEN CAST(place // 4294967296 AS INTEGER) ELSE id END
-   FROM pairs JOIN best USING (w)
-   WHERE before IS NULL OR before <> place % 4294967296))
-SELECT w, list(id ORDER BY p) AS ids
-FROM t JOIN (SELECT w, max(k) AS k FROM t GROUP BY w) USING (w, k) GROUP BY w
+  (WITH best AS (
+     SELECT w, ids, ranks, list_min(ranks) AS id, list_position(ranks, list_min(ranks)) AS i FROM t WHERE list_min(ranks) < {NONE})
+   SELECT w, ids[:i - 1] || [id] || ids[i + 2:],
+     CASE WHEN i > 1 THEN ranks[:i - 2] || [coalesce(x.rank, {NONE})] ELSE [] END || [coalesce(y.rank, {NONE})] || ranks[i + 2:]
+   FROM best LEFT JOIN merges x ON x.l = ids[i - 1] AND x.r = id LEFT JOIN merges y ON y.l = id AND y.r = ids[i + 2]))
+SELECT w, ids FROM t WHERE list_min(ranks) = {NONE}
 """
 DECODE = "SELECT d, list(v.bytes ORDER BY p) AS parts FROM ids JOIN vocabulary v USING (id) GROUP BY d"
 
@@ -60,8 +59,9 @@ class Bpe:
         splits = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.byte_pairs = np.array([[ranks.get(bytes([i, j]), NONE) for j in range(256)] for i in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        merges = pa.table([pa.array(c, pa.int64() if i == 2 else pa.int32()) for i, c in enumerate(zip(*splits, strict=True))], names=["l", "r", "rank"])  # noqa: F841
+        merges = pa.table([pa.array(c, pa.int32()) for c in zip(*splits, strict=True)], names=["l", "r", "rank"])  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         vocabulary = pa.table([pa.array(list(ranks.values()), pa.int32()), pa.array(list(ranks), pa.binary())], names=["id", "bytes"])  # noqa: F841
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
@@ -71,10 +71,13 @@ class Bpe:
 
     def _contract(self, words: list[bytes]) -> dict[int, bytes]:
         """Ids of short words by the recursive query."""
-        sizes = np.array([len(w) for w in words])
-        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
-        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.db.register("start", pa.table([word, place, self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]], names=["w", "p", "id"]))
+        at = np.cumsum([0, *map(len, words)], dtype=np.int32)
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        ranks = np.full(len(raw), NONE, np.int32)
+        ranks[:-1] = self.byte_pairs[raw[:-1], raw[1:]]
+        ranks[at[1:] - 1] = NONE  # a word's last byte has no next one
+        lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in (self.byte_ids[raw], ranks)]
+        self.db.register("start", pa.table([pa.array(np.arange(len(words), dtype=np.int32)), *lists], names=["w", "ids", "ranks"]))
         out = self.db.sql(ENCODE).to_arrow_table().combine_chunks()
         self.db.unregister("start")
         ids = out.column("ids").combine_chunks()
@@ -116,8 +119,8 @@ class Bpe:
                 self.words[w] = self._contract_long(raw)
                 continue
             short.append((w, raw))
-            size += len(raw)
-            if size > QUERY_BYTES:
+            size += len(raw) ** 2
+            if size > QUERY_SIZE:
                 self._solve(short)
                 short, size = [], 0
         if short:
@@ -141,7 +144,7 @@ class Bpe:
         matches = {part: self.pattern.findall(part) for part in new}
         self._learn(set(chain.from_iterable(matches.values())).difference(self.words))
         ids = self.words.__getitem__
-        self.parts.update((part, b"".join(map(ids, found))) for part, found in matches.items())
+        self.parts.update((part, ids(found[0]) if len(found) == 1 else b"".join(map(ids, found))) for part, found in matches.items())
         get = self.parts.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
@@ -184,14 +187,9 @@ def stretches(text: str) -> list[str]:
     return ([first] if first else []) + [" " + x for x in rest]
 
 
-_OPEN: dict[tuple[str, str], Bpe] = {}
-
-
 def coder(path: str, pattern: str) -> Bpe:
     """This worker's coder for a file of ranks."""
-    if (path, pattern) not in _OPEN:
-        _OPEN[path, pattern] = Bpe(path, pattern)
-    return _OPEN[path, pattern]
+    return held((path, pattern), lambda: Bpe(path, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -224,7 +222,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         bpe = coder(path, pattern)
-        for b in slices(batches, 256):
+        for b in slices(batches, 1024):  # in_groups bounds what is encoded at once
             texts = b.column("text").to_pylist()
             for i, j in in_groups(texts):
                 ids = bpe.encode(texts[i:j])

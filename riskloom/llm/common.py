@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -23,6 +24,26 @@ MOST_HOT, LEAST_HOT = 10_000, 32
 MOST_SENT = 500_000
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """This Python worker's tables of ``key``, made by ``make`` where it has none. A worker outlives stages, so it
+    holds the tables of one operator at a time: those of another go first."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Drop the tables that an earlier operator left in this Python worker."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole input table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,3 +26,15 @@ def test_round_trip_takes_groups_of_bounded_size(spark):
     docs = spark.createDataFrame([(i, long if i % 2 else None) for i in range(6)], "doc_id long, text string").coalesce(1)
     got = {r.doc_id: r for r in bpe.round_trip(docs, PATH, P.PATTERN).selectExpr("doc_id", "octet_length(ids) n", "CAST(decoded AS STRING) = repeat('some words of a long text, ', 60000) same", "octet_length(decoded) size").collect()}
     assert len(got) == 6 and all(got[i].same and got[i].n for i in (1, 3, 5)) and all(got[i].size == 0 for i in (0, 2, 4))
+
+
+def test_many_long_words_in_one_text():
+    import random
+
+    import tiktoken
+
+    coder = bpe.Bpe(PATH, P.PATTERN)
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choice("etaoinsh") for _ in range(255)) for _ in range(1028))
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
