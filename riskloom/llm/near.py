@@ -200,11 +200,33 @@ def _merged(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(known.union(over.join(roots, "node", "left_anti").select("node", "root")))
 
 
-def connect(lists: DataFrame, at: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
-    """(node, root) of every node with a link. ``lists`` has distinct (list, node); ``at`` has (node, point)."""
-    lists = scratch.keep(lists)
-    met = lists.repartition("list").sortWithinPartitions("list", "node").mapInArrow(_centres, "node bigint, turn int, rank bigint, centre bigint")
-    met = scratch.keep(met.groupBy("node", "turn").agg(F.min_by("centre", "rank").alias("centre")))
+MET_DDL = "list bigint, node bigint, turn int, rank bigint, centre bigint"
+MET = [x.split()[0] for x in MET_DDL.split(", ")]
+
+
+def met_in_lists(buckets: DataFrame, lists_of: Callable[[pa.Table], pa.Table], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Distinct (list, node) and (node, turn, centre) of the lists that ``lists_of`` makes of each bucket.
+
+    Centres are found where a list is made, so a node has a row a bucket and turn, however many lists and tasks it
+    is in; a list that several buckets make has the same centres in each.
+    """
+
+    def run(t: pa.Table) -> pa.Table:
+        lists = lists_of(t)
+        none = lambda kind: pa.nulls(lists.num_rows, kind)
+        out = [pa.table([lists.column("list"), lists.column("node"), none(pa.int32()), none(pa.int64()), none(pa.int64())], names=MET)]
+        for b in _centres(lists.to_batches(max_chunksize=KEPT // 4)):
+            out.append(pa.table([pa.nulls(b.num_rows, pa.int64()), *b.columns], names=MET))
+        return pa.concat_tables(out)
+
+    both = scratch.keep(buckets.groupBy("bucket").applyInArrow(run, MET_DDL))
+    lists = scratch.keep(both.filter("turn IS NULL").select("list", "node").distinct())
+    met = both.filter("turn IS NOT NULL").groupBy("node", "turn").agg(F.min_by("centre", "rank").alias("centre"))
+    return lists, scratch.keep(met)
+
+
+def connect(lists: DataFrame, met: DataFrame, at: DataFrame, texts: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
+    """(node, root) of every node with a link. ``lists`` and ``met`` are those of ``met_in_lists``; ``at`` has (node, point)."""
     # the first look is at points of a quarter of the groups: a quarter of the bytes move
     coarse = scratch.keep(at.select("node", "point").mapInArrow(_folded, "node bigint, point binary"))
     left = coarse.select(F.col("node").alias("a"), F.col("point").alias("point_a"))

@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Scratch, attach, mix, semi, shingle_sets
+from riskloom.llm.common import Scratch, attach, let_go, mix, semi, shingle_sets
 from riskloom.llm.count_tree import point
-from riskloom.llm.near import connect
+from riskloom.llm.near import connect, met_in_lists
 
 U = np.uint64
 #: Slots of the counts that order shingles, and the fewest occurrences in a task that are told. The
@@ -43,6 +43,7 @@ def profile(docs: DataFrame, seed: int) -> DataFrame:
     """A row for each document: its size, set keys and point; and rows without a key for the frequent slots of a task."""
 
     def run(batches):
+        let_go()
         counts = np.zeros(1 << SLOT_BITS, np.int64)
         total = 0
         for b in batches:
@@ -94,6 +95,7 @@ def blocks(docs: DataFrame, seed: int, buckets: int, told) -> DataFrame:
     """Prefix shingles of every document, packed by bucket of their hash."""
 
     def run(batches):
+        let_go()
         slots, counts = told.value
         often = np.zeros(1 << SLOT_BITS, np.int64)
         often[slots] = counts
@@ -184,12 +186,12 @@ def link(docs: DataFrame, scratch: Scratch, k: int = 5) -> DataFrame:
     told = docs.sparkSession.sparkContext.broadcast(frequent(profiles))
     sums = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("shingles"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()
     buckets = max(8, sums.shingles // (4 * PER_BUCKET) + 1)
-    lists = blocks(docs, seed, buckets, told).groupBy("bucket").applyInArrow(_lists, "list bigint, node bigint").distinct()
+    lists, met = met_in_lists(blocks(docs, seed, buckets, told), _lists, scratch)
 
     def texts(wanted: DataFrame) -> DataFrame:
         return node_texts(docs, nodes.join(wanted, "node").select("node", "doc"), seed, scratch)
 
-    roots = connect(lists, nodes.select("node", "point"), texts, scratch)
+    roots = connect(lists, met, nodes.select("node", "point"), texts, scratch)
     joined = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = joined.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = scratch.keep(joined.join(smallest, "root").select("node", "copies", "component_id"))
@@ -213,6 +215,7 @@ def node_texts(docs: DataFrame, wanted: DataFrame, seed: int, scratch: Scratch)
     """(node, text), once each, for wanted (node, doc): a text is found by its document and known by its key."""
 
     def run(batches):
+        let_go()
         for b in batches:
             keys = [set_keys(s, seed)[0] for s in shingle_sets(b.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), b.column("text")], names=["node", "text"])

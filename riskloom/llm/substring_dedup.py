@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from riskloom.llm.common import WORDS_PER_SHINGLE, Scratch, attach, mix, semi, text_buffer, word_hashes
 from riskloom.llm.count_tree import point
-from riskloom.llm.near import connect
+from riskloom.llm.near import connect, met_in_lists
 from riskloom.llm.ngram_join import HELD, PER_BUCKET, _lists, _packed
 
 U = np.uint64
@@ -315,11 +315,11 @@ def passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     bands, rows = tune()
     table = scratch.keep(units(docs))
     buckets = max(8, table.count() * bands // PER_BUCKET + 1)
-    lists = scratch.keep(banded(docs, bands, rows, buckets).groupBy("bucket").applyInArrow(_lists, "list bigint, node bigint").distinct())
+    lists, met = met_in_lists(banded(docs, bands, rows, buckets), _lists, scratch)
     counts = table.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc"))
     wanted = scratch.keep(counts.join(lists.select("node").distinct(), "node").select("node", "doc"))
     text = scratch.keep(_node_texts(docs, wanted, scratch))
-    roots = connect(lists, text.select("node", "point"), lambda nodes: text.join(nodes, "node").select("node", "text"), scratch)
+    roots = connect(lists, met, text.select("node", "point"), lambda nodes: text.join(nodes, "node").select("node", "text"), scratch)
     repeated = counts.join(roots, "node", "left").filter("n > 1 OR root IS NOT NULL").select("node", "n", F.coalesce("root", "node").alias("cluster"))
     repeated = scratch.keep(repeated)
     total = table.count()
