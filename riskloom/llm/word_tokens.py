@@ -14,6 +14,8 @@ from itertools import chain
 
 import numpy as np
 
+from riskloom.llm.common import held
+
 #: Words in each of the two generations that a Python worker holds; when the younger is full it becomes
 #: the older, and what is used again moves over.
 MOST_WORDS = 300_000
@@ -28,9 +30,11 @@ TAIL = string.punctuation.encode()
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        self.steps = self.library.normalizer, self.library.pre_tokenizer
+        self.blanks = pre_tokenizers.WhitespaceSplit()
         self.library.encode_special_tokens = True  # words are lower-cased before; what looks like one now was none
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.special = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
@@ -45,21 +49,34 @@ class WordEncoder:
         """Words of letters only are one match of the pattern each, so many of them are encoded as one
         text and told apart by the tokens that end a match; where the counts differ, and for all other
         words, each is a text of its own."""
+        latin: list[bytes] = []
         plain: list[bytes] = []
         single: list[bytes] = []
         for w in words:
-            (plain if w.isalpha() or w.decode().isalpha() else single).append(w)
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        for group, found in zip(groups, self.library.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+            (latin if w.isalpha() else plain if w.decode().isalpha() else single).append(w)
+        # the normaliser only lower-cases words of A-Z, and the pattern cuts them at blanks: both are much slower than that
+        self.library.normalizer, self.library.pre_tokenizer = None, self.blanks
+        try:
+            single += self._learn_together(latin, bytes.lower)
+        finally:
+            self.library.normalizer, self.library.pre_tokenizer = self.steps
+        single += self._learn_together(plain, bytes)
+        for w, e in zip(single, self.library.encode_batch_fast([w.decode() for w in single], add_special_tokens=False), strict=True):
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn_together(self, words: list[bytes], form) -> list[bytes]:
+        """Learn words of letters, many in one call; what could not be told apart is returned."""
+        left: list[bytes] = []
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, found in zip(groups, self.library.encode_batch_fast([form(b" ".join(g)).decode() for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) != len(group):
-                single += group
+                left += group
                 continue
             raw = ids.tobytes()
             self.known.update(zip(group, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
-        for w, e in zip(single, self.library.encode_batch_fast([w.decode() for w in single], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+        return left
 
     def _need(self, words: set[bytes]) -> None:
         """Ids of ``words``. Punctuation after a word's last letter is a match of its own, so words of letters
@@ -102,14 +119,9 @@ def _words(text: str) -> list[bytes]:
     return (raw.lower() if text.isascii() else raw).split()
 
 
-_OPEN: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder for a vocabulary file."""
-    if path not in _OPEN:
-        _OPEN[path] = WordEncoder(path)
-    return _OPEN[path]
+    return held(path, lambda: WordEncoder(path))
 
 
 def in_groups(texts: list[str | None], most: int = 1 << 21):
