@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices
+from riskloom.llm.common import held, slices
 from riskloom.llm.word_tokens import in_groups
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -185,9 +185,6 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(languages, sorted((r.n, r.gram, r.lang, r["count"]) for r in known))
 
 
-_PREDICTORS: dict[int, Predictor] = {}
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row; null text or none with a letter: ``und``, 0."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -203,11 +200,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def _predictor(shared) -> Predictor:
-    key = id(shared.value)
-    if key not in _PREDICTORS:
-        _PREDICTORS.clear()
-        _PREDICTORS[key] = Predictor(shared.value)
-    return _PREDICTORS[key]
+    model = shared.value
+    return held(id(model), lambda: Predictor(model))  # the predictor keeps the model, so its id stays its own
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
