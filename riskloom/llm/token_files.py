@@ -53,9 +53,9 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, width: int = 2)
         name = f"shard-{context.partitionId():06d}-{context.taskAttemptId()}.ids"
         out, at, before, copy = None, 0, (), 0
         try:
-            for b in slices(batches):
+            for b in slices(batches, 2048):
                 ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-                for i, j in in_groups(texts):
+                for i, j in in_groups(texts, 1 << 22):
                     if out is None:
                         fs.create_dir(root, recursive=True)
                         out = fs.open_output_stream(f"{root}/{name}")
