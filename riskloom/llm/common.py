@@ -18,6 +18,9 @@ BASE, STEP = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 #: Bytes hashed at a time; arrays of eight bytes for each of them are held.
 CHUNK = 1 << 20
 WORDS_PER_SHINGLE = 5
+#: For every byte: whether it parts words, and one more than its lower-case form.
+GAP = bytes(c in b" \t\n\v\f\r" for c in range(256))
+LOWER = bytes((c + 1) & 255 for c in bytes(range(256)).lower())
 #: Groups that are joined by broadcast: those with a share of 1 / MOST_HOT of all rows, and LEAST_HOT rows.
 MOST_HOT, LEAST_HOT = 10_000, 32
 #: Keys that a semi-join broadcasts at most.
@@ -134,7 +137,7 @@ def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if not n:
         none = np.zeros(0, np.int64)
         return np.zeros(0, U), np.zeros(len(off), np.int64), none, none
-    gap = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    gap = np.frombuffer(raw.tobytes().translate(GAP), bool)
     edge = np.zeros(n + 1, bool)
     edge[off] = True
     first = ~gap & (edge[:-1] | np.concatenate([[True], gap[:-1]]))
@@ -163,7 +166,7 @@ def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _lower(part: np.ndarray) -> np.ndarray:
-    return (part + 32 * ((part >= 65) & (part <= 90)).astype(np.uint8) + np.uint8(1)).astype(U)
+    return np.frombuffer(part.tobytes().translate(LOWER), np.uint8).astype(U)
 
 
 def shingle_hashes(words: np.ndarray, k: int = WORDS_PER_SHINGLE) -> np.ndarray:
@@ -182,7 +185,7 @@ def shingle_hashes(words: np.ndarray, k: int = WORDS_PER_SHINGLE) -> np.ndarray:
     return mix(h)
 
 
-def shingle_sets(column: pa.Array, k: int = WORDS_PER_SHINGLE, most_bytes: int = 1 << 23):
+def shingle_sets(column: pa.Array, k: int = WORDS_PER_SHINGLE, most_bytes: int = 1 << 21):
     """The sorted distinct shingle hashes of each text of a column, one array after another."""
     raw, off = text_buffer(column)
     i = 0

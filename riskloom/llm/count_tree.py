@@ -25,18 +25,76 @@ def point(elements: np.ndarray) -> bytes:
     return bytes([bits]) + counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
 
 
-def folded(blob: bytes, fewer: int = 2) -> bytes:
-    """A point with its groups joined four by four, for a first look at many pairs."""
-    bits = max(FEWEST, blob[0] - fewer)
-    counts = Points([blob]).rows(np.zeros(1, np.int64), bits)[0]
-    return bytes([bits]) + counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
+def points(elements: np.ndarray, of: np.ndarray, n: int) -> list[bytes]:
+    """The points of ``n`` sets that are not empty, ``of`` being the set of each element; one set's elements may repeat."""
+    order = np.argsort(elements)
+    same = elements[order[1:]] == elements[order[:-1]]
+    again = order[np.append(same, False) | np.append(False, same)] if len(order) else order
+    if len(again):  # elements that are there more than once, in one set or in several
+        again = again[np.lexsort((of[again], elements[again]))]
+        repeats = again[1:][(elements[again[1:]] == elements[again[:-1]]) & (of[again[1:]] == of[again[:-1]])]
+        once = np.ones(len(of), bool)
+        once[repeats] = False
+        elements, of = elements[once], of[once]
+    bits = np.clip(np.frexp(2 * np.bincount(of, minlength=n))[1], FEWEST, MOST)
+    width = 1 << bits.astype(np.int64)
+    begin = np.cumsum(width) - width
+    counts = np.bincount(begin[of] + (elements >> (64 - bits[of]).astype(np.uint64)).astype(np.int64), minlength=int(width.sum()))
+    return _blobs(bits.tolist(), counts, begin, width)
+
+
+def _blobs(bits: list[int], counts: np.ndarray, begin: np.ndarray, width: np.ndarray) -> list[bytes]:
+    if not len(begin):
+        return []
+    small, wide = counts.astype("u1").tobytes(), np.maximum.reduceat(counts, begin) > 255
+    out = [bytes([k]) + small[a : a + w] for k, a, w in zip(bits, begin.tolist(), width.tolist(), strict=True)]
+    for i in np.flatnonzero(wide).tolist():
+        out[i] = bytes([bits[i]]) + counts[begin[i] : begin[i] + width[i]].astype("<u4").tobytes()
+    return out
+
+
+def stacked(blobs: list[bytes]):
+    """(which, bits, counts) of points of equal form, matrices of about a million counts."""
+    form = np.array([(b[0], len(b) > (1 << b[0]) + 1) for b in blobs], np.int64).reshape(-1, 2)
+    for bits, wide in np.unique(form, axis=0).tolist():
+        alike = np.flatnonzero((form[:, 0] == bits) & (form[:, 1] == wide))
+        step = max(1, (1 << 20) >> bits)
+        for k in range(0, len(alike), step):
+            part = alike[k : k + step]
+            rows = np.frombuffer(b"".join([blobs[i] for i in part.tolist()]), np.uint8).reshape(len(part), -1)[:, 1:]
+            yield part, bits, np.ascontiguousarray(rows).view("<u4") if wide else rows
+
+
+def _joined_groups(counts: np.ndarray, bits: int) -> np.ndarray:
+    return counts.reshape(len(counts), 1 << bits, -1).sum(axis=2, dtype=np.int64)
+
+
+def folded(blobs: list[bytes], fewer: int = 2) -> list[bytes]:
+    """Points with their groups joined four by four, for a first look at many pairs."""
+    out = [b""] * len(blobs)
+    for part, own, counts in stacked(blobs):
+        bits = max(FEWEST, own - fewer)
+        width = np.full(len(part), 1 << bits)
+        for i, b in zip(part.tolist(), _blobs([bits] * len(part), _joined_groups(counts, bits).ravel(), np.cumsum(width) - width, width), strict=True):
+            out[i] = b
+    return out
+
+
+def parities(blobs: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """The sizes of sets, and for each a bit for every two groups of its point: whether their count is odd."""
+    size, out = np.zeros(len(blobs), np.int64), [b""] * len(blobs)
+    for part, own, counts in stacked(blobs):
+        joined = _joined_groups(counts, max(FEWEST, own - 1))
+        size[part] = joined.sum(axis=1)
+        for i, bits in zip(part.tolist(), np.packbits((joined & 1).astype(np.uint8), axis=1), strict=True):
+            out[i] = bits.tobytes()
+    return size, out
 
 
 def parity(blob: bytes) -> tuple[int, bytes]:
-    """The size of a set, and a bit for every two groups of its point: whether their count is odd."""
-    bits = max(FEWEST, blob[0] - 1)
-    counts = Points([blob]).rows(np.zeros(1, np.int64), bits)[0]
-    return int(counts.sum()), np.packbits((counts & 1).astype(np.uint8)).tobytes()
+    """Those of one point."""
+    size, out = parities([blob])
+    return int(size[0]), out[0]
 
 
 def parity_pairs(size: np.ndarray, parities: list[bytes], block: int = 1 << 18):
@@ -75,10 +133,8 @@ class Points:
     def rows(self, which: np.ndarray, bits: int) -> np.ndarray:
         """A matrix of some points, each folded to the same groups."""
         out = np.empty((len(which), 1 << bits), np.int32)
-        for k, i in enumerate(which.tolist()):
-            b = self.blobs[i]
-            counts = np.frombuffer(b, "u1" if len(b) == (1 << b[0]) + 1 else "<u4", offset=1)
-            out[k] = counts.reshape(1 << bits, -1).sum(axis=1) if b[0] > bits else counts
+        for part, own, counts in stacked([self.blobs[i] for i in which.tolist()]):
+            out[part] = _joined_groups(counts, bits) if own > bits else counts
         return out
 
     def may_link(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:

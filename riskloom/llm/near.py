@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import Scratch, mix, shingle_sets, slices
 from riskloom.llm.components import components
-from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded, parity, parity_pairs, point
+from riskloom.llm.count_tree import FEWEST, CountTree, Points, folded, parities, parity_pairs, point
 from riskloom.llm.minmax import groups
 
 U = np.uint64
@@ -98,7 +98,7 @@ def _centres(batches):
 
 def _folded(batches):
     for b in slices(batches, 1024):
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([folded(p) for p in b.column(1).to_pylist()], pa.binary())], names=["node", "point"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(folded(b.column(1).to_pylist()), pa.binary())], names=["node", "point"])
 
 
 def _bounded(batches):
@@ -113,8 +113,8 @@ def _bounded(batches):
 def _parities(batches):
     """(node, size, parity) of rows (node, point)."""
     for b in slices(batches, 1024):
-        both = [parity(p) for p in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n for n, _ in both], pa.int64()), pa.array([x for _, x in both], pa.binary())], names=["node", "size", "parity"])
+        size, bits = parities(b.column(1).to_pylist())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(bits, pa.binary())], names=["node", "size", "parity"])
 
 
 #: A tile of the last round: the nodes of some lists with one home, or of two slabs of one list (side 0 and 1).

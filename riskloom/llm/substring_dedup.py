@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.llm.common import WORDS_PER_SHINGLE, Scratch, attach, mix, semi, text_buffer, word_hashes
-from riskloom.llm.count_tree import point
+from riskloom.llm.count_tree import points
 from riskloom.llm.near import connect, met_in_lists
 from riskloom.llm.ngram_join import HELD, PER_BUCKET, _lists, _packed
 
@@ -293,9 +293,14 @@ def _node_texts(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFra
     def run(batches):
         for b in batches:
             for _, p in pieces_of(b.column("text")):
-                text = [p.raw[a:e].tobytes().decode() for a, e in zip(p.starts[p.first].tolist(), p.ends[p.last].tolist(), strict=True)]
-                at = [point(np.unique(p.shingles[a : a + n])) for a, n in zip(p.begin.tolist(), p.size.tolist(), strict=True)] if len(p.first) else []
-                yield pa.RecordBatch.from_arrays([pa.array(p.nodes(), pa.int64()), pa.array(text, pa.string()), pa.array(at, pa.binary())], names=["node", "text", "point"])
+                if not len(p.first):
+                    continue
+                node, once = np.unique(p.nodes(), return_index=True)
+                text = [p.raw[a:e].tobytes() for a, e in zip(p.starts[p.first[once]].tolist(), p.ends[p.last[once]].tolist(), strict=True)]
+                size = p.size[once]
+                inside = np.arange(size.sum()) + np.repeat(p.begin[once] - (np.cumsum(size) - size), size)
+                at = points(p.shingles[inside], np.repeat(np.arange(len(once)), size), len(once))
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(text, pa.binary()).cast(pa.string()), pa.array(at, pa.binary())], names=["node", "text", "point"])
 
     found = semi(docs, "doc_id", scratch.keep(wanted.select("doc").distinct())).select("text")
     return found.mapInArrow(run, "node bigint, text string, point binary").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
