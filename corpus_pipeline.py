@@ -42,6 +42,9 @@ STAGES = [
     ("pii", masked),
     ("best_fit_packing", packed),
 ]
+#: Bytes of rows that go to a Python worker at a time. Spark counts rows (10,000) and up to 64 MB; with whole texts that is
+#: tens of megabytes, held by the executor and by the worker, for every task of a stage.
+BATCH = "4m"
 #: No SQL: language scores and packing are beyond it.
 ORACLE_SQL = None
 
@@ -49,6 +52,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents, each written and read again."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)  # stays: the last stage is read lazily
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
