@@ -18,5 +18,8 @@ def test_long_texts_come_in_small_batches(spark, tmp_path, monkeypatch):
         return docs.mapInArrow(run, "n bigint, bytes bigint")
 
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("peek", peek)])
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     assert sum(r.n for r in got) == 600 and max(r.bytes for r in got) < 5 << 20
