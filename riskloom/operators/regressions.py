@@ -466,8 +466,8 @@ def cointegration(ret: DataFrame, lines: DataFrame, key: str, issuer: str, step:
     Log prices start from 1; a return without a logarithm (-1 or less, or not finite) counts as missing, which
     leaves the price as it was. Regression through the origin with the coefficient clipped;
     Dickey-Fuller t and rejection level of the error, and the variance of its differences.
-    ``lines``: key, issuer, master. Lines meet their master only, never each other, so the
-    work grows with the number of lines. A group is one pair's dated history.
+    ``lines``: key, issuer, master, or other pairs of an issuer's lines (``linked_pairs``). A pair is one row
+    a date, then one row with its dated history.
     """
     w = W.partitionBy(key).orderBy(step).rowsBetween(W.unboundedPreceding, 0)
     r = F.col("ret")
@@ -475,22 +475,24 @@ def cointegration(ret: DataFrame, lines: DataFrame, key: str, issuer: str, step:
     mine = px.join(lines.where(F.col(key) != F.col("master")).select(key, issuer, "master"), key)
     m = px.select(F.col(key).alias("master"), step, F.col("lp").alias("mlp"))
     j = mine.join(m, ["master", step])
-    c = j.groupBy(issuer, "master", key).agg((div(F.sum(F.col("lp") * F.col("mlp")), F.sum(F.col("mlp") * F.col("mlp")))).alias("raw"), F.count("*").alias("n"))
+    c = j.groupBy(issuer, "master", key).agg(
+        (div(F.sum(F.col("lp") * F.col("mlp")), F.sum(F.col("mlp") * F.col("mlp")))).alias("raw"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(step, "lp", "mlp"))).alias("_h")
+    )
     c = c.withColumn("coef", F.greatest(F.lit(low), F.least(F.lit(high), F.coalesce("raw", F.lit(1.0))))).drop("raw")
-    e = j.join(c.select(key, "coef", "n"), key).withColumn("err", F.col("lp") - F.col("coef") * F.col("mlp"))
-    kt = ret.schema[key].dataType.simpleString()
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = pdf.sort_values(step)["err"].to_numpy(float)
-        t = linalg.adf_t(v, lags)
-        d = np.diff(v)
-        return pd.DataFrame(
-            {key: [pdf[key].iloc[0]], "adf_t": [t], "level": [linalg.adf_level(t, len(v)) if np.isfinite(t) else 1.0], "err_var": [float(np.var(d, ddof=1)) if len(d) > 1 else float("nan")]}
-        )
-
-    out = e.select(key, step, "err").groupBy(key).applyInPandas(test, f"{key} {kt}, adf_t double, level double, err_var double")
-    out = out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("adf_t", "err_var")})
-    return c.join(out, key)
+
+    @pandas_udf("adf_t double, level double, err_var double")
+    def test(errors: pd.Series) -> pd.DataFrame:
+        out = []
+        for v in errors:
+            v = np.asarray(v, float)
+            t, d = linalg.adf_t(v, lags), np.diff(v)
+            out.append((t, linalg.adf_level(t, len(v)) if np.isfinite(t) else 1.0, float(np.var(d, ddof=1)) if len(d) > 1 else float("nan")))
+        return pd.DataFrame(out, columns=["adf_t", "level", "err_var"])
+
+    coef = F.col("coef")
+    out = c.select(key, issuer, "master", "n", "coef", test(F.transform("_h", lambda x: x["lp"] - coef * x["mlp"])).alias("_t"))
+    out = out.select(key, issuer, "master", "n", "coef", "_t.*")
+    return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("adf_t", "err_var")})
 
 
 def cointegration_report(pairs: DataFrame, level: float = 0.05) -> DataFrame:

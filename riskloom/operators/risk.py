@@ -19,7 +19,7 @@ from riskloom.operators import aggregates as ag, timeseries as ts
 from riskloom.operators.crossprod import VECTOR, pack_matrix, unpack_matrix
 from riskloom.operators.ranks import mad_bounds
 from riskloom.session import stored
-from riskloom.functions.columns import div
+from riskloom.functions.columns import clip, div
 
 
 # --- matrices -----------------------------------------------------------------------------
@@ -276,15 +276,15 @@ def proxy_variance(var: DataFrame, attributes: DataFrame, key: str, groups: Sequ
 def linked_correlation(sret: DataFrame, lines: DataFrame, key: str, group: str, step: str, ret: str, end: int, half_life: float, lags: int = 1, lo: float = 0.25, hi: float = 0.99995, confidence: float = 0.67) -> DataFrame:
     """Correlation of each line with its group's master, from weighted Newey-West sums.
 
-    Clipped to [lo, hi] and moved to 1: (1 - c) + c rho. ``lines``: key, group, master.
-    Lines are set against the master only, so a large group costs one row per line and date.
+    Clipped to [lo, hi] and moved to 1: (1 - c) + c rho. ``lines``: key, group, master, or other pairs of a group's
+    lines from ``linked_pairs``. A pair costs one row a date.
     """
     x = sret.where(F.col(step) <= end).select(key, step, F.coalesce(F.col(ret), F.lit(0.0)).alias("_r"))
     x = x.withColumn("_s", F.sqrt(ts.exp_weight(F.lit(end) - F.col(step), half_life)) * F.col("_r"))
     a = x.join(lines.where(F.col(key) != F.col("master")).select(key, group, "master"), key)
     b = x.select(F.col(key).alias("master"), step, F.col("_s").alias("_m"))
     j = a.join(b, ["master", step])
-    w = W.partitionBy(key).orderBy(step)
+    w = W.partitionBy(group, "master", key).orderBy(step)
     sxx, syy, sxy = F.col("_s") * F.col("_s"), F.col("_m") * F.col("_m"), F.col("_s") * F.col("_m")
     for l in range(1, lags + 1):
         j = j.withColumns({f"_s{l}": F.coalesce(F.lag("_s", l).over(w), F.lit(0.0)), f"_m{l}": F.coalesce(F.lag("_m", l).over(w), F.lit(0.0))})
@@ -298,25 +298,70 @@ def linked_correlation(sret: DataFrame, lines: DataFrame, key: str, group: str,
     return g.select(group, "master", key, ((1 - confidence) + confidence * c).alias("corr"))
 
 
-def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, key: str, group: str, lo: float = 0.75, hi: float = 0.99995, annual: float = 1.0) -> dict[str, DataFrame]:
-    """Variances and covariances of linked lines after cointegration.
+def linked_pairs(lines: DataFrame, key: str, group: str) -> DataFrame:
+    """Every ordered pair of different lines of a group: group, master, key.
+
+    The other line stands as ``master``, so what is measured against master lines can be measured for all pairs.
+    """
+    x = lines.select(group, key).distinct()
+    return x.join(x.withColumnRenamed(key, "master"), group).where(F.col(key) != F.col("master")).select(group, "master", key)
+
+
+def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, lines: DataFrame, key: str, group: str, lo: float = 0.75, hi: float = 0.99995, annual: float = 1.0, fewest: int = 5) -> dict[str, DataFrame]:
+    """Variances of linked lines after cointegration, and the covariance of every pair of a group's lines.
+
+    A line's variance becomes coef^2 x master's + error variance, by the coefficient of the line on its master or of
+    the master on the line, where that is nearer the master's; the nearest stays. A pair's correlation is the larger
+    of coef x risk ratio both ways, bounded; each group's matrix is then made positive semidefinite with ones on its
+    diagonal. Pairs of less than ``fewest`` common dates have no fit: coefficient 1, no error. Where a variance is
+    missing or zero the direct correlation stays, and ``hi`` where there is none either.
 
-    A line's variance becomes coef^2 x master's + error variance where that is nearer the
-    master's. Its correlation with the master is the larger of coef x risk ratio both ways,
-    bounded; without a fit the direct one stays. Two other lines of the group meet through
-    the master: product of their correlations. ``spec``: key, spec_var.
+    ``spec``: key, spec_var; ``lines``: key, group, master; ``coint``: of all ``linked_pairs``; ``direct``: of each pair
+    in one order. Pairs are rows; a group's matrix is one task's.
     """
+    fit = coint.where(F.col("n") >= fewest).select(group, "master", key, F.col("coef").alias("_on"), F.coalesce("err_var", F.lit(0.0)).alias("_err"))
+    swapped = [group, F.col("master").alias(key), F.col(key).alias("master")]
+    both = fit.join(fit.select(*swapped, F.col("_on").alias("_back")), [group, "master", key], "full")
+    on, back = F.coalesce("_on", F.lit(1.0)), F.coalesce("_back", F.lit(1.0))
+    one = lines.select(group, key, "master").distinct()
     m = spec.select(F.col(key).alias("master"), F.col("spec_var").alias("_mv"))
-    j = direct.join(coint.select(key, "coef", "err_var"), key, "left").join(spec.select(key, "spec_var"), key).join(m, "master")
-    cand = F.col("coef") * F.col("coef") * F.col("_mv") + F.col("err_var") * annual
-    near = F.abs(cand - F.col("_mv")) < F.abs(F.col("spec_var") - F.col("_mv"))
-    j = j.withColumn("new_var", F.when(near, cand).otherwise(F.col("spec_var")))
-    s, ms = F.sqrt("new_var"), F.sqrt("_mv")
-    rho = F.when(F.col("coef").isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), F.greatest(div(F.col("coef") * s, ms), div(F.col("coef") * ms, s))))).otherwise(F.col("corr"))
-    j = j.withColumn("corr", rho).withColumn("cov", F.col("corr") * s * ms)
-    var = spec.join(j.select(key, "new_var"), key, "left").select(key, F.coalesce("new_var", "spec_var").alias("spec_var"))
-    pairs = j.select(group, F.least("master", key).alias("id1"), F.greatest("master", key).alias("id2"), "corr", "cov", "master", F.col(key).alias("line"))
-    return {"variance": var, "pairs": pairs}
+    j = one.where(F.col(key) != F.col("master")).join(both, [group, "master", key], "left").join(spec.select(key, "spec_var"), key).join(m, "master")
+    new, mv = F.col("spec_var"), F.col("_mv")
+    for b in (on, back):
+        cand = b * b * mv + F.coalesce("_err", F.lit(0.0)) * annual
+        new = F.when(F.abs(cand - mv) < F.abs(new - mv), cand).otherwise(new)
+    var = stored(spec.join(j.select(key, new.alias("_new")), key, "left").select(key, F.coalesce("_new", "spec_var").alias("spec_var")))
+
+    known = direct.select(group, "master", key, F.col("corr").alias("_direct"))
+    known = known.unionByName(known.select(*swapped, "_direct")).where(F.col(key) > F.col("master"))
+    x = linked_pairs(lines, key, group).where(F.col(key) > F.col("master")).join(both, [group, "master", key], "left").join(known, [group, "master", key], "left")
+    x = x.join(var.select(key, F.sqrt("spec_var").alias("_s2")), key).join(var.select(F.col(key).alias("master"), F.sqrt("spec_var").alias("_s1")), "master")
+    ratio = F.greatest(div(on * F.col("_s1"), F.col("_s2")), div(back * F.col("_s2"), F.col("_s1")))
+    rho = F.coalesce(clip(ratio, lo, hi), "_direct", F.lit(hi))
+    x = x.select(group, F.col("master").alias("id1"), F.col(key).alias("id2"), rho.alias("corr"), "_s1", "_s2").join(one.select(group, F.col(key).alias("id2"), "master"), [group, "id2"])
+    pairs = _semidefinite(x, group, [c for c in x.columns if c != group])
+    m = F.col("master")
+    return {"variance": var, "pairs": pairs.select(group, "id1", "id2", "corr", (F.col("corr") * F.col("_s1") * F.col("_s2")).alias("cov"), "master", F.when(m == F.col("id1"), F.col("id2")).when(m == F.col("id2"), F.col("id1")).alias("line"))}
+
+
+def _semidefinite(pairs: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
+    """Rows (group, id1, id2, corr, ...) of all pairs, each group's matrix without eigenvalues under 1e-8 and with ones on its diagonal."""
+
+    @pandas_udf(VECTOR)
+    def fix(id1: pd.Series, id2: pd.Series, corr: pd.Series) -> pd.Series:
+        out = []
+        for a, b, c in zip(id1, id2, corr):
+            n = len(a)
+            _, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            m = np.eye(at.max() + 1)
+            m[at[:n], at[n:]] = m[at[n:], at[:n]] = c
+            out.append(linalg.unit_diagonal(m)[at[:n], at[n:]])
+        return pd.Series(out)
+
+    g = pairs.groupBy(group).agg(F.collect_list(F.struct(*columns)).alias("_p"))
+    of = lambda c: F.col("_p")[c]
+    g = g.select(group, "_p", F.when(F.size("_p") > 1, fix(of("id1"), of("id2"), of("corr"))).otherwise(of("corr")).alias("_c"))
+    return g.select(group, F.explode(F.arrays_zip("_p", "_c")).alias("_z")).select(group, *[F.col("_z._p")[c].alias(c) for c in columns if c != "corr"], F.col("_z._c").alias("corr"))
 
 
 def merged_covariance(sret: DataFrame, members: DataFrame, linked: dict[str, DataFrame], key: str, issuer: str, step: str, ret: str, end: int, half_life: float, most: int = 400) -> DataFrame:

@@ -129,13 +129,14 @@ def _(v):
 
 
 def linked_cov(v):
-    """Linked covariances of the panel's issuers."""
+    """Linked covariances of the panel's issuers, of every pair of an issuer's lines."""
     sp = stored(v.specific.select("asset_id", "mi", "sret"))
     lines = stored(linked_lines(v))
-    direct = rk.linked_correlation(sp, lines, "asset_id", "issuer", "mi", "sret", END, 24.0)
-    coint = rg.cointegration(sp.withColumnRenamed("sret", "ret"), lines, "asset_id", "issuer", "mi")
+    pairs = stored(rk.linked_pairs(lines, "asset_id", "issuer"))
+    direct = rk.linked_correlation(sp, pairs.where("asset_id > master"), "asset_id", "issuer", "mi", "sret", END, 24.0)
+    coint = stored(rg.cointegration(sp.withColumnRenamed("sret", "ret"), pairs, "asset_id", "issuer", "mi"))
     spec = sp.groupBy("asset_id").agg((12 * F.avg(F.col("sret") * F.col("sret"))).alias("spec_var"))
-    return rk.linked_covariance(spec, coint, direct, "asset_id", "issuer", annual=12.0)
+    return rk.linked_covariance(spec, coint, direct, lines, "asset_id", "issuer", annual=12.0)
 
 
 @query("rsk07_linked_covariance", "specific")

@@ -91,3 +91,76 @@ def test_pair_correlation_and_unit_diagonal(rng):
     gaps = np.where(rng.random(x.shape) < 0.6, np.nan, x)
     fixed = linalg.unit_diagonal(linalg.pair_correlation(gaps, np.ones(50)))
     assert np.allclose(np.diag(fixed), 1) and np.linalg.eigvalsh(fixed).min() > 0
+
+
+def linked_by_hand(var, fits, master, lo=0.75, hi=0.99995):
+    """The named method in plain loops: (variances, correlations) of one issuer; ``fits``: (x, y) -> (coef of y on x, error variance)."""
+    var, n = dict(var), len(var)
+    mv = var[master]
+    for s in var:
+        if s != master:
+            cands = [fits[p][0] ** 2 * mv + fits[master, s][1] for p in ((master, s), (s, master))]
+            var[s] = min([var[s], *cands], key=lambda c: abs(c - mv))
+    m = np.eye(n)
+    for a in range(n):
+        for b in range(n):
+            if a != b:
+                m[a, b] = np.clip(max(fits[a, b][0] * np.sqrt(var[a] / var[b]), fits[b, a][0] * np.sqrt(var[b] / var[a])), lo, hi)
+    d, v = np.linalg.eigh(m)
+    m = (v * np.maximum(d, 1e-8)) @ v.T
+    s = np.sqrt(np.diag(m))
+    return var, m / np.outer(s, s)
+
+
+def linked_frames(spark, rng, n=5, steps=60):
+    """Returns of an issuer's lines and a line of another issuer, and what is measured on them."""
+    from riskloom.operators import regressions as rg
+
+    common = rng.normal(size=steps) * 0.05
+    r = common[:, None] * rng.uniform(0.5, 1.5, n) + rng.normal(size=(steps, n)) * 0.03
+    r = np.column_stack([r, rng.normal(size=steps) * 0.05])
+    ret = spark.createDataFrame(pd.DataFrame([(i, t, float(r[t, i])) for i in range(n + 1) for t in range(steps)], columns=["id", "t", "ret"]))
+    lines = spark.createDataFrame([(i, 1, 2) for i in range(n)] + [(n, 2, n)], "id long, issuer long, master long")
+    pairs = rk.linked_pairs(lines, "id", "issuer")
+    direct = rk.linked_correlation(ret, pairs.where("id > master"), "id", "issuer", "t", "ret", steps, 40.0)
+    coint = rg.cointegration(ret, pairs, "id", "issuer", "t")
+    spec = spark.createDataFrame([(i, float((r[:, i] ** 2).mean())) for i in range(n + 1)], "id long, spec_var double")
+    return r, spec, coint, direct, lines
+
+
+def test_every_pair_of_lines_has_its_own_correlation(spark, rng):
+    n = 5
+    r, spec, coint, direct, lines = linked_frames(spark, rng, n)
+    assert {(x.master, x.id) for x in direct.collect()} == {(a, b) for a in range(n) for b in range(a + 1, n)}
+    out = rk.linked_covariance(spec, coint, direct, lines, "id", "issuer")
+    px = np.log1p(r[:, :n]).cumsum(axis=0)
+    fits = {}
+    for a in range(n):
+        for b in range(n):
+            if a != b:
+                c = np.clip(px[:, a] @ px[:, b] / (px[:, a] @ px[:, a]), 0.67, 1.5)
+                fits[a, b] = c, np.var(np.diff(px[:, b] - c * px[:, a]), ddof=1)
+    var, corr = linked_by_hand({i: (r[:, i] ** 2).mean() for i in range(n)}, fits, 2)
+    got = {x.id: x.spec_var for x in out["variance"].collect()}
+    assert set(got) == set(range(n + 1)) and all(got[i] == pytest.approx(var[i]) for i in range(n))
+    p = out["pairs"].collect()
+    assert sorted((x.id1, x.id2) for x in p) == [(a, b) for a in range(n) for b in range(a + 1, n)]
+    for x in p:
+        assert x.corr == pytest.approx(corr[x.id1, x.id2]) and x.cov == pytest.approx(x.corr * np.sqrt(var[x.id1] * var[x.id2]))
+        assert x.master == 2 and x.line == (x.id2 if x.id1 == 2 else x.id1 if x.id2 == 2 else None)
+
+
+def test_short_histories_and_indefinite_groups(spark):
+    long = "issuer long, master long, id long, coef double, err_var double, n long"
+    lines = spark.createDataFrame([(i, 1, 0) for i in range(4)], "id long, issuer long, master long")
+    fit = lambda c, n: [(1, a, b, c.get((min(a, b), max(a, b)), 0.67), 0.0, n) for a in range(4) for b in range(4) if a != b]
+    none = spark.createDataFrame([], "issuer long, master long, id long, corr double")
+    spec = spark.createDataFrame([(i, 1.0 if i < 3 else 4.0) for i in range(4)], "id long, spec_var double")
+    few = rk.linked_covariance(spec, spark.createDataFrame(fit({}, 4), long), none, lines, "id", "issuer")
+    assert all(x.spec_var == 1 for x in few["variance"].collect()) and all(x.corr == pytest.approx(0.99995) for x in few["pairs"].collect())
+    # 0-1 and 0-2 nearly one, 1-2 at the floor: no such matrix
+    odd = rk.linked_covariance(spec, spark.createDataFrame(fit({(0, 1): 1.0, (0, 2): 1.0}, 9), long), none, lines, "id", "issuer")
+    m = np.eye(4)
+    for x in odd["pairs"].collect():
+        m[x.id1, x.id2] = m[x.id2, x.id1] = x.corr
+    assert np.linalg.eigvalsh(m).min() > 0 and 0.75 < m[1, 2] < m[0, 1] < 0.99995
