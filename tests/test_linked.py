@@ -164,3 +164,13 @@ def test_short_histories_and_indefinite_groups(spark):
     for x in odd["pairs"].collect():
         m[x.id1, x.id2] = m[x.id2, x.id1] = x.corr
     assert np.linalg.eigvalsh(m).min() > 0 and 0.75 < m[1, 2] < m[0, 1] < 0.99995
+
+
+def test_low_correlations_name_pairs_without_the_master(spark, rng):
+    from riskloom.operators import quality as ql
+
+    _, spec, coint, direct, lines = linked_frames(spark, rng)
+    pairs = rk.linked_covariance(spec, coint, direct, lines, "id", "issuer")["pairs"].toPandas()
+    bound = pairs["corr"].median()
+    got = {(x.id1, x.id2) for x in ql.low_correlations(spark.createDataFrame(pairs[["issuer", "id1", "id2", "corr"]]), bound).collect()}
+    assert got == {(x.id1, x.id2) for x in pairs.itertuples() if x.corr < bound} and any(2 not in p for p in got)
