@@ -174,3 +174,18 @@ def test_low_correlations_name_pairs_without_the_master(spark, rng):
     bound = pairs["corr"].median()
     got = {(x.id1, x.id2) for x in ql.low_correlations(spark.createDataFrame(pairs[["issuer", "id1", "id2", "corr"]]), bound).collect()}
     assert got == {(x.id1, x.id2) for x in pairs.itertuples() if x.corr < bound} and any(2 not in p for p in got)
+
+
+def test_portfolio_risk_counts_every_pair_of_lines(spark, rng):
+    _, spec, coint, direct, lines = linked_frames(spark, rng)
+    out = rk.linked_covariance(spec, coint, direct, lines, "id", "issuer")
+    h = rng.uniform(0, 1, 6)
+    weights = spark.createDataFrame([("p", i, float(h[i])) for i in range(6)], "name string, asset_id long, weight double")
+    exp = spark.createDataFrame([(i, 0.0) for i in range(6)], "asset_id long, x double")
+    cov = spark.createDataFrame([("x", "x", 1.0)], "f1 string, f2 string, value double")
+    m = np.diag([x.spec_var for x in out["variance"].orderBy("id").collect()])
+    for x in out["pairs"].collect():
+        m[x.id1, x.id2] = m[x.id2, x.id1] = x.cov
+    assert (m[:5, :5] != 0).all() and np.linalg.eigvalsh(m).min() > 0
+    got = rk.portfolio_risk(weights, exp, cov, out["variance"].withColumnRenamed("id", "asset_id"), ["x"], out["pairs"]).first()
+    assert got.specific_var == pytest.approx(h @ m @ h) and got.risk == pytest.approx(np.sqrt(h @ m @ h))
