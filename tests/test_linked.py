@@ -189,3 +189,11 @@ def test_portfolio_risk_counts_every_pair_of_lines(spark, rng):
     assert (m[:5, :5] != 0).all() and np.linalg.eigvalsh(m).min() > 0
     got = rk.portfolio_risk(weights, exp, cov, out["variance"].withColumnRenamed("id", "asset_id"), ["x"], out["pairs"]).first()
     assert got.specific_var == pytest.approx(h @ m @ h) and got.risk == pytest.approx(np.sqrt(h @ m @ h))
+
+
+def test_extract_is_the_whole_upper_triangle(spark, rng):
+    from riskloom.sources import extracts as ex
+
+    _, spec, coint, direct, lines = linked_frames(spark, rng)
+    got = ex.upper_triangle(rk.linked_covariance(spec, coint, direct, lines, "id", "issuer")["pairs"]).select("id1", "id2", "cov").collect()
+    assert sorted((x.id1, x.id2) for x in got) == [(a, b) for a in range(5) for b in range(a + 1, 5)] and all(x.cov > 0 for x in got)
