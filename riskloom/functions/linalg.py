@@ -123,17 +123,22 @@ def nested_normal(xtx: np.ndarray, xty: np.ndarray, blocks: list[list[int]], ort
     return out
 
 
+def cross_correlation(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weighted correlations about zero of columns of x with columns of y, each pair over the rows that both have; 0 where there are none."""
+    w = np.asarray(w, float)[:, None]
+    (sx, zx), (sy, zy) = ((np.isfinite(m).astype(float), np.where(np.isfinite(m), m, 0.0)) for m in (x, y))
+    xy = (zx * w).T @ zy
+    # the sum of squares of i over the rows that j has, and of j over those that i has
+    size = np.sqrt(((zx * w * zx).T @ sy) * (sx.T @ (zy * w * zy)))
+    out = np.divide(xy, size, out=np.zeros_like(xy), where=size > 0)
+    return np.clip(out, -1.0, 1.0)
+
+
 def pair_correlation(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Weighted correlations about zero of columns, each pair over the rows that both have; 0 where there are none."""
-    seen = np.isfinite(x)
-    z = np.where(seen, x, 0.0)
-    v = z * np.asarray(w, float)[:, None]
-    xy = v.T @ z
-    xx = (v * z).T @ seen.astype(float)  # the sum of squares of i over the rows that j has
-    size = np.sqrt(xx * xx.T)
-    out = np.divide(xy, size, out=np.zeros_like(xy), where=size > 0)
+    out = cross_correlation(x, x, w)
     np.fill_diagonal(out, 1.0)
-    return np.clip(out, -1.0, 1.0)
+    return out
 
 
 def unit_diagonal(corr: np.ndarray, floor: float = 1e-8) -> np.ndarray:
@@ -150,15 +155,19 @@ def impose_block(cov: np.ndarray, index: list[int], target: np.ndarray) -> np.nd
 
     T acts on the block only: target^(1/2) O block^(-1/2), O the rotation that moves least.
     """
-    block = cov[np.ix_(index, index)]
-    rs, rt = matrix_root(block), matrix_root(target)
-    u, _, vt = np.linalg.svd(rt @ rs)
     t = np.eye(cov.shape[0])
-    t[np.ix_(index, index)] = rt @ (u @ vt) @ matrix_root(block, inverse=True)
+    t[np.ix_(index, index)] = block_transform(cov[np.ix_(index, index)], target)
     out = t @ cov @ t.T
     return (out + out.T) / 2
 
 
+def block_transform(block: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """T with T block T' = target: target^(1/2) O block^(-1/2), O the rotation that moves least."""
+    rs, rt = matrix_root(block), matrix_root(target)
+    u, _, vt = np.linalg.svd(rt @ rs)
+    return rt @ (u @ vt) @ matrix_root(block, inverse=True)
+
+
 def cubic_spline(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Not-a-knot cubic interpolation (natural under four knots), linear for two, flat for one."""
     n = len(x)

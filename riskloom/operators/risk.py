@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from pyspark.sql.functions import pandas_udf
 
 from riskloom.functions import linalg
-from riskloom.operators import aggregates as ag, timeseries as ts
+from riskloom.operators import aggregates as ag, tiles, timeseries as ts
 from riskloom.operators.crossprod import VECTOR, pack_matrix, unpack_matrix
 from riskloom.operators.ranks import mad_bounds
 from riskloom.session import stored
@@ -307,7 +307,7 @@ def linked_pairs(lines: DataFrame, key: str, group: str) -> DataFrame:
     return x.join(x.withColumnRenamed(key, "master"), group).where(F.col(key) != F.col("master")).select(group, "master", key)
 
 
-def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, lines: DataFrame, key: str, group: str, lo: float = 0.75, hi: float = 0.99995, annual: float = 1.0, fewest: int = 5) -> dict[str, DataFrame]:
+def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, lines: DataFrame, key: str, group: str, lo: float = 0.75, hi: float = 0.99995, annual: float = 1.0, fewest: int = 5, most: int = 400, side: int = 512) -> dict[str, DataFrame]:
     """Variances of linked lines after cointegration, and the covariance of every pair of a group's lines.
 
     A line's variance becomes coef^2 x master's + error variance, by the coefficient of the line on its master or of
@@ -317,7 +317,7 @@ def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, line
     missing or zero the direct correlation stays, and ``hi`` where there is none either.
 
     ``spec``: key, spec_var; ``lines``: key, group, master; ``coint``: of all ``linked_pairs``; ``direct``: of each pair
-    in one order. Pairs are rows; a group's matrix is one task's.
+    in one order. Pairs are rows; the matrix of a group of up to ``most`` lines is one task's, larger ones are tiles.
     """
     fit = coint.where(F.col("n") >= fewest).select(group, "master", key, F.col("coef").alias("_on"), F.coalesce("err_var", F.lit(0.0)).alias("_err"))
     swapped = [group, F.col("master").alias(key), F.col(key).alias("master")]
@@ -339,13 +339,14 @@ def linked_covariance(spec: DataFrame, coint: DataFrame, direct: DataFrame, line
     ratio = F.greatest(div(on * F.col("_s1"), F.col("_s2")), div(back * F.col("_s2"), F.col("_s1")))
     rho = F.coalesce(clip(ratio, lo, hi), "_direct", F.lit(hi))
     x = x.select(group, F.col("master").alias("id1"), F.col(key).alias("id2"), rho.alias("corr"), "_s1", "_s2").join(one.select(group, F.col(key).alias("id2"), "master"), [group, "id2"])
-    pairs = _semidefinite(x, group, [c for c in x.columns if c != group])
+    pairs = _semidefinite(x, one.select(group, key), key, group, most, side)
     m = F.col("master")
     return {"variance": var, "pairs": pairs.select(group, "id1", "id2", "corr", (F.col("corr") * F.col("_s1") * F.col("_s2")).alias("cov"), "master", F.when(m == F.col("id1"), F.col("id2")).when(m == F.col("id2"), F.col("id1")).alias("line"))}
 
 
-def _semidefinite(pairs: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
+def _semidefinite(pairs: DataFrame, lines: DataFrame, key: str, group: str, most: int, side: int) -> DataFrame:
     """Rows (group, id1, id2, corr, ...) of all pairs, each group's matrix without eigenvalues under 1e-8 and with ones on its diagonal."""
+    columns = [c for c in pairs.columns if c != group]
 
     @pandas_udf(VECTOR)
     def fix(id1: pd.Series, id2: pd.Series, corr: pd.Series) -> pd.Series:
@@ -358,29 +359,43 @@ def _semidefinite(pairs: DataFrame, group: str, columns: Sequence[str]) -> DataF
             out.append(linalg.unit_diagonal(m)[at[:n], at[n:]])
         return pd.Series(out)
 
-    g = pairs.groupBy(group).agg(F.collect_list(F.struct(*columns)).alias("_p"))
     of = lambda c: F.col("_p")[c]
+    at = lines.select(F.col(group).alias("g"), key, (F.row_number().over(W.partitionBy(group).orderBy(key)) - 1).alias("r"))
+    large = stored(lines.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(group))
+    g = pairs.join(large, group, "left_anti").groupBy(group).agg(F.collect_list(F.struct(*columns)).alias("_p"))
     g = g.select(group, "_p", F.when(F.size("_p") > 1, fix(of("id1"), of("id2"), of("corr"))).otherwise(of("corr")).alias("_c"))
-    return g.select(group, F.explode(F.arrays_zip("_p", "_c")).alias("_z")).select(group, *[F.col("_z._p")[c].alias(c) for c in columns if c != "corr"], F.col("_z._c").alias("corr"))
-
-
-def merged_covariance(sret: DataFrame, members: DataFrame, linked: dict[str, DataFrame], key: str, issuer: str, step: str, ret: str, end: int, half_life: float, most: int = 400) -> DataFrame:
+    out = g.select(group, F.explode(F.arrays_zip("_p", "_c")).alias("_z")).select(group, *[F.col("_z._p")[c].alias(c) for c in columns if c != "corr"], F.col("_z._c").alias("corr"))
+    if large.isEmpty():
+        return out
+    at = at.join(large.withColumnRenamed(group, "g"), "g")
+    x = pairs.join(large, group).join(at.select(F.col("g").alias(group), F.col(key).alias("id1"), "r"), [group, "id1"])
+    x = stored(x.join(at.select(F.col("g").alias(group), F.col(key).alias("id2"), F.col("r").alias("c")), [group, "id2"]))
+    e = x.select(F.col(group).alias("g"), "r", "c", F.col("corr").alias("v"))
+    e = e.unionByName(e.select("g", F.col("c").alias("r"), F.col("r").alias("c"), "v")).unionByName(at.select("g", "r", F.col("r").alias("c"), F.lit(1.0).alias("v")))
+    e = tiles.to_entries(tiles.semidefinite(tiles.from_entries(e, side))).withColumnsRenamed({"g": group, "v": "corr"})
+    return out.unionByName(x.drop("corr").join(e, [group, "r", "c"]).drop("r", "c"))
+
+
+def merged_covariance(sret: DataFrame, members: DataFrame, linked: dict[str, DataFrame], key: str, issuer: str, step: str, ret: str, end: int, half_life: float, most: int = 400, side: int = 512) -> DataFrame:
     """One positive semidefinite covariance for each merged group of issuers: merged, id1 <= id2, corr, cov, dense.
 
     ``members``: (issuer, key, merged); ``linked``: result of ``linked_covariance`` on the issuers. The group's
     correlation starts from its lines' weighted specific returns; then each issuer's block is turned into the
-    cointegrated one (master correlations and their products) by the rotation that moves least, which leaves
-    the whole positive semidefinite. Variances are those of ``linked``. A line of two issuers is in the block
-    of the smaller one. A group is one task's matrix of up to ``most`` lines; beyond that only pairs with
-    masters are listed (``dense`` false); two other lines of an issuer then have the product of their correlations
-    with the master, lines of different issuers none, which is semidefinite too.
+    cointegrated one by the rotation that moves least, which leaves the whole positive semidefinite. Two lines
+    without a pair in ``linked`` have the product of their correlations with the master. Variances are those of
+    ``linked``. A line of two issuers is in the block of the smaller one. A group of up to ``most`` lines is one
+    task's matrix (``dense``); larger ones are tiles of ``side`` lines, with the same steps and pairs.
     """
     one = members.groupBy(key).agg(F.min(issuer).alias(issuer), F.min("merged").alias("merged"))
     size = one.groupBy("merged").agg(F.count(F.lit(1)).alias("_size"), F.count_distinct(issuer).alias("_issuers")).where("_issuers > 1")
-    star = linked["pairs"].select(F.col("line").alias(key), F.col("corr").alias("_c"), F.col("master").cast("string").alias("_m"), F.col("cov").alias("_cov"))
+    pairs = linked["pairs"]
+    star = pairs.where("line is not null").select(F.col("line").alias(key), F.col("corr").alias("_c"), F.col("master").cast("string").alias("_m"))
     info = one.join(size, "merged").join(linked["variance"], key).join(star, key, "left")
-    info = stored(info.select("merged", key, F.col(issuer).cast("string").alias("_issuer"), "spec_var", "_c", "_m", "_cov", "_size"))
-    dense = info.where(F.col("_size") <= most)
+    info = stored(info.select("merged", key, F.col(issuer).cast("string").alias("_issuer"), "spec_var", "_c", "_m", "_size"))
+    line = info.select("merged", "_issuer", key, "_size")
+    known = pairs.select("id1", "id2", "corr").join(line.withColumnRenamed(key, "id1"), "id1").join(line.drop("_size").withColumnRenamed(key, "id2"), ["merged", "_issuer", "id2"])
+    partners = known.where(F.col("_size") <= most).groupBy("merged", F.col("id1").alias(key)).agg(F.collect_list("id2").alias("_ids"), F.collect_list("corr").alias("_corrs"))
+    dense = info.where(F.col("_size") <= most).join(partners, ["merged", key], "left")
     rows = sret.where(F.col(step) <= end).join(dense.select(F.col("merged").alias("_g"), key), key).select("_g", key, step, F.col(ret).alias("_r"))
     kt, gt = members.schema[key].dataType.simpleString(), members.schema["merged"].dataType.simpleString()
 
@@ -392,10 +407,16 @@ def merged_covariance(sret: DataFrame, members: DataFrame, linked: dict[str, Dat
         corr = linalg.unit_diagonal(linalg.pair_correlation(r.to_numpy(float), w))
         c, masters = lines["_c"].to_numpy(float), set(lines["_m"].dropna())
         c = np.where([str(i) in masters for i in ids], 1.0, np.where(np.isfinite(c), c, 0.0))
+        pos = {x: i for i, x in enumerate(ids)}
+        want = np.outer(c, c) + np.diag(1 - c**2)
+        for i, (others, values) in enumerate(zip(lines["_ids"], lines["_corrs"])):
+            if others is not None:
+                j = [pos[x] for x in others]
+                want[i, j] = want[j, i] = values
         for _, at in lines.groupby("_issuer").groups.items():
             at = list(at)
             if len(at) > 1:
-                corr = linalg.impose_block(corr, at, np.outer(c[at], c[at]) + np.diag(1 - c[at] ** 2))
+                corr = linalg.impose_block(corr, at, linalg.unit_diagonal(want[np.ix_(at, at)]))
         corr = linalg.unit_diagonal(corr)
         sd = np.sqrt(lines["spec_var"].to_numpy(float))
         i, j = np.triu_indices(len(ids))
@@ -405,10 +426,54 @@ def merged_covariance(sret: DataFrame, members: DataFrame, linked: dict[str, Dat
     schema = f"merged {gt}, id1 {kt}, id2 {kt}, corr double, cov double, dense boolean"
     out = dense.groupBy("merged").cogroup(rows.groupBy("_g")).applyInPandas(assemble, schema)
     large = info.where(F.col("_size") > most)
-    master = F.col("_m").cast(kt)
-    through = large.where("_c is not null").select("merged", F.least(key, master).alias("id1"), F.greatest(key, master).alias("id2"), F.col("_c").alias("corr"), F.col("_cov").alias("cov"), F.lit(False).alias("dense"))
-    alone = large.select("merged", F.col(key).alias("id1"), F.col(key).alias("id2"), F.lit(1.0).alias("corr"), F.col("spec_var").alias("cov"), F.lit(False).alias("dense"))
-    return out.unionByName(through).unionByName(alone)
+    if large.isEmpty():
+        return out
+    masters = large.select("merged", F.col("_m").alias("_id")).distinct().where("_id is not null").withColumn("_master", F.lit(1.0))
+    large = large.withColumn("_id", F.col(key).cast("string")).join(masters, ["merged", "_id"], "left").withColumn("_c", F.coalesce("_master", "_c", F.lit(0.0)))
+    block = F.concat_ws("/", F.col("merged").cast("string"), "_issuer")
+    order = W.partitionBy("merged").orderBy("_issuer", key)
+    large = large.select(F.col("merged").alias("g"), key, "spec_var", "_c", block.alias("b"), (F.row_number().over(order) - 1).alias("r"), (F.row_number().over(W.partitionBy(block).orderBy(key)) - 1).alias("_at"), F.count(F.lit(1)).over(W.partitionBy(block)).alias("_n"))
+    large = stored(large)
+    other = large.select("g", "b", F.col("r").alias("c"), F.col(key).alias("_key2"), F.col("spec_var").alias("_var2"), F.col("_c").alias("_c2"), F.col("_at").alias("_at2"))
+    corr = _merged_tiles(sret.where(F.col(step) <= end).select(key, F.col(step).alias("step"), F.col(ret).alias("v")), large, other, known.where(F.col("_size") > most), key, end, half_life, most, side)
+    e = tiles.to_entries(corr).where("r <= c").join(large.select("g", "r", key, "spec_var"), ["g", "r"]).join(other.drop("b"), ["g", "c"])
+    cov = F.col("v") * F.sqrt("spec_var") * F.sqrt("_var2")
+    return out.unionByName(e.select(F.col("g").alias("merged"), F.least(key, "_key2").alias("id1"), F.greatest(key, "_key2").alias("id2"), F.col("v").alias("corr"), cov.alias("cov"), F.lit(False).alias("dense")))
+
+
+def _merged_tiles(returns: DataFrame, lines: DataFrame, other: DataFrame, known: DataFrame, key: str, end: int, half_life: float, most: int, side: int) -> DataFrame:
+    """What ``merged_covariance`` does in a task, on tiles: pair correlations, made semidefinite, with the blocks of issuers turned.
+
+    Matrix functions change no entry of other issuers' blocks, so one transformation holds the turns of all. The last
+    floor of eigenvalues is left out: what is turned has none under 0, and the floor of 1e-8 would move no entry by more.
+    """
+    start = tiles.pair_correlation(returns.join(lines.select("g", key, "r"), key).select("g", "r", "step", "v"), lines, float(end), half_life, side)
+    start = tiles.semidefinite(start)
+    # entries inside issuers' blocks, with what they become
+    at = lines.select("g", "b", F.expr(f"cast(r div {side} as int)").alias("i")).distinct()
+    near = at.join(at.withColumnRenamed("i", "j"), ["g", "b"]).select("g", "i", "j").distinct()
+    inside = tiles.to_entries(start.join(near, ["g", "i", "j"], "left_semi")).join(lines.select("g", "b", "r", key, "_c", "_at", "_n"), ["g", "r"]).join(other.drop("_var2"), ["g", "b", "c"])
+    known = known.select(F.col("merged").alias("g"), F.col("id1").alias(key), F.col("id2").alias("_key2"), F.col("corr").alias("_k"))
+    known = known.unionByName(known.select("g", F.col("_key2").alias(key), F.col(key).alias("_key2"), "_k"))
+    want = F.when(F.col("r") == F.col("c"), 1.0).otherwise(F.coalesce("_k", F.col("_c") * F.col("_c2")))
+    inside = stored(inside.join(known, ["g", key, "_key2"], "left").select("g", "b", "r", "c", "v", "_n", "_at", "_at2", want.alias("_want")))
+
+    def turn(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = int(pdf["_n"].iloc[0])
+        m, t = np.eye(n), np.eye(n)
+        i, j = pdf["_at"].to_numpy(), pdf["_at2"].to_numpy()
+        m[i, j], t[i, j] = pdf["v"], pdf["_want"]
+        return pdf[["g", "r", "c"]].assign(v=linalg.block_transform(m, linalg.unit_diagonal(t))[i, j] if n > 1 else 1.0)
+
+    schema = f"g {lines.schema['g'].dataType.simpleString()}, r long, c long, v double"
+    turned = inside.where(F.col("_n") <= most).groupBy("b").applyInPandas(turn, schema)
+    wide = inside.where(F.col("_n") > most)
+    if not wide.isEmpty():
+        local = lambda v: tiles.from_entries(wide.select(F.col("b").alias("g"), F.col("_at").alias("r"), F.col("_at2").alias("c"), F.col(v).alias("v")), side)
+        t = tiles.to_entries(tiles.transform(local("v"), tiles.semidefinite(local("_want")))).select(F.col("g").alias("b"), F.col("r").alias("_at"), F.col("c").alias("_at2"), "v")
+        turned = turned.unionByName(wide.drop("v").join(t, ["b", "_at", "_at2"]).select("g", "r", "c", "v"))
+    t = stored(tiles.from_entries(turned, side))
+    return stored(tiles.unit_diagonal(tiles.multiply(tiles.multiply(t, start), t, transposed=True)))
 
 
 # --- risk of assets and portfolios --------------------------------------------------------
