@@ -2,7 +2,8 @@
 
 Each family is one expression over a trailing window of an asset's steps. All descriptors of a panel are columns
 of one plan that share the asset's partitioning and one sort; equal windows share their frames. A window
-holds one asset's steps, never a cross-section.
+holds one asset's steps, never a cross-section. Spark's windows go over all steps of a frame for every row, so a
+catalogue of many long windows is worked out in Arrow batches of whole assets instead (``rolling.py``).
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from riskloom.operators import fundamentals as fu
+from riskloom.operators import fundamentals as fu, rolling
 
 
 @dataclass(frozen=True)
@@ -136,7 +137,11 @@ FORMS: dict[str, Callable[[Descriptor, W], Column]] = {
 FIT_PARTS = {"beta": ["n", "xx", "yx"], "sensitivity": ["n", "xx", "yx"], "alpha": ["n", "xx", "yx", "x", "y"], "correlation": ["n", "xx", "yx", "yy"], "residual_vol": ["n", "xx", "yx", "yy"]}
 
 
-def build(panel: DataFrame, wanted: Sequence[Descriptor], key: str = "asset_id", step: str = "mi") -> DataFrame:
+#: Steps of all functions' frames for a row, from which on batches are cheaper than Spark's windows.
+MANY_STEPS = 500
+
+
+def build(panel: DataFrame, wanted: Sequence[Descriptor], key: str = "asset_id", step: str = "mi", many: int = MANY_STEPS) -> DataFrame:
     """``panel`` (key, step, ret, mcap, volume, price and the factors' columns) with a column for each descriptor.
 
     A window is by the step's number, so months without a row shorten what it holds and not where it begins. What
@@ -145,6 +150,9 @@ def build(panel: DataFrame, wanted: Sequence[Descriptor], key: str = "asset_id",
     def over(d: Descriptor) -> W:
         return W.partitionBy(key).orderBy(step).rangeBetween(1 - d.window, -d.gap)
 
+    fits = {_fit(d, k): d.window for d in wanted if d.against and not d.net for k in FIT_PARTS[d.family]}
+    if sum(fits.values()) + sum(6 * d.window if d.net else d.window for d in wanted if d.net or not d.against) >= many and isinstance(panel.schema[step].dataType, T.IntegralType):
+        return rolling.build(panel, wanted, key, step, least)
     parts = {k: c for d in wanted if d.net for k, c in _net_parts(d, over(d)).items()}
     parts |= {k: c for d in wanted if d.against and not d.net for k, c in _fit_parts(d, over(d)).items()}
     plain = panel.select("*", *[FORMS[d.family](d, over(d)).alias(d.name) for d in wanted if not d.against], *[c.alias(k) for k, c in parts.items()])

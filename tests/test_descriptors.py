@@ -4,6 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from riskloom.operators import descriptors as ds
 
 
@@ -51,3 +53,37 @@ def test_fits_of_one_factor_and_window_share_their_sums(spark):
     plan = ds.build(df, wanted)._jdf.queryExecution().optimizedPlan().toString()
     window = next(line for line in plan.splitlines() if "Window [" in line)
     assert window.count("windowspecdefinition(") == 6
+
+
+def odd_panel(spark, rng):
+    """Assets with gaps, repeated steps, steps and keys without a value, zeros, constants and missing values."""
+    rows = []
+    for a in [None, *range(12)]:
+        n = int(rng.integers(1, 70))
+        steps = np.sort(rng.choice(np.arange(100), n, replace=False)).tolist()
+        steps = [None, None, *steps, *steps[: n // 4]] if a in (1, 2) else [*steps, *([steps[-1] + 10**12] if a == 3 else [])]
+        flat = a in (4, 5)
+        for t in steps:
+            maybe = lambda v, p=0.1: None if rng.random() < p else v
+            ret = 0.1 if flat and rng.random() < 0.9 else float(rng.choice([0.0, rng.normal() * 0.1]))
+            rows.append((a, t, maybe(ret), maybe(float(rng.integers(0, 4)), 0.2), maybe(int(rng.integers(0, 3))), maybe(float(rng.uniform(1, 2))), maybe(0.3 if a == 5 else float(rng.normal()) * 0.05), maybe(float(rng.normal()) * 0.05), "x"))
+    return spark.createDataFrame(rows, "asset_id int, mi long, ret double, mcap double, volume int, price double, m double, s double, note string")
+
+
+def test_batches_and_windows_are_the_same(spark, rng=np.random.default_rng(5)):
+    df = odd_panel(spark, rng).withColumn("row", F.monotonically_increasing_id()).localCheckpoint()
+    wanted = ds.catalogue(["m"], ["s"], "m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        one, two = (ds.build(df, wanted, many=many).orderBy("row").toPandas() for many in (10**9, 0))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert list(one.columns) == list(two.columns) and len(one) == df.count()
+    pd.testing.assert_frame_equal(two, one, rtol=1e-9, atol=1e-12)
+    assert one[[d.name for d in wanted]].notna().sum().min() > 0
+
+
+def test_a_catalogue_does_not_go_over_every_frame(spark):
+    df = spark.createDataFrame([(1, 1, 0.1, 1.0, 1, 1.0, 0.2, 0.1)], "asset_id int, mi int, ret double, mcap double, volume int, price double, m double, s double")
+    plan = ds.build(df, ds.catalogue(["m"], ["s"], "m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" not in plan and "MapInArrow" in plan
